@@ -135,8 +135,8 @@ def vector_links(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     is at least ``cosine``. Null vectors, zero vectors and vectors with null or
     non-finite components link with nothing; neither do vectors of different length.
     Returns vec_id, n_links (other vectors linked directly), component_id (least
-    vec_id reachable), kept. vec_id must be unique; an empty table gives an empty
-    result.
+    vec_id reachable), kept. vec_id must be unique (a null one links with
+    nothing); an empty table gives an empty result.
 
     Pivots are a sample: MOST_PIVOTS a label, ALL_PIVOTS in all, which bounds what
     every task receives. Larger cells have more tiles.
@@ -146,7 +146,7 @@ def vector_links(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     plain = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), F.col("label").cast("string").alias("label"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    usable = plain.where(F.col("label").isNotNull() & F.col("v").isNotNull()).where(finite & F.exists("v", lambda x: x != 0))
+    usable = plain.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull()).where(finite & F.exists("v", lambda x: x != 0))
     usable = usable.withColumn("label", F.concat_ws("/", "label", F.size("v")))
     # Equal vectors of a label are one; -0.0 counts as 0.0.
     exact = F.sha2(F.concat_ws(",", F.transform("v", lambda x: (x + F.lit(0.0)).cast("string"))), 256)

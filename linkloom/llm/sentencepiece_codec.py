@@ -124,7 +124,8 @@ class Codec:
             model.ParseFromString(f.read())
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.normaliser = Normaliser(model.normalizer_spec)
-        self.apart = self.normaliser.plain and not any(re.search(f"[^{SPACE}]{SPACE}", p.piece) for p in model.pieces)
+        self.mark = self.library.piece_to_id(SPACE)
+        self.apart = self.normaliser.plain and self.mark != self.library.unk_id() and not any(re.search(f"[^{SPACE}]{SPACE}", p.piece) for p in model.pieces)
         self.pieces = [p.piece.encode() for p in model.pieces]
         self.kinds = [p.type for p in model.pieces]
         self.units: dict[str, tuple[bytes, bytes, bytes]] = {}
@@ -147,7 +148,8 @@ class Codec:
 
     def _unit(self, unit: str) -> tuple[bytes, bytes, bytes]:
         """(ids, their decimals joined by commas, original lengths); the unit's first mark is put there by the library."""
-        ids = self.library.encode(unit[1:].replace(SPACE, " "))
+        # The library makes nothing of an empty text: a lone mark is its own piece.
+        ids = self.library.encode(unit[1:].replace(SPACE, " ")) if len(unit) > 1 else [self.mark]
         sizes, raw, at, lengths = self._lengths(ids, unit.encode()), unit.encode(), 0, []
         for size in sizes:
             lengths.append(size - 2 * raw.count(MARK, at, at + size))

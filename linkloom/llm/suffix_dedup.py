@@ -86,7 +86,7 @@ def _contexts(length: int, gram: int):
         one, two = RangeHash(31), RangeHash(32)
         width = length - gram + 1
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids = batch.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
             for data, spans in _pieces(batch.column(1), length):
                 p1 = one.prefix(data)
                 n = len(data) - gram + 1
@@ -284,8 +284,9 @@ def repeated_spans(docs: DataFrame, length: int = 400, gram: int = 64, bucket: i
     in the same document or another; strings are judged on the whole input. Returns
     doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 (of the
     remaining bytes), spans (array of begin and end). Null texts are empty; texts
-    shorter than ``length`` lose nothing; doc_id must be unique and not null; an
-    empty table gives an empty result.
+    shorter than ``length`` lose nothing; doc_id must be unique; a text of null doc_id
+    counts as a place of repeats but loses nothing itself; an empty table gives an
+    empty result.
     """
     spark = docs.sparkSession
     ws = Workspace(spark, "suffix")

@@ -117,8 +117,8 @@ def _read(root: str, dtype: str):
 def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int = 1) -> dict:
     """Write ``docs`` (doc_id long, text string; more columns are ignored) to shards under ``root``; returns the manifest.
 
-    Null and empty texts have the end id only. doc_id must not be null; repeated
-    values stand side by side. Special-token strings in a text are what the
+    Null and empty texts have the end id only. Rows without doc_id are left out;
+    repeated values stand side by side. Special-token strings in a text are what the
     tokenizer makes of them. An empty table gives a manifest without shards.
     """
     spark = docs.sparkSession
@@ -127,7 +127,7 @@ def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int =
     store.create_dir(path, recursive=True)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = rows.where("doc_id is not null").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     # One line a shard; ranges do not overlap, so that the first ids give their order.
     done = sorted(tuple(r) for r in rows.mapInArrow(_write(root, tokenizer, end_id, dtype), DONE).collect())
     shards, base = [], 0

@@ -119,7 +119,7 @@ def write_archives(pages: DataFrame, root: str, least: int = 0, roll: int = ROLL
     Of records with equal payloads of at least ``least`` bytes, that with the largest
     page_id is the response and the others revisit it; smaller payloads are all
     responses. A null html is an empty payload, a null url becomes urn:page:N;
-    page_id must not be null; repeated rows of the response revisit it. An empty
+    rows without page_id are left out; repeated rows of the response revisit it. An empty
     table gives a manifest without files. The payload crosses the network once: the
     references, made from digests only, are sorted in beside it.
     """
@@ -127,7 +127,7 @@ def write_archives(pages: DataFrame, root: str, least: int = 0, roll: int = ROLL
     store, path = filesystem(root)
     store.create_dir(path, recursive=True)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).where("page_id is not null")
     digests = rows.select("page_id", F.sha1(F.encode("html", "UTF-8")).alias("sha"), F.octet_length("html").alias("size"))
     large = digests.where(F.col("size") >= least)
     heads = large.groupBy("sha").agg(F.max("page_id").alias("ref"), F.count("*").alias("n")).where("n > 1").select("sha", "ref")

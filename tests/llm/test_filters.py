@@ -1,0 +1,176 @@
+"""Decontamination against brute force; language ID, toxicity and secrets by held-out and known cases."""
+
+import hashlib
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from linkloom.llm import decontaminate, langid, secret_scan, toxicity
+
+DOCS = "doc_id long, text string, w string, n int, item string"
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def documents(spark, texts):
+    return spark.createDataFrame([(i, t, "w", 1, "x") for i, t in enumerate(texts)], DOCS)
+
+
+def split(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def contaminated(texts, items, window=10):
+    out = []
+    for text in texts:
+        w, hit, names = split(text), set(), set()
+        for name, item in items:
+            v = split(item)
+            size = min(window, len(v))
+            runs = {tuple(v[i : i + size]) for i in range(len(v) - size + 1)} if v else set()
+            for i in range(len(w) - size + 1 if v else 0):
+                if tuple(w[i : i + size]) in runs:
+                    hit.update(range(i, i + size))
+                    names.add(str(name))
+        out.append((len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit)))
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_contamination(spark, broadcast, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast)
+    rng = random.Random(6)
+    word = lambda n, v=30: " ".join(f"v{rng.randrange(v)}" for _ in range(n))
+    items = [(1, word(25)), (2, "Short item"), (10, "É one"), (3, None), (4, "..."), (5, word(10)), (6, "a b c d e f"), (7, word(12)), (8, word(12))]
+    items.append((9, items[0][1]))
+    texts = [None, "", "!!", "short ITEM, short item", "é One", "É one", "a-b-c-d-e-f g", "aa bb"]
+    for _ in range(30):
+        source = rng.choice([items[0], items[5], items[7]])[1].split(" ")
+        a = rng.randrange(len(source) - 9)
+        texts.append(f"{word(rng.randrange(15))}; {', '.join(source[a : a + rng.randrange(8, 16)])}\n{word(rng.randrange(15))}")
+    got = {r["doc_id"]: tuple(r)[1:] for r in decontaminate.contamination(documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == contaminated(texts, items)
+
+
+def test_contamination_of_empty_tables(spark):
+    docs, items = documents(spark, ["a b", None]), spark.createDataFrame([], "item_id long, text string")
+    assert [r["n_hit"] for r in decontaminate.contamination(docs, items).collect()] == [0, 0]
+    assert decontaminate.contamination(docs.limit(0), items).count() == 0
+
+
+SYLLABLES = {"en": "the and ing ion er of to".split(), "de": "der sch ein ung ich keit zu".split(), "fr": "eau que les oux ent é à".split()}
+
+
+def prose(rng, lang, n):
+    return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(n)) + "."
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rng = random.Random(11)
+    rows = [(lang, prose(rng, lang, rng.randrange(5, 90))) for lang in SYLLABLES for _ in range(80)] + [(None, "x y z"), ("en", None), ("en", "123 !!"), ("zz", "")]
+    return langid.fit(spark.createDataFrame(rows, "lang string, text string"))
+
+
+def test_probabilities_sum_to_one(model):
+    """Over the known characters and one unknown, the interpolated model is a distribution."""
+    assert model.languages == ["de", "en", "fr"]
+    known = sorted({c for group in SYLLABLES.values() for t in group for c in t} | set(" ."))
+    chars = [np.array([ord(x) for x in "the" + c], np.uint32) for c in known]
+    for j in range(3):
+        total = sum(math.exp(model.char_logs(c)[0, j]) for c in chars)
+        assert 0.9 < total < 1.02
+
+
+def test_languages(spark, model):
+    rng = random.Random(12)
+    texts = [(lang, prose(rng, lang, n)) for lang in SYLLABLES for n in (3, 10, 60, 3000) for _ in range(5)]
+    odd = [None, "", "123 !?", "\n\t", "日本語のテキストがここにありますそれは長い" * 20, "THE ING AND OF"]
+    rows = {r["doc_id"]: r for r in langid.identify(documents(spark, [t for _, t in texts] + odd), model).collect()}
+    assert sum(rows[i]["lang_pred"] == lang for i, (lang, _) in enumerate(texts)) >= 0.97 * len(texts)
+    assert not any(rows[i]["rejected"] for i in range(len(texts)))
+    tail = [rows[len(texts) + i] for i in range(len(odd))]
+    assert [r["lang_pred"] for r in tail[:4]] == ["und"] * 4 and all(r["rejected"] for r in tail[:5]) and tail[5]["lang_pred"] == "en"
+    assert all(0 <= r["score"] <= 1 for r in rows.values())
+
+
+def test_language_of_nothing(spark, model):
+    empty = langid.fit(spark.createDataFrame([], "lang string, text string"))
+    assert [r["lang_pred"] for r in langid.identify(documents(spark, ["some text"]), empty).collect()] == ["und"]
+    assert langid.identify(documents(spark, ["x"]).limit(0), model).count() == 0
+
+
+@pytest.fixture(scope="module")
+def lexicon(spark):
+    rng = random.Random(13)
+    plain = [f"word{chr(97 + i)}" for i in range(20)]
+    rows = []
+    for i in range(300):
+        w = [rng.choice(plain) for _ in range(rng.randrange(5, 60))]
+        bad = i % 3 == 0
+        for _ in range(rng.randrange(1, 4) if bad else 0):
+            w.insert(rng.randrange(len(w)), rng.choice(["idiot", "scumbag"]))
+        rows.append((int(bad), " ".join(w)))
+    rows += [(1, "wordz copied passage repeated")] * 100 + [(None, "idiot"), (0, None)]
+    return toxicity.learn(spark.createDataFrame(rows, "toxic int, text string"))
+
+
+def test_lexicon(lexicon):
+    assert set(lexicon.weights) == {"idiot", "scumbag"}
+
+
+@pytest.mark.parametrize("text, hit", [("you idiot.", True), ("You 1D10T!", True), ("іdіоt", True), ("###IDIOT###", True), ("idiotic videos", False), ("", False), (None, False), ("trash can idiot", True)])
+def test_toxicity(spark, lexicon, text, hit):
+    r = toxicity.score(documents(spark, [text]), lexicon).first()
+    assert (r["predicted"], r["score"] >= 0.7, bool(r["matches"])) == (int(hit), hit, hit) and 0 <= r["score"] <= 1
+
+
+def test_exception_phrases():
+    lex = toxicity.Lexicon({"trash": 3.0})
+    assert lex.matches("a trash can") == [] and len(lex.matches("trash, a trash can")) == 1
+
+
+def test_toxicity_of_nothing(spark):
+    lex = toxicity.learn(spark.createDataFrame([], "toxic int, text string"))
+    assert [r["predicted"] for r in toxicity.score(documents(spark, ["idiot", None]), lex).collect()] == [0, 0]
+    assert toxicity.score(documents(spark, ["x"]).limit(0), lex).count() == 0
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    return secret_scan.train(secret_scan.labelled_findings(spark))
+
+
+H = hashlib.sha1(b"unseen").hexdigest()
+SECRETS = [f'x token = "{H}" y', f"api_key: {H}\n", f'TOKEN = "{H.upper()}"!! z', "password='" + hashlib.md5(b"u").hexdigest() + "'"]
+PLAIN = [None, "", f"commit {H} fixes it", "see https://www.example.com/configuration2/documentation.html now", "+1 (017) 555-7713 mail7.example.com", "x" * 9000, "the international9documentation9environment said", 'token = "xxxxxxxxxxxxxxxxxxxxx1"']
+
+
+def test_secrets(spark, forest):
+    texts = SECRETS + PLAIN + [SECRETS[0]]
+    found = secret_scan.scan(documents(spark, texts), forest).where("is_secret").collect()
+    assert sorted(r["doc_id"] for r in found) == [0, 1, 2, 3, len(texts) - 1]
+    assert {r["token_sha256"] for r in found if r["doc_id"] == 0} == {hashlib.sha256(H.encode()).hexdigest()}
+
+
+def test_candidates_against_python(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab1=/. \n\"'Z_") for _ in range(rng.randrange(300))) for _ in range(60)] + PLAIN
+    token = re.compile(secret_scan.TOKEN)
+    want = []
+    for d, t in enumerate(texts):
+        for i, m in enumerate(token.finditer(t or "")):
+            if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]):
+                gaps = token.split(t)
+                want.append((d, i, m[0], gaps[i][-secret_scan.BEFORE :], gaps[i + 1][: secret_scan.AFTER]))
+    assert sorted(tuple(r) for r in secret_scan.candidates(documents(spark, texts)).collect()) == sorted(want)
+
+
+def test_redaction(spark, forest):
+    out = {r["doc_id"]: r for r in secret_scan.redact(documents(spark, SECRETS + PLAIN), forest).collect()}
+    assert len(out) == len(SECRETS + PLAIN) and H not in out[0]["text"] and out[0]["text"] == 'x token = "[SECRET]" y'
+    assert [out[len(SECRETS) + i]["text"] for i in range(len(PLAIN))] == PLAIN and out[0]["w"] == "w"
+    assert secret_scan.redact(documents(spark, ["x"]).limit(0), forest).count() == 0
