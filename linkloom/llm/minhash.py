@@ -8,7 +8,8 @@ A band shared by very many documents never becomes all pairs. First each member
 compared with the band's least member only (a star), and the confirmed links are
 contracted to components. Only then do bands that still hold several components
 compare members of different components, in tiles of bounded size. Members of one
-component need no further link, so no group is lost.
+component need no further link, so no group is lost. A tile returns a spanning
+forest of the links it found, never its pairs.
 """
 
 from __future__ import annotations
@@ -148,48 +149,102 @@ def _confirm(num: int, den: int):
     return run
 
 
-def _cross(limit: float):
-    """Rows sorted by (band, i, j): pairs of different components whose signatures agree in ``limit`` of the places."""
+def _tiles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[list[tuple]]:
+    """Rows of each tile, from rows sorted by tile, their first column; an empty list after each batch."""
+    at, rows = None, []
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(width))):
+            if row[0] != at:
+                if len(rows) > 1:
+                    yield rows
+                at, rows = row[0], []
+            rows.append(row)
+        yield []
+    if len(rows) > 1:
+        yield rows
 
-    def flush(rows: list[tuple], out: list[tuple]) -> None:
-        if len({r[2] for r in rows}) < 2:
-            return
-        ids, comp = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
-        side = np.array([r[4] for r in rows])
-        sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint16).reshape(len(rows), -1)
-        left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
-        for x in left:
-            others = right[(comp[right] != comp[x]) & ((ids[right] < ids[x]) | (side[x] == 1))]
-            if len(others):
-                close = others[(sig[others] == sig[x]).mean(axis=1) >= limit]
-                out.extend((max(a, b), min(a, b)) for a, b in ((int(ids[x]), int(y)) for y in ids[close]))
+
+def _agreeing(limit: float):
+    """(tile, doc_id, comp, sig) -> the rows that have, in another component of their tile, a signature like theirs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, rows, out, done = None, [], [], set()
-        for batch in batches:
-            for key, doc, comp, sig, side in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if key != at:
-                    flush(rows, out)
-                    at, rows = key, []
-                rows.append((key, doc, comp, sig, side))
-            fresh = set(out) - done
-            done = fresh if len(done) > 1_000_000 else done | fresh
-            out = []
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in fresh], pa.int64()) for k in (0, 1)], names=["u", "v"])
-        flush(rows, out)
-        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in set(out)], pa.int64()) for k in (0, 1)], names=["u", "v"])
+        out: list[tuple] = []
+        for rows in _tiles(batches, 4):
+            if rows:
+                comp = np.array([r[2] for r in rows])
+                if (comp == comp[0]).all():
+                    continue
+                sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint16).reshape(len(rows), -1)
+                for i, r in enumerate(rows):
+                    others = sig[comp != comp[i]]
+                    if len(others) and (others == sig[i]).mean(axis=1).max() >= limit:
+                        out.append(r[:3])
+            else:
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))], names=["tile", "doc_id", "comp"])
+                out = []
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))], names=["tile", "doc_id", "comp"])
 
     return run
 
 
-def _confirmed(ws: Workspace, docs: DataFrame, pairs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of all pairs: products of blocks of the incidence matrix of shingles that two sets have."""
+    n, every = len(sets), np.concatenate(sets)
+    rows = np.repeat(np.arange(n), [len(s) for s in sets])
+    order = np.argsort(every, kind="stable")
+    every, rows = every[order], rows[order]
+    first = np.concatenate([[True], every[1:] != every[:-1]])
+    column = np.cumsum(first) - 1
+    twice = np.bincount(column)[column] > 1
+    rows, column = rows[twice], np.unique(column[twice], return_inverse=True)[1]
+    out, block = np.zeros((n, n), np.float32), 4096
+    edges = np.searchsorted(column, np.arange(0, (column[-1] + 1 if len(column) else 0) + block, block))
+    for k, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
+        has = np.zeros((n, block), np.float32)
+        has[rows[lo:hi], column[lo:hi] - k * block] = 1
+        used = np.unique(rows[lo:hi])
+        out[np.ix_(used, used)] += has[used] @ has[used].T
+    return out
+
+
+def _linked(num: int, den: int):
+    """(tile, doc_id, comp, shingles) -> a spanning forest of the tile's links between components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        us, vs = [], []
+        for rows in _tiles(batches, 4):
+            if rows:
+                comp = np.array([r[2] for r in rows])
+                sets = [np.frombuffer(r[3], np.uint64) for r in rows]
+                size = np.array([len(s) for s in sets])
+                both = shared_counts(sets)
+                link = den * both >= num * (size[:, None] + size[None, :] - both)
+                link |= comp[:, None] == comp[None, :]
+                fresh = np.ones(len(rows), bool)
+                for start in range(len(rows)):
+                    stack = [start] if fresh[start] else []
+                    fresh[start] = False
+                    while stack:
+                        x = stack.pop()
+                        found = np.flatnonzero(link[x] & fresh)
+                        fresh[found] = False
+                        stack += found.tolist()
+                        for y in found[comp[found] != comp[x]].tolist():
+                            us.append(max(rows[x][1], rows[y][1]))
+                            vs.append(min(rows[x][1], rows[y][1]))
+            else:
+                yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+                us, vs = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+
+    return run
+
+
+def _confirmed(ws: Workspace, sets: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
     """The candidate pairs (u, v) that hold on full sets. The set of v travels once for each salt, that of u once for each pair."""
-    pairs = ws.table(pairs, "pairs")
-    wanted = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct()
-    sets = ws.table(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(words), SETS), "sets")
-    salted = pairs.select("v", F.pmod(F.xxhash64("u"), F.lit(64)).cast("int").alias("salt"), "u")
-    right = salted.join(sets, salted.u == sets.doc_id).select("v", "salt", "u", "shingles")
-    left = salted.select("v", "salt").distinct().join(sets, F.col("v") == sets.doc_id).select("v", "salt", F.lit(None).cast("long").alias("u"), "shingles")
+    salted = ws.table(pairs.select("v", F.pmod(F.xxhash64("u"), F.lit(64)).cast("int").alias("salt"), "u"), "pairs")
+    right = salted.join(sets.withColumnRenamed("doc_id", "u"), "u").select("v", "salt", "u", "shingles")
+    left = salted.select("v", "salt").distinct().join(sets.withColumnRenamed("doc_id", "v"), "v").select("v", "salt", F.lit(None).cast("long").alias("u"), "shingles")
     n = ws.spark.conf.get("spark.sql.shuffle.partitions")
     rows = left.unionByName(right).repartition(int(n), "v", "salt").sortWithinPartitions("v", "salt", F.col("u").asc_nulls_first())
     return ws.table(rows.mapInArrow(_confirm(num, den), PAIRS), "confirmed")
@@ -218,41 +273,44 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: i
     # Documents with equal sets are one: the least id stands for them.
     same = ["n_shingles", "set_a", "set_b"]
     some = sketch.where("n_shingles > 0")
-    rep = some.groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    member = ws.table(some.select("doc_id", *same).join(rep, same).select("doc_id", "rep", "n_shingles"), "members")
+    # Written before the join, so that a set of very many copies can be split by the skew rule.
+    rep = ws.table(some.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n"), "copies")
+    member = ws.table(some.select("doc_id", *same).join(rep, same, "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep")), "members")
     reps = member.where("doc_id = rep").select("doc_id").distinct()
     light = ws.table(some.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "bands", "sig"), "reps")
     entries = light.select("doc_id", F.explode("bands").alias("band"))
     heads = entries.groupBy("band").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head")
+    heads = ws.table(heads, "heads")
     shared = ws.table(entries.join(heads, "band"), "bands")
     sigs = light.select("doc_id", "sig")
 
-    star = shared.where("doc_id <> head").select(F.col("doc_id").alias("u"), F.col("head").alias("v")).distinct()
-    a, b = sigs.select(F.col("doc_id").alias("u"), F.col("sig").alias("su")), sigs.select(F.col("doc_id").alias("v"), F.col("sig").alias("sv"))
+    # The sets of all candidates, made once; their texts are shuffled at any size of the table.
+    wanted = shared.select("doc_id").distinct().hint("merge")
+    sets = ws.table(plain.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(words), SETS), "sets")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     limit = percent / 100 - slack
     places = bands * rows
+
+    star = shared.where("doc_id <> head").select(F.col("doc_id").alias("u"), F.col("head").alias("v")).distinct()
+    a, b = sigs.select(F.col("doc_id").alias("u"), F.col("sig").alias("su")), sigs.select(F.col("doc_id").alias("v"), F.col("sig").alias("sv"))
     agree = F.aggregate(F.sequence(F.lit(0), F.lit(places - 1)), F.lit(0), lambda s, i: s + (F.substring("su", 2 * i + 1, F.lit(2)) == F.substring("sv", 2 * i + 1, F.lit(2))).cast("int"))
     close = star.join(a, "u").join(b, "v").where(agree >= int(limit * places)).select("u", "v")
-    links = _confirmed(ws, plain, close, words, percent, 100)
+    links = _confirmed(ws, sets, close, percent, 100)
     comp = connected_components(ws, links)
 
-    # Bands that still hold several components: their members of different components, in tiles.
+    # Bands that still hold several components: members of different components are compared in tiles,
+    # by signature first, then those that agree with any other by full sets.
     labelled = shared.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("comp"))
     labelled = ws.table(labelled, "labelled")
     mixed = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo < hi")
     mixed = mixed.select("band", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
     spread = labelled.join(mixed, "band").select("band", "doc_id", "comp", "tiles", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int").alias("t"))
     spread = spread.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    spread = spread.select(
-        F.concat_ws("/", "band", F.least("t", "o"), F.greatest("t", "o")).alias("tile"),
-        "doc_id",
-        "comp",
-        F.when(F.col("t") == F.col("o"), 0).when(F.col("t") < F.col("o"), 1).otherwise(2).alias("side"),
-    )
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tiles = spread.join(sigs, "doc_id").select("tile", "doc_id", "comp", "sig", "side").repartition(n, "tile").sortWithinPartitions("tile")
-    cross = tiles.mapInArrow(_cross(limit), PAIRS).distinct()
-    more = _confirmed(ws, plain, cross, words, percent, 100)
+    spread = spread.select(F.concat_ws("/", "band", F.least("t", "o"), F.greatest("t", "o")).alias("tile"), "doc_id", "comp")
+    tiles = spread.join(sigs, "doc_id").select("tile", "doc_id", "comp", "sig").repartition(n, "tile").sortWithinPartitions("tile")
+    near = ws.table(tiles.mapInArrow(_agreeing(limit), "tile string, doc_id long, comp long"), "agreeing")
+    full = near.join(sets, "doc_id").select("tile", "doc_id", "comp", "shingles").repartition(n, "tile").sortWithinPartitions("tile")
+    more = ws.table(full.mapInArrow(_linked(percent, 100), PAIRS), "crossing")
     if more.limit(1).count():
         comp = connected_components(ws, links.unionByName(more))
 
