@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 from linkloom.functions import text as X
 from linkloom.operators.keys import first_wins, joined_set, last_wins, repeats, top_k_or_threshold
 from linkloom.plans import bridge, contract, disease, lexical, reports, semantic
+from linkloom.session import shared_root
 from linkloom.settings import DEFAULT, BridgeRoute
+from linkloom.sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -566,6 +569,22 @@ def vw_variant_correspondence(t):
     return out.select("match_id", "variant", "allele", F.round("score", 6).alias("score"))
 
 
+@query("SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_nationkey::VARCHAR AS c_nationkey, c_mktsegment, 'gz' AS kind FROM customer")
+def src_snk_roundtrip_tsv(t):
+    """customer written as compressed TSV to the shared folder and read back."""
+    path = f"{shared_root(t.spark)}/linkloom/tsv-{uuid.uuid4().hex[:12]}"
+    writers.write_gzip_tsv(t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", F.lit("gz").alias("kind")), path)
+    return readers.tsv(t.spark, path).drop("_ord")
+
+
+@query("SELECT o_orderstatus, o_orderkey, o_custkey FROM orders")
+def src_snk_partitioned(t):
+    """orders written with a folder for each status and read back."""
+    path = f"{shared_root(t.spark)}/linkloom/classes-{uuid.uuid4().hex[:12]}"
+    writers.write_table(t.orders.select("o_orderstatus", "o_orderkey", "o_custkey"), path, ["o_orderstatus"])
+    return t.spark.read.schema("o_orderkey long, o_custkey long, o_orderstatus string").parquet(path)
+
+
 @query()
 def pl_embedding_udf(t):
     """Distinct document texts embedded by the stand-in embedder: text_id and vector length."""

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
 from linkloom.operators.keys import first_wins, last_wins
-from linkloom.settings import ALIASES, DEFAULT, Settings
+from linkloom.settings import ALIASES, DEFAULT, ORTHOLOG_SOURCE, SAYS_B, SAYS_C, Settings
 
 HUMAN = ["human_gene", "human_ncbi_gene_id", "rs_id", "chromosome", "position", "reference_allele", "alternate_allele", "variant_source", "source_record_id", "phenotype_id", "phenotype_label", "evidence_class", "evidence_detail", "p_value", "publication_id", "clinical_significance", "condition_identifiers", "reported_genes", "mapped_genes"]
 MOUSE = ["mouse_gene", "mouse_ncbi_gene_id", "mgi_marker_id", "mouse_allele", "mgi_allele_id", "allele_name", "allele_type", "allelic_composition", "genetic_background", "phenotype_id", "phenotype_label", "phenotype_definition", "phenotype_source", "evidence_detail", "pubmed_ids", "mgi_genotype_id"]
 
+#: Columns of a link, and what the mouse side's columns are called there.
+LINKS = ["category_id", "subcategory_id", "connection_basis", "human_gene", "human_ncbi_gene_id", "rs_id", "human_variant_source", "human_source_record_id", "human_chromosome", "human_position", "human_phenotype_id", "human_phenotype_label", "human_evidence_class", "human_evidence_detail", "human_p_value", "human_publication_id", "human_clinical_significance", "mouse_gene", "mouse_ncbi_gene_id", "mgi_marker_id", "mouse_allele", "mgi_allele_id", "allele_name", "allele_type", "allelic_composition", "genetic_background", "mouse_phenotype_id", "mouse_phenotype_label", "mouse_phenotype_definition", "mouse_phenotype_source", "mouse_evidence_detail", "mouse_pubmed_ids", "mgi_genotype_id", "ortholog_source", "within_category_support", "match_method", "matched_concept", "shared_informative_tokens", "token_jaccard", "interpretation"]
+RENAMED = {c: f"mouse_{c}" for c in ("phenotype_id", "phenotype_label", "phenotype_definition", "phenotype_source", "evidence_detail", "pubmed_ids")}
+
 
 def enrich_orthologs(orthologs: DataFrame, nomenclature: DataFrame) -> DataFrame:
     """Orthologs with the Ensembl id of their (last) nomenclature row, '' without one."""
@@ -108,8 +112,8 @@ def label_matches(left: DataFrame, right: DataFrame, settings: Settings = DEFAUL
     near = shared.where((F.col("shared") >= settings.min_shared_tokens) & (j >= settings.min_jaccard) & (F.col("l_norm") != F.col("r_norm"))).select("gene", "l_norm", "r_norm", F.lit("C").alias("support"), j.alias("jaccard"))
     equal = lt.join(rt, (lt.gene == rt.gene) & (lt.l_norm == rt.r_norm)).select(lt.gene, "l_norm", "r_norm", F.lit("B").alias("support"), F.lit(1.0).alias("jaccard"))
     graded = near.unionByName(equal).join(lt, ["gene", "l_norm"]).join(rt, ["gene", "r_norm"])
-    words = F.when(F.col("support") == "B", F.col("l_norm")).otherwise(F.array_join(F.array_intersect("l_tokens", "r_tokens"), " "))
-    graded = graded.select("gene", "l_norm", "r_norm", "support", F.when(F.col("support") == "B", "normalized_label").otherwise("informative_tokens").alias("method"), words.alias("shared_tokens"), X.fixed3("jaccard").alias("token_jaccard"))
+    words = F.when(F.col("support") == "B", F.col("l_norm")).otherwise(F.array_join(F.array_intersect("l_tokens", "r_tokens"), "|"))
+    graded = graded.select("gene", "l_norm", "r_norm", "support", F.when(F.col("support") == "B", "exact_normalized_label").otherwise("controlled_lexical_overlap").alias("method"), words.alias("shared_tokens"), X.fixed3("jaccard").alias("token_jaccard"))
     out = graded.join(ls.select("gene", "l_norm", "l_id"), ["gene", "l_norm"]).join(rs.select("gene", "r_norm", "r_id"), ["gene", "r_norm"])
     return out.select("gene", F.col("l_id").alias("left_id"), F.col("r_id").alias("right_id"), "support", "method", "shared_tokens", "token_jaccard")
 
@@ -118,8 +122,8 @@ def interpretation(support: Column) -> Column:
     """What a grade says; the retired grade A raises."""
     return (
         F.when(support == "A", F.raise_error(F.lit("support A is retired")))
-        .when(support == "B", "Candidate: ortholog pair and the same normalized label; review direction and context.")
-        .otherwise("Hypothesis: ortholog pair and controlled lexical overlap; manual review required.")
+        .when(support == "B", SAYS_B)
+        .otherwise(SAYS_C)
     )
 
 
@@ -130,15 +134,6 @@ def lexical_links(human: DataFrame, mouse: DataFrame, orthologs: DataFrame, sett
     h = used.withColumn("id", F.struct(*HUMAN)).select(F.col("human_gene").alias("gene"), "id", F.col("phenotype_label").alias("label"))
     m = mouse.join(pairs, "mouse_gene").withColumn("id", F.struct(*MOUSE)).select(F.col("human_gene").alias("gene"), "id", F.col("phenotype_label").alias("label"))
     found = label_matches(h, m, settings, aliases)
-    return found.select(
-        F.lit("category2").alias("category_id"),
-        F.lit("category2-1").alias("subcategory_id"),
-        F.lit("ortholog_constrained_phenotype_evidence").alias("connection_basis"),
-        *(F.col(f"left_id.{c}").alias(c if c.startswith("human") or c == "rs_id" else f"human_{c}") for c in HUMAN),
-        *(F.col(f"right_id.{c}").alias(f"mouse_{c}" if c.startswith("phenotype") or c in ("evidence_detail", "pubmed_ids") else c) for c in MOUSE),
-        F.col("support").alias("within_category_support"),
-        F.col("method").alias("match_method"),
-        "shared_tokens",
-        "token_jaccard",
-        interpretation(F.col("support")).alias("interpretation"),
-    )
+    out = found.select("left_id.*", *(F.col(f"right_id.{c}").alias(RENAMED.get(c, c)) for c in MOUSE), F.col("support").alias("within_category_support"), F.col("method").alias("match_method"), F.col("shared_tokens").alias("shared_informative_tokens"), "token_jaccard", interpretation(F.col("support")).alias("interpretation"))
+    given = {"category_id": "category2", "subcategory_id": "category2-1", "connection_basis": "ortholog_constrained_phenotype_evidence", "ortholog_source": ORTHOLOG_SOURCE, "matched_concept": ""}
+    return out.select(*(F.lit(given[c]).alias(c) if c in given else F.col(c.removeprefix("human_") if c not in out.columns else c).alias(c) for c in LINKS))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
 from linkloom.operators.keys import top_k_or_threshold
-from linkloom.settings import DEFAULT, Settings
+from linkloom.settings import DEFAULT, ORTHOLOG_SOURCE, Settings
 
 
 def collapse_orthologs(orthologs: DataFrame) -> DataFrame:
@@ -96,6 +96,19 @@ def flagged_matches(found: DataFrame, texts: DataFrame, settings: Settings = DEF
     })
 
 
+#: Columns of a published match, and of the narrower stored table.
+PAIRS = ["match_id", "human_gene", "mouse_gene", "human_text_id", "mouse_text_id", "human_phenotype_label", "mouse_phenotype_label", "cosine_similarity", "cosine_class", "retrieval_rank", "mouse_texts_in_gene", "human_direction", "mouse_direction", "direction_conflict", "negation_flag", "review_status", "human_text_truncated", "mouse_text_truncated", "model_id", "model_revision", "ortholog_source", "eligible_for_default_use"]
+STORED = [c for c in PAIRS if c not in ("human_phenotype_label", "mouse_phenotype_label", "model_id", "model_revision", "ortholog_source")]
+
+
+def published_matches(flagged: DataFrame, orthologs: DataFrame, model_id: str, revision: str) -> DataFrame:
+    """Flagged matches (gene is the human gene) with both gene names, labels and the model that scored them."""
+    out = flagged.join(orthologs.select(F.col("human_gene").alias("gene"), "mouse_gene").distinct(), "gene")
+    side = {"human_gene": "gene", "human_text_id": "left_id", "mouse_text_id": "right_id", "human_phenotype_label": "left_label", "mouse_phenotype_label": "right_label", "cosine_similarity": "score", "mouse_texts_in_gene": "group_size", "human_direction": "left_direction", "mouse_direction": "right_direction", "human_text_truncated": "left_truncated", "mouse_text_truncated": "right_truncated"}
+    given = {"match_id": X.content_id("SM:", "gene", "mouse_gene", "left_id", "right_id", F.lit(revision)), "model_id": F.lit(model_id), "model_revision": F.lit(revision), "ortholog_source": F.lit(ORTHOLOG_SOURCE)}
+    return out.select(*(given[c].alias(c) if c in given else F.col(side.get(c, c)).alias(c) for c in PAIRS))
+
+
 def phenotype_pairs(found: DataFrame, texts: DataFrame) -> DataFrame:
     """Matches with both labels."""
     t = texts.select("text_id", "label")

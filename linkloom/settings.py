@@ -79,8 +79,13 @@ class Settings:
 
 
 DEFAULT = Settings()
-STRICT_ROUTE = BridgeRoute("category1-1", "ontology_bridge_with_confidence", SKOS_PREDICATES, 0.8)
-UNSCORED_ROUTE = BridgeRoute("category1-2", "ontology_bridge_without_confidence", ("semapv:crossSpeciesExactMatch",), 0.0, ("monarch_upheno",))
+# Labels of the routes and what their rows say.
+STRICT_ROUTE = BridgeRoute("category1-1", "mhmi_high_confidence_hpo_mp_phenotype", SKOS_PREDICATES, 0.8)
+UNSCORED_ROUTE = BridgeRoute("category1-2", "monarch_upheno_cross_species_hpo_mp_phenotype", ("semapv:crossSpeciesExactMatch",), 0.0, ("monarch_upheno",))
+ORTHOLOG_SOURCE = "MGI_HOM_ProteinCoding"
+SAYS_B = "Candidate correspondence: 1:1 ortholog plus the same normalized phenotype label; review allele direction and experimental context."
+SAYS_C = "Hypothesis-level correspondence: 1:1 ortholog plus controlled lexical phenotype overlap; manual review required."
+SAYS_DISEASE = "Candidate correspondence supported by an exact ClinVar-MGI OMIM identifier and an MGI-curated mouse disease model; not variant equivalence."
 
 
 @dataclass(frozen=True)
