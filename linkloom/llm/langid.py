@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from .hashing import constants, mix
 
 ORDER = 4
-#: Characters of each language that the counts are made of, and texts that calibrate: the bounds of the sample.
-SAMPLE_CHARS, SAMPLE_ROWS, CALIBRATION_ROWS = 1_000_000, 2_000, 400
+#: Characters and texts of each language that are gathered, two thirds for the counts and the rest to calibrate: the bounds of the sample.
+SAMPLE_CHARS, SAMPLE_ROWS = 1_500_000, 2_400
 #: Most languages: the most frequent ones are learned.
 MOST_LANGUAGES = 64
 UNDETERMINED = "und"
@@ -229,18 +229,18 @@ def fit(labelled: DataFrame) -> Model:
     top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
     if not top:
         return Model([], [], [], [], [], 0.0)
-    want = SAMPLE_ROWS + CALIBRATION_ROWS
+    want = SAMPLE_ROWS
     share = F.create_map(*(F.lit(x) for r in top for x in (r["lang"], min(1.0, 3 * want / r["count"]))))
     some = rows.withColumn("h", F.xxhash64("text")).where(F.pmod(F.col("h"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
     heads = some.groupBy("lang", "h").agg(F.min("text").alias("text"), F.length(F.min("text")).alias("size"))
     # At most about 3 * want rows a language reach the window.
     order = Window.partitionBy("lang").orderBy("h")
     heads = heads.withColumn("k", F.row_number().over(order)).where(F.col("k") <= want).withColumn("sum", F.sum("size").over(order))
-    heads = heads.where((F.col("sum") - F.col("size") <= SAMPLE_CHARS * 1.25) | (F.col("k") == 1))
+    heads = heads.where((F.col("sum") - F.col("size") <= SAMPLE_CHARS) | (F.col("k") == 1))
     samples: dict[str, list[str]] = {}
     held: dict[str, list[str]] = {}
-    for lang, text, k in heads.select("lang", "text", "k").toLocalIterator():
-        (held if k % 5 == 0 else samples).setdefault(lang, []).append(fold(text))
+    for lang, text, k in heads.select("lang", "text", "k").collect():
+        (held if k % 3 == 0 else samples).setdefault(lang, []).append(fold(text))
     return calibrate(train(samples), held)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import json
+import shutil
+import urllib.parse
 import uuid
 from collections.abc import Iterator
 
@@ -11,20 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no checkpoint folder (tests on one machine).
-LOCAL_FALLBACK = "file:///tmp/linkloom-shared"
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one is set where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = held.get() if held.isDefined() else None
-    if not root:
-        spark.sparkContext.setCheckpointDir(LOCAL_FALLBACK)
-        root = LOCAL_FALLBACK
-    return root.rstrip("/")
+from linkloom.session import shared_root
 
 
 class Workspace:
@@ -62,11 +51,11 @@ class Workspace:
         place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
     def _end(self) -> None:
-        try:
-            if self.spark.sparkContext._jsc is not None:
-                self._delete(self.root)
-        except Exception:  # the session is gone; the folder's own clean-up applies
-            return
+        """At the driver's end; a session that has been stopped leaves only local folders to delete."""
+        if self.root.startswith("file:"):
+            shutil.rmtree(urllib.parse.urlparse(self.root).path, ignore_errors=True)
+        elif self.spark.sparkContext._jsc is not None:
+            self._delete(self.root)
 
 
 def filesystem(uri: str):
