@@ -131,6 +131,8 @@ def write_archives(pages: DataFrame, root: str, least: int = 0, roll: int = ROLL
     digests = rows.select("page_id", F.sha1(F.encode("html", "UTF-8")).alias("sha"), F.octet_length("html").alias("size"))
     large = digests.where(F.col("size") >= least)
     heads = large.groupBy("sha").agg(F.max("page_id").alias("ref"), F.count("*").alias("n")).where("n > 1").select("sha", "ref")
+    # Written before the join, so that a payload of very many pages can be split by the skew rule.
+    heads = Workspace(spark, "payloads").table(heads, "heads")
     refs = large.select("page_id", "sha").join(heads, "sha").where("page_id <> ref").distinct()
     refs = refs.select("page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "sha", "ref")
     rows = rows.select("page_id", F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("string").alias("sha"), F.lit(None).cast("long").alias("ref"))
