@@ -235,3 +235,16 @@ def zip_labels(labels, ids) -> Column:
 def dot(a, b) -> Column:
     """Dot product in double precision, in order of the components."""
     return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
+
+
+def grouped_number(n) -> Column:
+    """1234567 as 1,234,567."""
+    return F.format_number(_c(n), 0)
+
+
+def escaped(x) -> Column:
+    """Text safe inside HTML and XML."""
+    out = text_or_empty(x)
+    for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
+        out = F.replace(out, F.lit(raw), F.lit(safe))
+    return out

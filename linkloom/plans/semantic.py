@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
 from linkloom.operators.keys import top_k_or_threshold
-from linkloom.settings import DEFAULT, ORTHOLOG_SOURCE, Settings
+from linkloom.settings import DEFAULT, ORTHOLOG_SOURCE, PHRASE_AUDITS, Settings
 
 
 def collapse_orthologs(orthologs: DataFrame) -> DataFrame:
@@ -138,3 +138,19 @@ def rescored(found: DataFrame, vectors: DataFrame, rows: int = 1000) -> DataFram
     v = vectors.select("text_id", "embedding")
     some = some.join(v.toDF("left_id", "_l"), "left_id").join(v.toDF("right_id", "_r"), "right_id")
     return some.select("match_id", "score", F.abs(F.col("score") - X.dot("_l", "_r")).alias("difference"))
+
+
+def signature(texts: DataFrame, model: str, max_length: int) -> str:
+    """A hash of the distinct texts and the model: vectors under the same one can be used again. One line comes to the driver."""
+    rows = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("text_id", "label").cast("decimal(38,0)")), F.lit(0)).alias("s"))
+    return rows.select(F.sha2(F.concat_ws("|", F.col("n").cast("string"), F.col("s").cast("string"), F.lit(model), F.lit(str(max_length))), 256)).first()[0]
+
+
+def phrase_audits(spark, embedder=None, settings: Settings = DEFAULT) -> DataFrame:
+    """Fixed phrase pairs scored by the embedder, with band and flags: what a reader should know of the model."""
+    p = spark.createDataFrame(PHRASE_AUDITS, "audit_id string, phrase_1 string, phrase_2 string, relation string")
+    f = embedder or hashed_embedding()
+    p = p.withColumn("_1", f("phrase_1")).withColumn("_2", f("phrase_2")).withColumn("cosine_similarity", X.dot("_1", "_2")).drop("_1", "_2")
+    p = p.withColumn("cosine_class", X.cosine_band("cosine_similarity", settings.band_a, settings.band_b, settings.band_c))
+    one, two = X.direction("phrase_1"), X.direction("phrase_2")
+    return p.withColumn("review_status", X.review_status(X.directions_conflict(one, two), X.has_negation("phrase_1", "phrase_2"), F.lit(False)))

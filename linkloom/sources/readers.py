@@ -203,3 +203,26 @@ def can_reuse(source: dict, previous: dict | None, remote: dict | None, force: b
         if remote.get(key):
             return remote[key] == previous.get(key)
     return bool(remote.get("last_modified")) and all(remote.get(k) == previous.get(k) for k in ("last_modified", "content_length"))
+
+
+def _npy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import numpy as np
+
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            matrix = np.load(io.BytesIO(content), allow_pickle=False)
+            for lo in range(0, len(matrix), 4096):
+                part = matrix[lo : lo + 4096]
+                yield pd.DataFrame({"path": path, "row": range(lo, lo + len(part)), "embedding": [v.astype("float32").tolist() for v in part]})
+
+
+def npy_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of .npy matrices: path, row, embedding; one task for each file."""
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(_npy, "path string, row long, embedding array<float>")
+
+
+def manifest_changes(current: DataFrame, previous: DataFrame) -> DataFrame:
+    """Entries of a manifest (id, sha256) as new, same or changed against an earlier one."""
+    old = previous.select("id", F.col("sha256").alias("_old"))
+    change = F.when(F.col("_old").isNull(), "new").when(F.col("_old") == F.col("sha256"), "same").otherwise("changed")
+    return current.join(old, "id", "left").withColumn("change", change).drop("_old")
