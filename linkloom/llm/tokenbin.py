@@ -26,34 +26,67 @@ DONE = "first long, docs long, ids long, name string"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+def byte_letters() -> list[str]:
+    """The character that stands for each byte: printable Latin-1 ones for themselves, the others from 256 on in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in plain else next(rest)) for b in range(256)]
+
+
 class UnitEncoder(dict):
     """Unit of text -> its ids as bytes. A unit is what stands between two spaces.
 
     The tokenizer's normaliser turns white space into single spaces, and its split
-    never joins across them, so a text's ids are those of its units in order. The
-    table is emptied when it is full; ids never depend on it.
+    never joins across them, so a text's ids are those of its units in order. Of a
+    unit that ends in letters and sentence marks both parts are looked up, in lower
+    case; a word of Latin letters is one piece for the tokenizer's merges, everything
+    else goes through the whole tokenizer. The table is emptied when it is full; ids
+    never depend on it.
     """
 
-    MOST = 400_000
+    MOST = 600_000
+    TAIL = ",.;:!?"
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
+        self.merge, self.letters = self.tokenizer.model.tokenize, byte_letters()
 
     def __missing__(self, unit: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, self.dtype).tobytes()
-        if len(self) >= self.MOST:
-            self.clear()
+        core = unit.rstrip(self.TAIL)
+        low = unit if "<|" in unit or "Σ" in unit else unit.lower()
+        if core and len(core) < len(unit) and core[-1].isalpha():
+            ids = self[core] + self[unit[len(core) :]]
+        elif low != unit:
+            ids = self[low]
+        elif unit.isalpha() and max(unit) < "ɐ" and len(unit) <= 64:
+            # Latin letters are composed already, and lower case has kept them letters.
+            word = unit if unit.isascii() else "".join([self.letters[b] for b in unit.encode()])
+            ids = np.array([t.id for t in self.merge(word)], self.dtype).tobytes()
+        else:
+            ids = np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, self.dtype).tobytes()
         if len(unit) <= 64:
             self[unit] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
+        if len(self) >= self.MOST:
+            self.clear()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+#: Encoders that this worker process keeps from task to task, by file and type.
+_ENCODERS: dict[tuple[str, str], UnitEncoder] = {}
+
+
+def encoder_of(path: str, dtype: str) -> UnitEncoder:
+    if (path, dtype) not in _ENCODERS:
+        _ENCODERS[path, dtype] = UnitEncoder(path, dtype)
+    return _ENCODERS[path, dtype]
+
+
 def id_type(path: str, extra: int) -> str:
     """The smallest unsigned type that holds every id."""
     from tokenizers import Tokenizer
@@ -64,7 +97,7 @@ def id_type(path: str, extra: int) -> str:
 
 def _write(root: str, tokenizer: str, end_id: int, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = UnitEncoder(tokenizer, dtype), np.array([end_id], dtype).tobytes()
+        encoder, end = encoder_of(tokenizer, dtype), np.array([end_id], dtype).tobytes()
         width, store = np.dtype(dtype).itemsize, None
         ids, offsets, total, sink = [], [], 0, None
         for batch in batches:
