@@ -57,7 +57,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held = langid.held_out(parts=3, part=1)
     labels = _table(spark, sf_dir, "labels").where(~held).select("doc_id", "toxic")
-    lexicon = toxicity.learn(docs.select("doc_id", "text").join(labels, "doc_id").select("toxic", "text"))
+    lexicon = toxicity.learn(toxicity.training_rows(docs, labels))
     out = toxicity.score(docs, lexicon, 0.7)
     return out.select("doc_id", held.alias("held_out"), "score", "predicted", "n_words", F.size("matches").alias("n_matches"))
 

@@ -18,12 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batch_rows
+from .shared import Workspace, batch_rows
 
 #: Look-alikes of Latin letters in Greek and Cyrillic, and digits and signs that stand for letters.
 LOOKALIKES = str.maketrans("аеорсухіјѕԁһӏ" + "αεοριυνκτ" + "0134578@$!", "aeopcyxijsdhl" + "aeopiuvkt" + "oieastbasi")
 #: Phrases in which a word of the lexicon says nothing about a person.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "moron test", "pathetic fallacy", "scum layer", "pond scum", "loser bracket")
+#: Labelled rows that a model is learned from: the bound of the sample.
+LABEL_ROWS = 32_768
 #: Words and phrases that a model may hold, and rows that calibrate the score: bounds of what is gathered.
 MOST_WORDS, CALIBRATION_ROWS = 2_000, 4_000
 #: A word enters the lexicon with so many toxic neighbourhoods and this share of toxic ones.
@@ -130,6 +132,20 @@ def _contexts(words: set[str]):
     return run
 
 
+def training_rows(docs: DataFrame, labels: DataFrame, most: int = LABEL_ROWS) -> DataFrame:
+    """(toxic, text) of at most ``most`` labelled documents, chosen by a hash; all of them where there are fewer.
+
+    The chosen labels are bounded and go to every task, so that no text is shuffled;
+    the texts are written once, for the passes over them. ``docs`` has doc_id and
+    text, ``labels`` doc_id and toxic.
+    """
+    known = labels.where("doc_id is not null and toxic is not null").select("doc_id", "toxic")
+    rate = min(1.0, 1.25 * most / max(1, known.count()))
+    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < rate * (1 << 20)).orderBy(F.xxhash64("doc_id"), "toxic").limit(most)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+    return Workspace(docs.sparkSession, "toxicity").table(rows, "training")
+
+
 def learn(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """A lexicon from ``labelled`` (toxic 0 or 1, text); null labels and texts teach nothing.
 

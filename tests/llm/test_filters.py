@@ -128,6 +128,13 @@ def test_toxicity(spark, lexicon, text, hit):
     assert (r["predicted"], r["score"] >= 0.7, bool(r["matches"])) == (int(hit), hit, hit) and 0 <= r["score"] <= 1
 
 
+def test_training_rows(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    docs = documents(spark, [f"t{i}" for i in range(60)])
+    assert sorted(tuple(r) for r in toxicity.training_rows(docs, labels).collect()) == sorted((i % 2, f"t{i}") for i in range(50))
+    assert toxicity.training_rows(docs, labels, 10).count() == 10 and toxicity.training_rows(docs, labels.limit(0)).count() == 0
+
+
 def test_exception_phrases():
     lex = toxicity.Lexicon({"trash": 3.0})
     assert lex.matches("a trash can") == [] and len(lex.matches("trash, a trash can")) == 1
