@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,6 +30,8 @@ LABEL_ROWS = 32_768
 MOST_WORDS, CALIBRATION_ROWS = 2_000, 4_000
 #: A word enters the lexicon with so many toxic neighbourhoods and this share of toxic ones.
 LEAST_CONTEXTS, LEAST_SHARE = 8, 0.7
+#: Neighbourhoods that a task holds at a time, and words that go to the tasks at a time.
+FLUSH, PART_WORDS = 300_000, 100_000
 
 _WORD = re.compile(r"[^\W_]+(?:[@$!][^\W_]+)*")
 OUT = "doc_id long, score double, predicted int, weight double, n_words long, matches array<string>"
@@ -99,35 +101,67 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, x))))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, text) -> words with how many toxic and clean texts of the batch have them."""
-    toxic, clean = Counter(), Counter()
-    for label, text in batch_rows(batches):
-        (toxic if label else clean).update(set(terms(text)))
-        if len(toxic) + len(clean) > 500_000:
-            yield _counts(toxic, clean)
-            toxic, clean = Counter(), Counter()
-    yield _counts(toxic, clean)
+def _kept(word: str) -> bool:
+    return 2 < len(word) <= 40
+
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text) -> words with how many of the texts have them."""
+    counts = Counter()
+    for (text,) in batch_rows(batches):
+        counts.update(set(filter(_kept, terms(text))))
+        if len(counts) > 500_000:
+            yield _table(zip(*counts.items()), "word", "n")
+            counts = Counter()
+    yield _table(zip(*counts.items()), "word", "n")
+
+
+def _table(columns, *names: str) -> pa.RecordBatch:
+    """Columns of strings, but for n, which is a number."""
+    cols = list(columns) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if x == "n" else pa.string()) for c, x in zip(cols, names)], names=list(names))
+
+
+def _around(text: str) -> Iterator[tuple[str, str, str]]:
+    """(word, word before, word after); no neighbour is the empty string."""
+    seq = ["", *terms(text), ""]
+    return zip(seq[1:-1], seq, seq[2:])
+
+
+def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text) -> (word, side, neighbour): different ones of a part of the rows."""
+    rows = set()
+    for (text,) in batch_rows(batches):
+        for word, before, after in _around(text):
+            if _kept(word):
+                rows.add((word, "before", before))
+                rows.add((word, "after", after))
+        if len(rows) > FLUSH:
+            yield _table(zip(*rows), "word", "side", "near")
+            rows = set()
+    yield _table(zip(*rows), "word", "side", "near")
 
-def _counts(toxic: Counter, clean: Counter) -> pa.RecordBatch:
-    names = [w for w in toxic.keys() | clean.keys() if 2 < len(w) <= 40]
-    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([toxic[w] for w in names], pa.int64()), pa.array([clean[w] for w in names], pa.int64())], names=["word", "a", "b"])
 
+def _pairs(most: dict[str, int]):
+    """(text) -> (word, before, after): different ones of a part of the rows, for the words of ``most``.
 
-def _contexts(words: set[str]):
-    """(toxic, text) -> (word, neighbour before, neighbour after, toxic) of candidate words."""
+    A word that has more than ``most`` of them needs no more: whatever else it has, it stays over.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = set()
-            for label, text in zip(*(c.to_pylist() for c in batch.columns)):
-                seq = terms(text)
-                for i, w in enumerate(seq):
-                    if w in words:
-                        rows.add((w, seq[i - 1] if i else "", seq[i + 1] if i + 1 < len(seq) else "", bool(label)))
-            cols = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in cols[:3]), pa.array(cols[3], pa.bool_())], names=["word", "before", "after", "toxic"])
+        rows, left = defaultdict(set), dict(most)
+        size = 0
+        for (text,) in batch_rows(batches):
+            for word, before, after in _around(text):
+                if word in left and (before, after) not in (own := rows[word]):
+                    own.add((before, after))
+                    size += 1
+                    if len(own) > left[word]:
+                        del left[word]
+            if size > FLUSH:
+                yield _table(zip(*((w, *x) for w, own in rows.items() for x in own)), "word", "before", "after")
+                rows, size = defaultdict(set), 0
+        yield _table(zip(*((w, *x) for w, own in rows.items() for x in own)), "word", "before", "after")
 
     return run
 
@@ -149,23 +183,34 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = LABEL_ROWS) ->
 def learn(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """A lexicon from ``labelled`` (toxic 0 or 1, text); null labels and texts teach nothing.
 
-    All rows are counted; exact copies count once (toxic if any copy is). Without
-    toxic rows the lexicon is empty and every score low.
+    Exact copies are one text (toxic if any copy is). A word enters with LEAST_CONTEXTS
+    different toxic texts, neighbours before and neighbours after, of which the fewer
+    neighbours are LEAST_SHARE of them and its clean neighbourhoods; of more than
+    MOST_WORDS such words those with the most toxic neighbours stay. Without toxic
+    rows the lexicon is empty and every score low.
     """
-    rows = labelled.where("toxic is not null and text is not null").select(F.col("toxic").cast("int").alias("toxic"), F.col("text").cast("string").alias("text"))
-    counts = rows.mapInArrow(_count, "word string, a long, b long").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    share = F.col("a") / (F.col("a") + F.col("b"))
-    likely = counts.where((F.col("a") >= LEAST_CONTEXTS) & (share >= LEAST_SHARE)).orderBy(F.desc("a"), "word").limit(MOST_WORDS).collect()
-    candidates = {r["word"] for r in likely}
-    if not candidates:
+    given = labelled.where("toxic is not null and text is not null").select(F.col("toxic").cast("int").alias("toxic"), F.col("text").cast("string").alias("text"))
+    ws = Workspace(labelled.sparkSession, "lexicon")
+    rows = ws.table(given.groupBy(F.sha2("text", 256).alias("h")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")).select("toxic", "text"), "distinct")
+    toxic, clean = rows.where("toxic <> 0").select("text"), rows.where("toxic = 0").select("text")
+    texts = toxic.mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("texts")).where(F.col("texts") >= LEAST_CONTEXTS)
+    sides = toxic.mapInArrow(_sides, "word string, side string, near string").distinct()
+    sides = sides.groupBy("word").agg(F.count_if(F.col("side") == "before").alias("a0"), F.count_if(F.col("side") == "after").alias("a1"))
+    likely = sides.select("word", F.least("a0", "a1").alias("a")).where(F.col("a") >= LEAST_CONTEXTS).join(texts.select("word"), "word")
+    likely = ws.table(likely, "likely")
+    # Words go to the tasks in parts of about PART_WORDS; all of them go.
+    parts = -(-likely.count() // PART_WORDS)
+    found = []
+    for part in range(parts):
+        a = {r["word"]: r["a"] for r in likely.where(F.pmod(F.xxhash64("word"), F.lit(parts)) == part).collect()}
+        most = {w: math.floor(n * (1 - LEAST_SHARE) / LEAST_SHARE + 1e-9) for w, n in a.items()}
+        near = clean.mapInArrow(_pairs(most), "word string, before string, after string").distinct().groupBy("word").agg(F.count("*").alias("b"))
+        b = {r["word"]: r["b"] for r in near.collect()}
+        found += [(-n, w, b.get(w, 0)) for w, n in a.items() if b.get(w, 0) <= most[w]]
+        found = sorted(found)[:MOST_WORDS]
+    weights = {w: math.log((0.5 - n) / (b + 0.5)) for n, w, b in found}
+    if not weights:
         return Lexicon({}, exceptions)
-    near = rows.mapInArrow(_contexts(candidates), "word string, before string, after string, toxic boolean").distinct()
-    found = near.groupBy("word").agg(F.countDistinct(F.when(F.col("toxic"), F.col("before"))).alias("a0"), F.countDistinct(F.when(F.col("toxic"), F.col("after"))).alias("a1"), F.countDistinct(F.when(~F.col("toxic"), F.struct("before", "after"))).alias("b")).collect()
-    weights = {}
-    for r in found:
-        a = min(r["a0"], r["a1"])
-        if a >= LEAST_CONTEXTS and a / (a + r["b"]) >= LEAST_SHARE:
-            weights[r["word"]] = math.log((a + 0.5) / (r["b"] + 0.5))
     lexicon = Lexicon(weights, exceptions)
     # Both classes by the text's hash, so that the sample does not depend on the order of rows.
     held = rows.select("toxic", "text", F.xxhash64("text").alias("h")).where(F.pmod("h", F.lit(1 << 16)) < _rate(rows) * (1 << 16)).limit(CALIBRATION_ROWS * 2)

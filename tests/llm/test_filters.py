@@ -122,6 +122,27 @@ def test_lexicon(lexicon):
     assert set(lexicon.weights) == {"idiot", "scumbag"}
 
 
+def name(rng):
+    return "".join(rng.choice("bcdfghjklm") for _ in range(7))
+
+
+def test_lexicon_beside_large_groups_of_copies(spark, monkeypatch):
+    """Copies of a long toxic text take no place from toxic words, and copies of a clean one do not clear them."""
+    monkeypatch.setattr(toxicity, "MOST_WORDS", 5)
+    rng = random.Random(14)
+    rows = [(1, f"{name(rng)} scumbag {name(rng)}") for _ in range(20)] + [(0, f"{name(rng)} {name(rng)}") for _ in range(20)]
+    rows += [(1, " ".join(name(rng) for _ in range(30)))] * 60 + [(0, "he said scumbag once")] * 60
+    assert set(toxicity.learn(spark.createDataFrame(rows, "toxic int, text string")).weights) == {"scumbag"}
+
+
+def test_lexicon_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PART_WORDS", 1)
+    monkeypatch.setattr(toxicity, "FLUSH", 3)
+    rng = random.Random(15)
+    rows = [(1, f"{name(rng)} {w} {name(rng)}") for w in ("idiot", "scumbag", "moron") for _ in range(9)] + [(0, f"{name(rng)} moron {name(rng)}") for _ in range(9)]
+    assert set(toxicity.learn(spark.createDataFrame(rows, "toxic int, text string")).weights) == {"idiot", "scumbag"}
+
+
 @pytest.mark.parametrize("text, hit", [("you idiot.", True), ("You 1D10T!", True), ("іdіоt", True), ("###IDIOT###", True), ("idiotic videos", False), ("", False), (None, False), ("trash can idiot", True)])
 def test_toxicity(spark, lexicon, text, hit):
     r = toxicity.score(documents(spark, [text]), lexicon).first()
