@@ -10,7 +10,7 @@ did not see.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +22,10 @@ from .hashing import constants, mix
 ORDER = 4
 #: Characters and texts of each language that are gathered, two thirds for the counts and the rest to calibrate: the bounds of the sample.
 SAMPLE_CHARS, SAMPLE_ROWS = 1_500_000, 2_400
-#: Most languages: the most frequent ones are learned.
-MOST_LANGUAGES = 64
+#: Characters of all languages together: with more than 64 languages each has an equal share of them, and its first text at least.
+TOTAL_CHARS = 64 * SAMPLE_CHARS
+#: Languages that share one set of arrays, which grow with its n-grams times its languages.
+BLOCK = 16
 UNDETERMINED = "und"
 _MULT = constants(41, ORDER + 1)
 
@@ -61,7 +63,8 @@ def padded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Model:
     """hashes[k - 1], logs[k - 1]: sorted n-grams of order k and a column of log probabilities for each language;
-    contexts[k - 1], weights[k - 1]: contexts of k characters and their log back-off weights."""
+    contexts[k - 1], weights[k - 1]: contexts of k characters and their log back-off weights.
+    The arrays have the first BLOCK languages; ``more`` has models of the others, block by block."""
 
     languages: list[str]
     hashes: list[np.ndarray]
@@ -71,11 +74,12 @@ class Model:
     floor: float
     scale: float = 1.0
     limits: np.ndarray | None = None
+    more: list[Model] = field(default_factory=list)
 
     def char_logs(self, chars: np.ndarray) -> np.ndarray:
         """A line of log probabilities for each place from ORDER - 1 on."""
         n = len(chars) - ORDER + 1
-        out = np.zeros((n, len(self.languages)), np.float32)
+        out = np.zeros((n, self.logs[0].shape[1]), np.float32)
         todo = np.arange(n)
         for k in range(ORDER, 0, -1):
             grams = gram_hashes(chars, k)[todo]
@@ -99,7 +103,8 @@ class Model:
         logs = np.concatenate([logs, np.zeros((1, logs.shape[1]), np.float32)])
         edges = np.ravel(np.column_stack([starts[:-1], starts[1:] - ORDER + 1]))
         sums = np.add.reduceat(logs, edges, axis=0, dtype=np.float64)[::2]
-        return -sums / (np.diff(starts) - ORDER + 1)[:, None]
+        h = -sums / (np.diff(starts) - ORDER + 1)[:, None]
+        return np.hstack([h, *(m.entropies(texts) for m in self.more)])
 
     def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(language, score, entropy, rejected) of each non-empty text."""
@@ -138,8 +143,18 @@ def _counts(chars: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, ...
 def train(samples: dict[str, list[str]]) -> Model:
     """Interpolated Kneser-Ney: counts at the highest order, numbers of different predecessors below it."""
     languages = sorted(samples)
+    # Every block knows the characters of all, so that entropies compare across blocks.
+    alphabet = np.unique(np.concatenate([np.unique(gram_hashes(padded(samples[x])[0], 1)) for x in languages]))
+    first, *more = (_block(languages[i : i + BLOCK], samples, alphabet) for i in range(0, len(languages), BLOCK))
+    first.languages, first.more = languages, more
+    return first
+
+
+def _block(languages: list[str], samples: dict[str, list[str]], alphabet: np.ndarray) -> Model:
+    """The model of some of the languages; ``alphabet``: sorted hashes of the characters of all."""
     counted = {lang: _counts(*padded(samples[lang])) for lang in languages}
     every = [np.unique(np.concatenate([counted[x][k][0] for x in languages])) for k in range(ORDER)]
+    every[0] = alphabet
     heads = [np.unique(np.concatenate([counted[x][k + 1][1] for x in languages])) for k in range(ORDER - 1)]
     # Context and shorter n-gram of each n-gram; n-grams of one hash have the same ones.
     parts = []
@@ -197,7 +212,14 @@ def calibrate(model: Model, held: dict[str, list[str]], margin: float = 3.0) ->
     texts = [(lang, t) for lang in model.languages for t in held.get(lang, []) if t]
     if not texts:
         return model
-    h = model.entropies([t for _, t in texts])
+    # Some texts at a time, as their places times the languages of a block are held.
+    cuts, size = [0], 0
+    for i, (_, t) in enumerate(texts, 1):
+        size += len(t)
+        if size > 1 << 19 or i == len(texts):
+            cuts.append(i)
+            size = 0
+    h = np.vstack([model.entropies([t for _, t in texts[a:b]]) for a, b in zip(cuts, cuts[1:])])
     truth = np.array([model.languages.index(lang) for lang, _ in texts])
     size = np.sqrt([min(len(t), 400) for _, t in texts])
     gap = (h.min(axis=1)[:, None] - h) * size[:, None]
@@ -221,22 +243,23 @@ def calibrate(model: Model, held: dict[str, list[str]], margin: float = 3.0) ->
 def fit(labelled: DataFrame) -> Model:
     """A model of ``labelled`` (lang, text): the bounded sample of each language is chosen by the text's hash.
 
-    Exact copies count once. Rows of null language, and texts without a letter, teach
-    nothing. Without any usable row the model has no language.
+    Every language that has a usable row is learned. Exact copies count once. Rows of
+    null language, and texts without a letter, teach nothing. Without any usable row
+    the model has no language.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.where(F.col("text").rlike(r"\p{L}"))
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    top = rows.groupBy("lang").count().collect()
     if not top:
         return Model([], [], [], [], [], 0.0)
-    want = SAMPLE_ROWS
+    want, chars = SAMPLE_ROWS, min(SAMPLE_CHARS, TOTAL_CHARS // len(top))
     share = F.create_map(*(F.lit(x) for r in top for x in (r["lang"], min(1.0, 3 * want / r["count"]))))
     some = rows.withColumn("h", F.xxhash64("text")).where(F.pmod(F.col("h"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
     heads = some.groupBy("lang", "h").agg(F.min("text").alias("text"), F.length(F.min("text")).alias("size"))
     # At most about 3 * want rows a language reach the window.
     order = Window.partitionBy("lang").orderBy("h")
     heads = heads.withColumn("k", F.row_number().over(order)).where(F.col("k") <= want).withColumn("sum", F.sum("size").over(order))
-    heads = heads.where((F.col("sum") - F.col("size") <= SAMPLE_CHARS) | (F.col("k") == 1))
+    heads = heads.where((F.col("sum") - F.col("size") <= chars) | (F.col("k") == 1))
     samples: dict[str, list[str]] = {}
     held: dict[str, list[str]] = {}
     for lang, text, k in heads.select("lang", "text", "k").collect():

@@ -97,6 +97,28 @@ def test_languages(spark, model):
     assert all(0 <= r["score"] <= 1 for r in rows.values())
 
 
+def test_every_language_is_learned(spark):
+    """Seventy languages, the later ones rarer: each is learned, and told from the others across blocks."""
+    rng = random.Random(16)
+    own = {f"l{i:02d}": [chr(0x4E00 + 40 * i + j) for j in range(30)] for i in range(70)}
+    say = lambda lang: " ".join("".join(rng.choice(own[lang]) for _ in range(3)) for _ in range(12))
+    rows = [(lang, say(lang)) for i, lang in enumerate(own) for _ in range(5 if i < 64 else 3)]
+    many = langid.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert many.languages == sorted(own)
+    found = langid.identify(documents(spark, [say(lang) for lang in own]), many).orderBy("doc_id").collect()
+    assert [r["lang_pred"] for r in found] == list(own)
+
+
+def test_blocks_do_not_change_entropies(monkeypatch):
+    rng = random.Random(17)
+    samples = {lang: [prose(rng, lang, 40) for _ in range(9)] for lang in SYLLABLES} | {"el": ["αβγ δεζ ηθι"]}
+    texts = [prose(rng, lang, 30) for lang in SYLLABLES] + ["δεζ αβγ the ñ"]
+    whole = langid.train(samples).entropies(texts)
+    monkeypatch.setattr(langid, "BLOCK", 2)
+    parts = langid.train(samples)
+    assert len(parts.more) == 1 and np.allclose(parts.entropies(texts), whole, atol=1e-4)
+
+
 def test_language_of_nothing(spark, model):
     empty = langid.fit(spark.createDataFrame([], "lang string, text string"))
     assert [r["lang_pred"] for r in langid.identify(documents(spark, ["some text"]), empty).collect()] == ["und"]
