@@ -1,6 +1,7 @@
 """Secrets in texts: native candidate search, and a random forest that drops false findings.
 
-Candidates are long runs of key characters. Their features are length, the mix and
+Candidates are long runs of key characters that have a digit and a letter, or the form
+of an access key id, and every run of six or more that stands behind a guard word. Their features are length, the mix and
 transitions of characters, coverage by dictionary fragments, path-likeness and the
 words beside them. The forest is trained from labelled findings; everything runs in
 DataFrame expressions and Spark's own forest.
@@ -15,29 +16,58 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A candidate, and what a text must have to hold one.
-TOKEN = r"[A-Za-z0-9_+/=.~\-]{16,}"
-HINT = r"[A-Za-z0-9_+/=.~\-]*[0-9][A-Za-z0-9_+/=.~\-]*"
+#: Key characters; a long run of them, with '=' only as padding at its end.
+KEY = r"[A-Za-z0-9_+/.~\-]"
+END = r"(?![A-Za-z0-9_+/.~=\-])"
+PADDING = f"(?:={{1,2}}{END})?"
+TOKEN = f"(?:{KEY}{{16,}}{PADDING}|{KEY}{{15}}={{1,2}}{END}|{KEY}{{14}}=={END})"
+#: Long runs that are candidates without a digit: access key ids.
+KNOWN = "^A[KSB]IA[A-Z2-7]{16}$"
 #: Fragments of ordinary words and identifiers.
 FRAGMENTS = "tion|ment|able|ing|the|and|for|with|from|path|file|name|user|data|test|http|www|com|org|html|index|image|page|config|module|class|value|example|sample|dummy|changeme|placeholder|string|number|list|ver|ent|ion|heit|keit|ung|eau|que|ció|ado|mente"
 GUARDED = "token|secret|passw|pwd|api.?key|apikey|access.?key|private.?key|auth|bearer|credential|client.?key|signing"
 HARMLESS = "commit|revision|checksum|digest|md5|sha1|sha256|sha512|hash|uuid|guid|etag|version|build|href|src|url|image|integrity"
 BEFORE, AFTER = 48, 24
+#: A guard word with the rest of its name and what sets off the value; ahead of it (2) a run of any kind and (3) what follows.
+#: Only the first part is used up, so that a run may be the guard word of the next one.
+GUARDED_RUN = f"((?i:{GUARDED})[A-Za-z0-9_.\\-]{{0,12}}[\\s\"'=:>]{{1,6}})(?=({KEY}{{6,}}{PADDING})([\\s\\S]{{0,{AFTER}}}))"
 
 FEATURES = ["size", "runs", "digits", "uppers", "lowers", "signs", "kinds", "repeats", "hex_only", "words", "slashes", "dots", "guarded", "harmless", "assigned", "quoted"]
 
 
+def _is_long(token: Column) -> Column:
+    return (F.length(token) >= 16) & token.rlike("[A-Za-z]") & (token.rlike("[0-9]") | token.rlike(KNOWN))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, ordinal, token, before, after: the runs of key characters of each text and what stands beside them."""
+    """doc_id, ordinal, token, before, after: the runs of key characters of each text and what stands beside them.
+
+    Long runs are numbered as they stand in the text; those that are candidates only
+    by the guard word before them are numbered behind all of the text's long runs.
+    """
     text = F.col("text").cast("string")
-    some = docs.where(text.rlike(TOKEN)).select("doc_id", F.regexp_extract_all(text, F.lit(f"({TOKEN})"), 1).alias("tokens"), F.split(text, TOKEN).alias("gaps"))
+    some = docs.where(text.rlike(TOKEN) | text.rlike(GUARDED_RUN))
+    guard = F.arrays_zip(*(F.regexp_extract_all(text, F.lit(GUARDED_RUN), k).alias(name) for k, name in ((1, "before"), (2, "token"), (3, "after"))))
+    guard = F.when(text.rlike(GUARDED_RUN), guard).otherwise(F.array().cast("array<struct<before:string,token:string,after:string>>"))
+    some = some.select("doc_id", F.regexp_extract_all(text, F.lit(f"({TOKEN})"), 1).alias("tokens"), F.split(text, TOKEN).alias("gaps"), guard.alias("guard"))
+
+    def beside(t: Column, i: Column) -> Column:
+        """A long name of a key is a run itself; then the gap behind it has no guard word."""
+        gap = F.right(F.get("gaps", i), F.lit(BEFORE))
+        named = F.get(F.filter("guard", lambda g: g["token"] == t), F.lit(0))["before"]
+        return F.when(gap.rlike("^[\\s\"'=:>]{1,6}$"), F.coalesce(named, gap)).otherwise(gap)
+
     rows = F.transform(
         "tokens",
-        lambda t, i: F.struct(i.alias("ordinal"), t.alias("token"), F.right(F.get("gaps", i), F.lit(BEFORE)).alias("before"), F.left(F.get("gaps", i + 1), F.lit(AFTER)).alias("after")),
+        lambda t, i: F.struct(i.alias("ordinal"), t.alias("token"), beside(t, i).alias("before"), F.left(F.get("gaps", i + 1), F.lit(AFTER)).alias("after")),
+    )
+    # Filtered before rows are made of them.
+    rows = F.filter(rows, lambda r: _is_long(r["token"]))
+    others = F.transform(
+        F.filter("guard", lambda g: ~_is_long(g["token"])),
+        lambda g, i: F.struct((F.size("tokens") + i).alias("ordinal"), g["token"].alias("token"), g["before"].alias("before"), g["after"].alias("after")),
     )
-    # A run without a digit, or of digits and signs only, is no candidate; filtered before rows are made of them.
-    rows = F.filter(rows, lambda r: r["token"].rlike("[0-9]") & r["token"].rlike("[A-Za-z]"))
-    return some.select("doc_id", F.explode(rows).alias("r")).select("doc_id", "r.*")
+    return some.select("doc_id", F.explode(F.concat(rows, others)).alias("r")).select("doc_id", "r.*")
 
 
 def _share(token: Column, pattern: str) -> Column:
@@ -77,13 +107,22 @@ def labelled_findings(spark: SparkSession, each: int = 240) -> DataFrame:
     b64 = F.base64(F.unhex(h2))
     word = F.element_at(F.array(*(F.lit(w) for w in ("configuration", "international", "representation", "documentation", "environment", "relationship", "organisation", "development"))), (F.col("id") % 8 + 1).cast("int"))
     n = F.col("id").cast("string")
+    plain = F.regexp_replace(b64, "[^A-Za-z0-9]", "k")
+    letters, caps = F.translate(h2, "0123456789", "ghijklmnop"), F.upper(F.translate(h2, "0123456789", "qrstuvwxyz"))
+    pick = lambda k, *words: F.element_at(F.array(*(F.lit(w) for w in words)), (F.pmod(F.xxhash64(F.lit(k), "id"), F.lit(len(words))) + 1).cast("int"))
+    common = lambda k: pick(k, "correct", "horse", "battery", "staple", "river", "purple", "garden", "monkey", "dragon", "winter", "coffee", "rocket")
+    usual = pick(9, "required", "optional", "string", "number", "placeholder", "changeme", "example", "password", "default", "disabled", "function", "authentication", "manager", "between", "another", "written", "nothing", "because", "should", "management")
+    name = F.concat(pick(10, "request", "config", "os", "self", "settings", "params"), F.lit("."), pick(11, "headers", "environ", "password", "get_token", "auth_key", "value"))
     secret = [
         (h1, 'token = "', '" '), (h1, "api_key: ", "\n"), (F.substring(h2, 1, 32), "secret=", " "), (h2, "password: '", "'"), (b64, "client_secret = \"", '"'), (b64, "Authorization: Bearer ", "\n"),
         (F.concat(F.lit("AKIA"), F.upper(F.substring(h1, 1, 16))), "aws_access_key_id = ", "\n"), (F.concat(F.lit("ghp_"), F.substring(F.regexp_replace(b64, "[+/=]", "x"), 1, 36)), "auth ", " "), (F.upper(h1), 'TOKEN = "', '"!! '), (F.substring(F.regexp_replace(b64, "[+/=]", "q"), 1, 24), "passwd=", ";"), (h1, 'access_key = "', '"### '), (h1, "bearer: ", " | "),
+        (F.substring(plain, 1, 8), "password: '", "'"), (F.substring(plain, 1, 12), "passwd=", "\n"), (F.substring(plain, 3, 10), 'pwd = "', '"'), (F.substring(h1, 1, 12), "token=", "\n"), (F.substring(plain, 1, 14), "password: ", "\n"), (F.concat(common(1), F.substring(F.conv(F.substring(h1, 1, 6), 16, 10), 1, 3)), "password=", " "), (F.concat(common(2), F.substring(n, 1, 2), F.lit("x")), "password: '", "'"),
+        (F.concat_ws("-", common(3), common(4), common(5), common(6)), 'password = "', '"'), (F.concat(common(7), common(8), common(9)), "password=", "\n"), (F.concat_ws("-", common(3), common(5), common(7)), "secret: ", "\n"), (F.substring(letters, 1, 32), 'token = "', '"'), (F.substring(letters, 1, 24), "secret=", "\n"), (F.regexp_replace(F.substring(plain, 1, 20), "[0-9]", "Q"), "api_key: ", "\n"), (F.concat(F.lit("AKIA"), F.substring(caps, 1, 16)), "aws_access_key_id = ", "\n"), (F.concat(F.lit("AKIA"), F.substring(caps, 1, 16)), "id ", " "), (F.concat(F.lit("AKIA"), F.upper(F.substring(h1, 1, 16))), "id ", " "),
     ]
     harmless = [
         (h1, "commit ", "\n"), (h2, "sha256:", " "), (F.md5(n), "md5 checksum: ", "\n"), (F.concat_ws("-", F.substring(h1, 1, 8), F.substring(h1, 9, 4), F.substring(h1, 13, 4), F.substring(h1, 17, 4), F.substring(h1, 21, 12)), "uuid: ", " "), (F.concat(F.lit("usr/local/lib/"), word, F.lit("/module"), n, F.lit(".html")), "/", " "), (F.concat(word, F.lit("-"), word, n), "the ", " and "), (F.concat(F.lit("img/"), n, F.lit("/"), word, F.lit("_page.png")), 'src="', '"'),
         (F.concat(F.lit("xxxxxxxxxxxxxxxxxxxx"), n), 'token = "', '"'), (F.concat(F.lit("example-placeholder-"), n), "api_key: ", "\n"), (F.concat(word, n, word), "of ", "."), (F.concat(F.lit("www."), word, n, F.lit(".example.com")), "http://", "/ "), (F.concat(n, F.lit("-2024-01-01T00.00.00Z")), "version ", " "), (F.concat(word, F.lit("..."), word, n), "", " "), (h1, "etag: ", "\n"), (F.concat(F.lit("mail"), n, F.lit(".example.com.test")), "user@", " "), (F.concat(F.lit("_____________________v"), n), "\n", "\n"),
+        (word, "the author ", " and "), (usual, "the secret ", " is "), (usual, "token ", " "), (usual, "password: ", "\n"), (usual, "password=", " "), (usual, 'api_key = "', '"'), (word, "authentication: ", "\n"), (name, "token = ", "\n"), (name, "password=", ","), (F.lpad(n, 6, "1"), "max_tokens=", " "), (F.lit("Bearer"), "Authorization: ", " "), (F.concat(F.lit("your-"), pick(12, "token", "password", "secret", "key"), F.lit("-here")), "secret=", " "), (F.initcap(word), "Author: ", "\n"), (common(1), "secret ", " "), (F.concat(usual, F.lit(".")), "authority ", "\n"),
     ]
     out = None
     for label, shapes in ((1.0, secret), (0.0, harmless)):
@@ -104,7 +143,7 @@ def scan(docs: DataFrame, model: PipelineModel, threshold: float = 0.5) -> DataF
 
     Returns doc_id, ordinal (of the run in its text), token_sha256, size, probability,
     is_secret, and token. Null and empty texts, and texts without a long run of key
-    characters that has a letter and a digit, give no row; repeated rows give repeated
+    characters that has a letter and a digit, or a shorter or digit-free one behind a guard word, give no row; repeated rows give repeated
     findings; an empty table gives an empty result.
     """
     found = model.transform(features(candidates(docs.select("doc_id", "text"))))
@@ -117,6 +156,9 @@ def redact(docs: DataFrame, model: PipelineModel, threshold: float = 0.5, mask:
     found = scan(docs, model, threshold).where("is_secret").groupBy("doc_id").agg(F.array_sort(F.collect_set("token")).alias("_secrets"))
     # Longer ones first, so that one that is part of another does not break it.
     ordered = F.transform(F.array_sort(F.transform("_secrets", lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))), lambda s: s["t"])
-    masked = F.aggregate(ordered, F.col("text").cast("string"), lambda s, t: F.replace(s, t, F.lit(mask)))
+    # A short one may be part of ordinary words; it is replaced where it stands alone.
+    alone = lambda t: F.concat(F.lit(f"(?<!{KEY})\\Q"), t, F.lit(f"\\E(?!{KEY})"))
+    quoted = mask.replace("\\", "\\\\").replace("$", "\\$")
+    masked = F.aggregate(ordered, F.col("text").cast("string"), lambda s, t: F.when(_is_long(t), F.replace(s, t, F.lit(mask))).otherwise(F.regexp_replace(s, alone(t), F.lit(quoted))))
     joined = docs.join(found, "doc_id", "left").withColumn("text", F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(masked))
     return joined.select(*docs.columns)
