@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -40,3 +41,20 @@ def test_pipeline(spark, sf_dir):
     rows = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.run(spark, sf_dir).collect()}
     assert set(rows) == set(before)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "minhash_near_dedup", "decontamination", "secret_scan", "sentencepiece"]
+
+
+def test_pipeline_without_doc_ids(spark, sf_dir):
+    """Documents whose doc_id is null are kept, dropped and masked as they would be with one."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) < 5000")
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("size(split(text, ' ')) >= 12").first()["text"]
+    prose = max((r["text"] for r in docs.collect()), key=len)
+    key = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+    texts = [prose, prose, f"{prose} {item}", "!!", f'token = "{key}" {prose}']
+    bare = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    both = docs.where(docs["text"] != prose).withColumn("lang", F.coalesce("lang", F.lit("en"))).unionByName(bare, allowMissingColumns=True)
+    left = lambda stage, of: sorted(r["text"] for r in stage(spark, of, sf_dir).where("doc_id is null").collect())
+    assert left(corpus_pipeline.language_stage, both) == sorted(t for t in texts if t != "!!")
+    assert left(corpus_pipeline.benchmark_stage, both) == sorted(t for t in texts if item not in t)
+    assert left(corpus_pipeline.secret_stage, both) == sorted(t.replace(key, "[SECRET]") for t in texts)
+    assert left(corpus_pipeline.duplicate_stage, both).count(prose) <= 1 and "!!" in left(corpus_pipeline.duplicate_stage, both)
+    assert left(corpus_pipeline.duplicate_stage, both.where("doc_id is null and length(text) > 2").limit(2)) == [prose]
