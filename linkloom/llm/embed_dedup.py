@@ -8,9 +8,12 @@ d(y, p_i) - d(y, p_j) <= 2r, and the plane between the pivots gives the sharper
 cell with a lower number are copied there. Cells join independently, home against
 home and home against copies, so that each pair is met exactly once.
 
-Equal vectors are one before the join and come back as counts and members. A cell
-of any size is cut into tiles; a tile returns counts and links for its rows, never
-its pairs: the links of a tile are a spanning forest of what it found.
+Every label has pivots, half the root of its size of them; they meet the label's
+vectors in a shuffle, so that nothing is broadcast and no number of labels or of
+pivots is bounded. Equal vectors are one before the join and come back as counts
+and members. A cell of any size is cut into tiles; a tile returns counts and links
+for its rows, never its pairs: the links of a tile are a spanning forest of what it
+found.
 """
 
 from __future__ import annotations
@@ -20,96 +23,112 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import connected_components
-from .shared import Workspace
+from .shared import Workspace, named_components, with_rows
 
-#: Rows of a tile side.
-TILE = 2048
-#: Vectors for each pivot, and the most pivots of a label and of all labels: 4 MB at 64 numbers each.
-PER_PIVOT, MOST_PIVOTS, ALL_PIVOTS = 4096, 64, 8192
+#: Rows of a tile side, and of a part of a label that meets the label's pivots in one task.
+TILE, PART = 2048, 1 << 16
+#: Vectors whose distances to all pivots are held at a time.
+BLOCK = 512
 
-CELLS = "rep long, label string, cell int, home boolean, unit binary"
+CELLS = "rep long, label string, cell int, home boolean"
 FOUND = "kind int, a long, b long"
 
 
-def _unit(row) -> np.ndarray:
-    v = np.asarray(row, np.float64)
-    return v / math.sqrt(float(v @ v))
+def units(rows: list[bytes], kind: str) -> np.ndarray:
+    """A line of unit length for each vector; scaled by its largest component first, so that no square overflows."""
+    v = np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1).astype(np.float64)
+    v /= np.abs(v).max(axis=1)[:, None]
+    return v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
 
 
-def _assign(pivots: dict[str, np.ndarray], radius: float):
-    """rep, label, vector -> a row for the home cell and one for each lower cell within reach."""
+def _assign(radius: float, kind: str):
+    """Rows sorted by (label, part), pivots (rep is null) first -> a row for the home cell and one for each lower cell in reach."""
     slack = 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gaps = {k: np.sqrt(np.maximum(2 - 2 * p @ p.T, 0)) for k, p in pivots.items()}
+        at, found, pivots, gaps = None, [], None, None
+        reps: list[int] = []
+        raws: list[bytes] = []
+
+        def flush():
+            nonlocal pivots, gaps, found
+            if found:
+                pivots = units(found, kind)
+                gaps, found = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0)), []
+            out = [], [], []
+            if reps:
+                square = 2 - 2 * (units(raws, kind) @ pivots.T)
+                for k, rep in enumerate(reps):
+                    home = int(square[k].argmin())
+                    near = square[k, :home] - square[k, home] <= 2 * gaps[home, :home] * radius + slack
+                    cells = [home, *np.flatnonzero(near).tolist()]
+                    out[0].extend([rep] * len(cells))
+                    out[1].extend(cells)
+                    out[2].extend([True] + [False] * (len(cells) - 1))
+            names = ["rep", "label", "cell", "home"]
+            batch = pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array([at and at[0]] * len(out[0]), pa.string()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.bool_())], names=names)
+            reps.clear()
+            raws.clear()
+            return batch
+
         for batch in batches:
-            reps, labels, cells, homes, units = [], [], [], [], []
-            for rep, label, vector in zip(*(c.to_pylist() for c in batch.columns)):
-                u, p = _unit(vector), pivots.get(label)
-                raw = u.tobytes()
-                near = [0]
-                if p is not None and len(p) > 1:
-                    square = 2 - 2 * (p @ u)
-                    home = int(square.argmin())
-                    others = np.arange(home)
-                    others = others[square[:home] - square[home] <= 2 * gaps[label][home, :home] * radius + slack]
-                    near = [home, *others.tolist()]
-                for i, cell in enumerate(near):
+            for label, part, rep, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if (label, part) != at:
+                    yield flush()
+                    at = label, part
+                if rep is None:
+                    found.append(raw)
+                else:
                     reps.append(rep)
-                    labels.append(label)
-                    cells.append(cell)
-                    homes.append(i == 0)
-                    units.append(raw)
-            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(labels, pa.string()), pa.array(cells, pa.int32()), pa.array(homes, pa.bool_()), pa.array(units, pa.binary())], names=["rep", "label", "cell", "home", "unit"])
+                    raws.append(raw)
+                    if len(reps) >= BLOCK:
+                        yield flush()
+        yield flush()
 
     return run
 
 
-def _join(cosine: float):
-    """Rows sorted by tile: (tile, rep, n, side, home, unit); side 0: one block against itself, 1 and 2: two blocks."""
+def forest(link: np.ndarray) -> list[tuple[int, int]]:
+    """Links that span the components of a symmetric matrix."""
+    out, fresh = [], np.ones(len(link), bool)
+    for start in np.flatnonzero(link.any(axis=1)).tolist():
+        stack = [start] if fresh[start] else []
+        fresh[start] = False
+        while stack:
+            x = stack.pop()
+            found = np.flatnonzero(link[x] & fresh)
+            fresh[found] = False
+            stack += found.tolist()
+            out += [(x, y) for y in found.tolist()]
+    return out
+
+
+def _join(cosine: float, kind: str):
+    """Rows sorted by tile: (tile, rep, n, side, home, raw); side 0: one block against itself, 1 and 2: two blocks."""
 
     def tile(rows: list[tuple]) -> tuple[list[int], list[int], list[int]]:
-        rep = np.array([r[1] for r in rows])
-        n = np.array([r[2] for r in rows])
-        side = np.array([r[3] for r in rows])
-        home = np.array([r[4] for r in rows])
-        unit = np.frombuffer(b"".join(r[5] for r in rows), np.float64).reshape(len(rows), -1)
-        count = np.zeros(len(rows), np.int64)
-        root = np.arange(len(rows))
-        kind, out_a, out_b = [], [], []
-
-        def find(i):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
-        for lo in range(0, len(left), 256):
-            part = left[lo : lo + 256]
-            hit = unit[part] @ unit[right].T >= cosine
-            hit &= home[part][:, None] | home[right][None, :]
-            if side[part[0]] == 0:
-                hit &= part[:, None] < right[None, :]
-            for i, j in zip(*(x.tolist() for x in np.nonzero(hit))):
-                i, j = part[i], right[j]
-                count[i] += n[j]
-                count[j] += n[i]
-                a, b = find(i), find(j)
-                if a != b:
-                    root[a] = b
-                    kind.append(1)
-                    out_a.append(int(rep[i]))
-                    out_b.append(int(rep[j]))
-        for i in np.flatnonzero(count).tolist():
-            kind.append(0)
-            out_a.append(int(rep[i]))
-            out_b.append(int(count[i]))
-        return kind, out_a, out_b
+        rep, n, side, home = (np.array([r[k] for r in rows]) for k in (1, 2, 3, 4))
+        unit = units([r[5] for r in rows], kind)
+        link = np.zeros((len(rows), len(rows)), bool)
+        if side[0] == 0:
+            link[:] = unit @ unit.T >= cosine
+            link[np.diag_indices(len(rows))] = False
+        else:
+            left, right = np.flatnonzero(side == 1), np.flatnonzero(side == 2)
+            hit = unit[left] @ unit[right].T >= cosine
+            link[np.ix_(left, right)] = hit
+            link[np.ix_(right, left)] = hit.T
+        # Two copies meet in the home cell of one of them.
+        link &= home[:, None] | home[None, :]
+        count = link @ n
+        linked = np.flatnonzero(count)
+        pairs = forest(link)
+        kinds = [0] * len(linked) + [1] * len(pairs)
+        return kinds, [*rep[linked].tolist(), *(int(rep[a]) for a, _ in pairs)], [*count[linked].tolist(), *(int(rep[b]) for _, b in pairs)]
 
     def batch_of(found):
         return pa.RecordBatch.from_arrays([pa.array(found[0], pa.int32()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.int64())], names=["kind", "a", "b"])
@@ -128,72 +147,74 @@ def _join(cosine: float):
     return run
 
 
+def _packed(wide: bool):
+    """(row, label, vector) -> the vector's numbers as bytes, negative zeros as zeros."""
+    kind = np.float64 if wide else np.float32
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            flat = np.asarray(lists.flatten(), kind) + kind(0)
+            ends = np.cumsum([0, *(len(x) for x in lists)])
+            raw = [flat[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(raw, pa.binary())], names=["_row", "label", "raw"])
+
+    return run
+
+
+def pivot_count(size: Column) -> Column:
+    """How many pivots a label of ``size`` different vectors has, about: half the root."""
+    return F.ceil(F.sqrt(size) / 2)
+
+
 def vector_links(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     """Links and groups of ``vectors`` (vec_id long, embedding array of numbers, label; more columns are ignored).
 
     Vectors of equal, non-null labels are linked if their cosine in double precision
     is at least ``cosine``. Null vectors, zero vectors and vectors with null or
     non-finite components link with nothing; neither do vectors of different length.
-    Returns vec_id, n_links (other vectors linked directly), component_id (least
-    vec_id reachable), kept. vec_id must be unique (a null one links with
-    nothing); an empty table gives an empty result.
-
-    Pivots are a sample: MOST_PIVOTS a label, ALL_PIVOTS in all, which bounds what
-    every task receives. Larger cells have more tiles.
+    Returns a row for each row: vec_id, n_links (other vectors linked directly),
+    component_id (least vec_id reachable), kept. Rows of null or repeated vec_id are
+    vectors of their own: they link like all others, component_id is the least id
+    that is given in the group (null if none is), and one row of a group is kept.
+    An empty table gives an empty result.
     """
     spark = vectors.sparkSession
     ws = Workspace(spark, "vectors")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    plain = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), F.col("label").cast("string").alias("label"))
+    wide = vectors.schema["embedding"].dataType.simpleString() != "array<float>"
+    kind = "<f8" if wide else "<f4"
+    plain = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>" if wide else "array<float>").alias("v"), F.col("label").cast("string").alias("label"))
+    plain, unique = with_rows(ws, plain, "vec_id")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    usable = plain.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull()).where(finite & F.exists("v", lambda x: x != 0))
-    usable = usable.withColumn("label", F.concat_ws("/", "label", F.size("v")))
-    # Equal vectors of a label are one; -0.0 counts as 0.0.
-    exact = F.sha2(F.concat_ws(",", F.transform("v", lambda x: (x + F.lit(0.0)).cast("string"))), 256)
-    usable = usable.withColumn("same", F.concat("label", F.lit("/"), exact))
-    groups = usable.groupBy("same").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.min("label").alias("label"), F.min("v").alias("v"))
-    groups = ws.table(groups, "groups")
-    member = usable.select("vec_id", "same").join(groups.select("same", "rep", "n"), "same").select("vec_id", "rep", "n")
-
-    sizes = groups.groupBy("label").agg(F.count("*").alias("size"))
-    sampled = (
-        groups.select("label", "v", F.xxhash64("rep").alias("h"))
-        .join(sizes.where(F.col("size") > PER_PIVOT), "label")
-        .where(F.pmod("h", F.lit(1 << 20)) < F.lit(1 << 20) * 4 * F.least(F.lit(MOST_PIVOTS), F.ceil(F.col("size") / PER_PIVOT)) / F.col("size"))
-        .select("label", "v", F.least(F.lit(MOST_PIVOTS), F.ceil(F.col("size") / PER_PIVOT)).cast("int").alias("want"))
-        .limit(ALL_PIVOTS)
-    )
-    pivots: dict[str, np.ndarray] = {}
-    chosen: dict[str, list] = {}
-    for label, v, want in sampled.collect():
-        chosen.setdefault(label, [want]).append(_unit(v))
-    for label, (want, *found) in chosen.items():
-        pivots[label] = _spread(np.array(found), want)
-
+    usable = plain.where(F.col("label").isNotNull() & F.col("v").isNotNull()).where(finite & F.exists("v", lambda x: x != 0))
+    # Vectors of one label and one length meet each other.
+    usable = usable.select("_row", F.concat_ws("/", "label", F.size("v")).alias("label"), "v").mapInArrow(_packed(wide), "_row long, label string, raw binary")
+    # Equal vectors of a label are one.
+    usable = usable.withColumn("same", F.sha2("raw", 256))
+    groups = ws.table(usable.groupBy("label", "same").agg(F.min("_row").alias("rep"), F.count("*").alias("n"), F.min("raw").alias("raw")), "groups")
+    member = usable.select("_row", "label", "same").join(groups.select("label", "same", "rep", "n"), ["label", "same"]).select("_row", "rep", "n")
+
+    sizes = ws.table(groups.groupBy("label").agg(F.count("*").alias("size"), F.min("rep").alias("least")), "sizes")
+    sized = groups.select("label", "rep", "raw").join(sizes, "label")
+    drawn = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < pivot_count(F.col("size")) / F.col("size") * (1 << 30)
+    parts = F.ceil(F.col("size") / PART).cast("int")
+    pivots = sized.where(drawn | (F.col("rep") == F.col("least"))).select("label", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(None).cast("long").alias("rep"), "raw")
+    parted = sized.select("label", F.pmod(F.xxhash64("rep", F.lit(1)), parts).cast("int").alias("part"), "rep", "raw")
+    dealt = pivots.unionByName(parted).repartition(n, "label", "part").sortWithinPartitions("label", "part", F.col("rep").asc_nulls_first(), "raw")
     radius = math.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
-    cells = ws.table(groups.select("rep", "label", "v").mapInArrow(_assign(pivots, radius), CELLS).join(groups.select("rep", "n"), "rep"), "cells")
+    cells = ws.table(dealt.mapInArrow(_assign(radius, kind), CELLS), "cells")
+
     place = ["label", "cell"]
-    count = cells.groupBy(*place).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    count = ws.table(cells.groupBy(*place).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), "counts")
     spread = cells.join(count, place).withColumn("t", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     side = F.when(F.col("t") == F.col("o"), 0).when(F.col("t") < F.col("o"), 1).otherwise(2)
-    tiles = spread.select(F.concat_ws("/", "label", "cell", F.least("t", "o"), F.greatest("t", "o")).alias("tile"), "rep", "n", side.alias("side"), "home", "unit")
-    found = ws.table(tiles.repartition(n, "tile").sortWithinPartitions("tile").mapInArrow(_join(cosine), FOUND), "found")
+    spread = spread.select(F.concat_ws("/", "label", "cell", F.least("t", "o"), F.greatest("t", "o")).alias("tile"), "rep", side.alias("side"), "home")
+    tiles = spread.join(groups.select("rep", "n", "raw"), "rep").select("tile", "rep", "n", "side", "home", "raw")
+    found = ws.table(tiles.repartition(n, "tile").sortWithinPartitions("tile").mapInArrow(_join(cosine, kind), FOUND), "found")
     links = found.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("links"))
     comp = connected_components(ws, found.where("kind = 1").select(F.col("a").alias("u"), F.col("b").alias("v")))
     joined = member.join(links, "rep", "left").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
-    joined = joined.select("vec_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = plain.select("vec_id").join(joined, "vec_id", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
-
-
-def _spread(points: np.ndarray, want: int) -> np.ndarray:
-    """Farthest-first choice of ``want`` of the sampled points."""
-    points = points[np.lexsort(points.T)]
-    picked, far = [0], 2 - 2 * (points @ points[0])
-    while len(picked) < min(want, len(points)):
-        nxt = int(far.argmax())
-        if far[nxt] <= 1e-12:
-            break
-        picked.append(nxt)
-        far = np.minimum(far, 2 - 2 * (points @ points[nxt]))
-    return points[picked]
+    joined = joined.select("_row", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+    out = plain.select("_row", "vec_id").join(joined, "_row", "left").select("_row", "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "_row").alias("component"))
+    return named_components(ws, out, "vec_id", unique).select("vec_id", "n_links", "component_id", "kept")

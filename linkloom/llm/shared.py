@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkloom.session import shared_root
 
@@ -58,6 +59,31 @@ class Workspace:
             self._delete(self.root)
 
 
+def with_rows(ws: Workspace, df: DataFrame, key: str) -> tuple[DataFrame, bool]:
+    """``df`` with _row, a long that is unique and not null, and whether it is the key itself.
+
+    It is where every key is given and no two are equal. Elsewhere rows are numbered and written once,
+    so that every pass over them sees the same numbers.
+    """
+    odd = df.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n")).where("k is null or n > 1")
+    if odd.isEmpty():
+        return df.withColumn("_row", F.col(key).cast("long")), True
+    return ws.table(df.withColumn("_row", F.monotonically_increasing_id()), "rows"), False
+
+
+def named_components(ws: Workspace, rows: DataFrame, key: str, plain: bool) -> DataFrame:
+    """``rows`` (_row, ``key``, component: the least _row of the group) with component_id and kept.
+
+    component_id is the least ``key`` of the group, null if none has one; kept is the row that has it, the
+    first of several.
+    """
+    if plain:
+        return rows.withColumn("component_id", F.col("component")).withColumn("kept", F.col("_row") == F.col("component"))
+    first = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_row").alias("first")))
+    heads = ws.table(rows.groupBy("component").agg(first.alias("f")).select("component", F.col("f.key").alias("component_id"), F.col("f.first").alias("_first")), "heads")
+    return rows.join(heads, "component").withColumn("kept", F.col("_row") == F.col("_first")).drop("_first")
+
+
 def filesystem(uri: str):
     """(pyarrow filesystem, path) for a shared folder; works in any executor."""
     from pyarrow import fs

@@ -143,32 +143,58 @@ def test_components(spark):
     assert {r["id"]: r["component"] for r in got.collect()} == components(nodes, [x for x in links if x[0] != x[1]])
 
 
-@pytest.mark.parametrize("per, tile", [(4096, 2048), (20, 16)])
-def test_vector_links(spark, per, tile, monkeypatch):
-    monkeypatch.setattr(embed_dedup, "PER_PIVOT", per)
+def good(v):
+    return bool(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+
+def cosine(a, b):
+    x, y = (np.array(v, float) / max(map(abs, v)) for v in (a, b))
+    return x @ y / math.sqrt(x @ x) / math.sqrt(y @ y)
+
+
+def linked_vectors(table):
+    """Links by place in ``table`` (vec_id, vector, label)."""
+    out = []
+    for i, (_, va, la) in enumerate(table):
+        for j, (_, vb, lb) in enumerate(table[:i]):
+            if la is not None and la == lb and good(va) and good(vb) and len(va) == len(vb) and cosine(va, vb) >= 0.98:
+                out.append((i, j))
+    return out
+
+
+@pytest.mark.parametrize("part, block, tile", [(1 << 16, 512, 2048), (20, 7, 16)])
+def test_vector_links(spark, part, block, tile, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "PART", part)
+    monkeypatch.setattr(embed_dedup, "BLOCK", block)
     monkeypatch.setattr(embed_dedup, "TILE", tile)
     rng = np.random.default_rng(2)
     rows, label = [], [0, 1, None]
     for c in range(12):
         centre = rng.normal(size=8)
         for _ in range(10):
-            rows.append((centre + rng.normal(size=8) * rng.choice([0.0, 0.05, 0.1, 0.2])).astype(np.float32).tolist())
+            rows.append([float(np.float32(x)) for x in centre + rng.normal(size=8) * rng.choice([0.0, 0.05, 0.1, 0.2])])
     rows += [[0.0] * 8, [float("nan")] + [1.0] * 7, [float("inf")] + [1.0] * 7, [None] + [1.0] * 7, None, [], rows[0], [2 * x for x in rows[0]], [1.0, 2.0]]
     table = [(i * 3, v, label[i % 5 % 3]) for i, v in enumerate(rows)]
-    df = spark.createDataFrame(table, "vec_id long, embedding array<float>, label int").withColumn("rep", F.lit("x")).withColumn("n", F.lit(1))
-
-    def good(v):
-        return bool(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
-
-    links = []
-    for i, (a, va, la) in enumerate(table):
-        for b, vb, lb in table[:i]:
-            if la is not None and la == lb and good(va) and good(vb) and len(va) == len(vb):
-                x, y = np.array(va, np.float32).astype(float), np.array(vb, np.float32).astype(float)
-                if x @ y / math.sqrt(x @ x) / math.sqrt(y @ y) >= 0.98:
-                    links.append((a, b))
+    df = spark.createDataFrame(table, "vec_id long, embedding array<float>, label int").withColumn("rep", F.lit("x")).withColumn("n", F.lit(1)).withColumn("_row", F.lit(1))
+    links = [(table[a][0], table[b][0]) for a, b in linked_vectors(table)]
     want = components([t[0] for t in table], links)
     degree = collections.Counter(x for p in links for x in p)
     got = {r["vec_id"]: r for r in embed_dedup.vector_links(df).collect()}
     assert {k: r["component_id"] for k, r in got.items()} == want
     assert {k: r["n_links"] for k, r in got.items()} == {t[0]: degree[t[0]] for t in table}
+
+
+def test_vectors_of_extreme_size_and_without_ids(spark):
+    """Squares that overflow or vanish; null and repeated vec_ids are vectors of their own."""
+    table = [(9, [1e200, 1e200], 1), (4, [1e200, 1.01e200], 1), (None, [1e-300, 1e-300], 1), (4, [-1.0, 1.0], 1), (4, [-1.0, 1.0], 1), (None, [5.0, -1.0], 1), (7, [1.0, 1.0], 2)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>, label int")
+    got = sorted((tuple(r) for r in embed_dedup.vector_links(df).collect()), key=str)
+    assert got == sorted([(9, 2, 4, False), (4, 2, 4, True), (None, 2, 4, False), (4, 1, 4, True), (4, 1, 4, False), (None, 0, None, True), (7, 0, 7, True)], key=str)
+
+
+def test_forest():
+    link = np.zeros((6, 6), bool)
+    for a, b in ((0, 1), (1, 2), (0, 2), (4, 5)):
+        link[a, b] = link[b, a] = True
+    found = embed_dedup.forest(link)
+    assert len(found) == 3 and components(range(6), found) == components(range(6), [(0, 1), (1, 2), (4, 5)])
