@@ -84,6 +84,42 @@ def test_character_map():
     assert spc.Normaliser(Spec).aligned(b"") == (b"", [0]) and spc.Normaliser(Spec).aligned(b"  ") == (b"", [2])
 
 
+def test_letters_before_and_after_marks():
+    """Every letter up to U+2FFFF, alone, before and after sentence marks and spaces, against the library."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), tokenbin.UnitEncoder(path, "<u2")
+    letters = [c for c in map(chr, range(0x80, 0x30000)) if c.isalpha() and not 0x4E10 < ord(c) < 0x9FF0 and not 0xAC10 < ord(c) < 0xD7A0 and not 0x20010 < ord(c)]
+    texts = [f"{c}. a{c}?! .{c}, {c}" for c in letters]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [c for c, t, ids in zip(letters, texts, want) if np.frombuffer(encoder.encode(t), "<u2").tolist() != ids] == []
+
+
+def test_token_files_of_repeated_ids_and_long_texts(spark):
+    """Shards of a few ids, repeated and null doc_ids, a text of a million characters: starts are prefix sums in order."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    rows = [(5, "b"), (5, "a a"), (None, "left out"), (-3, None), (9, "word " * 200_000), (7, ""), (5, "a a")] + [(i, f"text {i}.") for i in range(20, 60)]
+    root = Workspace(spark, "test").path("tokens")
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS start", "2 AS first")
+    manifest = tokenbin.write_token_files(df, root, path, roll=64)
+    start, want = 0, []
+    for doc, text in sorted((d, t or "") for d, t in rows if d is not None):
+        ids = library.encode(text, add_special_tokens=False).ids + [1]
+        want.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, tokenbin.read_token_files(spark, root).collect()), key=lambda r: r[1]) == want
+    assert len(manifest["shards"]) > 4 and manifest["ids"] == start
+    store, folder = tokenbin.filesystem(root)
+    from pyarrow import fs
+
+    names = sorted(f.base_name for f in store.get_file_info(fs.FileSelector(folder, recursive=True)) if not f.base_name.startswith("."))
+    assert names == sorted(["manifest.json", *(f"{s['name']}.{k}" for s in manifest["shards"] for k in ("bin", "idx"))])
+
+
 @pytest.mark.parametrize("most", [400_000, 2])
 def test_token_files(spark, most, monkeypatch):
     from tokenizers import Tokenizer
