@@ -1,10 +1,14 @@
 """Sharded WARC archives: a deterministic writer with deduplicated payloads, and a reader.
 
-Records are range-sorted by page_id; a task rolls to the next file when the
-compressed size reaches the limit. Every record is its own gzip member whose headers
-and digests are made from the payload, with fixed ids and dates, so that the same
-table gives the same bytes. Files are written under temporary names and renamed by
-the driver after the tasks have succeeded; the manifest, written last, lists them.
+Prefix sums of payload bytes in the order of page_id cut the pages into shards, so
+that the table alone says where a shard begins: neither its partitioning nor what
+ran before does. A task writes whole shards and rolls to the next file of a shard
+when the compressed size reaches the limit. Every record is its own gzip member
+whose headers and digests are made from the payload, with fixed ids and dates: the
+same table gives the same files, byte for byte. Files are written under temporary
+names and renamed by their task; the manifest, a table of the files that Spark
+commits at last, says which count. A task that runs twice makes the same files, and
+what a lost one left goes with the temporary folder.
 """
 
 from __future__ import annotations
@@ -15,18 +19,22 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import pandas_udf
 
-from .shared import Workspace, filesystem, read_small, write_small
+from .shared import Workspace, filesystem
 
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-DONE = "first long, part int, name string, records long, bytes long, sha256 string"
+FILES = "name string, records long, bytes long, sha256 string"
 ROWS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
 #: Compressed bytes after which a file is closed.
 ROLL = 64 << 20
+#: Payload bytes of a shard at least, and the most shards: the first page of each goes to every task.
+SHARD_BYTES, MOST_SHARDS = 4 << 20, 1 << 16
 
 
 def sha1_base32(raw: bytes) -> str:
@@ -68,21 +76,28 @@ def _member(raw: bytes) -> bytes:
 
 
 def _write(root: str, least: int, roll: int, date: str):
+    """Rows sorted by (shard, page_id, kind): (shard, page_id, kind, url, html, sha, ref) -> a line for each file."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = filesystem(root)
-        task, part, sink, done = uuid.uuid4().hex, 0, None, []
-        page, refs, first, count, size, digest = None, {}, None, 0, 0, None
+        task, shard, part, sink, done = uuid.uuid4().hex, None, 0, None, []
+        page, refs, count, size, digest = None, {}, 0, 0, None
 
         def close():
-            nonlocal sink
+            nonlocal sink, part
             if sink is not None:
                 sink.close()
-                done.append((first, part - 1, name, count, size, digest.hexdigest()))
-                sink = None
+                name = f"pages-{shard:05d}-{part:05d}.warc.gz"
+                store.move(temporary, f"{path}/{name}")
+                done.append((name, count, size, digest.hexdigest()))
+                sink, part = None, part + 1
 
         for batch in batches:
-            for page_id, kind, url, html, sha, ref in zip(*(batch.column(i) for i in range(6))):
-                page_id, kind = page_id.as_py(), kind.as_py()
+            for where, page_id, kind, url, html, sha, ref in zip(*(batch.column(i) for i in range(7))):
+                where, page_id, kind = where.as_py(), page_id.as_py(), kind.as_py()
+                if where != shard:
+                    close()
+                    shard, part = where, 0
                 if page_id != page:
                     page, refs = page_id, {}
                 if kind == 0:
@@ -98,23 +113,46 @@ def _write(root: str, least: int, roll: int, date: str):
                 if sink is not None and size >= roll:
                     close()
                 if sink is None:
-                    name = f"{path}/.{task}-{part}.tmp"
-                    sink, digest, first, count, size = store.open_output_stream(name, compression=None), hashlib.sha256(), page, 0, 0
-                    part += 1
+                    temporary = f"{path}/_temporary/{task}-{shard}-{part}"
+                    sink, digest, count, size = store.open_output_stream(temporary, compression=None), hashlib.sha256(), 0, 0
                 sink.write(raw)
                 digest.update(raw)
                 count += 1
                 size += len(raw)
         close()
-        cols = list(zip(*done)) or [()] * 6
-        types = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["first", "part", "name", "records", "bytes", "sha256"])
+        cols = list(zip(*done)) or [()] * 4
+        types = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["name", "records", "bytes", "sha256"])
 
     return run
 
 
-def write_archives(pages: DataFrame, root: str, least: int = 0, roll: int = ROLL, date: str = DATE) -> dict:
-    """Write ``pages`` (page_id long, url string, html string; more columns are ignored) under ``root``; returns the manifest.
+def shard_heads(sizes: DataFrame, least: int = SHARD_BYTES, most: int = MOST_SHARDS) -> list[int]:
+    """The first page_id of each shard of ``sizes`` (page_id, size), ascending; a page's rows share a shard.
+
+    A shard begins with the page in which the prefix sum of bytes passes a multiple of
+    the shard size, ``least`` or a ``most``-th of all. Sums of ranges of pages, one for
+    each partition, meet in the driver; so do the heads.
+    """
+    ws = Workspace(sizes.sparkSession, "shards")
+    n = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = sizes.groupBy("page_id").agg(F.sum("size").alias("size")).repartitionByRange(n, "page_id")
+    # Written with its range, as another run may sample other ranges; sums over them are the same.
+    ranged = ws.table(ranged.withColumn("range", F.spark_partition_id()), "ranged")
+    sums = sorted((r["least"], r["range"], r["size"]) for r in ranged.groupBy("range").agg(F.min("page_id").alias("least"), F.sum("size").alias("size")).collect())
+    total = sum(s for _, _, s in sums)
+    step = max(least, -(-total // most))
+    bases = np.cumsum([0, *(s for _, _, s in sums)])[:-1].tolist()
+    base = sizes.sparkSession.createDataFrame([(r, b) for (_, r, _), b in zip(sums, bases)], "range int, base long")
+    before = F.col("base") + F.sum("size").over(Window.partitionBy("range").orderBy("page_id")) - F.col("size")
+    shards = ranged.join(F.broadcast(base), "range").select("page_id", F.floor(before / step).alias("shard"))
+    heads = sorted(r["head"] for r in shards.groupBy("shard").agg(F.min("page_id").alias("head")).collect())
+    ws.drop(ranged)
+    return heads
+
+
+def write_archives(pages: DataFrame, root: str, least: int = 0, roll: int = ROLL, date: str = DATE, shard: int = SHARD_BYTES) -> DataFrame:
+    """Write ``pages`` (page_id long, url string, html string; more columns are ignored) under ``root``; returns the manifest: name, records, bytes and sha256 of each file.
 
     Of records with equal payloads of at least ``least`` bytes, that with the largest
     page_id is the response and the others revisit it; smaller payloads are all
@@ -125,28 +163,32 @@ def write_archives(pages: DataFrame, root: str, least: int = 0, roll: int = ROLL
     """
     spark = pages.sparkSession
     store, path = filesystem(root)
-    store.create_dir(path, recursive=True)
+    store.create_dir(f"{path}/_temporary", recursive=True)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).where("page_id is not null")
-    digests = rows.select("page_id", F.sha1(F.encode("html", "UTF-8")).alias("sha"), F.octet_length("html").alias("size"))
+    ws = Workspace(spark, "payloads")
+    digests = ws.table(rows.select("page_id", F.sha1(F.encode("html", "UTF-8")).alias("sha"), F.octet_length("html").cast("long").alias("size")), "digests")
+    heads = np.array(shard_heads(digests.select("page_id", "size"), shard) or [0], np.int64)
+
+    @pandas_udf("int")
+    def place(page):  # only the ids cross to Python
+        return page.map(lambda p: max(int(np.searchsorted(heads, p, "right")) - 1, 0)).astype("int32")
+
     large = digests.where(F.col("size") >= least)
-    heads = large.groupBy("sha").agg(F.max("page_id").alias("ref"), F.count("*").alias("n")).where("n > 1").select("sha", "ref")
+    first = large.groupBy("sha").agg(F.max("page_id").alias("ref"), F.count("*").alias("n")).where("n > 1").select("sha", "ref")
     # Written before the join, so that a payload of very many pages can be split by the skew rule.
-    heads = Workspace(spark, "payloads").table(heads, "heads")
-    refs = large.select("page_id", "sha").join(heads, "sha").where("page_id <> ref").distinct()
+    first = ws.table(first, "first")
+    refs = large.select("page_id", "sha").join(first, "sha").where("page_id <> ref").distinct()
     refs = refs.select("page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "sha", "ref")
     rows = rows.select("page_id", F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("string").alias("sha"), F.lit(None).cast("long").alias("ref"))
-    both = rows.unionByName(refs).repartitionByRange(n, "page_id").sortWithinPartitions("page_id", "kind", "url", "html")
-    # A line for each file, never for each record.
-    done = sorted((tuple(r) for r in both.mapInArrow(_write(root, least, roll, date), DONE).collect()), key=lambda r: (r[0], r[1]))
-    files = []
-    for k, (_, _, name, records, size, sha) in enumerate(done):
-        final = f"pages-{k:05d}.warc.gz"
-        store.move(name, f"{path}/{final}")
-        files.append({"name": final, "records": records, "bytes": size, "sha256": sha})
-    manifest = {"files": files, "records": sum(f["records"] for f in files)}
-    write_small(f"{root}/manifest.json", manifest)
-    return manifest
+    both = rows.unionByName(refs).select(place("page_id").alias("shard"), "*").repartition(n, "shard").sortWithinPartitions("shard", "page_id", "kind", "url", "html", "sha")
+    both.mapInArrow(_write(root, least, roll, date), FILES).write.json(f"{root}/manifest")
+    store.delete_dir(f"{path}/_temporary")
+    return manifest_of(spark, root)
+
+
+def manifest_of(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(FILES).json(f"{root}/manifest")
 
 
 def parse(raw: bytes) -> tuple:
@@ -212,11 +254,9 @@ def _read(root: str, payloads: bool):
 
 def read_archives(spark: SparkSession, root: str, payloads: bool = False) -> DataFrame:
     """A row for each record of the archives that the manifest lists."""
-    names = [(f["name"],) for f in read_small(f"{root}/manifest.json")["files"]]
     schema = ROWS if payloads else ROWS.rpartition(",")[0]
-    if not names:
-        return spark.createDataFrame([], schema)
-    return spark.createDataFrame(names, "name string").repartition(len(names), "name").mapInArrow(_read(root, payloads), schema)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return manifest_of(spark, root).select("name").repartition(n, "name").mapInArrow(_read(root, payloads), schema)
 
 
 def archive_table(pages: DataFrame, least: int = 0) -> DataFrame:

@@ -2,7 +2,6 @@
 
 import base64
 import hashlib
-import json
 import random
 import struct
 import zlib
@@ -153,10 +152,10 @@ PAGES = [(1, "http://a/1", "same"), (7, "http://a/7 x\r\ny", "same"), (3, None,
 
 @pytest.mark.parametrize("least, roll", [(0, 1 << 20), (5, 1)])
 def test_archives(spark, tmp_path, least, roll):
-    df = spark.createDataFrame(PAGES, "page_id long, url string, html string").selectExpr("*", "1 AS kind", "'x' AS sha")
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string").selectExpr("*", "1 AS kind", "'x' AS sha", "2 AS shard", "3 AS size")
     roots = [f"file://{tmp_path}/{k}" for k in "ab"]
-    manifests = [warc.write_archives(df.repartition(3) if r.endswith("b") else df, r, least, roll) for r in roots]
-    assert [f["sha256"] for f in manifests[0]["files"]] == [f["sha256"] for f in manifests[1]["files"]]
+    manifests = [sorted(warc.write_archives(df.repartition(3) if r.endswith("b") else df, r, least, roll, shard=4000).collect()) for r in roots]
+    assert manifests[0] == manifests[1] and len(manifests[0]) > 1
     got = sorted(tuple(r) for r in warc.read_archives(spark, roots[0], payloads=True).collect())
     heads = {}
     for page, _, html in PAGES:
@@ -171,7 +170,30 @@ def test_archives(spark, tmp_path, least, roll):
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(((*r[:5], bytes(r[6]) if r[6] is not None else None) for r in got), key=key) == sorted(want, key=key)
     names = sorted(p.name for p in (tmp_path / "a").iterdir() if not p.name.startswith("."))
-    assert names == sorted(["manifest.json", *(f["name"] for f in json.loads((tmp_path / "a" / "manifest.json").read_text())["files"])])
+    assert names == sorted(["manifest", *(f["name"] for f in manifests[0])])
+
+
+def test_archives_are_the_same_bytes(spark, tmp_path):
+    """Thousands of pages, written again in other partitionings and after other jobs: the same files, byte for byte."""
+    rng = random.Random(5)
+    rows = [(rng.randrange(10**9), f"http://h{i % 7}/{i}", "".join(rng.choice("abcdef ") for _ in range(rng.randrange(600))) if i % 5 else "shared page") for i in range(4000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = []
+    for k, (given, parts) in enumerate(((df, "3"), (df.repartition(7, "url"), "5"), (df.orderBy("html").repartition(2), "2"))):
+        held = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        warc.write_archives(given, f"file://{tmp_path}/{k}", roll=30_000, shard=200_000)
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+        found.append({p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in (tmp_path / str(k)).glob("*.warc.gz")})
+        spark.range(1000).repartition(3).count()
+    assert found[0] == found[1] == found[2] and len(found[0]) > 8
+    assert warc.read_archives(spark, f"file://{tmp_path}/1").count() == len(rows)
+
+
+def test_shards_of_prefix_sums(spark):
+    sizes = spark.createDataFrame([(5, 10), (1, 4), (9, 3), (7, 25), (8, 0), (5, 2)], "page_id long, size long")
+    # Before them: 1: 0, 5: 4, 7: 16, 8: 41, 9: 41.
+    assert warc.shard_heads(sizes, 10) == [1, 7, 8] and warc.shard_heads(sizes, 1, 2) == [1, 8] and warc.shard_heads(sizes.limit(0)) == []
 
 
 def test_damaged_record():
