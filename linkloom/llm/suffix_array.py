@@ -12,46 +12,62 @@ from __future__ import annotations
 
 
 def suffix_array(text: list[int]) -> list[int]:
-    """Order of the suffixes of ``text``, integers from 0; an empty list gives an empty list."""
+    """Order of the suffixes of ``text``, integers from 0; an empty list gives an empty list.
+
+    Symbols up to a few times the length are put in order by counting; larger ones are numbered first.
+    """
     if not text:
         return []
-    s = list(text)
-    s.append(-1)  # the unique least symbol
+    if max(text) > 4 * len(text):
+        rank = {c: i for i, c in enumerate(sorted(set(text)))}
+        text = [rank[c] for c in text]
+    s = [c + 1 for c in text]
+    s.append(0)  # the unique least symbol
     n = len(s)
-    order = sorted(range(n), key=s.__getitem__)
+    order = [0] * n
     place = [0] * n  # where a suffix stands in order
     group = [0] * n  # first place of the suffix's group
     size = [0] * n  # by a group's first place
-    last, begin = None, 0
-    for i, p in enumerate(order):
-        place[p] = i
-        if s[p] != last:
-            last, begin = s[p], i
-        group[p] = begin
-        size[begin] += 1
-    before = [-1] * n
+    first = [0] * (max(s) + 2)
+    for c in s:
+        first[c + 1] += 1
+    for c in range(len(first) - 1):
+        first[c + 1] += first[c]
+    free = first[:]
+    for p, c in enumerate(s):
+        order[free[c]] = p
+        place[p] = free[c]
+        group[p] = first[c]
+        free[c] += 1
+        size[first[c]] += 1
+    unknown = -2
+    before = [unknown] * n
 
     end = n - 1
     while end >= 0:
         begin = group[order[end]]
         members = order[begin : end + 1]
-        if len(members) == 1:
-            p = members[0]
-            q = p - 1
-            while q >= 0 and group[q] >= begin:
-                q = before[q]
-            before[p] = q
-            named = {q: 1} if q >= 0 else {}
-        else:
-            members.sort()
-            named = {}
-            for p in members:
-                q = p - 1
-                while q >= 0 and group[q] >= begin:
+        # A member that stands on another of its group waits for that one's pointer, so that the group needs no order.
+        for p in members:
+            waiting, q = [], p - 1
+            if before[p] != unknown:
+                continue
+            while True:
+                while q >= 0 and group[q] >= begin and before[q] != unknown:
                     q = before[q]
+                if q >= 0 and group[q] >= begin:
+                    waiting.append(p)
+                    p, q = q, q - 1
+                    continue
                 before[p] = q
-                if q >= 0:
-                    named[q] = named.get(q, 0) + 1
+                if not waiting:
+                    break
+                p = waiting.pop()
+        named = {}
+        for p in members:
+            q = before[p]
+            if q >= 0:
+                named[q] = named.get(q, 0) + 1
         if len(named) == 1:
             (q,) = named
             g = group[q]
@@ -63,11 +79,12 @@ def suffix_array(text: list[int]) -> list[int]:
                 size[g + rest] = 1
         elif named:
             # A longer run of this group after a suffix makes it larger: the longest runs are split off first.
+            # All runs together have no more members than the group, so that counting down is linear in it.
             by_run: dict[int, list[int]] = {}
             for q, run in named.items():
                 by_run.setdefault(run, []).append(q)
-            for run in sorted(by_run, reverse=True):
-                moved = by_run[run]
+            for run in range(max(by_run), 0, -1):
+                moved = by_run.get(run, ())
                 for q in moved:
                     g = group[q]
                     size[g] -= 1

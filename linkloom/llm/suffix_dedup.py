@@ -6,14 +6,19 @@ windows with one anchor form a context of fewer than 2 * ``length`` bytes. Equal
 windows have equal anchors at equal distances, so only contexts of one anchor hash
 can hold them: anchors cut the corpus into independent buckets.
 
-1. Contexts seen more than once repeat as a whole; counting them needs no text.
+1. Contexts seen more than once repeat as a whole; counting them needs no text, only
+   a 128-bit BLAKE2b digest of their bytes.
 2. Of a bucket with several different contexts, one copy of each is aligned at the
    anchor and cut where any two of them part (the branches of the sorted contexts);
    equal blocks get equal symbols. The suffix array of these sequences, built by
    grouping, and its common prefixes give, for every left reach, the farthest right
-   reach shared with another context. Both are exact in bytes.
-3. Buckets with very many different contexts are not gathered: their windows are
-   counted one by one by two 64-bit hashes.
+   reach shared with another context, on the bytes themselves.
+3. A bucket of very many different contexts is split by the bytes around its anchor.
+   The windows whose left reach lies in one range of ``g`` share a core of
+   ``length - g + 1`` bytes: each range of a context goes to the bucket of its core,
+   and only cores seen twice go on. Every two contexts with an equal window meet in
+   the bucket of that window's core, and there the same two steps decide. ``g`` falls
+   until the buckets fit; at 1 a bucket is one window, and holds nothing different.
 """
 
 from __future__ import annotations
@@ -27,20 +32,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import RangeHash
-from .shared import Workspace, text_buffer
+from .shared import Workspace, text_buffer, with_rows
 from .suffix_array import common_prefixes, suffix_array
 
 CHUNK = 1 << 20
 #: Longer texts are cut into segments that overlap by one window.
 SEGMENT = 1 << 22
-#: A bucket of more different contexts than this is counted by windows.
-BUCKET = 2048
+#: Different contexts of a bucket that a task may hold; larger buckets are split by the bytes around the anchor,
+#: by ranges of so many left reaches.
+BUCKET, RANGES = 2048, (200, 50, 7, 1)
 #: Symbols of buckets that one suffix array covers.
 BATCH = 1 << 17
 
-CONTEXTS = "key long, ctx long, doc_id long, start int, len int, off int"
-SLICES = "key long, ctx long, doc_id long, start int, off int, one boolean, hot boolean, bytes binary"
-SPANS = "doc_id long, s int, e int"
+CONTEXTS = "key long, a long, b long, row long, start int, len int, off int"
+SLICES = "key long, a long, b long, row long, start int, off int, one boolean, bytes binary"
+CORES = "key long, a long, b long, row long, start int, off int, one boolean, core binary, bytes binary"
+SPANS = "row long, s int, e int"
 _POSITION = np.uint64((1 << 24) - 1)
 
 
@@ -81,12 +88,19 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
+def digests(parts: Iterator[bytes]) -> np.ndarray:
+    """128 bits of each as a line of two 64-bit numbers."""
+    return np.frombuffer(b"".join([hashlib.blake2b(p, digest_size=16).digest() for p in parts]), np.int64).reshape(-1, 2)
+
+
 def _contexts(length: int, gram: int):
+    """(row, text) -> the contexts of each text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = RangeHash(31), RangeHash(32)
+        one = RangeHash(31)
         width = length - gram + 1
         for batch in batches:
-            ids = batch.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
             for data, spans in _pieces(batch.column(1), length):
                 p1 = one.prefix(data)
                 n = len(data) - gram + 1
@@ -105,29 +119,29 @@ def _contexts(length: int, gram: int):
                 cut = np.flatnonzero((np.diff(mine, prepend=-1) != 0) | (np.diff(starts, prepend=-2) != 1))
                 first, last = starts[cut], starts[np.append(cut[1:], len(starts)) - 1]
                 pos = anchor[first]
-                p2 = two.prefix(data)
-                ctx = two.ranges(p2, first, last + length)
+                raw = memoryview(np.ascontiguousarray(data))
+                ctx = digests(raw[lo:hi] for lo, hi in zip(first.tolist(), (last + length).tolist()))
                 span = np.searchsorted(begin, first, "right") - 1
                 rows = np.array([s[0] for s in spans])[span]
                 offset = np.array([s[1] for s in spans])[span] - begin[span]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams[pos].view(np.int64)), pa.array(ctx.view(np.int64)), pa.array(ids[rows].astype(np.int64)), pa.array((first + offset).astype(np.int32)), pa.array((last - first + length).astype(np.int32)), pa.array((pos - first).astype(np.int32))],
-                    names=["key", "ctx", "doc_id", "start", "len", "off"],
+                    [pa.array(grams[pos].view(np.int64)), pa.array(ctx[:, 0].copy()), pa.array(ctx[:, 1].copy()), pa.array(ids[rows].astype(np.int64)), pa.array((first + offset).astype(np.int32)), pa.array((last - first + length).astype(np.int32)), pa.array((pos - first).astype(np.int32))],
+                    names=["key", "a", "b", "row", "start", "len", "off"],
                 )
 
     return run
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, wanted) -> the bytes of each wanted context."""
-    names = ["key", "ctx", "doc_id", "start", "off", "one", "hot", "bytes"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()]
+    """(row, text, wanted) -> the bytes of each wanted context."""
+    names = ["key", "a", "b", "row", "start", "off", "one", "bytes"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
     for batch in batches:
         out, size = [], 0
-        for doc, text, wanted in zip(*(batch.column(i) for i in range(3))):
-            raw, doc = (text.as_py() or "").encode(), doc.as_py()
+        for row, text, wanted in zip(*(batch.column(i) for i in range(3))):
+            raw, row = (text.as_py() or "").encode(), row.as_py()
             for w in wanted.as_py():
-                out.append((w["key"], w["ctx"], doc, w["start"], w["off"], w["one"], w["hot"], raw[w["start"] : w["start"] + w["len"]]))
+                out.append((w["key"], w["a"], w["b"], row, w["start"], w["off"], w["one"], raw[w["start"] : w["start"] + w["len"]]))
                 size += w["len"]
                 if size > 8 * CHUNK:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
@@ -136,6 +150,36 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
 
+def _cores(length: int, g: int, texts: bool):
+    """Contexts of hot buckets -> for each range of ``g`` left reaches the part that holds its windows, by bucket and core.
+
+    Without ``texts`` only the new keys are returned. The anchor's key is part of the new one, and so is the range.
+    """
+    names = ["key", "a", "b", "row", "start", "off", "one", "core", "bytes"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, row, start, off, one, raw in zip(*(batch.column(i).to_pylist() for i in (0, 3, 4, 5, 6, 7))):
+                for least in range(0, min(length, off + 1), g):
+                    # Windows that begin from least to least + g - 1 bytes before the anchor.
+                    lo, hi = max(0, off - least - g + 1), min(len(raw), off - least + length)
+                    if hi - lo >= length:
+                        out.append((key, row, start + lo, off - lo, one, least, raw[off - least : off - least + length - g + 1], raw[lo:hi]))
+            if texts:
+                # What a core is aligned at stays the anchor; the core says which range it is of.
+                cores = [hashlib.blake2b(core, digest_size=16, salt=key.to_bytes(8, "little", signed=True) + least.to_bytes(8, "little")).digest() for key, _, _, _, _, least, core, _ in out]
+                ab = digests(x[7] for x in out)
+                cols = [[int.from_bytes(c[:8], "little", signed=True) for c in cores], ab[:, 0].tolist(), ab[:, 1].tolist(), [x[1] for x in out], [x[2] for x in out], [x[3] for x in out], [x[4] for x in out], cores, [x[7] for x in out]]
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+            else:
+                cores = [hashlib.blake2b(x[6], digest_size=16, salt=x[0].to_bytes(8, "little", signed=True) + x[5].to_bytes(8, "little")).digest() for x in out]
+                yield pa.RecordBatch.from_arrays([pa.array(cores, pa.binary())], names=["core"])
+
+    return run
+
+
 def _prefix(a: bytes, b: bytes) -> int:
     """Length of the common prefix."""
     n = min(len(a), len(b))
@@ -167,7 +211,7 @@ class Buckets:
         self.marks: list[tuple[int, int, tuple]] = []  # first symbol, left reach in bytes, context
 
     def add(self, bucket: int, rows: list[tuple]) -> None:
-        """rows: (doc_id, start, off, one, bytes) of one anchor hash, all different."""
+        """rows: (row, start, off, one, bytes) of one bucket, all different."""
         rights = [r[4][r[2] :] for r in rows]
         lefts = [r[4][: r[2]][::-1] for r in rows]
         right, left = _branches(rights), _branches(lefts)
@@ -194,7 +238,7 @@ class Buckets:
         self.weights.append(len(symbol[2]) if isinstance(symbol[2], bytes) else 0)
 
     def spans(self) -> Iterator[tuple[int, int, int]]:
-        """(doc_id, begin, end) of runs whose every window occurs in another context too."""
+        """(row, begin, end) of runs whose every window occurs in another context too."""
         order = suffix_array(self.text)
         shared = common_prefixes(self.text, order)
         rank = [0] * len(order)
@@ -212,16 +256,16 @@ class Buckets:
 
 
 def _search(length: int):
-    """Slices sorted by key -> repeated spans of the contexts that occur once."""
+    """Slices sorted by key, one of each context -> repeated spans of the contexts that occur once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(found):
             cols = list(zip(*found)) or [(), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32()))], names=["doc_id", "s", "e"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32()))], names=["row", "s", "e"])
 
         at, rows, work = None, [], Buckets(length)
         for batch in batches:
-            for key, doc, start, off, one, raw in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5, 7))):
+            for key, row, start, off, one, raw in zip(*(batch.column(i).to_pylist() for i in (0, 3, 4, 5, 6, 7))):
                 if key != at:
                     if len(rows) > 1:
                         work.add(at, rows)
@@ -229,7 +273,7 @@ def _search(length: int):
                     if len(work.text) >= BATCH:
                         yield out(list(work.spans()))
                         work = Buckets(length)
-                rows.append((doc, start, off, one, raw))
+                rows.append((row, start, off, one, raw))
         if len(rows) > 1:
             work.add(at, rows)
         yield out(list(work.spans()))
@@ -237,25 +281,8 @@ def _search(length: int):
     return run
 
 
-def _windows(length: int):
-    """Hot slices -> a row for each window: its two hashes, and where the once-seen contexts have it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = RangeHash(33), RangeHash(34)
-        names = ["wa", "wb", "doc_id", "s"]
-        for batch in batches:
-            for doc, start, only, raw in zip(*(batch.column(i).to_pylist() for i in (2, 3, 5, 7))):
-                data = np.frombuffer(raw, np.uint8)
-                at = np.arange(len(data) - length + 1)
-                a, b = (h.ranges(h.prefix(data), at, at + length).view(np.int64) for h in (one, two))
-                ids = pa.array(np.full(len(at), doc, np.int64)) if only else pa.nulls(len(at), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), ids, pa.array((at + start).astype(np.int32))], names=names)
-
-    return run
-
-
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, spans) -> counts, the kept bytes and their hash."""
+    """(doc_id, text, spans) -> counts and the hash of the kept bytes."""
     for batch in batches:
         rows = []
         for doc, text, spans in zip(*(batch.column(i) for i in range(3))):
@@ -277,36 +304,65 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
+def _split(ws: Workspace, slices: DataFrame, length: int, bucket: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Slices of buckets of at most ``bucket`` different contexts, and spans found where larger ones were split."""
+    small, spans = None, []
+    for g in (*(r for r in RANGES if r < length), None):
+        hot = slices.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).select("key") if g else None
+        hot = ws.table(hot, "hot") if g else None
+        last = g is None or hot.isEmpty()
+        part = slices if last else slices.join(hot, "key", "left_anti")
+        small = part if small is None else small.unionByName(part)
+        if last:
+            break
+        large = ws.table(slices.join(hot, "key", "left_semi").select(*slices.columns), "large")
+        # First the cores alone are counted: most occur once, and their bytes go nowhere.
+        live = ws.table(large.mapInArrow(_cores(length, g, False), "core binary").groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "live")
+        cut = ws.table(large.mapInArrow(_cores(length, g, True), CORES).join(live, "core", "left_semi"), "cut")
+        kinds = ws.table(cut.groupBy("core", "a", "b").agg(F.count("*").alias("n"), F.min(F.struct("row", "start")).alias("at")), "kinds")
+        again = kinds.where("n > 1").select("core", "a", "b")
+        whole = cut.where("one").join(again, ["core", "a", "b"], "left_semi")
+        spans.append(whole.select("row", F.col("start").alias("s"), (F.col("start") + F.length("bytes")).alias("e")))
+        heads = kinds.select("core", "a", "b", "at.row", "at.start", (F.col("n") == 1).alias("alone"))
+        slices = cut.join(heads, ["core", "a", "b", "row", "start"]).withColumn("one", F.col("one") & F.col("alone"))
+        slices = ws.table(slices.select("key", "a", "b", "row", "start", "off", "one", "bytes"), "slices")
+    return small, spans
+
+
 def repeated_spans(docs: DataFrame, length: int = 400, gram: int = 64, bucket: int = BUCKET) -> DataFrame:
     """Byte spans of ``docs`` (doc_id long, text string; more columns are ignored) that repeat.
 
     A byte is removed if a ``length``-byte string over it also starts anywhere else,
     in the same document or another; strings are judged on the whole input. Returns
-    doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 (of the
-    remaining bytes), spans (array of begin and end). Null texts are empty; texts
-    shorter than ``length`` lose nothing; doc_id must be unique; a text of null doc_id
-    counts as a place of repeats but loses nothing itself; an empty table gives an
-    empty result.
+    a row for each row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs),
+    kept_sha256 (of the remaining bytes), spans (array of begin and end). Null texts
+    are empty; texts shorter than ``length`` lose nothing; rows of null or repeated
+    doc_id are documents of their own, which lose bytes and make others lose them
+    like all; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     ws = Workspace(spark, "suffix")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seen = ws.table(plain.mapInArrow(_contexts(length, gram), CONTEXTS), "contexts")
-    again = seen.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    seen = ws.table(seen.join(again, "key", "left_semi"), "again")
-    kinds = ws.table(seen.groupBy("key", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "len", "off")).alias("at")), "kinds")
-    whole = seen.join(kinds.where("n > 1").select("key", "ctx"), ["key", "ctx"], "left_semi").select("doc_id", F.col("start").alias("s"), (F.col("start") + F.col("len")).alias("e"))
-    several = kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
-    chosen = kinds.join(several, "key").select("at.doc_id", F.struct("key", "ctx", "at.start", "at.len", "at.off", (F.col("n") == 1).alias("one"), (F.col("kinds") > bucket).alias("hot")).alias("w"))
-    chosen = chosen.groupBy("doc_id").agg(F.collect_list("w").alias("wanted"))
-    slices = ws.table(plain.join(chosen, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_slices, SLICES), "slices")
-    few = slices.where("not hot").repartition(n, "key").sortWithinPartitions("key")
-    found = ws.table(few.mapInArrow(_search(length), SPANS), "found")
-    hot = slices.where("hot")
-    windows = hot.mapInArrow(_windows(length), "wa long, wb long, doc_id long, s int")
-    common = windows.groupBy("wa", "wb").agg(F.count("*").alias("n")).where("n > 1").select("wa", "wb")
-    single = windows.where("doc_id is not null").join(common, ["wa", "wb"], "left_semi").select("doc_id", "s", (F.col("s") + length).alias("e"))
-    spans = whole.unionByName(found).unionByName(single).groupBy("doc_id").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    plain, _ = with_rows(ws, plain, "doc_id")
+    plain = plain.select(F.col("_row").alias("row"), "text", "doc_id")
+    every = ws.table(plain.select("row", "text").mapInArrow(_contexts(length, gram), CONTEXTS), "contexts")
+    # Written before the join, so that an anchor of very many contexts can be split by the skew rule.
+    again = ws.table(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "anchors")
+    seen = ws.table(every.join(again, "key", "left_semi"), "again")
+    ws.drop(every)
+    name = ["key", "a", "b"]
+    kinds = ws.table(seen.groupBy(*name).agg(F.count("*").alias("n"), F.min(F.struct("row", "start", "len", "off")).alias("at")), "kinds")
+    whole = seen.join(kinds.where("n > 1").select(*name), name, "left_semi").select("row", F.col("start").alias("s"), (F.col("start") + F.col("len")).alias("e"))
+    several = kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("key")
+    chosen = kinds.join(several, "key").select("at.row", F.struct(*name, "at.start", "at.len", "at.off", (F.col("n") == 1).alias("one")).alias("w"))
+    chosen = chosen.groupBy("row").agg(F.collect_list("w").alias("wanted"))
+    slices = ws.table(plain.join(chosen, "row").select("row", "text", "wanted").mapInArrow(_slices, SLICES), "slices")
+    few, parts = _split(ws, slices, length, bucket)
+    found = ws.table(few.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_search(length), SPANS), "found")
+    spans = whole.unionByName(found)
+    for part in parts:
+        spans = spans.unionByName(part)
+    spans = spans.groupBy("row").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<s:int,e:int>>"
-    return plain.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_cut, out)
+    return plain.join(spans, "row", "left").select("doc_id", "text", "spans").mapInArrow(_cut, out)

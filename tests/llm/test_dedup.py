@@ -50,7 +50,7 @@ def test_suffix_array():
             a, b = t[order[i] :], t[order[i - 1] :]
             n = shared[i]
             assert a[:n] == b[:n] and (n == min(len(a), len(b)) or a[n] != b[n])
-    assert suffix_array([]) == []
+    assert suffix_array([]) == [] and suffix_array([10**9, 5, 10**9, 5]) == [3, 1, 2, 0]
 
 
 def repeated(texts, length):
@@ -68,8 +68,9 @@ def repeated(texts, length):
     return out
 
 
-@pytest.mark.parametrize("bucket", [2048, 1])
-def test_repeated_spans(spark, bucket):
+@pytest.mark.parametrize("bucket, ranges", [(2048, (200, 50, 7, 1)), (1, (20, 3, 1)), (1, (1,)), (4, (30, 7, 1))])
+def test_repeated_spans(spark, bucket, ranges, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "RANGES", ranges)
     rng = random.Random(7)
     passage = words(rng, 40)
     texts = [None, "", "é" * 30, "a" * 130, "ab" * 50 + "x" + "ab" * 40, passage, passage, passage[3:] + "é"]
@@ -80,6 +81,28 @@ def test_repeated_spans(spark, bucket):
     assert [got[i] for i in range(len(texts))] == repeated(texts, 40)
 
 
+def test_repeated_spans_of_null_and_repeated_ids(spark):
+    """Rows without a doc_id, or with one that others have, are documents of their own; long texts and clashing columns."""
+    rng = random.Random(10)
+    shared, other = words(rng, 30, 5000), words(rng, 25, 5000)
+    rows = [(None, f"x {shared}"), (1, f"{shared} y"), (None, None), (2, f"a {other}"), (2, f"{other} b"), (3, words(rng, 30_000, 5000) + other), (4, "")]
+    got = suffix_dedup.repeated_spans(spark.createDataFrame([(*r, 1, "k", 2) for r in rows], "doc_id long, text string, row long, key string, _row int"), 60, 16).collect()
+    want = repeated([t for _, t in rows], 60)
+    assert sorted(((r["doc_id"], *tuple(r)[1:5]) for r in got), key=str) == sorted(((d, *w) for (d, _), w in zip(rows, want)), key=str)
+    assert sum(w[1] > 0 for w in want) == 5
+
+
+def test_an_anchor_of_very_many_contexts(spark):
+    """2,100 different contexts around one line, some of which share a window."""
+    rng = random.Random(12)
+    line = "the very common line of many documents"
+    texts = [f"{words(rng, 8, 9000)} {line} {words(rng, 8, 9000)}" for _ in range(2100)]
+    texts += [f"one {words(rng, 2)} tail of some {line} head of others", f"{words(rng, 4)} tail of some {line} head of others and more"]
+    got = {r["doc_id"]: tuple(r)[1:5] for r in suffix_dedup.repeated_spans(documents(spark, texts), 60, 30, 500).collect()}
+    want = repeated(texts, 60)
+    assert [got[i] for i in range(len(texts))] == want and sum(w[1] > 0 for w in want) >= 2
+
+
 def test_repeated_spans_of_segments(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 64)
     rng = random.Random(8)
@@ -87,11 +110,11 @@ def test_repeated_spans_of_segments(spark, monkeypatch):
     texts.append(texts[0][20:150] + texts[1][5:90])
     import pyarrow as pa
 
-    found = [b for b in suffix_dedup._contexts(40, 8)(iter([pa.record_batch([pa.array([0, 1, 2]), pa.array(texts)], ["doc_id", "text"])]))]
+    found = [b for b in suffix_dedup._contexts(40, 8)(iter([pa.record_batch([pa.array([0, 1, 2]), pa.array(texts)], ["row", "text"])]))]
     windows = collections.Counter()
     for b in found:
         for r in b.to_pylist():
-            windows.update((r["doc_id"], p) for p in range(r["start"], r["start"] + r["len"] - 39))
+            windows.update((r["row"], p) for p in range(r["start"], r["start"] + r["len"] - 39))
     assert windows == collections.Counter((d, p) for d, t in enumerate(texts) for p in range(len(t) - 39))
 
 
