@@ -34,7 +34,7 @@ ROWS = "page_id long, payload_bytes long, payload_digest string, record_type str
 #: Compressed bytes after which a file is closed.
 ROLL = 64 << 20
 #: Payload bytes of a shard at least, and the most shards: the first page of each goes to every task.
-SHARD_BYTES, MOST_SHARDS = 4 << 20, 1 << 16
+SHARD_BYTES, MOST_SHARDS = 1 << 20, 1 << 16
 
 
 def sha1_base32(raw: bytes) -> str:
