@@ -354,7 +354,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, gram: int = 64, bucket: i
     name = ["key", "a", "b"]
     kinds = ws.table(seen.groupBy(*name).agg(F.count("*").alias("n"), F.min(F.struct("row", "start", "len", "off")).alias("at")), "kinds")
     whole = seen.join(kinds.where("n > 1").select(*name), name, "left_semi").select("row", F.col("start").alias("s"), (F.col("start") + F.col("len")).alias("e"))
-    several = kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("key")
+    several = ws.table(kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("key"), "several")
     chosen = kinds.join(several, "key").select("at.row", F.struct(*name, "at.start", "at.len", "at.off", (F.col("n") == 1).alias("one")).alias("w"))
     chosen = chosen.groupBy("row").agg(F.collect_list("w").alias("wanted"))
     slices = ws.table(plain.join(chosen, "row").select("row", "text", "wanted").mapInArrow(_slices, SLICES), "slices")
