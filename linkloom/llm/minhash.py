@@ -7,9 +7,10 @@ last; linked documents form groups by alternating large-star and small-star.
 A band shared by very many documents never becomes all pairs. First each member is
 compared with the band's least member only (a star), and the confirmed links are
 contracted to components. Only then do bands that still hold several components
-compare members of different components, in tiles of bounded size. Members of one
-component need no further link, so no group is lost. A tile returns a spanning
-forest of the links it found, never its pairs.
+compare members of different components, in tiles of bounded size: work that grows
+with the square of the components left in one band, cut into as many tasks. Members
+of one component need no further link, so no group is lost. A tile returns a
+spanning forest of the links it found, never its pairs.
 """
 
 from __future__ import annotations
@@ -23,12 +24,13 @@ from pyspark.sql import functions as F
 
 from .graph import connected_components
 from .hashing import RangeHash, constants, mix, separators, word_spans
-from .shared import Workspace, text_chunks
+from .shared import Workspace, fresh, named_components, text_chunks, with_rows
 
 #: Words are runs of bytes other than these: space and 09-0D.
 SPACE = separators((0x20, 0x20), (0x09, 0x0D))
 CHUNK = 1 << 20
-TILE = 1024
+#: Rows of a tile side, and links to one document that meet its set in one task.
+TILE, LINKS = 512, 256
 
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sig binary"
 SETS = "doc_id long, shingles binary"
@@ -164,7 +166,17 @@ def _tiles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[list[tuple
         yield rows
 
 
-def _agreeing(limit: float):
+def agreeing(sig: np.ndarray, comp: np.ndarray, least: int) -> np.ndarray:
+    """Which rows have, in another component, a signature that agrees with theirs in ``least`` places."""
+    near = np.zeros(len(sig), bool)
+    for i in range(len(sig) - 1):
+        hit = (np.count_nonzero(sig[i + 1 :] == sig[i], axis=1) >= least) & (comp[i + 1 :] != comp[i])
+        near[i] |= hit.any()
+        near[i + 1 :] |= hit
+    return near
+
+
+def _agreeing(least: int):
     """(tile, doc_id, comp, sig) -> the rows that have, in another component of their tile, a signature like theirs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,10 +187,7 @@ def _agreeing(limit: float):
                 if (comp == comp[0]).all():
                     continue
                 sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint16).reshape(len(rows), -1)
-                for i, r in enumerate(rows):
-                    others = sig[comp != comp[i]]
-                    if len(others) and (others == sig[i]).mean(axis=1).max() >= limit:
-                        out.append(r[:3])
+                out += [r[:3] for r, near in zip(rows, agreeing(sig, comp, least).tolist()) if near]
             else:
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))], names=["tile", "doc_id", "comp"])
                 out = []
@@ -241,8 +250,10 @@ def _linked(num: int, den: int):
 
 
 def _confirmed(ws: Workspace, sets: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """The candidate pairs (u, v) that hold on full sets. The set of v travels once for each salt, that of u once for each pair."""
-    salted = ws.table(pairs.select("v", F.pmod(F.xxhash64("u"), F.lit(64)).cast("int").alias("salt"), "u"), "pairs")
+    """The candidate pairs (u, v) that hold on full sets. The set of v travels once for each salt, one for every LINKS pairs, that of u once for each pair."""
+    pairs = ws.table(pairs, "close")
+    salts = ws.table(pairs.groupBy("v").agg(F.ceil(F.count("*") / LINKS).cast("int").alias("salts")), "salts")
+    salted = ws.table(pairs.join(salts, "v").select("v", F.pmod(F.xxhash64("u"), F.col("salts")).cast("int").alias("salt"), "u"), "pairs")
     right = salted.join(sets.withColumnRenamed("doc_id", "u"), "u").select("v", "salt", "u", "shingles")
     left = salted.select("v", "salt").distinct().join(sets.withColumnRenamed("doc_id", "v"), "v").select("v", "salt", F.lit(None).cast("long").alias("u"), "shingles")
     n = ws.spark.conf.get("spark.sql.shuffle.partitions")
@@ -250,25 +261,50 @@ def _confirmed(ws: Workspace, sets: DataFrame, pairs: DataFrame, num: int, den:
     return ws.table(rows.mapInArrow(_confirm(num, den), PAIRS), "confirmed")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: int = 32, rows: int = 4, slack: float = 0.17) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: int = 40, rows: int = 4, slack: float = 0.2) -> DataFrame:
     """Near-duplicate groups of ``docs`` (doc_id long, text string; more columns are ignored).
 
     Texts are lower-cased in A-Z and cut into words at space and 09-0D; a document's
     set is its distinct ``words``-word shingles, with fewer words the whole sequence
     as one. Two documents are linked if 100 * intersection >= ``percent`` * union on
-    full sets. ``bands`` x ``rows`` minima find candidates: at 0.75 a pair is missed
-    with probability (1 - 0.75**rows)**bands, 5e-6 here. Pairs whose signatures agree
-    in less than percent/100 - ``slack`` of the places (4.5 standard deviations) are
-    not confirmed.
-
-    Returns doc_id, n_shingles, component_id (least doc_id reachable), kept. Null and
-    empty texts and texts without words have 0 shingles and stand alone. Repeated
-    doc_id values are one node; its largest set counts. An empty table gives an
-    empty result.
+    full sets. ``bands`` x ``rows`` minima find candidates: at 0.75 a pair shares no
+    band with probability (1 - 0.75**rows)**bands, 2.5e-7 here. Pairs whose signatures
+    agree in less than percent/100 - ``slack`` of the places (over 5 standard
+    deviations, 5e-9 here) are not confirmed.
+
+    Returns a row for each row: doc_id, n_shingles, component_id (least doc_id
+    reachable), kept. Null and empty texts and texts without words have 0 shingles
+    and stand alone. Rows of null or repeated doc_id are documents of their own:
+    component_id is the least doc_id that is given in the group (null if none is),
+    and one row of a group is kept. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    ws = Workspace(spark, "minhash")
+    ws = Workspace(docs.sparkSession, "minhash")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    plain, unique = with_rows(ws, plain, "doc_id")
+    out = _groups(ws, plain, words, percent, bands, rows, slack)
+    if not unique:
+        out = out.join(plain.select("_row", "doc_id"), "_row")
+    else:
+        out = out.withColumn("doc_id", F.col("_row"))
+    return named_components(ws, out, "doc_id", unique).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def first_of_groups(docs: DataFrame, **options) -> DataFrame:
+    """Those rows of ``docs``, with all columns, that ``near_duplicates`` keeps."""
+    ws = Workspace(docs.sparkSession, "minhash")
+    row = fresh(docs, "_number")
+    numbered, unique = with_rows(ws, docs, "doc_id", row)
+    plain = numbered.select(F.col(row).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    out = _groups(ws, plain, **options)
+    out = out.withColumn("doc_id", F.col("_row")) if unique else out.join(plain.select("_row", "doc_id"), "_row")
+    kept = named_components(ws, out, "doc_id", unique).where("kept").select(F.col("_row").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*docs.columns)
+
+
+def _groups(ws: Workspace, plain: DataFrame, words: int = 5, percent: int = 75, bands: int = 40, rows: int = 4, slack: float = 0.2) -> DataFrame:
+    """(_row unique, text) -> _row, n_shingles, component (the least _row of the group)."""
+    spark = ws.spark
+    plain = plain.select(F.col("_row").alias("doc_id"), "text")
     sketch = ws.table(plain.mapInArrow(_sketch(words, bands, rows), SKETCH), "sketch")
     # Documents with equal sets are one: the least id stands for them.
     same = ["n_shingles", "set_a", "set_b"]
@@ -276,8 +312,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: i
     # Written before the join, so that a set of very many copies can be split by the skew rule.
     rep = ws.table(some.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n"), "copies")
     member = ws.table(some.select("doc_id", *same).join(rep, same, "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep")), "members")
-    reps = member.where("doc_id = rep").select("doc_id").distinct()
-    light = ws.table(some.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "bands", "sig"), "reps")
+    reps = member.where("doc_id = rep").select("doc_id")
+    light = ws.table(some.join(reps, "doc_id", "left_semi").select("doc_id", "bands", "sig"), "reps")
     entries = light.select("doc_id", F.explode("bands").alias("band"))
     heads = entries.groupBy("band").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "head")
     heads = ws.table(heads, "heads")
@@ -288,13 +324,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: i
     wanted = shared.select("doc_id").distinct().hint("merge")
     sets = ws.table(plain.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(words), SETS), "sets")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    limit = percent / 100 - slack
     places = bands * rows
+    least = int((percent / 100 - slack) * places)
 
     star = shared.where("doc_id <> head").select(F.col("doc_id").alias("u"), F.col("head").alias("v")).distinct()
     a, b = sigs.select(F.col("doc_id").alias("u"), F.col("sig").alias("su")), sigs.select(F.col("doc_id").alias("v"), F.col("sig").alias("sv"))
     agree = F.aggregate(F.sequence(F.lit(0), F.lit(places - 1)), F.lit(0), lambda s, i: s + (F.substring("su", 2 * i + 1, F.lit(2)) == F.substring("sv", 2 * i + 1, F.lit(2))).cast("int"))
-    close = star.join(a, "u").join(b, "v").where(agree >= int(limit * places)).select("u", "v")
+    close = star.join(a, "u").join(b, "v").where(agree >= least).select("u", "v")
     links = _confirmed(ws, sets, close, percent, 100)
     comp = connected_components(ws, links)
 
@@ -303,19 +339,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: i
     labelled = shared.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("comp"))
     labelled = ws.table(labelled, "labelled")
     mixed = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-    mixed = mixed.select("band", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    mixed = ws.table(mixed.select("band", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")), "mixed")
     spread = labelled.join(mixed, "band").select("band", "doc_id", "comp", "tiles", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int").alias("t"))
     spread = spread.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     spread = spread.select(F.concat_ws("/", "band", F.least("t", "o"), F.greatest("t", "o")).alias("tile"), "doc_id", "comp")
     tiles = spread.join(sigs, "doc_id").select("tile", "doc_id", "comp", "sig").repartition(n, "tile").sortWithinPartitions("tile")
-    near = ws.table(tiles.mapInArrow(_agreeing(limit), "tile string, doc_id long, comp long"), "agreeing")
+    near = ws.table(tiles.mapInArrow(_agreeing(least), "tile string, doc_id long, comp long"), "agreeing")
     full = near.join(sets, "doc_id").select("tile", "doc_id", "comp", "shingles").repartition(n, "tile").sortWithinPartitions("tile")
     more = ws.table(full.mapInArrow(_linked(percent, 100), PAIRS), "crossing")
-    if more.limit(1).count():
+    if not more.isEmpty():
         comp = connected_components(ws, links.unionByName(more))
 
-    group = member.join(comp, member.rep == comp.id, "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
-    every = sketch.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
-    group = group.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    out = every.join(group, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    group = member.join(comp, member.rep == comp.id, "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
+    out = sketch.select("doc_id", "n_shingles").join(group, "doc_id", "left")
+    return out.select(F.col("doc_id").alias("_row"), "n_shingles", F.coalesce("component", "doc_id").alias("component"))

@@ -59,16 +59,24 @@ class Workspace:
             self._delete(self.root)
 
 
-def with_rows(ws: Workspace, df: DataFrame, key: str) -> tuple[DataFrame, bool]:
-    """``df`` with _row, a long that is unique and not null, and whether it is the key itself.
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_rows(ws: Workspace, df: DataFrame, key: str, name: str = "_row") -> tuple[DataFrame, bool]:
+    """``df`` with column ``name``, a long that is unique and not null, and whether it is the key itself.
 
     It is where every key is given and no two are equal. Elsewhere rows are numbered and written once,
     so that every pass over them sees the same numbers.
     """
     odd = df.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n")).where("k is null or n > 1")
     if odd.isEmpty():
-        return df.withColumn("_row", F.col(key).cast("long")), True
-    return ws.table(df.withColumn("_row", F.monotonically_increasing_id()), "rows"), False
+        return df.withColumn(name, F.col(key).cast("long")), True
+    return ws.table(df.withColumn(name, F.monotonically_increasing_id()), "rows"), False
 
 
 def named_components(ws: Workspace, rows: DataFrame, key: str, plain: bool) -> DataFrame:

@@ -129,7 +129,7 @@ def shingles(text, k=5):
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
 
 
-@pytest.mark.parametrize("tile", [1024, 4])
+@pytest.mark.parametrize("tile", [512, 4])
 def test_near_duplicates(spark, tile, monkeypatch):
     monkeypatch.setattr(minhash, "TILE", tile)
     rng = random.Random(9)
@@ -151,10 +151,37 @@ def test_near_duplicates(spark, tile, monkeypatch):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got.values())
 
 
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    """Rows without a doc_id, or with one that others have: each is a document, one of a group is kept."""
+    rng = random.Random(11)
+    one, two, three = (words(rng, 80, 900) for _ in range(3))
+    rows = [(None, one), (None, one), (7, f"{one} end"), (7, two), (7, f"{two} end"), (3, two + " fin"), (None, three), (None, three + " x"), (None, None), (9, "word " * 50_000)]
+    df = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, _row int, band string")
+    sets = [shingles(t) for _, t in rows]
+    got = sorted((tuple(r) for r in minhash.near_duplicates(df).collect()), key=str)
+    groups = [(7, True, [0, 1, 2]), (3, True, [3, 4, 5]), (None, False, [6, 7]), (None, False, [8]), (9, True, [9])]
+    want = [(rows[i][0], len(sets[i]), c) for c, _, members in groups for i in members]
+    assert sorted((r[:3] for r in got), key=str) == sorted(want, key=str)
+    assert sorted((r[2] for r in got if r[3]), key=str) == sorted((c for c, _, _ in groups), key=str)
+    kept = minhash.first_of_groups(df)
+    assert kept.columns == df.columns
+    left = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert [r for r in left if r[0] is not None] == [(3, two + " fin"), (7, f"{one} end"), (9, "word " * 50_000)] and len(left) == 5
+
+
 def test_shared_counts():
+    """Off the diagonal each entry is the size of an intersection."""
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 9000, n)).astype(np.uint64) for n in (1, 50, 6000, 7000, 300)]
-    assert minhash.shared_counts(sets).tolist() == [[len(np.intersect1d(a, b)) if len(a) and i != j or any(len(np.intersect1d(a, c)) for k, c in enumerate(sets) if k != i) else len(a) for j, b in enumerate(sets)] for i, a in enumerate(sets)] or all(minhash.shared_counts(sets)[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(5) for j in range(5) if i != j)
+    found = minhash.shared_counts(sets)
+    assert all(found[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(5) for j in range(5) if i != j)
+
+
+def test_agreeing():
+    rng = np.random.default_rng(4)
+    sig, comp = rng.integers(0, 3, (40, 12)).astype(np.uint16), rng.integers(0, 6, 40)
+    want = [any((sig[i] == sig[j]).sum() >= 7 and comp[i] != comp[j] for j in range(40)) for i in range(40)]
+    assert minhash.agreeing(sig, comp, 7).tolist() == want and 0 < sum(want) < 40
 
 
 def test_components(spark):
