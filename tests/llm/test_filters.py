@@ -55,6 +55,21 @@ def test_contamination(spark, broadcast, monkeypatch):
     assert [got[i] for i in range(len(texts))] == contaminated(texts, items)
 
 
+def test_contamination_of_null_and_repeated_ids(spark):
+    """Rows of null or repeated doc_id are documents of their own; items without an id are one; long texts, clashing columns."""
+    rng = random.Random(8)
+    word = lambda n, v=4000: " ".join(f"v{rng.randrange(v)}" for _ in range(n))
+    items = [(None, word(14)), ("b", "two words"), (None, "three more words"), ("a", word(11)), ("b", word(12))]
+    rows = [(None, f"x {items[0][1]} y"), (None, "nothing"), (4, items[3][1]), (4, "two words two words"), (None, None), (5, f"{word(30_000)} {items[4][1]} three more words"), (6, "")]
+    df = spark.createDataFrame([(*r, "w", 1, "i", 2) for r in rows], "doc_id long, text string, w string, n int, item string, _row int")
+    tests = spark.createDataFrame([(*i, "w") for i in items], "item_id string, text string, run string")
+    got = sorted((tuple(r) for r in decontaminate.contamination(df, tests).collect()), key=str)
+    want = contaminated([t for _, t in rows], [(n or "", t) for n, t in items])
+    assert got == sorted(((d, *x) for (d, _), x in zip(rows, want)), key=str) and sum(x[4] for x in want) == 4
+    clean = decontaminate.clean_rows(df, tests)
+    assert clean.columns == df.columns and sorted((tuple(r)[:2] for r in clean.collect()), key=str) == sorted([(None, "nothing"), (None, None), (6, "")], key=str)
+
+
 def test_contamination_of_empty_tables(spark):
     docs, items = documents(spark, ["a b", None]), spark.createDataFrame([], "item_id long, text string")
     assert [r["n_hit"] for r in decontaminate.contamination(docs, items).collect()] == [0, 0]
