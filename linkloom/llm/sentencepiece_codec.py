@@ -2,7 +2,9 @@
 
 The normaliser takes the longest prefix that the compiled character map knows, then
 records, for every normalised byte, the original byte it came from; pieces are found
-on the normalised text and projected back through that record.
+on the normalised text and projected back through that record. Every text goes that
+way; where the map is empty, and only spaces change, the record is made by array
+operations.
 """
 
 from __future__ import annotations
@@ -63,7 +65,17 @@ class Normaliser:
         self.prefix, self.squeeze, self.escape = spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces
         self.plain = not self.map.units and self.prefix and not self.squeeze and self.escape
 
-    def aligned(self, raw: bytes) -> tuple[bytes, list[int]]:
+    def aligned(self, raw: bytes) -> tuple[bytes, np.ndarray]:
+        """(normalised bytes, original offset of each and of their end)."""
+        if self.plain and raw:
+            widths = np.where(np.frombuffer(raw, np.uint8) == 0x20, len(MARK), 1)
+            widths[0] += len(MARK)
+            source = np.append(np.repeat(np.arange(len(raw)), widths), len(raw))
+            return MARK + raw.replace(b" ", MARK), source
+        out, source = self._mapped(raw)
+        return out, np.array(source, np.int64)
+
+    def _mapped(self, raw: bytes) -> tuple[bytes, list[int]]:
         out, source, at, n = bytearray(), [], 0, len(raw)
         steps = []
         while at < n:
@@ -71,7 +83,8 @@ class Normaliser:
             if hit is None:
                 width = 1 if raw[at] < 0x80 else 2 if raw[at] < 0xE0 else 3 if raw[at] < 0xF0 else 4
                 hit = (width, raw[at : at + width])
-            steps.append((at, at + hit[0], hit[1]))
+            # A character that stays as it is goes byte by byte, a replacement to its key's begin.
+            steps.append((at, int(raw[at : at + hit[0]] == hit[1]), hit[1]))
             at += hit[0]
         if self.squeeze:
             while steps and steps[0][2] == b" ":
@@ -85,15 +98,15 @@ class Normaliser:
             out += mark
             source += [steps[0][0]] * len(mark)
         blank = self.squeeze
-        for lo, _, text in steps:
+        for lo, each, text in steps:
             if self.squeeze and blank:
                 text = text.lstrip(b" ")
             if not text:
                 continue
-            for byte in text:
+            for k, byte in enumerate(text):
                 piece = mark if byte == 0x20 else bytes((byte,))
                 out += piece
-                source += [lo] * len(piece)
+                source += [lo + each * k] * len(piece)
             blank = text.endswith(b" ")
         end = n
         if self.squeeze:
@@ -147,14 +160,10 @@ class Codec:
         return out
 
     def _unit(self, unit: str) -> tuple[bytes, bytes, bytes]:
-        """(ids, their decimals joined by commas, original lengths); the unit's first mark is put there by the library."""
+        """(ids, their decimals joined by commas, normalised bytes of each); the unit's first mark is put there by the library."""
         # The library makes nothing of an empty text: a lone mark is its own piece.
         ids = self.library.encode(unit[1:].replace(SPACE, " ")) if len(unit) > 1 else [self.mark]
-        sizes, raw, at, lengths = self._lengths(ids, unit.encode()), unit.encode(), 0, []
-        for size in sizes:
-            lengths.append(size - 2 * raw.count(MARK, at, at + size))
-            at += size
-        found = (np.array(ids, "<i4").tobytes(), ",".join(map(str, ids)).encode(), np.array(lengths, "<i4").tobytes())
+        found = (np.array(ids, "<i4").tobytes(), ",".join(map(str, ids)).encode(), np.array(self._lengths(ids, unit.encode()), "<i4").tobytes())
         if len(self.units) >= self.MOST:
             self.units.clear()
         if len(unit) <= 64:
@@ -163,31 +172,38 @@ class Codec:
 
     def encode(self, text: str) -> tuple[np.ndarray, bytes, np.ndarray, np.ndarray]:
         """(ids, decimals joined by commas, first and past-the-last original byte of each piece)."""
-        if not text:
-            none = np.zeros(0, np.int32)
-            return none, b"", none, none
-        if self.apart and SPACE not in text:
-            units, known = self.split(SPACE + text.replace(" ", SPACE)), self.units
-            found = [known.get(u) or self._unit(u) for u in units]
-            ids = np.frombuffer(b"".join([f[0] for f in found]), "<i4")
-            ends = np.cumsum(np.frombuffer(b"".join([f[2] for f in found]), "<i4"), dtype=np.int64) - 1
-            begins = np.concatenate([[0], ends[:-1]])
-            return ids, b",".join([f[1] for f in found]), np.maximum(begins, 0), ends
-        ids = self.library.encode(text)
         raw, source = self.normaliser.aligned(text.encode())
-        ends = np.cumsum(self._lengths(ids, raw)) if ids else np.zeros(0, np.int64)
-        source = np.array(source)
-        last = source[np.minimum(ends, len(source) - 1)] if ids else ends
-        begin = source[np.concatenate([[0], ends[:-1]]).astype(np.int64)] if ids else ends
-        return np.array(ids, np.int32), ",".join(map(str, ids)).encode(), begin, last
+        if self.apart and raw and SPACE not in text:
+            known = self.units
+            found = [known.get(u) or self._unit(u) for u in self.split(raw.decode())]
+            ids = np.frombuffer(b"".join([f[0] for f in found]), "<i4")
+            joined = b",".join([f[1] for f in found])
+            sizes = np.frombuffer(b"".join([f[2] for f in found]), "<i4")
+        else:
+            ids = np.array(self.library.encode(text), np.int32)
+            joined = ",".join(map(str, ids.tolist())).encode()
+            sizes = np.array(self._lengths(ids.tolist(), raw), np.int64)
+        edges = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        places = source[np.minimum(edges, len(source) - 1)]
+        return ids, joined, places[:-1], places[1:]
 
     def decode(self, ids: np.ndarray) -> str:
         return self.library.decode(ids.tolist())
 
 
+#: Codecs that this worker process keeps from task to task, by file.
+_CODECS: dict[str, Codec] = {}
+
+
+def codec_of(path: str) -> Codec:
+    if path not in _CODECS:
+        _CODECS[path] = Codec(path)
+    return _CODECS[path]
+
+
 def _code(path: str, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 docs, rows = batch.column(0).slice(lo, 256), []

@@ -79,10 +79,38 @@ def test_character_map():
 
     out, source = spc.Normaliser(Spec).aligned("  AB　 Azq ".encode())
     assert out.decode() == "▁xy▁aq"
-    assert source == [2, 2, 2, 2, 2, 4, 4, 4, 8, 10, 11]
-    assert spc.Normaliser(Spec).aligned(b"") == (b"", [0]) and spc.Normaliser(Spec).aligned(b"  ") == (b"", [2])
+    assert source.tolist() == [2, 2, 2, 2, 2, 4, 4, 4, 8, 10, 11]
+    for raw, end in ((b"", 0), (b"  ", 2)):
+        out, source = spc.Normaliser(Spec).aligned(raw)
+        assert out == b"" and source.tolist() == [end]
 
 
+def test_alignment_by_arrays():
+    """Where the map is empty the array form gives what the longest-prefix form gives."""
+
+    class Spec:
+        precompiled_charsmap, add_dummy_prefix, remove_extra_whitespaces, escape_whitespaces = b"", True, False, True
+
+    normaliser = spc.Normaliser(Spec)
+    for text in TEXTS:
+        raw = (text or "").encode()
+        out, source = normaliser.aligned(raw)
+        slow, places = normaliser._mapped(raw)
+        assert (out, source.tolist()) == (slow, places)
+
+
+def test_sentencepiece_of_repeated_rows(spark):
+    """Rows are coded one by one: null and repeated doc_ids, and a text of two million characters."""
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    rows = [(None, "one two"), (4, "one two"), (4, "one two"), (4, None), (9, "wörd and ▁ " * 200_000)]
+    got = sorted((r["doc_id"], r["n_tokens"]) for r in spc.encode_decode(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_tokens int"), path).where("doc_id is not null").collect())
+    n = len(library.encode("one two"))
+    assert got == [(4, 0), (4, n), (4, n), (9, len(library.encode(rows[4][1])))]
+    assert spc.encode_decode(spark.createDataFrame(rows, "doc_id long, text string"), path).where("doc_id is null").first()["n_tokens"] == n
+
 def test_letters_before_and_after_marks():
     """Every letter up to U+2FFFF, alone, before and after sentence marks and spaces, against the library."""
     from tokenizers import Tokenizer
