@@ -18,12 +18,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .hashing import constants, mix
+from .shared import Workspace
 
 ORDER = 4
-#: Characters and texts of each language that are gathered, two thirds for the counts and the rest to calibrate: the bounds of the sample.
+#: Characters and texts of each language that ``fit`` gathers if not told otherwise, two thirds for the counts and the rest to calibrate.
 SAMPLE_CHARS, SAMPLE_ROWS = 1_500_000, 2_400
-#: Characters of all languages together: with more than 64 languages each has an equal share of them, and its first text at least.
-TOTAL_CHARS = 64 * SAMPLE_CHARS
 #: Languages that share one set of arrays, which grow with its n-grams times its languages.
 BLOCK = 16
 UNDETERMINED = "und"
@@ -63,7 +62,7 @@ def padded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Model:
     """hashes[k - 1], logs[k - 1]: sorted n-grams of order k and a column of log probabilities for each language;
-    contexts[k - 1], weights[k - 1]: contexts of k characters and their log back-off weights.
+    contexts[k - 1], weights[k - 1]: contexts of k characters and their log back-off weights; floor: of a character that none knows.
     The arrays have the first BLOCK languages; ``more`` has models of the others, block by block."""
 
     languages: list[str]
@@ -71,7 +70,7 @@ class Model:
     logs: list[np.ndarray]
     contexts: list[np.ndarray]
     weights: list[np.ndarray]
-    floor: float
+    floor: np.ndarray
     scale: float = 1.0
     limits: np.ndarray | None = None
     more: list[Model] = field(default_factory=list)
@@ -92,7 +91,7 @@ class Model:
                 back = gram_hashes(np.concatenate([chars[:1], chars[:-1]]), k - 1)[todo]
                 at, hit = _find(self.contexts[k - 2], back)
                 out[todo[hit]] += self.weights[k - 2][at[hit]]
-        out[todo] += np.float32(self.floor)
+        out[todo] += self.floor
         return out
 
     def entropies(self, texts: list[str]) -> np.ndarray:
@@ -167,6 +166,7 @@ def _block(languages: list[str], samples: dict[str, list[str]], alphabet: np.nda
     floor = -np.log(len(every[0]) + 1)
     logs = [np.empty((len(e), len(languages)), np.float32) for e in every]
     weights = [np.zeros((len(h), len(languages)), np.float32) for h in heads]
+    unseen = np.empty(len(languages), np.float32)
     for j, lang in enumerate(languages):
         lower = None
         for k in range(ORDER):
@@ -182,6 +182,7 @@ def _block(languages: list[str], samples: dict[str, list[str]], alphabet: np.nda
             if k == 0:
                 total, kinds = use.sum(), len(use)
                 gamma = np.full(len(every[0]), discount * kinds / total)
+                unseen[j] = floor + np.log(max(discount * kinds / total, 1e-9))
                 base = np.full(len(every[0]), np.exp(floor))
                 share = np.zeros(len(every[0]))
                 share[np.searchsorted(every[0], grams)] = np.maximum(use - discount, 0) / total
@@ -199,15 +200,17 @@ def _block(languages: list[str], samples: dict[str, list[str]], alphabet: np.nda
                 share[np.searchsorted(every[k], grams)] = np.maximum(use - discount, 0) / total[inverse]
             lower = share + gamma * base
             logs[k][:, j] = np.log(np.maximum(lower, 1e-12))
-    return Model(languages, every, logs, heads, weights, float(floor))
+    return Model(languages, every, logs, heads, weights, unseen)
 
 
-def calibrate(model: Model, held: dict[str, list[str]], margin: float = 3.0) -> Model:
+def calibrate(model: Model, held: dict[str, list[str]], margin: float = 4.0, least: int = 20) -> Model:
     """Sets the scale of the scores by likelihood, and each language's rejection limit.
 
     A text is rejected if its entropy lies further above its language's mean, in
-    units that shrink with the root of its length, than ``margin`` times the most
-    that any text of the calibration sample does.
+    units that shrink with the root of its length, than ``margin`` times what all
+    but one in a hundred texts of the calibration sample stay under, so that some
+    mislabelled ones do not loosen it. A language of fewer than ``least`` calibration
+    texts rejects nothing.
     """
     texts = [(lang, t) for lang in model.languages for t in held.get(lang, []) if t]
     if not texts:
@@ -232,37 +235,44 @@ def calibrate(model: Model, held: dict[str, list[str]], margin: float = 3.0) ->
     model.limits = np.zeros((len(model.languages), 2))
     for j in range(len(model.languages)):
         own, w = h[truth == j, j], size[truth == j]
-        if len(own):
+        if len(own) >= least:
             mean = float(np.average(own, weights=w**2))
-            model.limits[j] = mean, margin * max(1.0, float(((own - mean) * w).max()))
+            model.limits[j] = mean, margin * max(1.0, float(np.quantile((own - mean) * w, 0.99)))
         else:
             model.limits[j] = 0, np.inf
     return model
 
 
-def fit(labelled: DataFrame) -> Model:
+def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model:
     """A model of ``labelled`` (lang, text): the bounded sample of each language is chosen by the text's hash.
 
-    Every language that has a usable row is learned. Exact copies count once. Rows of
-    null language, and texts without a letter, teach nothing. Without any usable row
-    the model has no language.
+    The sample of a language has at most ``rows`` different texts and, but for its
+    first text, ``chars`` characters; with more than 64 languages each has an equal
+    share of 64 such samples, and three texts at least. Every language that has a
+    usable row is learned. Exact copies count once, also for the sample's share. Rows
+    of null language, and texts without a letter, teach nothing. Without any usable
+    row the model has no language. No text is shuffled but those of the sample.
     """
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    rows = rows.where(F.col("text").rlike(r"\p{L}"))
-    top = rows.groupBy("lang").count().collect()
-    if not top:
-        return Model([], [], [], [], [], 0.0)
-    want, chars = SAMPLE_ROWS, min(SAMPLE_CHARS, TOTAL_CHARS // len(top))
-    share = F.create_map(*(F.lit(x) for r in top for x in (r["lang"], min(1.0, 3 * want / r["count"]))))
-    some = rows.withColumn("h", F.xxhash64("text")).where(F.pmod(F.col("h"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
-    heads = some.groupBy("lang", "h").agg(F.min("text").alias("text"), F.length(F.min("text")).alias("size"))
-    # At most about 3 * want rows a language reach the window.
+    ws = Workspace(labelled.sparkSession, "languages")
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    usable = usable.where(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
+    known = ws.table(usable.select("lang", "h", F.length("text").alias("size")), "known")
+    kinds = ws.table(known.groupBy("lang").agg(F.approx_count_distinct("h").alias("kinds")), "kinds")
+    languages = kinds.count()
+    if not languages:
+        return Model([], [], [], [], [], np.zeros(0, np.float32))
+    want, most = min(rows, max(3, 64 * rows // languages)), min(chars, 64 * chars // languages)
+    share = F.least(F.lit(1.0), F.lit(3.0 * want) / F.col("kinds"))
+    some = known.join(kinds, "lang").where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20))
+    # About 3 * want numbers of a language reach the window.
     order = Window.partitionBy("lang").orderBy("h")
-    heads = heads.withColumn("k", F.row_number().over(order)).where(F.col("k") <= want).withColumn("sum", F.sum("size").over(order))
-    heads = heads.where((F.col("sum") - F.col("size") <= chars) | (F.col("k") == 1))
+    picks = some.groupBy("lang", "h").agg(F.min("size").alias("size")).withColumn("k", F.row_number().over(order)).where(F.col("k") <= want)
+    picks = picks.withColumn("sum", F.sum("size").over(order)).where((F.col("sum") - F.col("size") <= most) | (F.col("k") == 1))
+    picks = ws.table(picks.select("lang", "h", "k"), "picks")
+    texts = usable.join(F.broadcast(picks), ["lang", "h"]).groupBy("lang", "h", "k").agg(F.min("text").alias("text"))
     samples: dict[str, list[str]] = {}
     held: dict[str, list[str]] = {}
-    for lang, text, k in heads.select("lang", "text", "k").collect():
+    for lang, text, k in texts.orderBy("lang", "k").select("lang", "text", "k").collect():
         (held if k % 3 == 0 else samples).setdefault(lang, []).append(fold(text))
     return calibrate(train(samples), held)
 
