@@ -2,7 +2,9 @@
 
 The lexicon is learned from labelled documents. A word's evidence is the number of
 different neighbourhoods (the word before and the word after) it has in toxic and in
-clean documents, so that a passage copied a thousand times counts once.
+clean documents, so that a passage copied a thousand times counts once. Exception
+phrases are learned with it: pairs of words that only clean documents have. The score
+is calibrated on labelled documents that the lexicon did not see.
 """
 
 from __future__ import annotations
@@ -22,14 +24,16 @@ from .shared import Workspace, batch_rows
 
 #: Look-alikes of Latin letters in Greek and Cyrillic, and digits and signs that stand for letters.
 LOOKALIKES = str.maketrans("аеорсухіјѕԁһӏ" + "αεοριυνκτ" + "0134578@$!", "aeopcyxijsdhl" + "aeopiuvkt" + "oieastbasi")
-#: Phrases in which a word of the lexicon says nothing about a person.
+#: Phrases in which a word of the lexicon says nothing about a person; more are learned.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "moron test", "pathetic fallacy", "scum layer", "pond scum", "loser bracket")
-#: Labelled rows that a model is learned from: the bound of the sample.
+#: Labelled rows that a model is learned from if not told otherwise: the bound of the sample, and of all that is gathered from it.
 LABEL_ROWS = 32_768
-#: Words and phrases that a model may hold, and rows that calibrate the score: bounds of what is gathered.
-MOST_WORDS, CALIBRATION_ROWS = 2_000, 4_000
+#: One text in so many, by its hash, calibrates the score; the lexicon is learned from the others.
+CALIBRATION_PART = 4
 #: A word enters the lexicon with so many toxic neighbourhoods and this share of toxic ones.
-LEAST_CONTEXTS, LEAST_SHARE = 8, 0.7
+LEAST_CONTEXTS, LEAST_SHARE = 6, 0.7
+#: A pair of words is an exception with so many different clean texts, and no toxic one.
+LEAST_CLEAN = 4
 #: Neighbourhoods that a task holds at a time, and words that go to the tasks at a time.
 FLUSH, PART_WORDS = 300_000, 100_000
 
@@ -76,7 +80,7 @@ class Lexicon:
         return self.machine
 
     def matches(self, text: str) -> list[tuple[float, str]]:
-        """Whole words of the lexicon outside every exception phrase."""
+        """Whole words of the lexicon outside every exception phrase; digits are part of words, as in ``terms``."""
         low = text.lower()
         machine = self.automaton()
         if not len(machine):
@@ -84,7 +88,7 @@ class Lexicon:
         found, shields = [], []
         for end, (size, weight, word) in machine.iter(low.translate(LOOKALIKES)):
             begin = end + 1 - size
-            if (begin and low[begin - 1].isalpha()) or (end + 1 < len(low) and low[end + 1].isalpha()):
+            if (begin and low[begin - 1].isalnum()) or (end + 1 < len(low) and low[end + 1].isalnum()):
                 continue
             if weight:
                 found.append((begin, end, weight, word))
@@ -101,15 +105,11 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, x))))
 
 
-def _kept(word: str) -> bool:
-    return 2 < len(word) <= 40
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text) -> words with how many of the texts have them."""
     counts = Counter()
     for (text,) in batch_rows(batches):
-        counts.update(set(filter(_kept, terms(text))))
+        counts.update(set(terms(text)))
         if len(counts) > 500_000:
             yield _table(zip(*counts.items()), "word", "n")
             counts = Counter()
@@ -133,9 +133,8 @@ def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = set()
     for (text,) in batch_rows(batches):
         for word, before, after in _around(text):
-            if _kept(word):
-                rows.add((word, "before", before))
-                rows.add((word, "after", after))
+            rows.add((word, "before", before))
+            rows.add((word, "after", after))
         if len(rows) > FLUSH:
             yield _table(zip(*rows), "word", "side", "near")
             rows = set()
@@ -166,6 +165,29 @@ def _pairs(most: dict[str, int]):
     return run
 
 
+def _phrases(words: set[str]):
+    """(toxic, text) -> pairs of neighbours with a word of ``words``, how many texts have them and how many toxic ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, toxic = Counter(), Counter()
+
+        def table():
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64()), pa.array([toxic[p] for p in counts], pa.int64())], names=["phrase", "n", "toxic"])
+
+        for label, text in batch_rows(batches):
+            seq = terms(text)
+            found = {f"{a} {b}" for a, b in zip(seq, seq[1:]) if a in words or b in words}
+            counts.update(found)
+            if label:
+                toxic.update(found)
+            if len(counts) > FLUSH:
+                yield table()
+                counts, toxic = Counter(), Counter()
+        yield table()
+
+    return run
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = LABEL_ROWS) -> DataFrame:
     """(toxic, text) of at most ``most`` labelled documents, chosen by a hash; all of them where there are fewer.
 
@@ -183,16 +205,21 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = LABEL_ROWS) ->
 def learn(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """A lexicon from ``labelled`` (toxic 0 or 1, text); null labels and texts teach nothing.
 
-    Exact copies are one text (toxic if any copy is). A word enters with LEAST_CONTEXTS
-    different toxic texts, neighbours before and neighbours after, of which the fewer
-    neighbours are LEAST_SHARE of them and its clean neighbourhoods; of more than
-    MOST_WORDS such words those with the most toxic neighbours stay. Without toxic
-    rows the lexicon is empty and every score low.
+    Exact copies are one text (toxic if any copy is). A word, of any length, enters
+    with LEAST_CONTEXTS different toxic texts, neighbours before and neighbours after,
+    of which the fewer neighbours are LEAST_SHARE of them and its clean neighbourhoods.
+    Pairs of neighbours with such a word that LEAST_CLEAN texts have, and no toxic one,
+    are exceptions besides ``exceptions``. One text in CALIBRATION_PART is kept from
+    all that and calibrates the score. Without toxic rows the lexicon is empty and
+    every score low. What is gathered is bounded by the labelled rows given (see
+    ``training_rows``): their words with enough toxic texts, and three numbers for
+    each calibration text.
     """
     given = labelled.where("toxic is not null and text is not null").select(F.col("toxic").cast("int").alias("toxic"), F.col("text").cast("string").alias("text"))
     ws = Workspace(labelled.sparkSession, "lexicon")
-    rows = ws.table(given.groupBy(F.sha2("text", 256).alias("h")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")).select("toxic", "text"), "distinct")
-    toxic, clean = rows.where("toxic <> 0").select("text"), rows.where("toxic = 0").select("text")
+    rows = ws.table(given.groupBy(F.sha2("text", 256).alias("h")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")).select("toxic", "text", (F.pmod(F.crc32("h"), F.lit(CALIBRATION_PART)) == 0).alias("held")), "distinct")
+    seen = rows.where("not held")
+    toxic, clean = seen.where("toxic <> 0").select("text"), seen.where("toxic = 0").select("text")
     texts = toxic.mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("texts")).where(F.col("texts") >= LEAST_CONTEXTS)
     sides = toxic.mapInArrow(_sides, "word string, side string, near string").distinct()
     sides = sides.groupBy("word").agg(F.count_if(F.col("side") == "before").alias("a0"), F.count_if(F.col("side") == "after").alias("a1"))
@@ -200,29 +227,23 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexi
     likely = ws.table(likely, "likely")
     # Words go to the tasks in parts of about PART_WORDS; all of them go.
     parts = -(-likely.count() // PART_WORDS)
-    found = []
+    weights = {}
     for part in range(parts):
         a = {r["word"]: r["a"] for r in likely.where(F.pmod(F.xxhash64("word"), F.lit(parts)) == part).collect()}
         most = {w: math.floor(n * (1 - LEAST_SHARE) / LEAST_SHARE + 1e-9) for w, n in a.items()}
         near = clean.mapInArrow(_pairs(most), "word string, before string, after string").distinct().groupBy("word").agg(F.count("*").alias("b"))
         b = {r["word"]: r["b"] for r in near.collect()}
-        found += [(-n, w, b.get(w, 0)) for w, n in a.items() if b.get(w, 0) <= most[w]]
-        found = sorted(found)[:MOST_WORDS]
-    weights = {w: math.log((0.5 - n) / (b + 0.5)) for n, w, b in found}
+        weights |= {w: math.log((n + 0.5) / (b.get(w, 0) + 0.5)) for w, n in sorted(a.items()) if b.get(w, 0) <= most[w]}
     if not weights:
         return Lexicon({}, exceptions)
-    lexicon = Lexicon(weights, exceptions)
-    # Both classes by the text's hash, so that the sample does not depend on the order of rows.
-    held = rows.select("toxic", "text", F.xxhash64("text").alias("h")).where(F.pmod("h", F.lit(1 << 16)) < _rate(rows) * (1 << 16)).limit(CALIBRATION_ROWS * 2)
-    table = held.select("toxic", "text").mapInArrow(_measure(lexicon), "toxic int, total double, hits long, words long").collect()
-    _fit(lexicon, table)
+    pairs = seen.select("toxic", "text").mapInArrow(_phrases(set(weights)), "phrase string, n long, toxic long")
+    learned = pairs.groupBy("phrase").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where((F.col("n") >= LEAST_CLEAN) & (F.col("toxic") == 0))
+    lexicon = Lexicon(weights, (*exceptions, *sorted(r["phrase"] for r in learned.collect())))
+    table = rows.where("held").select("toxic", "text").mapInArrow(_measure(lexicon), "toxic int, total double, hits long, words long").collect()
+    _fit(lexicon, sorted(map(tuple, table)))
     return lexicon
 
 
-def _rate(rows: DataFrame) -> float:
-    return min(1.0, CALIBRATION_ROWS / max(1, rows.count()))
-
-
 def _measure(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

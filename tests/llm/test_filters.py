@@ -124,6 +124,64 @@ def test_every_language_is_learned(spark):
     assert [r["lang_pred"] for r in found] == list(own)
 
 
+def test_copies_do_not_hide_a_language(spark):
+    """Four texts of one language, copied fifty thousand times each, beside many texts of another."""
+    rng = random.Random(20)
+    few = spark.createDataFrame([("fr", prose(rng, "fr", 30)) for _ in range(4)], "lang string, text string").crossJoin(spark.range(50_000)).select("lang", "text")
+    many = spark.createDataFrame([("de", prose(rng, "de", 30)) for _ in range(400)], "lang string, text string")
+    found = langid.fit(few.unionByName(many), rows=30)
+    assert found.languages == ["de", "fr"]
+    assert langid.identify(documents(spark, [prose(rng, "fr", 40)]), found).first()["lang_pred"] == "fr"
+
+
+def kneser_ney(samples, order=4):
+    """A plain model of one language over strings: interpolated, counts at the top, numbers of predecessors below."""
+    padded = [" " * (order - 1) + t for t in samples]
+    top = [s[i - order + 1 : i + 1] for s in padded for i in range(order - 1, len(s))]
+    counts = {order: {g: top.count(g) for g in set(top)}}
+    for k in range(order - 1, 0, -1):
+        up = set(counts[k + 1])
+        counts[k] = {}
+        for g in up:
+            counts[k][g[1:]] = counts[k].get(g[1:], 0) + 1
+    return counts
+
+
+def test_model_against_a_plain_one():
+    """Probabilities of one language against dictionaries of strings."""
+    rng = random.Random(21)
+    texts = [prose(rng, "en", 12) for _ in range(6)]
+    model, counts = langid.train({"en": texts}), kneser_ney(texts)
+    alphabet = len({c for t in texts for c in t} | {" "}) + 1
+
+    def p(context, c, k):
+        if k == 0:
+            return 1 / alphabet
+        use = counts[k]
+        ones, twos = max(1, sum(n == 1 for n in use.values())), sum(n == 2 for n in use.values())
+        d = ones / (ones + 2 * twos)
+        context = context[len(context) - k + 1 :]
+        after = {g: n for g, n in use.items() if g[:-1] == context}
+        total = sum(after.values())
+        if not total:
+            return p(context, c, k - 1)
+        return max(after.get(context + c, 0) - d, 0) / total + d * len(after) / total * p(context, c, k - 1)
+
+    for context in ("the", "ing", " of", "an ", "erx"):
+        for c in "aeht .q":
+            got = model.char_logs(np.array([ord(x) for x in context + c], np.uint32))[0, 0]
+            assert abs(got - math.log(p(context, c, 4))) < 2e-3, (context, c)
+
+
+def test_languages_of_ties_repeats_and_long_texts(spark, model):
+    """Equal models: the first by name; rows of null and repeated doc_id stand by themselves; a text of a million characters."""
+    same = langid.train({"b": ["abc abc"], "a": ["abc abc"]})
+    rows = [(None, "THE ING"), (3, "der sch ein"), (3, "der sch ein"), (8, "eau que les " * 90_000)]
+    out = langid.identify(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang_pred string"), model).collect()
+    assert sorted((str(r["doc_id"]), r["lang_pred"]) for r in out) == [("3", "de"), ("3", "de"), ("8", "fr"), ("None", "en")]
+    assert [r["lang_pred"] for r in langid.identify(documents(spark, ["abc"]), same).collect()] == ["a"]
+
+
 def test_blocks_do_not_change_entropies(monkeypatch):
     rng = random.Random(17)
     samples = {lang: [prose(rng, lang, 40) for _ in range(9)] for lang in SYLLABLES} | {"el": ["αβγ δεζ ηθι"]}
@@ -163,9 +221,8 @@ def name(rng):
     return "".join(rng.choice("bcdfghjklm") for _ in range(7))
 
 
-def test_lexicon_beside_large_groups_of_copies(spark, monkeypatch):
-    """Copies of a long toxic text take no place from toxic words, and copies of a clean one do not clear them."""
-    monkeypatch.setattr(toxicity, "MOST_WORDS", 5)
+def test_lexicon_beside_large_groups_of_copies(spark):
+    """Copies of a long toxic text make no word toxic, and copies of a clean one do not clear one."""
     rng = random.Random(14)
     rows = [(1, f"{name(rng)} scumbag {name(rng)}") for _ in range(20)] + [(0, f"{name(rng)} {name(rng)}") for _ in range(20)]
     rows += [(1, " ".join(name(rng) for _ in range(30)))] * 60 + [(0, "he said scumbag once")] * 60
@@ -176,7 +233,7 @@ def test_lexicon_in_parts(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "PART_WORDS", 1)
     monkeypatch.setattr(toxicity, "FLUSH", 3)
     rng = random.Random(15)
-    rows = [(1, f"{name(rng)} {w} {name(rng)}") for w in ("idiot", "scumbag", "moron") for _ in range(9)] + [(0, f"{name(rng)} moron {name(rng)}") for _ in range(9)]
+    rows = [(1, f"{name(rng)} {w} {name(rng)}") for w in ("idiot", "scumbag", "moron") for _ in range(16)] + [(0, f"{name(rng)} moron {name(rng)}") for _ in range(16)]
     assert set(toxicity.learn(spark.createDataFrame(rows, "toxic int, text string")).weights) == {"idiot", "scumbag"}
 
 
@@ -186,6 +243,39 @@ def test_toxicity(spark, lexicon, text, hit):
     assert (r["predicted"], r["score"] >= 0.7, bool(r["matches"])) == (int(hit), hit, hit) and 0 <= r["score"] <= 1
 
 
+def test_learned_exceptions(spark):
+    """A pair of words that only clean texts have is an exception; words of one letter and of very many are learned."""
+    rng, long = random.Random(18), "z" * 60
+    rows = [(1, f"{name(rng)} {w} {name(rng)}") for w in ("scum", "q", long) for _ in range(40)] + [(0, f"{name(rng)} pond scum {name(rng)}") for _ in range(14)] + [(0, f"{name(rng)} {name(rng)}") for _ in range(40)]
+    found = toxicity.learn(spark.createDataFrame(rows, "toxic int, text string"), ())
+    assert set(found.weights) == {"scum", "q", long} and found.exceptions == ("pond scum",)
+    assert found.matches("the pond scum here") == [] and [w for _, w in found.matches("you scum, 5cum scum7 Q")] == ["scum", "scum", "q"]
+
+
+def matches_by_words(lexicon, text):
+    """Brute force: folded words one by one; none inside an exception phrase."""
+    low = text.lower()
+    places = [(m.start(), m.end(), m[0].translate(toxicity.LOOKALIKES)) for m in toxicity._WORD.finditer(low)]
+    folded = low.translate(toxicity.LOOKALIKES)
+    shields = [(i, i + len(p)) for p in lexicon.exceptions for i in range(len(folded)) if folded.startswith(toxicity.fold(p), i)]
+    return sorted(w for b, e, w in places if w in lexicon.weights and not any(s <= b and e <= t for s, t in shields))
+
+
+def test_matches_against_brute_force():
+    rng = random.Random(19)
+    lexicon = toxicity.Lexicon({"idiot": 2.0, "scum": 1.0, "fool": 1.5}, ("fool proof", "pond scum"))
+    parts = ["idiot", "1d10t", "IDIOT", "idiots", "x", "scum", "id!ot", "5cum", "pond", "fool", "f00l", "proof", "7", "іdіоt", "é", "foolproof"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) + rng.choice([" ", "  ", ", ", "\n", "-", "..."]) for _ in range(rng.randrange(8)))
+        assert sorted(w for _, w in lexicon.matches(text)) == matches_by_words(lexicon, text), text
+
+
+def test_toxicity_of_repeated_rows_and_long_texts(spark, lexicon):
+    rows = [(None, "you idiot"), (4, "you idiot"), (4, "you idiot"), (5, "wordb " * 200_000 + "idiot")]
+    out = toxicity.score(spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id long, text string, score double"), lexicon).collect()
+    assert sorted((str(r["doc_id"]), r["predicted"], r["n_words"]) for r in out)[:3] == [("4", 1, 2), ("4", 1, 2), ("5", out[3]["predicted"], 200_001)] and len(out) == 4
+
+
 def test_training_rows(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(50)] + [(None, 1), (3, None)], "doc_id long, toxic int")
     docs = documents(spark, [f"t{i}" for i in range(60)])
