@@ -94,7 +94,8 @@ def clean_rows(docs: DataFrame, items: DataFrame, window: int = 10, gram: int =
     row = fresh(docs, "_number")
     numbered, _ = with_rows(ws, docs, "doc_id", row)
     plain = numbered.select(F.col(row).alias("_row"), F.col("text").cast("string").alias("text"))
-    hit = _hits(ws, plain, items, window, gram).select(F.col("_row").alias(row))
+    # Written, so that a small table of hits is sent to the texts, and not the texts to it.
+    hit = ws.table(_hits(ws, plain, items, window, gram).select(F.col("_row").alias(row)), "hit")
     return numbered.join(hit, row, "left_anti").select(*docs.columns)
 
 

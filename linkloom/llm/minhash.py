@@ -297,8 +297,9 @@ def first_of_groups(docs: DataFrame, **options) -> DataFrame:
     plain = numbered.select(F.col(row).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = _groups(ws, plain, **options)
     out = out.withColumn("doc_id", F.col("_row")) if unique else out.join(plain.select("_row", "doc_id"), "_row")
-    kept = named_components(ws, out, "doc_id", unique).where("kept").select(F.col("_row").alias(row))
-    return numbered.join(kept, row, "left_semi").select(*docs.columns)
+    # Written, so that a small table of what goes is sent to the texts, and not the texts to it.
+    gone = ws.table(named_components(ws, out, "doc_id", unique).where("not kept").select(F.col("_row").alias(row)), "gone")
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def _groups(ws: Workspace, plain: DataFrame, words: int = 5, percent: int = 75, bands: int = 40, rows: int = 4, slack: float = 0.2) -> DataFrame:

@@ -19,30 +19,37 @@ def _tokenizer(name: str) -> str:
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors. A null, zero or non-finite vector or a null label links with nothing; rows of null or repeated vec_id are vectors of their own."""
     return embed_dedup.vector_links(_table(spark, sf_dir, "embeddings"), 0.98)
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each whole text loses to 400-byte repeats. Null is empty; rows of null or repeated doc_id are documents of their own."""
     return suffix_dedup.repeated_spans(_table(spark, sf_dir, "documents"), 400).drop("spans")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents. Null, empty and wordless texts stand alone; rows of null or repeated doc_id are documents of their own."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), 5, 75)
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded, row by row. Null is empty and has no ids."""
     return sentencepiece_codec.encode_decode(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back. Null html is an empty payload; rows of null page_id are left out; a repeated row of a response revisits it."""
     return warc.archive_table(_table(spark, sf_dir, "pages"), 0).drop("url")
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document shares with the benchmark. Null has no words; rows of null or repeated doc_id are documents of their own; an item without an id is the item of the empty id."""
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 10)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, row by row. A null text, or one without letters, is und with score 0; rows of null doc_id are held out by neither value."""
     docs = _table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(~langid.held_out()).select("lang", "text"))
     out = langid.identify(docs, model)
@@ -50,10 +57,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text in token files, read back. Null is empty and has the end id; rows of null doc_id are left out, repeated ones stand side by side."""
     return tokenbin.token_table(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), 1)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every text, row by row. Null and empty texts score as texts without a match; null labels teach nothing."""
     docs = _table(spark, sf_dir, "documents")
     held = langid.held_out(parts=3, part=1)
     labels = _table(spark, sf_dir, "labels").where(~held).select("doc_id", "toxic")
@@ -63,8 +72,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = secret_scan.train(secret_scan.labelled_findings(spark))
-    return secret_scan.scan(_table(spark, sf_dir, "documents"), model).drop("token")
+    """Every candidate finding with the forest's verdict; null and empty texts give none, rows of one doc_id give their own."""
+    docs = _table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.fit(docs)).drop("token")
 
 
 QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_suffix_array_dedup, op3_minhash_near_dedup, op4_sentencepiece, op5_warc, op6_decontamination, op7_language_id, op8_token_files, op9_toxicity, op10_secret_scan)}

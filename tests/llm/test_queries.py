@@ -43,6 +43,67 @@ def test_pipeline(spark, sf_dir):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "minhash_near_dedup", "decontamination", "secret_scan", "sentencepiece"]
 
 
+def test_pipeline_against_brute_force(spark, sf_dir):
+    """What each stage keeps of the small table, by plain Python over whole texts: shingle sets, windows and the library's ids."""
+    import hashlib
+    import re
+
+    import public_tokenizers
+    import sentencepiece
+
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    items = [r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    low = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+    spoken = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, spoken, sf_dir).collect()}
+    assert kept <= {d for d, t in docs.items() if any(map(str.isalpha, t))} and len(kept) >= 0.97 * len(docs)
+
+    def shingles(t):
+        w = re.findall("[^ \t-\r]+", low(t))
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+
+    sets, root = {d: shingles(docs[d]) for d in kept}, {d: d for d in kept}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    order = sorted(kept)
+    for i, a in enumerate(order):
+        for b in order[:i]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    kept = {d for d in kept if find(d) == d}
+    split = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", low(t))
+    windows = {tuple(w[i : i + min(10, len(w))]) for w in map(split, items) for i in range(max(1, len(w) - 9)) if w}
+    sizes = {len(w) for w in windows}
+    kept = {d for d in kept if not any(tuple(w[i : i + k]) in windows for w in [split(docs[d])] for k in sizes for i in range(len(w) - k + 1))}
+    rows = {r["doc_id"]: r for r in corpus_pipeline.run(spark, sf_dir).collect()}
+    assert set(rows) == kept
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    plain = [d for d in kept if "token" not in docs[d].lower() and not re.search("[A-Za-z0-9_+/.~-]{14}", docs[d])]
+    assert len(plain) > 50 and all(rows[d]["ids_sha256"] == hashlib.sha256(",".join(map(str, library.encode(docs[d]))).encode()).hexdigest() for d in plain)
+
+
+def test_pipeline_of_an_empty_table_and_of_repeated_ids(spark, sf_dir):
+    """Rows of one doc_id are judged each by its own text; columns that clash with names used inside stay."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    prose = [r["text"] for r in docs.where("lang = 'en' and length(text) > 300").orderBy("doc_id").limit(40).collect()]
+    odd = [(1, "en", prose[0], "a"), (1, "en", prose[1], "b"), (1, "en", "!!", "c"), (2, "en", prose[0], "d"), (2, None, None, "e")]
+    given = spark.createDataFrame(odd + [(100 + i, "en", t, "x") for i, t in enumerate(prose[2:])], "doc_id long, lang string, text string, _number string").withColumn("n_chars", F.lit(0).cast("int"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, given.limit(0), sf_dir).count() == 0, name
+        given = spark.createDataFrame(stage(spark, given, sf_dir).collect(), given.schema)
+        if name == "language_id":
+            assert sorted(r["_number"] for r in given.where("doc_id <= 2").collect()) == ["a", "b", "d"]
+        if name == "minhash_near_dedup":
+            assert sorted(r["_number"] for r in given.where("doc_id <= 2").collect()) == ["a", "b"]
+    assert given.columns == ["doc_id", "lang", "text", "_number", "n_chars"]
+
+
 def test_pipeline_without_doc_ids(spark, sf_dir):
     """Documents whose doc_id is null are kept, dropped and masked as they would be with one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) < 5000")
