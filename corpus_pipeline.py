@@ -1,63 +1,43 @@
 """A corpus pipeline: each stage works on all documents that the stage before kept.
 
-Documents without a doc_id are judged by their texts like all others, and keep the null.
+A document is a row. Rows whose doc_id is null, or one that other rows have too, are
+judged each by its own text like all others, and keep what they have as doc_id. Null
+and empty texts go in the first stage, as they have no language. Columns besides
+doc_id and text, whatever their names, are carried along. An empty table stays empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm import decontaminate, langid, minhash, secret_scan, sentencepiece_codec
 from linkloom.llm.shared import Workspace
 
 
-def _key() -> Column:
-    """doc_id; where it is null a number made of the text, above all given ones."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 62)))
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("doc_id", _key())
-
-
-def _kept(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Those of ``docs`` whose key is a doc_id of ``kept``."""
-    return docs.withColumn("_key", _key()).join(kept.select(F.col("doc_id").alias("_key")), "_key", "left_semi").select(*docs.columns)
-
-
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised: texts without letters, and texts like no learned language, go."""
-    model = langid.fit(docs.where(~langid.held_out()).select("lang", "text"))
-    return _kept(docs, langid.identify(_keyed(docs), model).where("not rejected"))
+    """Documents whose language is recognised: texts without letters, null ones among them, and texts like no learned language, go."""
+    return langid.recognised(docs, langid.fit(docs.where(~langid.held_out()).select("lang", "text")))
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the least doc_id, or one without if none has any."""
-    given, bare = docs.where("doc_id is not null"), docs.where("doc_id is null")
-    # Exact copies without a doc_id have one key; texts without a word are no copies.
-    word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    docs = given.unionByName(bare.where(word).dropDuplicates(["text"])).unionByName(bare.where(~word))
-    asked = given.unionByName(_keyed(bare).dropDuplicates(["doc_id"]))
-    return _kept(docs, minhash.near_duplicates(asked).where("kept"))
+    """One document of each group of near duplicates: that of the least doc_id, or one without if none has any. Texts without a word are no copies."""
+    return minhash.first_of_groups(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no window of ten words with a benchmark item."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _kept(docs, decontaminate.contamination(_keyed(docs), items).where("not contaminated"))
+    """Documents that share no window of ten words, and no whole shorter item, with the benchmark. Null texts have no words and stay."""
+    return decontaminate.clean_rows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the secrets in their texts masked and n_chars counted anew."""
-    model = secret_scan.train(secret_scan.labelled_findings(spark))
-    out = secret_scan.redact(_keyed(docs.withColumn("_given", F.col("doc_id"))), model)
-    out = out.withColumn("doc_id", F.col("_given")).select(*docs.columns)
+    """All documents, with the secrets in their texts masked and n_chars, where there is one, counted anew. Null texts stay null."""
+    out = secret_scan.redact(docs, secret_scan.fit(docs))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the documents that are left."""
+    """Token counts and digests of the documents that are left, row by row. Null texts have no ids."""
     import public_tokenizers
 
     return sentencepiece_codec.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
