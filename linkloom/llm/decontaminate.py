@@ -130,7 +130,8 @@ def _hits(ws: Workspace, plain: DataFrame, items: DataFrame, window: int, gram:
     last = F.when(F.col("size") == window, F.least(F.col("at"), n - window + 1)).otherwise(F.col("at"))
     starts = found.select("_row", "size", F.explode(F.sequence(first, last)).alias("at"))
     starts = ws.table(starts.groupBy("_row").agg(F.collect_set(F.struct("size", "at")).alias("starts")), "starts")
-    near = ws.table(plain.join(starts, "_row").select("_row", words(F.col("text")).alias("w"), "starts"), "candidates")
+    # The texts are shuffled at any size of the table.
+    near = ws.table(plain.join(starts.hint("merge"), "_row").select("_row", words(F.col("text")).alias("w"), "starts"), "candidates")
     each = F.explode(F.transform("starts", lambda s: F.struct(s["size"].alias("size"), s["at"].alias("at"), F.array_join(F.slice(w, s["at"], s["size"]), " ").alias("run")))).alias("s")
     spots = near.select("_row", each).select("_row", "s.*").join(_joined(runs, rows), ["size", "run"]).select("_row", "at", "size", "item")
     spots = ws.table(spots, "spots")
