@@ -26,7 +26,8 @@ from .shared import Workspace, fresh, with_rows
 KEY = r"[A-Za-z0-9_+/.~\-]"
 END = r"(?![A-Za-z0-9_+/.~=\-])"
 PADDING = f"(?:={{1,2}}{END})?"
-TOKEN = f"(?:{KEY}{{16,}}{PADDING}|{KEY}{{15}}={{1,2}}{END}|{KEY}{{14}}=={END})"
+#: It is looked for at the begin of a run only: inside one nothing else could match.
+TOKEN = f"(?<!{KEY})(?:{KEY}{{16,}}{PADDING}|{KEY}{{15}}={{1,2}}{END}|{KEY}{{14}}=={END})"
 #: Long runs that are candidates without a digit: access key ids.
 KNOWN = "^A[KSB]IA[A-Z2-7]{16}$"
 #: Names that stand in paths, addresses and examples.
