@@ -14,11 +14,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import constants, mix
-from .shared import Workspace
+from .shared import Workspace, lean
 
 ORDER = 4
 #: Characters and texts of each language that ``fit`` gathers if not told otherwise, two thirds for the counts and the rest to calibrate.
@@ -219,7 +219,7 @@ def calibrate(model: Model, held: dict[str, list[str]], margin: float = 4.0, lea
     cuts, size = [0], 0
     for i, (_, t) in enumerate(texts, 1):
         size += len(t)
-        if size > 1 << 19 or i == len(texts):
+        if size > 1 << 18 or i == len(texts):
             cuts.append(i)
             size = 0
     h = np.vstack([model.entropies([t for _, t in texts[a:b]]) for a, b in zip(cuts, cuts[1:])])
@@ -246,9 +246,9 @@ def calibrate(model: Model, held: dict[str, list[str]], margin: float = 4.0, lea
 def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model:
     """A model of ``labelled`` (lang, text): the bounded sample of each language is chosen by the text's hash.
 
-    The sample of a language has at most ``rows`` different texts and, but for its
-    first text, ``chars`` characters; with more than 64 languages each has an equal
-    share of 64 such samples, and three texts at least. Every language that has a
+    The sample of a language has about ``rows`` different texts and ``chars``
+    characters at most, and one text at least; with more than 64 languages each has
+    an equal share of 64 such samples, or about twelve texts. Every language that has a
     usable row is learned. Exact copies count once, also for the sample's share. Rows
     of null language, and texts without a letter, teach nothing. Without any usable
     row the model has no language. No text is shuffled but those of the sample.
@@ -261,19 +261,20 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS)
     languages = kinds.count()
     if not languages:
         return Model([], [], [], [], [], np.zeros(0, np.float32))
-    want, most = min(rows, max(3, 64 * rows // languages)), min(chars, 64 * chars // languages)
+    want, most = min(rows, max(12, 64 * rows // languages)), min(chars, 64 * chars // languages)
+    # Three times what is wanted, by the hash; of these the share that rows and characters leave, by another one.
     share = F.least(F.lit(1.0), F.lit(3.0 * want) / F.col("kinds"))
-    some = known.join(kinds, "lang").where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20))
-    # About 3 * want numbers of a language reach the window.
-    order = Window.partitionBy("lang").orderBy("h")
-    picks = some.groupBy("lang", "h").agg(F.min("size").alias("size")).withColumn("k", F.row_number().over(order)).where(F.col("k") <= want)
-    picks = picks.withColumn("sum", F.sum("size").over(order)).where((F.col("sum") - F.col("size") <= most) | (F.col("k") == 1))
-    picks = ws.table(picks.select("lang", "h", "k"), "picks")
-    texts = usable.join(F.broadcast(picks), ["lang", "h"]).groupBy("lang", "h", "k").agg(F.min("text").alias("text"))
+    some = known.join(kinds, "lang").where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).groupBy("lang", "h").agg(F.min("size").alias("size"))
+    some = ws.table(some, "some")
+    sums = ws.table(some.groupBy("lang").agg(F.count("*").alias("n"), F.sum("size").alias("sum"), F.min("h").alias("first")), "sums")
+    part = F.least(F.lit(1.0), F.lit(float(want)) / F.col("n"), F.lit(float(most)) / F.col("sum"))
+    picks = some.join(F.broadcast(sums), "lang").where((F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < part * (1 << 20)) | (F.col("h") == F.col("first")))
+    picks = ws.table(picks.select("lang", "h", ((F.pmod(F.xxhash64("h", F.lit(1)), F.lit(3)) == 0) & (F.col("h") != F.col("first"))).alias("held")), "picks")
+    texts = usable.join(F.broadcast(picks), ["lang", "h"]).groupBy("lang", "h", "held").agg(F.min("text").alias("text"))
     samples: dict[str, list[str]] = {}
     held: dict[str, list[str]] = {}
-    for lang, text, k in texts.orderBy("lang", "k").select("lang", "text", "k").collect():
-        (held if k % 3 == 0 else samples).setdefault(lang, []).append(fold(text))
+    for lang, text, apart in sorted(tuple(r) for r in texts.select("lang", "text", "held").collect()):
+        (held if apart else samples).setdefault(lang, []).append(fold(text))
     return calibrate(train(samples), held)
 
 
@@ -287,7 +288,7 @@ def _predict(model):
                 ids.append(i)
                 texts.append(fold(raw))
                 size += len(raw)
-                if size > 1 << 19 or i == last:
+                if size > 1 << 18 or i == last:
                     yield _rows(m, batch.column(0).take(pa.array(ids)), texts)
                     ids, texts, size = [], [], 0
 
@@ -317,7 +318,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_predict(held), OUT)
+    return rows.mapInArrow(lean(_predict(held)), OUT)
 
 
 def recognised(docs: DataFrame, model: Model) -> DataFrame:
@@ -330,7 +331,7 @@ def recognised(docs: DataFrame, model: Model) -> DataFrame:
             rejected = [x for part in _predict(held)(iter([rows])) for x in part.column(4).to_pylist()]
             yield batch.filter(pa.array([not x for x in rejected], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 4, part: int = 2):
