@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import connected_components
-from .shared import Workspace, named_components, with_rows
+from .shared import Workspace, lean, named_components, with_rows
 
 #: Rows of a tile side, and of a part of a label that meets the label's pivots in one task.
 TILE, PART = 1024, 1 << 16
@@ -189,7 +189,7 @@ def vector_links(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = plain.where(F.col("label").isNotNull() & F.col("v").isNotNull()).where(finite & F.exists("v", lambda x: x != 0))
     # Vectors of one label and one length meet each other.
-    usable = usable.select("_row", F.concat_ws("/", "label", F.size("v")).alias("label"), "v").mapInArrow(_packed(wide), "_row long, label string, raw binary")
+    usable = usable.select("_row", F.concat_ws("/", "label", F.size("v")).alias("label"), "v").mapInArrow(lean(_packed(wide)), "_row long, label string, raw binary")
     # Equal vectors of a label are one.
     usable = usable.withColumn("same", F.sha2("raw", 256))
     groups = ws.table(usable.groupBy("label", "same").agg(F.min("_row").alias("rep"), F.count("*").alias("n"), F.min("raw").alias("raw")), "groups")
@@ -203,7 +203,7 @@ def vector_links(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     parted = sized.select("label", F.pmod(F.xxhash64("rep", F.lit(1)), parts).cast("int").alias("part"), "rep", "raw")
     dealt = pivots.unionByName(parted).repartition(n, "label", "part").sortWithinPartitions("label", "part", F.col("rep").asc_nulls_first(), "raw")
     radius = math.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
-    cells = ws.table(dealt.mapInArrow(_assign(radius, kind), CELLS), "cells")
+    cells = ws.table(dealt.mapInArrow(lean(_assign(radius, kind)), CELLS), "cells")
 
     place = ["label", "cell"]
     count = ws.table(cells.groupBy(*place).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), "counts")
@@ -211,7 +211,7 @@ def vector_links(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     side = F.when(F.col("t") == F.col("o"), 0).when(F.col("t") < F.col("o"), 1).otherwise(2)
     spread = spread.select(F.concat_ws("/", "label", "cell", F.least("t", "o"), F.greatest("t", "o")).alias("tile"), "rep", side.alias("side"), "home")
     tiles = spread.join(groups.select("rep", "n", "raw"), "rep").select("tile", "rep", "n", "side", "home", "raw")
-    found = ws.table(tiles.repartition(n, "tile").sortWithinPartitions("tile").mapInArrow(_join(cosine, kind), FOUND), "found")
+    found = ws.table(tiles.repartition(n, "tile").sortWithinPartitions("tile").mapInArrow(lean(_join(cosine, kind)), FOUND), "found")
     links = found.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("links"))
     comp = connected_components(ws, found.where("kind = 1").select(F.col("a").alias("u"), F.col("b").alias("v")))
     joined = member.join(links, "rep", "left").join(comp.withColumnRenamed("id", "rep"), "rep", "left")

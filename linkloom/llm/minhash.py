@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .graph import connected_components
 from .hashing import RangeHash, constants, mix, separators, word_spans
-from .shared import Workspace, fresh, named_components, text_chunks, with_rows
+from .shared import Workspace, fresh, lean, named_components, text_chunks, with_rows
 
 #: Words are runs of bytes other than these: space and 09-0D.
 SPACE = separators((0x20, 0x20), (0x09, 0x0D))
@@ -258,7 +258,7 @@ def _confirmed(ws: Workspace, sets: DataFrame, pairs: DataFrame, num: int, den:
     left = salted.select("v", "salt").distinct().join(sets.withColumnRenamed("doc_id", "v"), "v").select("v", "salt", F.lit(None).cast("long").alias("u"), "shingles")
     n = ws.spark.conf.get("spark.sql.shuffle.partitions")
     rows = left.unionByName(right).repartition(int(n), "v", "salt").sortWithinPartitions("v", "salt", F.col("u").asc_nulls_first())
-    return ws.table(rows.mapInArrow(_confirm(num, den), PAIRS), "confirmed")
+    return ws.table(rows.mapInArrow(lean(_confirm(num, den)), PAIRS), "confirmed")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: int = 40, rows: int = 4, slack: float = 0.2) -> DataFrame:
@@ -306,7 +306,7 @@ def _groups(ws: Workspace, plain: DataFrame, words: int = 5, percent: int = 75,
     """(_row unique, text) -> _row, n_shingles, component (the least _row of the group)."""
     spark = ws.spark
     plain = plain.select(F.col("_row").alias("doc_id"), "text")
-    sketch = ws.table(plain.mapInArrow(_sketch(words, bands, rows), SKETCH), "sketch")
+    sketch = ws.table(plain.mapInArrow(lean(_sketch(words, bands, rows)), SKETCH), "sketch")
     # Documents with equal sets are one: the least id stands for them.
     same = ["n_shingles", "set_a", "set_b"]
     some = sketch.where("n_shingles > 0")
@@ -323,7 +323,7 @@ def _groups(ws: Workspace, plain: DataFrame, words: int = 5, percent: int = 75,
 
     # The sets of all candidates, made once; their texts are shuffled at any size of the table.
     wanted = shared.select("doc_id").distinct().hint("merge")
-    sets = ws.table(plain.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(words), SETS), "sets")
+    sets = ws.table(plain.join(wanted, "doc_id", "left_semi").mapInArrow(lean(_sets(words)), SETS), "sets")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     places = bands * rows
     least = int((percent / 100 - slack) * places)
@@ -345,9 +345,9 @@ def _groups(ws: Workspace, plain: DataFrame, words: int = 5, percent: int = 75,
     spread = spread.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     spread = spread.select(F.concat_ws("/", "band", F.least("t", "o"), F.greatest("t", "o")).alias("tile"), "doc_id", "comp")
     tiles = spread.join(sigs, "doc_id").select("tile", "doc_id", "comp", "sig").repartition(n, "tile").sortWithinPartitions("tile")
-    near = ws.table(tiles.mapInArrow(_agreeing(least), "tile string, doc_id long, comp long"), "agreeing")
+    near = ws.table(tiles.mapInArrow(lean(_agreeing(least)), "tile string, doc_id long, comp long"), "agreeing")
     full = near.join(sets, "doc_id").select("tile", "doc_id", "comp", "shingles").repartition(n, "tile").sortWithinPartitions("tile")
-    more = ws.table(full.mapInArrow(_linked(percent, 100), PAIRS), "crossing")
+    more = ws.table(full.mapInArrow(lean(_linked(percent, 100)), PAIRS), "crossing")
     if not more.isEmpty():
         comp = connected_components(ws, links.unionByName(more))
 

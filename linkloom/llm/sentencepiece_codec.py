@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import lean
+
 SPACE = "▁"
 MARK = SPACE.encode()
 
@@ -237,4 +239,4 @@ def encode_decode(docs: DataFrame, model: str, keep: bool = False) -> DataFrame:
     text. Rows are independent: repeated ids and an empty table need no care.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_code(model, keep), DIGEST + (", ids array<int>, begins array<long>, ends array<long>, decoded string" if keep else ""))
+    return rows.mapInArrow(lean(_code(model, keep)), DIGEST + (", ids array<int>, begins array<long>, ends array<long>, decoded string" if keep else ""))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import RangeHash
-from .shared import Workspace, text_buffer, with_rows
+from .shared import Workspace, lean, text_buffer, with_rows
 from .suffix_array import common_prefixes, suffix_array
 
 CHUNK = 1 << 20
@@ -317,8 +317,8 @@ def _split(ws: Workspace, slices: DataFrame, length: int, bucket: int) -> tuple[
             break
         large = ws.table(slices.join(hot, "key", "left_semi").select(*slices.columns), "large")
         # First the cores alone are counted: most occur once, and their bytes go nowhere.
-        live = ws.table(large.mapInArrow(_cores(length, g, False), "core binary").groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "live")
-        cut = ws.table(large.mapInArrow(_cores(length, g, True), CORES).join(live, "core", "left_semi"), "cut")
+        live = ws.table(large.mapInArrow(lean(_cores(length, g, False)), "core binary").groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "live")
+        cut = ws.table(large.mapInArrow(lean(_cores(length, g, True)), CORES).join(live, "core", "left_semi"), "cut")
         kinds = ws.table(cut.groupBy("core", "a", "b").agg(F.count("*").alias("n"), F.min(F.struct("row", "start")).alias("at")), "kinds")
         again = kinds.where("n > 1").select("core", "a", "b")
         whole = cut.where("one").join(again, ["core", "a", "b"], "left_semi")
@@ -346,7 +346,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, gram: int = 64, bucket: i
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     plain, _ = with_rows(ws, plain, "doc_id")
     plain = plain.select(F.col("_row").alias("row"), "text", "doc_id")
-    every = ws.table(plain.select("row", "text").mapInArrow(_contexts(length, gram), CONTEXTS), "contexts")
+    every = ws.table(plain.select("row", "text").mapInArrow(lean(_contexts(length, gram)), CONTEXTS), "contexts")
     # Written before the join, so that an anchor of very many contexts can be split by the skew rule.
     again = ws.table(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "anchors")
     seen = ws.table(every.join(again, "key", "left_semi"), "again")
@@ -357,12 +357,12 @@ def repeated_spans(docs: DataFrame, length: int = 400, gram: int = 64, bucket: i
     several = ws.table(kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("key"), "several")
     chosen = kinds.join(several, "key").select("at.row", F.struct(*name, "at.start", "at.len", "at.off", (F.col("n") == 1).alias("one")).alias("w"))
     chosen = chosen.groupBy("row").agg(F.collect_list("w").alias("wanted"))
-    slices = ws.table(plain.join(chosen, "row").select("row", "text", "wanted").mapInArrow(_slices, SLICES), "slices")
+    slices = ws.table(plain.join(chosen, "row").select("row", "text", "wanted").mapInArrow(lean(_slices), SLICES), "slices")
     few, parts = _split(ws, slices, length, bucket)
-    found = ws.table(few.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_search(length), SPANS), "found")
+    found = ws.table(few.repartition(n, "key").sortWithinPartitions("key").mapInArrow(lean(_search(length)), SPANS), "found")
     spans = whole.unionByName(found)
     for part in parts:
         spans = spans.unionByName(part)
     spans = spans.groupBy("row").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<s:int,e:int>>"
-    return plain.join(spans, "row", "left").select("doc_id", "text", "spans").mapInArrow(_cut, out)
+    return plain.join(spans, "row", "left").select("doc_id", "text", "spans").mapInArrow(lean(_cut), out)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Workspace, filesystem, read_small, write_small
+from .shared import Workspace, filesystem, lean, read_small, write_small
 
 DONE = "first long, part int, docs long, ids long, name string"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -191,7 +191,7 @@ def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int =
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.where("doc_id is not null").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     # Ranges do not overlap, and a task's shards follow each other: first ids and numbers give their order.
-    done = sorted(tuple(r) for r in rows.mapInArrow(_write(root, tokenizer, end_id, dtype, roll), DONE).collect())
+    done = sorted(tuple(r) for r in rows.mapInArrow(lean(_write(root, tokenizer, end_id, dtype, roll)), DONE).collect())
     store.delete_dir(f"{path}/_temporary")
     shards, base = [], 0
     for _, _, count, ids, name in done:
@@ -209,7 +209,7 @@ def read_token_files(spark: SparkSession, root: str) -> DataFrame:
     if not shards:
         return spark.createDataFrame([], ROWS)
     table = spark.createDataFrame(shards, "shard string, base long").repartition(len(shards), "shard")
-    return table.mapInArrow(_read(root, manifest["dtype"]), ROWS)
+    return table.mapInArrow(lean(_read(root, manifest["dtype"])), ROWS)
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Workspace, batch_rows
+from .shared import Workspace, batch_rows, lean
 
 #: Look-alikes of Latin letters in Greek and Cyrillic, and digits and signs that stand for letters.
 LOOKALIKES = str.maketrans("аеорсухіјѕԁһӏ" + "αεοριυνκτ" + "0134578@$!", "aeopcyxijsdhl" + "aeopiuvkt" + "oieastbasi")
@@ -220,8 +220,8 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexi
     rows = ws.table(given.groupBy(F.sha2("text", 256).alias("h")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")).select("toxic", "text", (F.pmod(F.crc32("h"), F.lit(CALIBRATION_PART)) == 0).alias("held")), "distinct")
     seen = rows.where("not held")
     toxic, clean = seen.where("toxic <> 0").select("text"), seen.where("toxic = 0").select("text")
-    texts = toxic.mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("texts")).where(F.col("texts") >= LEAST_CONTEXTS)
-    sides = toxic.mapInArrow(_sides, "word string, side string, near string").distinct()
+    texts = toxic.mapInArrow(lean(_count), "word string, n long").groupBy("word").agg(F.sum("n").alias("texts")).where(F.col("texts") >= LEAST_CONTEXTS)
+    sides = toxic.mapInArrow(lean(_sides), "word string, side string, near string").distinct()
     sides = sides.groupBy("word").agg(F.count_if(F.col("side") == "before").alias("a0"), F.count_if(F.col("side") == "after").alias("a1"))
     likely = sides.select("word", F.least("a0", "a1").alias("a")).where(F.col("a") >= LEAST_CONTEXTS).join(texts.select("word"), "word")
     likely = ws.table(likely, "likely")
@@ -231,15 +231,15 @@ def learn(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexi
     for part in range(parts):
         a = {r["word"]: r["a"] for r in likely.where(F.pmod(F.xxhash64("word"), F.lit(parts)) == part).collect()}
         most = {w: math.floor(n * (1 - LEAST_SHARE) / LEAST_SHARE + 1e-9) for w, n in a.items()}
-        near = clean.mapInArrow(_pairs(most), "word string, before string, after string").distinct().groupBy("word").agg(F.count("*").alias("b"))
+        near = clean.mapInArrow(lean(_pairs(most)), "word string, before string, after string").distinct().groupBy("word").agg(F.count("*").alias("b"))
         b = {r["word"]: r["b"] for r in near.collect()}
         weights |= {w: math.log((n + 0.5) / (b.get(w, 0) + 0.5)) for w, n in sorted(a.items()) if b.get(w, 0) <= most[w]}
     if not weights:
         return Lexicon({}, exceptions)
-    pairs = seen.select("toxic", "text").mapInArrow(_phrases(set(weights)), "phrase string, n long, toxic long")
+    pairs = seen.select("toxic", "text").mapInArrow(lean(_phrases(set(weights))), "phrase string, n long, toxic long")
     learned = pairs.groupBy("phrase").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where((F.col("n") >= LEAST_CLEAN) & (F.col("toxic") == 0))
     lexicon = Lexicon(weights, (*exceptions, *sorted(r["phrase"] for r in learned.collect())))
-    table = rows.where("held").select("toxic", "text").mapInArrow(_measure(lexicon), "toxic int, total double, hits long, words long").collect()
+    table = rows.where("held").select("toxic", "text").mapInArrow(lean(_measure(lexicon)), "toxic int, total double, hits long, words long").collect()
     _fit(lexicon, sorted(map(tuple, table)))
     return lexicon
 
@@ -300,4 +300,4 @@ def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> DataFram
     """
     held = docs.sparkSession.sparkContext.broadcast(lexicon)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_score(held, threshold), OUT)
+    return rows.mapInArrow(lean(_score(held, threshold)), OUT)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from .shared import Workspace, filesystem
+from .shared import Workspace, filesystem, lean
 
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -182,7 +182,7 @@ def write_archives(pages: DataFrame, root: str, least: int = 0, roll: int = ROLL
     refs = refs.select("page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "sha", "ref")
     rows = rows.select("page_id", F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("string").alias("sha"), F.lit(None).cast("long").alias("ref"))
     both = rows.unionByName(refs).select(place("page_id").alias("shard"), "*").repartition(n, "shard").sortWithinPartitions("shard", "page_id", "kind", "url", "html", "sha")
-    both.mapInArrow(_write(root, least, roll, date), FILES).write.json(f"{root}/manifest")
+    both.mapInArrow(lean(_write(root, least, roll, date)), FILES).write.json(f"{root}/manifest")
     store.delete_dir(f"{path}/_temporary")
     return manifest_of(spark, root)
 
@@ -256,7 +256,7 @@ def read_archives(spark: SparkSession, root: str, payloads: bool = False) -> Dat
     """A row for each record of the archives that the manifest lists."""
     schema = ROWS if payloads else ROWS.rpartition(",")[0]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return manifest_of(spark, root).select("name").repartition(n, "name").mapInArrow(_read(root, payloads), schema)
+    return manifest_of(spark, root).select("name").repartition(n, "name").mapInArrow(lean(_read(root, payloads)), schema)
 
 
 def archive_table(pages: DataFrame, least: int = 0) -> DataFrame:
