@@ -203,7 +203,7 @@ def _block(languages: list[str], samples: dict[str, list[str]], alphabet: np.nda
     return Model(languages, every, logs, heads, weights, unseen)
 
 
-def calibrate(model: Model, held: dict[str, list[str]], margin: float = 4.0, least: int = 20) -> Model:
+def calibrate(model: Model, held: dict[str, list[str]], margin: float = 6.0, least: int = 10) -> Model:
     """Sets the scale of the scores by likelihood, and each language's rejection limit.
 
     A text is rejected if its entropy lies further above its language's mean, in
