@@ -24,6 +24,28 @@ def repeats(df: DataFrame, keys: list, order: list) -> DataFrame:
     return _ranked(df, keys, order).withColumn("is_repeat", F.col("_rank") > 1).drop("_rank")
 
 
+def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+    """``df`` with ``name``, 1, 2, ... by the distinct values of ``order``: sorted by range, numbered in each range, and
+    the sizes of the ranges before it added. One size for each partition comes to the driver; a lost range is made anew
+    from the written keys."""
+    from pyspark.sql import functions as F
+
+    from linkloom.session import scratch
+
+    spark = df.sparkSession
+    path = scratch(spark, "numbered")
+    df.select(order).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    keys = spark.read.parquet(path)
+    sizes, base, rows = {r["_range"]: r["n"] for r in keys.groupBy("_range").agg(F.count("*").alias("n")).collect()}, 0, []
+    for k in sorted(sizes):
+        rows.append((k, base))
+        base += sizes[k]
+    bases = spark.createDataFrame(rows, "_range int, _base long")
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(order)) + F.col("_base")
+    keys = keys.join(F.broadcast(bases), "_range").select(order, place.cast("long").alias(name))
+    return df.join(keys, order)
+
+
 def joined_set(x: Column) -> Column:
     """Sorted distinct values of a group as a | list."""
     return F.array_join(F.array_sort(F.collect_set(x)), "|")

@@ -16,6 +16,12 @@ LEVEL_COLUMNS = {
     "coding_exact": ("human_transcript", "human_hgvs_c", "mouse_transcript", "mouse_hgvs_c"),
     "protein_exact": ("human_transcript", "human_hgvs_p", "mouse_transcript", "mouse_hgvs_p"),
 }
+#: Columns of the exchange file, in order.
+COLUMNS = (
+    "tier_id", "connection_basis", "match_level", "exact_match_definition", "human_gene", "human_ncbi_gene_id", "human_hgnc_id", "human_variant_id", "human_assembly", "human_chromosome", "human_position", "human_reference_allele", "human_alternate_allele", "human_transcript", "human_hgvs_c", "human_hgvs_p",
+    "mouse_gene", "mouse_ncbi_gene_id", "mgi_marker_id", "mouse_variant_id", "mouse_assembly", "mouse_chromosome", "mouse_position", "mouse_reference_allele", "mouse_alternate_allele", "mouse_transcript", "mouse_hgvs_c", "mouse_hgvs_p",
+    "ortholog_source", "cross_species_alignment_source", "alignment_version", "allele_orientation", "reciprocal_mapping", "qc_status", "source_dataset", "source_version", "source_record_id", "source_url", "source_sha256", "license", "contributor", "notes",
+)
 NOT_ORTHOLOGOUS = "human and mouse genes are not an accepted 1:1 ortholog pair"
 
 
@@ -50,7 +56,7 @@ def row_errors(df: DataFrame, orthologs: DataFrame | None = None) -> DataFrame:
 def contract_errors(df: DataFrame, order: list, orthologs: DataFrame | None = None) -> DataFrame:
     """row_errors, with repeated record keys (second and later rows) as errors too."""
     out = repeats(row_errors(df, orthologs), ["source_dataset", "source_version", "source_record_id"], order)
-    more = F.when(F.col("is_repeat"), F.array(F.lit("duplicate source record"))).otherwise(F.array().cast("array<string>"))
+    more = F.when(F.col("is_repeat"), F.array(F.lit("duplicate source_dataset/source_version/source_record_id"))).otherwise(F.array().cast("array<string>"))
     return out.withColumn("errors", F.concat("errors", more)).drop("is_repeat")
 
 
@@ -60,6 +66,32 @@ def contract_report(checked: DataFrame) -> DataFrame:
     return checked.agg(F.count("*").alias("rows"), F.count_if(F.size("errors") > 0).alias("invalid"), *status).withColumn("status", F.when(F.col("invalid") == 0, "PASS").otherwise("FAIL"))
 
 
+def file_issues(lines: DataFrame, columns: tuple[str, ...] | list[str] = COLUMNS, orthologs: DataFrame | None = None) -> DataFrame:
+    """What is wrong with an exchange file: row (1 for the header), source_record_id, errors.
+
+    ``lines`` are _ord and value, blank ones are skipped. The first line must be ``columns`` exactly; every other
+    one must have as many cells and keep the contract, with cells taken by their place.
+    """
+    some = lines.where(F.trim("value") != "")
+    spark, width = lines.sparkSession, len(columns)
+    head = some.orderBy("_ord").limit(1)
+    found = head.select("value").collect()
+    if not found:
+        return spark.createDataFrame([(1, "", ["file has no header"])], "row long, source_record_id string, errors array<string>")
+    body = some.join(F.broadcast(head.select("_ord")), "_ord", "left_anti")
+    # Lines are numbered by range: counts of ranges meet in the driver, one for each partition.
+    from linkloom.operators.keys import numbered
+
+    cells = F.split("value", "\t")
+    rows = numbered(body, "_ord", "_line").select("_ord", "_line", F.size(cells).alias("_n"), *(F.coalesce(F.get(cells, F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(columns)))
+    checked = contract_errors(rows, ["_ord"], orthologs)
+    many = F.when(F.col("_n") != width, F.array(F.concat(F.lit(f"expected {width} columns; found "), F.col("_n").cast("string")))).otherwise(F.array().cast("array<string>"))
+    out = checked.select((F.col("_line") + 1).alias("row"), "source_record_id", F.concat(many, "errors").alias("errors")).where(F.size("errors") > 0)
+    if found[0][0].split("\t") != list(columns):
+        out = out.unionByName(spark.createDataFrame([(1, "", ["header does not exactly match the Tier 0 template"])], "row long, source_record_id string, errors array<string>"))
+    return out
+
+
 def header_errors(columns: list[str], expected: list[str]) -> list[str]:
     """What is wrong with a header: missing, unexpected or misplaced names."""
     out = [f"missing column {c}" for c in expected if c not in columns] + [f"unexpected column {c}" for c in columns if c not in expected]

@@ -9,7 +9,7 @@ from linkloom.functions import text as X
 from linkloom.operators.keys import first_wins, joined_set, last_wins
 from linkloom.settings import ORTHOLOG_SOURCE, SAYS_DISEASE
 
-#: Columns of a link; columns that neither side has are left out.
+#: Columns of a link (fixed values: a published table); columns that neither side has are left out.
 LINKS = ["category_id", "subcategory_id", "connection_basis", "human_gene", "human_ncbi_gene_id", "rs_id", "human_variant_source", "human_source_record_id", "human_chromosome", "human_position", "human_condition_label", "human_condition_identifiers", "human_evidence_class", "human_clinical_significance", "mouse_gene", "mouse_ncbi_gene_id", "mgi_marker_id", "mouse_allele", "mgi_allele_id", "mouse_allele_name", "mouse_allele_attribute", "allelic_composition", "genetic_background", "mgi_genotype_id", "shared_disease_id", "mouse_doid", "mouse_omim_ids", "mouse_mp_ids", "mouse_pubmed_ids", "ortholog_source", "interpretation"]
 MODEL = ["human_gene", "mgi_allele_id", "genetic_background", "mgi_genotype_id", "mouse_doid", "mouse_omim_ids"]
 
@@ -36,8 +36,10 @@ def disease_links(human: DataFrame, models: DataFrame, prefix: str = "OMIM:", so
     h = human.where((F.col("variant_source") == source) & (F.col("evidence_class") == evidence))
     h = h.withColumn("_h", F.col("_ord")).drop("_ord").withColumn("shared_disease_id", F.explode(X.identifiers("condition_identifiers", prefix)))
     m = models.withColumn("_m", F.col("_ord")).drop("_ord").withColumn("shared_disease_id", F.explode(X.identifiers("mouse_omim_ids", prefix)))
+    # Each side is made unique by its part of the signature, so that the fan-out of the join has no repeats to sort out.
+    h = first_wins(h, ["human_gene", "rs_id", "source_record_id", "shared_disease_id"], ["_h"])
+    m = first_wins(m, ["human_gene", "mgi_genotype_id", "shared_disease_id"], ["_m"])
     out = h.join(m, ["human_gene", "shared_disease_id"])
-    out = first_wins(out, ["human_gene", "rs_id", "source_record_id", "mgi_genotype_id", "shared_disease_id"], ["_h", "_m"])
     named = {"human_variant_source": "variant_source", "human_source_record_id": "source_record_id", "human_chromosome": "chromosome", "human_position": "position", "human_condition_label": "phenotype_label", "human_condition_identifiers": "condition_identifiers", "human_evidence_class": "evidence_class", "human_clinical_significance": "clinical_significance"}
     given = {"category_id": "category2", "subcategory_id": "category2-2", "connection_basis": "shared_disease_identifier_and_curated_mouse_model", "ortholog_source": ORTHOLOG_SOURCE, "interpretation": SAYS_DISEASE}
     return out.select(*(F.lit(given[c]).alias(c) if c in given else F.col(named.get(c, c)).alias(c) for c in LINKS if c in given or named.get(c, c) in out.columns))

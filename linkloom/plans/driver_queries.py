@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from linkloom.functions import text as X
 from linkloom.operators.keys import first_wins, joined_set, last_wins, repeats, top_k_or_threshold
 from linkloom.plans import bridge, contract, disease, lexical, reports, semantic
-from linkloom.session import shared_root
+from linkloom.session import scratch
 from linkloom.settings import DEFAULT, BridgeRoute
 from linkloom.sources import readers, writers
 
@@ -216,32 +215,6 @@ def flt_placeholder(t):
 # --- joins ------------------------------------------------------------------------------------
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
-def jn_semi(t):
-    return t.orders.join(t.lineitem.where("l_returnflag = 'R'"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select("o_orderkey", "o_custkey")
-
-
-@query("SELECT o_orderkey FROM orders ANTI JOIN lineitem ON o_orderkey = l_orderkey")
-def jn_anti(t):
-    return t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey")
-
-
-@query("SELECT c_custkey, c_mktsegment FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')")
-def jn_not_exists(t):
-    return t.customer.join(t.orders.where("o_orderstatus = 'P'"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey", "c_mktsegment")
-
-
-@query("SELECT c_custkey, coalesce(n_name, '') AS nation FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 3) ON n_nationkey = c_nationkey")
-def jn_left_lookup(t):
-    return t.customer.join(t.nation.where("n_regionkey < 3"), F.col("n_nationkey") == F.col("c_nationkey"), "left").select("c_custkey", F.coalesce("n_name", F.lit("")).alias("nation"))
-
-
-@query("""SELECT o_orderkey, g AS gene, r AS rs, d AS disease FROM (SELECT o_orderkey, unnest([o_orderstatus, 'x' || o_custkey % 3]) AS g, o_orderkey % 2 AS k, o_orderpriority AS p FROM orders), (SELECT unnest(['rs1', 'rs2']) AS r), (SELECT unnest([0, 1]) AS i), LATERAL (SELECT CASE WHEN i = 0 THEN p ELSE 'k' || k END AS d)""")
-def jn_explode_triple(t):
-    o = t.orders.select("o_orderkey", F.concat_ws("|", "o_orderstatus", F.concat(F.lit("x"), F.col("o_custkey") % 3)).alias("genes"), F.lit("rs1|rs2").alias("rs"), F.concat_ws("|", "o_orderpriority", F.concat(F.lit("k"), F.col("o_orderkey") % 2)).alias("ds"))
-    return o.select("o_orderkey", F.explode(X.pipe_list("genes")).alias("gene"), "rs", "ds").select("o_orderkey", "gene", F.explode(X.pipe_list("rs")).alias("rs"), "ds").select("o_orderkey", "gene", "rs", F.explode(X.pipe_list("ds")).alias("disease"))
-
-
 def _bridge_rows(t) -> DataFrame:
     """Mappings (priority, returnflag) of single lines: confidence is the discount as text."""
     l = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -264,7 +237,7 @@ def ag_merge_mappings(t):
     return bridge.merge_mappings(_bridge_rows(t)).select("hpo_id", "mp_id", "predicate", "confidence", "mapping_source")
 
 
-def _bridge_links(t, route: BridgeRoute) -> DataFrame:
+def _bridge_tables(t) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     h = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).where("o_orderstatus = 'F'")
     empty = F.lit("")
     human = h.select(*({"human_gene": F.col("n_name"), "rs_id": F.col("o_orderkey").cast("string"), "hpo_id": F.col("o_orderpriority")}.get(c, empty).alias(c) for c in bridge.HUMAN))
@@ -272,7 +245,7 @@ def _bridge_links(t, route: BridgeRoute) -> DataFrame:
     m = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("s_nationkey", "l_returnflag", "s_suppkey").distinct()
     own = {"mouse_gene": F.concat(F.lit("M"), F.col("s_nationkey").cast("string")), "mgi_allele_id": F.col("s_suppkey").cast("string")}
     alleles = m.select(*(own.get(c, empty).alias(c) for c in bridge.ALLELE), F.col("l_returnflag").alias("mp_id"), empty.alias("pubmed_ids"), empty.alias("mgi_genotype_id"))
-    return bridge.bridge_links(human, bridge.merge_mappings(_bridge_rows(t)), pairs, alleles, route)
+    return human, bridge.merge_mappings(_bridge_rows(t)), pairs, alleles
 
 
 def sql_bridge(predicate: str, least: float, extra: str = "") -> str:
@@ -288,13 +261,13 @@ LOOSE = BridgeRoute("category1-2", "bridge", ("status:O",), 0.0, ("m7",))
 
 @query(sql_bridge("status:F", 0.08) + " SELECT gene AS human_gene, hpo AS hpo_id, mp AS mp_id, count(*) AS n, count(DISTINCT rs) AS variants, count(DISTINCT sk) AS alleles, max(confidence) AS confidence FROM links GROUP BY ALL")
 def jn_bridge_four_way(t):
-    """All links, counted by gene and phenotypes: single rows grow with the square of the table."""
-    return _bridge_links(t, STRICT).groupBy("human_gene", "hpo_id", "mp_id").agg(F.count("*").alias("n"), F.count_distinct("rs_id").alias("variants"), F.count_distinct("mgi_allele_id").alias("alleles"), F.max("mapping_confidence").alias("confidence"))
+    """All links, counted by gene and phenotypes: single rows grow with the square of the table, their counts do not need them."""
+    return bridge.bridge_counts(*_bridge_tables(t), STRICT)
 
 
 @query(sql_bridge("status:O", 0.0, "AND list_contains(string_split(sources, '|'), 'm7')") + " SELECT gene AS human_gene, hpo AS hpo_id, mp AS mp_id, count(*) AS n, count(DISTINCT rs) AS variants FROM links GROUP BY ALL")
 def jn_bridge_no_confidence(t):
-    return _bridge_links(t, LOOSE).groupBy("human_gene", "hpo_id", "mp_id").agg(F.count("*").alias("n"), F.count_distinct("rs_id").alias("variants"))
+    return bridge.bridge_links(*_bridge_tables(t), LOOSE).groupBy("human_gene", "hpo_id", "mp_id").agg(F.count("*").alias("n"), F.count_distinct("rs_id").alias("variants"))
 
 
 def sql_lexical(source: str, gene: str, id_: str, label: str, even: str, odd: str, stop: str, aliases: dict[str, str]) -> str:
@@ -359,22 +332,6 @@ def jn_gene_block_cosine(t):
 # --- aggregates -------------------------------------------------------------------------------
 
 
-@query("""SELECT l_suppkey, string_agg(DISTINCT l_returnflag, '|' ORDER BY l_returnflag) AS flags, arg_min(l_partkey, (l_orderkey, l_linenumber, l_partkey)) AS first_part, count(*) AS n FROM lineitem GROUP BY l_suppkey""")
-def ag_collect_model(t):
-    return t.lineitem.groupBy("l_suppkey").agg(joined_set(F.col("l_returnflag")).alias("flags"), F.min_by("l_partkey", F.struct("l_orderkey", "l_linenumber", "l_partkey")).alias("first_part"), F.count("*").alias("n"))
-
-
-@query("SELECT o_orderstatus, count(DISTINCT o_custkey) AS customers, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL")
-def ag_distinct_counts(t):
-    return t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_orderstatus").agg(F.count_distinct("o_custkey").alias("customers"), F.count_distinct("l_partkey").alias("parts"), F.count_distinct("l_suppkey").alias("suppliers"))
-
-
-@query("SELECT count(*) AS scanned, count(*) FILTER (o_orderstatus = 'F') AS with_status, count(*) FILTER (o_orderstatus = 'F' AND o_totalprice > 100000) AS accepted, count(DISTINCT o_custkey) AS customers FROM orders")
-def ag_funnel(t):
-    f = F.col("o_orderstatus") == "F"
-    return t.orders.agg(F.count("*").alias("scanned"), F.count_if(f).alias("with_status"), F.count_if(f & (F.col("o_totalprice") > 100000)).alias("accepted"), F.count_distinct("o_custkey").alias("customers"))
-
-
 def _found(t) -> DataFrame:
     found = semantic.matches(semantic.scored_pairs(*_sides(t)), BANDS)
     texts = t.embeddings.select(F.format_string("T%06d", "vec_id").alias("text_id"), F.concat(F.when(F.col("vec_id") % 5 == 0, "increased ").when(F.col("vec_id") % 5 == 1, "reduced ").when(F.col("vec_id") % 5 == 2, "no ").otherwise(""), F.lit("item "), F.col("vec_id").cast("string")).alias("label"), (F.col("vec_id") % 17 == 0).alias("truncated"))
@@ -453,11 +410,6 @@ def so_sample_recheck(t):
     return semantic.rescored(_found(t), vectors, 1000).select("match_id", F.round("score", 6).alias("score"), (F.col("difference") <= 1e-5).alias("agrees"))
 
 
-@query("SELECT 'customer' AS source, c_custkey AS id, c_name AS name, c_nationkey AS nation FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name, s_nationkey FROM supplier")
-def st_union_evidence(t):
-    return t.customer.select(F.lit("customer").alias("source"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation")).unionByName(t.supplier.select(F.lit("supplier").alias("source"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation")))
-
-
 @query(f"""WITH {MATCH_SQL}, full_set AS (SELECT gene, left_id, right_id FROM pairs WHERE s >= 0.2), kept AS (SELECT gene, left_id, right_id FROM found WHERE s >= 0.2), capped AS (SELECT gene, left_id, right_id FROM found WHERE s >= 0.2 AND rk <= 1)
 SELECT 'kept' AS name, (SELECT count(*) FROM (SELECT * FROM full_set EXCEPT ALL SELECT * FROM kept)) AS missing, (SELECT count(*) FROM (SELECT * FROM kept EXCEPT ALL SELECT * FROM full_set)) AS extra
 UNION ALL SELECT 'capped', (SELECT count(*) FROM (SELECT * FROM full_set EXCEPT ALL SELECT * FROM capped)), (SELECT count(*) FROM (SELECT * FROM capped EXCEPT ALL SELECT * FROM full_set))""")
@@ -498,7 +450,7 @@ def va_invariants(t):
 @query("""WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'G' END AS g, ['genomic_reciprocal_exact', 'coding_exact', 'bad'][1 + o_orderkey % 3] AS lv, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) > 1 AS dup FROM orders)
 SELECT o_orderkey, array_to_string(list_filter([CASE WHEN g = '' THEN 'missing human_gene' END, CASE WHEN lv = 'bad' THEN 'invalid match_level' END,
   CASE WHEN lv = 'genomic_reciprocal_exact' THEN 'genomic_reciprocal_exact requires human_chromosome' END, CASE WHEN lv = 'genomic_reciprocal_exact' THEN 'genomic_reciprocal_exact requires reciprocal_mapping=1' END,
-  CASE WHEN lv = 'coding_exact' THEN 'coding_exact requires mouse_hgvs_c' END, CASE WHEN dup THEN 'duplicate source record' END], lambda x: x IS NOT NULL), '; ') AS errors FROM r""")
+  CASE WHEN lv = 'coding_exact' THEN 'coding_exact requires mouse_hgvs_c' END, CASE WHEN dup THEN 'duplicate source_dataset/source_version/source_record_id' END], lambda x: x IS NOT NULL), '; ') AS errors FROM r""")
 def va_row_contract(t):
     k = F.col("o_orderkey")
     v = {c: F.lit("x") for c in contract.REQUIRED} | {c: F.lit("x") for names in contract.LEVEL_COLUMNS.values() for c in names}
@@ -572,7 +524,7 @@ def vw_variant_correspondence(t):
 @query("SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_nationkey::VARCHAR AS c_nationkey, c_mktsegment, 'gz' AS kind FROM customer")
 def src_snk_roundtrip_tsv(t):
     """customer written as compressed TSV to the shared folder and read back."""
-    path = f"{shared_root(t.spark)}/linkloom/tsv-{uuid.uuid4().hex[:12]}"
+    path = scratch(t.spark, "tsv")
     writers.write_gzip_tsv(t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", F.lit("gz").alias("kind")), path)
     return readers.tsv(t.spark, path).drop("_ord")
 
@@ -580,7 +532,7 @@ def src_snk_roundtrip_tsv(t):
 @query("SELECT o_orderstatus, o_orderkey, o_custkey FROM orders")
 def src_snk_partitioned(t):
     """orders written with a folder for each status and read back."""
-    path = f"{shared_root(t.spark)}/linkloom/classes-{uuid.uuid4().hex[:12]}"
+    path = scratch(t.spark, "classes")
     writers.write_table(t.orders.select("o_orderstatus", "o_orderkey", "o_custkey"), path, ["o_orderstatus"])
     return t.spark.read.schema("o_orderkey long, o_custkey long, o_orderstatus string").parquet(path)
 

@@ -9,11 +9,12 @@ from linkloom.functions import text as X
 from linkloom.operators.keys import first_wins, last_wins
 from linkloom.settings import ALIASES, DEFAULT, ORTHOLOG_SOURCE, SAYS_B, SAYS_C, Settings
 
+# Columns of published tables.
 HUMAN = ["human_gene", "human_ncbi_gene_id", "rs_id", "chromosome", "position", "reference_allele", "alternate_allele", "variant_source", "source_record_id", "phenotype_id", "phenotype_label", "evidence_class", "evidence_detail", "p_value", "publication_id", "clinical_significance", "condition_identifiers", "reported_genes", "mapped_genes"]
 MOUSE = ["mouse_gene", "mouse_ncbi_gene_id", "mgi_marker_id", "mouse_allele", "mgi_allele_id", "allele_name", "allele_type", "allelic_composition", "genetic_background", "phenotype_id", "phenotype_label", "phenotype_definition", "phenotype_source", "evidence_detail", "pubmed_ids", "mgi_genotype_id"]
 
-#: Columns of a link, and what the mouse side's columns are called there.
-LINKS = ["category_id", "subcategory_id", "connection_basis", "human_gene", "human_ncbi_gene_id", "rs_id", "human_variant_source", "human_source_record_id", "human_chromosome", "human_position", "human_phenotype_id", "human_phenotype_label", "human_evidence_class", "human_evidence_detail", "human_p_value", "human_publication_id", "human_clinical_significance", "mouse_gene", "mouse_ncbi_gene_id", "mgi_marker_id", "mouse_allele", "mgi_allele_id", "allele_name", "allele_type", "allelic_composition", "genetic_background", "mouse_phenotype_id", "mouse_phenotype_label", "mouse_phenotype_definition", "mouse_phenotype_source", "mouse_evidence_detail", "mouse_pubmed_ids", "mgi_genotype_id", "ortholog_source", "within_category_support", "match_method", "matched_concept", "shared_informative_tokens", "token_jaccard", "interpretation"]
+#: Columns of a link (fixed values: a published table), and what the mouse side's columns are called there.
+LINKS = ["category_id", "subcategory_id", "connection_basis", "human_gene", "human_ncbi_gene_id", "rs_id", "human_variant_source", "human_source_record_id", "human_chromosome", "human_position", "human_phenotype_id", "human_phenotype_label", "human_evidence_class", "human_evidence_detail", "human_p_value", "human_publication_id", "human_clinical_significance", "mouse_gene", "mouse_ncbi_gene_id", "mgi_marker_id", "mouse_allele", "mgi_allele_id", "allele_name", "allele_type", "allelic_composition", "genetic_background", "mouse_phenotype_id", "mouse_phenotype_label", "mouse_phenotype_definition", "mouse_phenotype_source", "mouse_evidence_detail", "mouse_pubmed_ids", "mgi_genotype_id", "ortholog_source", "within_tier_support", "match_method", "matched_concept", "shared_informative_tokens", "token_jaccard", "interpretation"]
 RENAMED = {c: f"mouse_{c}" for c in ("phenotype_id", "phenotype_label", "phenotype_definition", "phenotype_source", "evidence_detail", "pubmed_ids")}
 
 
@@ -134,6 +135,6 @@ def lexical_links(human: DataFrame, mouse: DataFrame, orthologs: DataFrame, sett
     h = used.withColumn("id", F.struct(*HUMAN)).select(F.col("human_gene").alias("gene"), "id", F.col("phenotype_label").alias("label"))
     m = mouse.join(pairs, "mouse_gene").withColumn("id", F.struct(*MOUSE)).select(F.col("human_gene").alias("gene"), "id", F.col("phenotype_label").alias("label"))
     found = label_matches(h, m, settings, aliases)
-    out = found.select("left_id.*", *(F.col(f"right_id.{c}").alias(RENAMED.get(c, c)) for c in MOUSE), F.col("support").alias("within_category_support"), F.col("method").alias("match_method"), F.col("shared_tokens").alias("shared_informative_tokens"), "token_jaccard", interpretation(F.col("support")).alias("interpretation"))
+    out = found.select("left_id.*", *(F.col(f"right_id.{c}").alias(RENAMED.get(c, c)) for c in MOUSE), F.col("support").alias("within_tier_support"), F.col("method").alias("match_method"), F.col("shared_tokens").alias("shared_informative_tokens"), "token_jaccard", interpretation(F.col("support")).alias("interpretation"))
     given = {"category_id": "category2", "subcategory_id": "category2-1", "connection_basis": "ortholog_constrained_phenotype_evidence", "ortholog_source": ORTHOLOG_SOURCE, "matched_concept": ""}
     return out.select(*(F.lit(given[c]).alias(c) if c in given else F.col(c.removeprefix("human_") if c not in out.columns else c).alias(c) for c in LINKS))

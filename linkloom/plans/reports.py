@@ -26,18 +26,19 @@ def control_hits(links: DataFrame, controls: DataFrame) -> DataFrame:
 
 def inspect_category(links: DataFrame, controls: DataFrame, category: str, support: str | None = None) -> DataFrame:
     """found_rows and sorted supports of every control in one category."""
-    hits = control_hits(links, controls).groupBy("control_id").agg(F.count("*").alias("found_rows"), (F.array_join(F.array_sort(F.collect_set(support)), "|") if support else F.lit("")).alias("within_category_support"))
+    hits = control_hits(links, controls).groupBy("control_id").agg(F.count("*").alias("found_rows"), (F.array_join(F.array_sort(F.collect_set(support)), "|") if support else F.lit("")).alias("within_tier_support"))
     out = controls.select("control_id").join(hits, "control_id", "left")
-    return out.select("control_id", F.lit(category).alias("category_id"), F.coalesce("found_rows", F.lit(0)).alias("found_rows"), F.coalesce("within_category_support", F.lit("")).alias("within_category_support"))
+    return out.select("control_id", F.lit(category).alias("category_id"), F.coalesce("found_rows", F.lit(0)).alias("found_rows"), F.coalesce("within_tier_support", F.lit("")).alias("within_tier_support"))
 
 
 def expectation_matrix(controls: DataFrame, inspections: DataFrame) -> DataFrame:
     """Expected and found for each control and category, PASS or FAIL, and what it means."""
     want = F.array_contains(X.pipe_list("expected_categories"), F.col("category_id"))
     found = F.col("found_rows") > 0
-    text = F.when(want & found, "Expected control recovered.").when(want, "Expected control was not recovered.").when(found, "Additional recovery; kept for review.").otherwise("No recovery expected on this basis.")
+    # What the matrix says of each case.
+    text = F.when(want & found, "Expected positive control recovered.").when(want, "Expected positive control was not recovered.").when(found, "Additional cross-tier recovery; retained for review.").otherwise("No recovery expected for this basis.")
     out = inspections.join(controls.select("control_id", "expected_categories"), "control_id")
-    return out.select("control_id", "category_id", F.when(want, "found").otherwise("not_required").alias("expected"), "found_rows", "within_category_support", F.when(want & ~found, "FAIL").otherwise("PASS").alias("status"), text.alias("interpretation"))
+    return out.select("control_id", "category_id", F.when(want, "found").otherwise("not_required").alias("expected"), "found_rows", "within_tier_support", F.when(want & ~found, "FAIL").otherwise("PASS").alias("status"), text.alias("interpretation"))
 
 
 def positive_control(controls: DataFrame, human: DataFrame, mouse: DataFrame, orthologs: DataFrame, allele_pattern: str, background_pattern: str) -> DataFrame:
@@ -68,8 +69,44 @@ def first_links(links: DataFrame, controls: DataFrame, order: list) -> DataFrame
 
 
 def primary_routes(control_columns: Column, semantic: Column) -> Column:
-    """The routes that a control is expected in: its categories, and the semantic one if it names a band."""
-    return F.concat(X.pipe_list(control_columns), F.when(F.coalesce(semantic, F.lit("")) != "", F.array(F.lit("semantic"))).otherwise(F.array().cast("array<string>")))
+    """The routes that a control is expected in: its categories, and semantic_<band> if it names a band."""
+    return F.concat(X.pipe_list(control_columns), F.when(F.coalesce(semantic, F.lit("")) != "", F.array(F.concat(F.lit("semantic_"), semantic))).otherwise(F.array().cast("array<string>")))
+
+
+#: What stands for the evidence of a link by its route: columns of the human side and the mouse side (the first that has a
+#: text), and of the detail (those that have one, joined).
+SHOWN = {
+    "category1-1": (("hpo_label",), ("mp_label",), ("hpo_id", "predicate", "mp_id")),
+    "category1-2": (("hpo_label",), ("mp_label",), ("hpo_id", "predicate", "mp_id")),
+    "category2-1": (("human_phenotype_label",), ("mouse_phenotype_label", "allele_name"), ("match_method", "within_tier_support")),
+    "category2-2": (("human_condition_label",), ("mouse_allele_name",), ("shared_disease_id",)),
+}
+
+
+def representative_evidence(links: DataFrame, route: str) -> DataFrame:
+    """control_id, route_id and the human text, mouse text and detail of one link a control, by the columns of its route; ''
+    for what it lacks. Routes other than the categories are semantic and show the cosine."""
+    has = lambda names: [F.nullif(F.col(n).cast("string"), F.lit("")) for n in names if n in links.columns]
+    first = lambda names: F.coalesce(*has(names), F.lit(""))
+    human, mouse, detail = SHOWN.get(route, (("human_phenotype_label",), ("mouse_phenotype_label",), ()))
+    shown = F.array_join(F.array_compact(F.array(*has(detail))), " / ") if detail else F.lit("")
+    if route not in SHOWN and "cosine_similarity" in links.columns:
+        shown = F.coalesce(F.concat(F.lit("cosine "), X.fixed3("cosine_similarity")), F.lit(""))
+    return links.select("control_id", F.lit(route).alias("route_id"), first(human).alias("human"), first(mouse).alias("mouse"), shown.alias("detail"))
+
+
+def export_counts(stored: DataFrame, exported: DataFrame, by: str) -> DataFrame:
+    """Rows of each value of ``by`` in a stored table and in its export, and whether they agree."""
+    one = lambda df, name: df.groupBy(F.col(by).cast("string").alias(by)).agg(F.count("*").alias(name))
+    out = one(stored, "stored").join(one(exported, "exported"), by, "full_outer").na.fill(0, ["stored", "exported"])
+    return out.withColumn("agrees", F.col("stored") == F.col("exported"))
+
+
+def require(checks: DataFrame, name: str, ok: Column) -> None:
+    """Raises if a row of ``checks`` breaks the rule; names of at most 20 such rows come to the driver for the message."""
+    bad = [r[0] for r in checks.where(~F.coalesce(ok, F.lit(False))).select(F.col(name).cast("string")).limit(20).collect()]
+    if bad:
+        raise ValueError(f"failed: {sorted(bad)}")
 
 
 def case_summary(controls: DataFrame, matrix: DataFrame, categories: list[str], semantic: DataFrame | None = None) -> DataFrame:

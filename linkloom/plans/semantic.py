@@ -96,7 +96,7 @@ def flagged_matches(found: DataFrame, texts: DataFrame, settings: Settings = DEF
     })
 
 
-#: Columns of a published match, and of the narrower stored table.
+#: Columns of a published match (fixed values), and of the narrower stored table.
 PAIRS = ["match_id", "human_gene", "mouse_gene", "human_text_id", "mouse_text_id", "human_phenotype_label", "mouse_phenotype_label", "cosine_similarity", "cosine_class", "retrieval_rank", "mouse_texts_in_gene", "human_direction", "mouse_direction", "direction_conflict", "negation_flag", "review_status", "human_text_truncated", "mouse_text_truncated", "model_id", "model_revision", "ortholog_source", "eligible_for_default_use"]
 STORED = [c for c in PAIRS if c not in ("human_phenotype_label", "mouse_phenotype_label", "model_id", "model_revision", "ortholog_source")]
 
@@ -132,6 +132,27 @@ def avoided_comparisons(human: DataFrame, mouse: DataFrame) -> DataFrame:
     return n.agg(F.coalesce(F.sum(F.col("a") * F.col("b")), F.lit(0)).alias("comparisons"))
 
 
+def gene_texts(human: DataFrame, mouse: DataFrame) -> DataFrame:
+    """Genes that both sides (gene, text_id) have: distinct texts and rows of each, text pairs compared, row pairs avoided by it."""
+    side = lambda df, s: df.groupBy("gene").agg(F.count_distinct("text_id").alias(f"{s}_texts"), F.count("*").alias(f"{s}_rows"))
+    out = side(human, "human").join(side(mouse, "mouse"), "gene")
+    return out.select("gene", "human_texts", "mouse_texts", "human_rows", "mouse_rows", (F.col("human_texts") * F.col("mouse_texts")).alias("compared"), (F.col("human_rows") * F.col("mouse_rows")).alias("avoided"))
+
+
+def compared_totals(genes: DataFrame, found: DataFrame) -> DataFrame:
+    """One line: genes with both sides, text pairs compared, and those of them that were not kept."""
+    total = genes.agg(F.count("*").alias("genes"), F.coalesce(F.sum("compared"), F.lit(0)).alias("compared"))
+    kept = found.agg(F.count("*").alias("kept"))
+    return total.crossJoin(F.broadcast(kept)).select("genes", "compared", (F.col("compared") - F.col("kept")).alias("omitted"))  # one line each
+
+
+def norm_audit(vectors: DataFrame) -> DataFrame:
+    """vectors, and the least, the largest and the largest error of their lengths against 1; a non-finite one makes it infinite."""
+    length = F.sqrt(X.dot("embedding", "embedding"))
+    error = F.when(F.isnan(length) | length.isNull(), F.lit(float("inf"))).otherwise(F.abs(length - 1))
+    return vectors.agg(F.count("*").alias("vectors"), F.min(length).alias("least"), F.max(length).alias("largest"), F.max(error).alias("largest_error"))
+
+
 def rescored(found: DataFrame, vectors: DataFrame, rows: int = 1000) -> DataFrame:
     """The first ``rows`` matches by id, scored again, with the difference: a check of tolerance 1e-5."""
     some = found.orderBy("match_id").limit(rows)

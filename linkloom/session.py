@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import urllib.parse
+import uuid
+
 from pyspark.sql import SparkSession
 
 #: Used only where the session names no checkpoint folder (tests on one machine).
@@ -18,3 +23,18 @@ def shared_root(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(LOCAL_FALLBACK)
         root = LOCAL_FALLBACK
     return root.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, deleted when the driver ends."""
+    path = f"{shared_root(spark)}/linkloom/{name}-{uuid.uuid4().hex[:12]}"
+
+    def end() -> None:
+        if path.startswith("file:"):
+            shutil.rmtree(urllib.parse.urlparse(path).path, ignore_errors=True)
+        elif spark.sparkContext._jsc is not None:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+    atexit.register(end)
+    return path

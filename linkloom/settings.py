@@ -100,6 +100,23 @@ class SourceSpec:
     license: str = ""
 
 
+#: Sections that a run's configuration must have. Fixed values.
+SECTIONS = ("strict_mapping", "monarch_mapping", "ortholog_first_mapping", "semantic_mapping", "category_definitions", "execution")
+
+
+def validate_configuration(config: dict) -> dict[str, SourceSpec]:
+    """Sources of a run's configuration by id; another schema version, no sources, bad ones or missing sections raise."""
+    if config.get("schema_version") != 1:
+        raise ValueError("schema_version must be 1")
+    if not isinstance(config.get("data_sources"), list) or not config["data_sources"]:
+        raise ValueError("data_sources must be a non-empty array")
+    sources = validate_sources(config["data_sources"])
+    for section in SECTIONS:
+        if section not in config:
+            raise ValueError(f"configuration is missing {section}")
+    return sources
+
+
 def validate_sources(entries: list[dict]) -> dict[str, SourceSpec]:
     """Declared sources by id; missing fields and repeated ids raise."""
     out: dict[str, SourceSpec] = {}

@@ -24,9 +24,10 @@ VOCABULARY = ["mp_id", "mp_label", "mp_definition"]
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a plain or .gz file: _ord (order within the input), value. A trailing CR is cut."""
-    df = spark.read.text(path).select(F.monotonically_increasing_id().alias("_ord"), F.regexp_replace("value", "\r$", "").alias("value"))
-    return df
+    """Lines of plain or .gz files: _ord (order within the input: files by path, then lines), value. A trailing CR is cut."""
+    # Spark packs files into partitions by size, so that the path comes before the number; inside a file the numbers go up.
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(path).select(place.alias("_ord"), F.regexp_replace("value", "\r$", "").alias("value"))
 
 
 def _cells(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -163,7 +164,7 @@ def _unzipped(suffix: str):
 def zip_lines(spark: SparkSession, path: str, suffix: str = ".tsv") -> DataFrame:
     """Lines of the members of a ZIP file, decompressed in pieces in one task for each file."""
     content = spark.read.format("binaryFile").load(path).select("content")
-    return content.mapInPandas(_unzipped(suffix), "value string").select(F.monotonically_increasing_id().alias("_ord"), "value")
+    return content.mapInPandas(_unzipped(suffix), "value string").select(F.struct(F.lit("").alias("file"), F.monotonically_increasing_id().alias("line")).alias("_ord"), "value")
 
 
 def associations(df: DataFrame) -> DataFrame:
@@ -173,8 +174,12 @@ def associations(df: DataFrame) -> DataFrame:
     return _cells(df.where(~F.contains("value", F.lit("SNP_GENE_IDS")) & (F.trim("value") != "")), names).drop("_n")
 
 
-def read_json(path: str, fallback=None):
-    """A small JSON file on the driver; ``fallback`` if it is not there."""
+def read_json(path: str, fallback=None, spark: SparkSession | None = None):
+    """A small JSON file; ``fallback`` if it is not there. With ``spark``, from any file system Spark knows."""
+    if spark is not None:
+        if missing_inputs(spark, [path]):
+            return fallback
+        return json.loads(spark.read.text(path, wholetext=True).head()[0])
     try:
         with open(path) as f:
             return json.load(f)

@@ -47,6 +47,18 @@ def file_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFra
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file in any file system Spark knows, under a temporary name first."""
+    jvm = spark.sparkContext._jvm
+    place, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.part")
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = store.create(part, True)
+    out.write(bytearray(content))
+    out.close()
+    store.delete(place, False)
+    store.rename(part, place)
+
+
 def statistics(df: DataFrame, **counts: Column) -> str:
     """The named aggregates of a table as one line of JSON."""
     row = df.agg(*(c.alias(k) for k, c in counts.items())).first()

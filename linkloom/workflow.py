@@ -69,7 +69,7 @@ def prepare_evidence(run: Run) -> None:
     conditions = lexical.variant_conditions(readers.vcf(spark, p["variants"]), pairs, run.settings)
     lines = readers.zip_lines(spark, p["associations"]) if p["associations"].endswith(".zip") else readers.lines(spark, p["associations"])
     found = lexical.association_evidence(readers.associations(lines), pairs, run.settings)
-    place = lambda df, n: df.withColumn("_ord", F.struct(F.lit(n).alias("file"), F.col("_ord").cast("string").alias("at")))
+    place = lambda df, n: df.withColumn("_ord", F.struct(F.lit(n).alias("file"), F.col("_ord").cast("struct<at:struct<file:string,line:bigint>,part:int,rs:int>").alias("at")))
     run.keep("human_evidence", place(conditions, 1).unionByName(place(found, 2)))
     run.keep("mouse_evidence", lexical.mouse_evidence(readers.genotype_report(spark, p["genotypes"]), pairs, readers.allele_metadata(spark, p["alleles"]), readers.vocabulary(spark, p["vocabulary"])))
 

@@ -77,7 +77,7 @@ def test_lexical(spark, orthologs):
     got = {(r["phenotype_source"], r["phenotype_label"], r["mgi_allele_id"], r["pubmed_ids"]) for r in m.collect()}
     assert got == {("mp_annotation", "reduced lipopolysaccharide response", "MGI:8|MGI:9", "p1"), ("allele_name", "lipopolysaccharide response defective", "MGI:9", "p1")}
     links = lexical.lexical_links(lexical.human_evidence(h, gwas), m, orthologs)
-    assert [(r["within_category_support"], r["mouse_phenotype_label"]) for r in links.collect()] == [("B", "reduced lipopolysaccharide response")]
+    assert [(r["within_tier_support"], r["mouse_phenotype_label"]) for r in links.collect()] == [("B", "reduced lipopolysaccharide response")]
     assert links.columns == lexical.LINKS and len(lexical.LINKS) == 40
 
 
@@ -145,7 +145,7 @@ def test_contract(spark):
     e = {r["n"]: r["errors"] for r in contract.contract_errors(df, ["n"], known).collect()}
     assert e["0"] == [] and e["1"] == ["protein_exact requires mouse_hgvs_p"]
     assert "genomic_reciprocal_exact requires reciprocal_mapping=1" in e["2"] and "genomic_reciprocal_exact requires human_chromosome" in e["2"]
-    assert e["3"] == [contract.NOT_ORTHOLOGOUS, "duplicate source record"]
+    assert e["3"] == [contract.NOT_ORTHOLOGOUS, "duplicate source_dataset/source_version/source_record_id"]
     r = contract.contract_report(contract.contract_errors(df, ["n"], known)).first()
     assert (r["rows"], r["invalid"], r["passed"], r["status"]) == (4, 3, 4, "FAIL")
     assert contract.header_errors(["a", "b"], ["b", "a"]) == ["columns are out of order"] and contract.header_errors(["a"], ["a"]) == []
@@ -156,7 +156,7 @@ def test_reports(spark):
     links = spark.createDataFrame([("TLR4", "rs1", "Tlr4", "MGI:2|MGI:1", "B"), ("TLR4", "rs1", "Tlr4", "MGI:11", "C")], "human_gene string, rs_id string, mouse_gene string, mgi_allele_id string, support string")
     seen = reports.inspect_category(links, controls, "2-1", "support").unionByName(reports.inspect_category(links.limit(0), controls, "2-2")).unionByName(reports.inspect_category(links, controls, "1-1"))
     m = reports.expectation_matrix(controls, seen)
-    assert {(r["category_id"], r["found_rows"], r["status"], r["within_category_support"]) for r in m.collect()} == {("2-1", 1, "PASS", "B"), ("2-2", 0, "FAIL", ""), ("1-1", 1, "PASS", "")}
+    assert {(r["category_id"], r["found_rows"], r["status"], r["within_tier_support"]) for r in m.collect()} == {("2-1", 1, "PASS", "B"), ("2-2", 0, "FAIL", ""), ("1-1", 1, "PASS", "")}
     assert reports.case_summary(controls, m, ["1-1", "2-1", "2-2"]).first()["recovery_status"] == "NOT_FOUND"
     mouse = spark.createDataFrame([("Tlr4", "Tlr4<Lps-d>", "MGI:1", "C3H/HeJ")], "mouse_gene string, mouse_allele string, mgi_allele_id string, genetic_background string")
     ortho = spark.createDataFrame([("TLR4", "Tlr4")], "human_gene string, mouse_gene string")
@@ -165,4 +165,4 @@ def test_reports(spark):
     assert [r["status"] for r in reports.negative_controls(neg, 0, "a", "a").orderBy("control_id").collect()] == ["PASS", "FAIL", "FAIL"]
     assert reports.forbidden_pairs(links, "TLR4", "Tlr4").first()[0] == 2
     assert reports.first_links(links, controls, ["mgi_allele_id"]).count() == 1
-    assert spark.range(1).select(reports.primary_routes(F.lit("a|b"), F.lit("A")).alias("r")).first()["r"] == ["a", "b", "semantic"]
+    assert spark.range(1).select(reports.primary_routes(F.lit("a|b"), F.lit("A")).alias("r")).first()["r"] == ["a", "b", "semantic_A"]

@@ -40,7 +40,7 @@ def test_run(spark, sources, tmp_path):
     run = workflow.execute(spark, sources, str(tmp_path / "out"))
     n = {k: df.count() for k, df in run.tables.items()}
     assert (n["links_category1-1"], n["links_category1-2"], n["links_category2-1"], n["links_category2-2"], n["human_evidence"], n["mouse_evidence"]) == (1, 1, 1, 1, 2, 3)
-    assert run.tables["links_category2-1"].first()["within_category_support"] == "B"
+    assert run.tables["links_category2-1"].first()["within_tier_support"] == "B"
     assert run.tables["links_semantic"].columns == semantic.PAIRS and n["links_semantic"] == 6
     assert readers.tsv(spark, str(tmp_path / "out" / "links_category1-1")).first()["mgi_allele_id"] == "MGI:9"
 
