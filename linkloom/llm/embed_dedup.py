@@ -30,7 +30,7 @@ from .graph import connected_components
 from .shared import Workspace, lean, named_components, with_rows
 
 #: Rows of a tile side, and of a part of a label that meets the label's pivots in one task.
-TILE, PART = 1024, 1 << 16
+TILE, PART = 1536, 1 << 16
 #: Vectors whose distances to all pivots are held at a time.
 BLOCK = 512
 
