@@ -40,7 +40,7 @@ CHUNK = 1 << 20
 SEGMENT = 1 << 22
 #: Different contexts of a bucket that a task may hold; larger buckets are split by the bytes around the anchor,
 #: by ranges of so many left reaches.
-BUCKET, RANGES = 2048, (200, 50, 7, 1)
+BUCKET, RANGES = 512, (200, 50, 7, 1)
 #: Symbols of buckets that one suffix array covers.
 BATCH = 1 << 17
 
