@@ -46,9 +46,14 @@ VIEWS = {
 BUCKETS = {"variant_pair": ["human_gene", "human_variant_id"], "connection_evidence": ["pair_id"], "bridge_links": ["human_gene", "rs_id"], "lexical_links": ["human_gene", "rs_id"], "disease_links": ["human_gene", "rs_id"], "tier0_exact_variant": ["human_gene", "human_variant_id"], "phenotype_match": ["human_gene"], "human_annotation": ["human_gene", "text_id"], "mouse_annotation": ["mouse_gene", "text_id"]}
 
 
+def columns(table: str) -> list[str]:
+    """Names of a table's columns, in order."""
+    return [c.split(" ")[0] for c in TABLES[table].split(", ")]
+
+
 def store(df: DataFrame, table: str, buckets: int = 64) -> None:
     """Writes a table of the model with its bucketing; columns are put in order and checked."""
-    names = [c.split(" ")[0] for c in TABLES[table].split(", ")]
+    names = columns(table)
     if missing := [n for n in names if n not in df.columns]:
         raise ValueError(f"{table} lacks {missing}")
     w = df.select(*names).write.mode("overwrite").format("parquet")

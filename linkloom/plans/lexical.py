@@ -78,18 +78,19 @@ def primary_allele(genotypes: DataFrame, alleles: DataFrame) -> DataFrame:
     return genotypes.join(best, "_ord", "left")
 
 
-def mouse_evidence(genotypes: DataFrame, orthologs: DataFrame, alleles: DataFrame, terms: DataFrame) -> DataFrame:
-    """Evidence by phenotype term and by allele name, from one scan of the genotypes."""
+def mouse_evidence(genotypes: DataFrame, orthologs: DataFrame, alleles: DataFrame, terms: DataFrame, ordered: bool = False) -> DataFrame:
+    """Evidence by phenotype term and by allele name, from one scan of the genotypes; with its place as _ord if ``ordered``."""
     rows = genotypes.where(X.single_marker("marker_ids")).withColumn("mgi_marker_id", F.element_at(X.pipe_list("marker_ids"), 1))
     rows = rows.join(last_wins(orthologs, ["mgi_marker_id"], ["_ord"]).select("mgi_marker_id", "mouse_gene", "mouse_ncbi_gene_id"), "mgi_marker_id")
     rows = primary_allele(rows, alleles)
     rows = rows.withColumn("allele_name", F.coalesce("primary.allele_name", F.lit(""))).withColumn("allele_type", F.coalesce("primary.allele_type", F.lit("")))
     by_term = rows.join(terms.where("mp_label <> ''").select("mp_id", "mp_label", "mp_definition"), "mp_id")
     by_term = first_wins(by_term, ["mouse_gene", "mgi_allele_id", "genetic_background", "mp_id", "mgi_genotype_id"], ["_ord"])
-    shape = lambda df, **c: df.select(*(c.get(n, F.col(n) if n in df.columns else F.lit("")).cast("string").alias(n) for n in MOUSE))
-    one = shape(by_term, phenotype_id=F.col("mp_id"), phenotype_label=F.col("mp_label"), phenotype_definition=F.coalesce("mp_definition", F.lit("")), phenotype_source=F.lit("mp_annotation"))
+    place = lambda k: [F.struct("_ord", F.lit(k).alias("kind")).alias("_ord")] if ordered else []
+    shape = lambda df, k, **c: df.select(*place(k), *(c.get(n, F.col(n) if n in df.columns else F.lit("")).cast("string").alias(n) for n in MOUSE))
+    one = shape(by_term, 0, phenotype_id=F.col("mp_id"), phenotype_label=F.col("mp_label"), phenotype_definition=F.coalesce("mp_definition", F.lit("")), phenotype_source=F.lit("mp_annotation"))
     by_name = first_wins(rows.where("allele_name <> ''").withColumn("mgi_allele_id", F.col("primary.allele_id")), ["mouse_gene", "mgi_allele_id", "genetic_background", "mgi_genotype_id"], ["_ord"])
-    return one.unionByName(shape(by_name, phenotype_label=F.col("allele_name"), phenotype_source=F.lit("allele_name")))
+    return one.unionByName(shape(by_name, 1, phenotype_label=F.col("allele_name"), phenotype_source=F.lit("allele_name")))
 
 
 def label_matches(left: DataFrame, right: DataFrame, settings: Settings = DEFAULT, aliases: dict[str, str] = ALIASES) -> DataFrame:
@@ -97,8 +98,11 @@ def label_matches(left: DataFrame, right: DataFrame, settings: Settings = DEFAUL
 
     Support B: equal non-empty normal labels. Support C: enough shared informative
     tokens and a large enough Jaccard. Distinct labels are compared once, through an
-    index of (gene, label) and (gene, token); ids come back by a join. Returns gene,
-    left_id, right_id, support, method, shared_tokens, token_jaccard.
+    index of (gene, label) and (gene, token); ids come back by a join. A label of n
+    tokens is in the index by its rarest n - m + 1 ones only, m being how many it must
+    share at least: two labels that share m tokens have one of those in common, and a
+    token that most labels of a gene have brings no candidates. Returns gene, left_id,
+    right_id, support, method, shared_tokens, token_jaccard.
     """
 
     def labels(df: DataFrame, side: str) -> DataFrame:
@@ -107,10 +111,23 @@ def label_matches(left: DataFrame, right: DataFrame, settings: Settings = DEFAUL
 
     ls, rs = labels(left, "l"), labels(right, "r")
     lt, rt = ls.select("gene", "l_norm", "l_tokens").distinct(), rs.select("gene", "r_norm", "r_tokens").distinct()
-    inverted = lambda t, s: t.select("gene", f"{s}_norm", F.size(f"{s}_tokens").alias(f"{s}_size"), F.explode(f"{s}_tokens").alias("token"))
-    shared = inverted(lt, "l").join(inverted(rt, "r"), ["gene", "token"]).groupBy("gene", "l_norm", "r_norm", "l_size", "r_size").agg(F.count("*").alias("shared"))
+    # How many labels of the gene have a token; both sides rank tokens by the same counts.
+    entry = lambda t, s: t.select("gene", F.col(f"{s}_norm").alias("norm"), F.size(f"{s}_tokens").alias("size"), F.explode(f"{s}_tokens").alias("token"))
+    least = F.greatest(F.lit(settings.min_shared_tokens), F.ceil(F.col("size") * settings.min_jaccard - 1e-9).cast("int"))
+    entries = lambda t, s: entry(t, s).where(F.col("size") >= least)
+    frequency = entries(lt, "l").unionByName(entries(rt, "r")).groupBy("gene", "token").agg(F.count("*").alias("labels"))
+
+    def inverted(t: DataFrame, s: str) -> DataFrame:
+        ranked = entries(t, s).join(frequency, ["gene", "token"]).groupBy("gene", "norm", "size").agg(F.array_sort(F.collect_list(F.struct("labels", "token"))).alias("ranked"))
+        rarest = F.slice("ranked", 1, F.col("size") - least + 1)["token"]
+        tokens = F.array_sort(F.col("ranked")["token"]).alias(f"{s}_set")
+        return ranked.select("gene", F.col("norm").alias(f"{s}_norm"), F.col("size").alias(f"{s}_size"), tokens, F.explode(rarest).alias("token"), rarest.alias(f"{s}_rarest"))
+
+    met = inverted(lt, "l").join(inverted(rt, "r"), ["gene", "token"]).where(F.col("l_norm") != F.col("r_norm"))
+    # A pair that meets under several tokens counts at the least of them, so that it needs no distinct.
+    met = met.where(F.array_min(F.array_intersect("l_rarest", "r_rarest")) == F.col("token")).withColumn("shared", F.size(F.array_intersect("l_set", "r_set")))
     j = F.col("shared") / (F.col("l_size") + F.col("r_size") - F.col("shared"))
-    near = shared.where((F.col("shared") >= settings.min_shared_tokens) & (j >= settings.min_jaccard) & (F.col("l_norm") != F.col("r_norm"))).select("gene", "l_norm", "r_norm", F.lit("C").alias("support"), j.alias("jaccard"))
+    near = met.where((F.col("shared") >= settings.min_shared_tokens) & (j >= settings.min_jaccard)).select("gene", "l_norm", "r_norm", F.lit("C").alias("support"), j.alias("jaccard"))
     equal = lt.join(rt, (lt.gene == rt.gene) & (lt.l_norm == rt.r_norm)).select(lt.gene, "l_norm", "r_norm", F.lit("B").alias("support"), F.lit(1.0).alias("jaccard"))
     graded = near.unionByName(equal).join(lt, ["gene", "l_norm"]).join(rt, ["gene", "r_norm"])
     words = F.when(F.col("support") == "B", F.col("l_norm")).otherwise(F.array_join(F.array_intersect("l_tokens", "r_tokens"), "|"))

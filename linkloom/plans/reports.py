@@ -52,6 +52,63 @@ def positive_control(controls: DataFrame, human: DataFrame, mouse: DataFrame, or
     return out.select("control_id", "human_found", "ortholog_found", "mouse_found", "distinct_substitutions", F.when(ok, "PASS").otherwise("FAIL").alias("status"))
 
 
+# Columns of the published summary of controls.
+RECOVERY = ["control_id", "human_gene", "rs_id", "mgi_allele_id", "class_A_rows", "class_B_rows", "class_C_rows", "class_D_archive_rows", "best_active_cosine", "active_curated_input_rows", "active_direction_conflict_rows", "expected_semantic_class", "expected_class_noncurated_rows", "semantic_expectation_status"]
+
+
+def semantic_recovery(controls: DataFrame, correspondence: DataFrame) -> DataFrame:
+    """Correspondences of each control by band, the best one in use, and FAIL where an expected band has none that was not put in by hand.
+
+    Controls are equi keys by gene and variant; the allele is a residual filter. Controls without rows have zeros.
+    """
+    c = controls.select("control_id", F.col("human_gene").alias("c_gene"), F.col("human_variant").alias("c_variant"), F.col("mouse_allele_id").alias("c_allele"), F.coalesce("expected_semantic_class", F.lit("")).alias("c_expected"))
+    v = correspondence
+    hits = v.join(c, (v.human_gene == F.col("c_gene")) & (v.rs_id == F.col("c_variant"))).where(X.in_pipe_list("mgi_allele_id", F.col("c_allele")))
+    active, band = F.col("eligible_for_default_use") == 1, F.col("cosine_class")
+    counts = hits.groupBy("control_id").agg(
+        *(F.count_if(band == b).alias(f"class_{b}{'_archive' if b == 'D' else ''}_rows") for b in "ABCD"),
+        F.max(F.when(active, F.col("cosine_similarity"))).alias("best_active_cosine"),
+        F.count_if(active & (F.col("curated_input") == 1)).alias("active_curated_input_rows"),
+        F.count_if(active & (F.col("direction_conflict") == 1)).alias("active_direction_conflict_rows"),
+        F.count_if(active & (F.coalesce("curated_input", F.lit(0)) == 0) & (band == F.col("c_expected"))).alias("expected_class_noncurated_rows"),
+    )
+    out = controls.select("control_id", "human_gene", F.col("human_variant").alias("rs_id"), F.col("mouse_allele_id").alias("mgi_allele_id"), F.coalesce("expected_semantic_class", F.lit("")).alias("expected_semantic_class")).join(counts, "control_id", "left")
+    out = out.na.fill(0, [n for n in RECOVERY if n.endswith("_rows")])
+    failed = (F.col("expected_semantic_class") != "") & (F.col("expected_class_noncurated_rows") == 0)
+    return out.withColumn("semantic_expectation_status", F.when(failed, "FAIL").otherwise("PASS")).select(*RECOVERY)
+
+
+def case_studies(controls: DataFrame, matrix: DataFrame, recovery: DataFrame, narratives: DataFrame, representatives: dict[str, DataFrame]) -> DataFrame:
+    """One line a control: FOUND if every route it is expected in has rows, the rows of each route, and what stands for it.
+
+    ``narratives`` (control_id, representative_route, interpretation, limitation) say which route's evidence is shown;
+    ``representatives`` are links of each route, one a control. A control without a narrative raises.
+    """
+    categories = list(SHOWN)
+    wide = matrix.groupBy("control_id").pivot("category_id", categories).agg(F.first("found_rows"))
+    out = controls.join(narratives.select("control_id", "representative_route", "interpretation", "limitation"), "control_id", "left")
+    require(out, "control_id", F.col("representative_route").isNotNull())
+    expected = F.coalesce("expected_semantic_class", F.lit(""))
+    out = out.withColumn("_routes", primary_routes(F.coalesce("expected_categories", F.lit("")), expected)).drop("expected_semantic_class")
+    bands = ["class_A_rows", "class_B_rows", "class_C_rows", "class_D_archive_rows"]
+    out = out.join(wide, "control_id", "left").join(recovery.select("control_id", *bands, "best_active_cosine"), "control_id", "left").na.fill(0, [*categories, *bands])
+    rows = {**{c: F.col(f"`{c}`") for c in categories}, **{f"semantic_{b}": F.col(f"class_{b}_rows") for b in "ABC"}}
+    table = F.create_map(*(x for k, v in rows.items() for x in (F.lit(k), v)))
+    found = F.forall("_routes", lambda r: F.coalesce(F.try_element_at(table, r), F.lit(0)) > 0)
+    shown = None
+    for route, links in representatives.items():
+        part = representative_evidence(links, route)
+        shown = part if shown is None else shown.unionByName(part)
+    if shown is None:
+        shown = controls.sparkSession.createDataFrame([], "control_id string, route_id string, human string, mouse string, detail string")
+    out = out.join(shown.withColumnRenamed("route_id", "representative_route"), ["control_id", "representative_route"], "left").na.fill("", ["human", "mouse", "detail"])
+    return out.select(
+        "control_id", "human_gene", "human_variant", "human_protein_change", "mouse_gene", "mouse_allele_id", "mouse_allele", "mouse_protein_change", F.when(found, "FOUND").otherwise("NOT_FOUND").alias("case_study_status"), F.array_join("_routes", "|").alias("primary_connection_routes"),
+        *(F.col(f"`{c}`").alias(f"{c.replace('-', '_')}_evidence_rows") for c in categories), *(F.col(f"class_{b}_rows").alias(f"semantic_class_{b}_evidence_rows") for b in "ABC"), F.col("class_D_archive_rows").alias("semantic_class_D_archive_rows"), "best_active_cosine",
+        "representative_route", F.col("human").alias("representative_human_phenotype"), F.col("mouse").alias("representative_mouse_phenotype"), F.col("detail").alias("representative_evidence_detail"), "interpretation", "limitation",
+    )
+
+
 def forbidden_pairs(links: DataFrame, human_gene: str, mouse_gene: str) -> DataFrame:
     """Rows of a gene pair that must not occur."""
     return links.agg(F.count_if((F.col("human_gene") == human_gene) & (F.col("mouse_gene") == mouse_gene)).alias("invalid_rows"))

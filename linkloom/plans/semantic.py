@@ -60,8 +60,9 @@ def hashed_embedding(dimensions: int = 64):
 
 
 def embed_texts(texts: DataFrame, embedder=None) -> DataFrame:
-    """``texts`` with an embedding column. Any pandas UDF of text to array<float> serves."""
-    return texts.withColumn("embedding", (embedder or hashed_embedding())("label"))
+    """``texts`` with an embedding column. Any pandas UDF of text to array<float> serves; texts come to it by length, so
+    that those of one batch are of about one length."""
+    return texts.sortWithinPartitions(F.length("label")).withColumn("embedding", (embedder or hashed_embedding())("label"))
 
 
 def scored_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -167,6 +168,20 @@ def signature(texts: DataFrame, model: str, max_length: int) -> str:
     return rows.select(F.sha2(F.concat_ws("|", F.col("n").cast("string"), F.col("s").cast("string"), F.lit(model), F.lit(str(max_length))), 256)).first()[0]
 
 
+def kept_vectors(texts: DataFrame, folder: str, model: str, max_length: int, embedder=None) -> DataFrame:
+    """``embed_texts``, written below ``folder`` under its signature; texts and a model that were embedded before are read.
+
+    A folder without its end mark is of a run that was lost, and is written again.
+    """
+    from linkloom.sources import readers, writers
+
+    spark = texts.sparkSession
+    path = f"{folder}/{signature(texts, model, max_length)}"
+    if readers.missing_inputs(spark, [f"{path}/_SUCCESS"]):
+        writers.write_table(embed_texts(texts, embedder), path)
+    return spark.read.parquet(path)
+
+
 def phrase_audits(spark, embedder=None, settings: Settings = DEFAULT) -> DataFrame:
     """Fixed phrase pairs scored by the embedder, with band and flags: what a reader should know of the model."""
     p = spark.createDataFrame(PHRASE_AUDITS, "audit_id string, phrase_1 string, phrase_2 string, relation string")

@@ -13,14 +13,21 @@ def clean_cell(x: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(x.cast("string"), F.lit("")), "[\t\r\n]+", " "))
 
 
-def write_tsv(df: DataFrame, path: str, partition_by: list[str] | None = None, compression: str = "none") -> None:
-    """Unquoted TSV with a header; ``partition_by`` makes a folder for each value."""
+def write_tsv(df: DataFrame, path: str, partition_by: list[str] | None = None, compression: str = "none", order: list | None = None) -> None:
+    """Unquoted TSV with a header; ``partition_by`` makes a folder for each value, ``order`` sorts the rows over all files."""
     keys = partition_by or []
+    df = df.orderBy(*order) if order else df
     out = df.select(*(F.col(c) if c in keys else clean_cell(F.col(c)).alias(c) for c in df.columns))
     w = out.write.mode("overwrite").options(sep="\t", header=True, quote="", emptyValue="", nullValue="", compression=compression)
     (w.partitionBy(*keys) if keys else w).csv(path)
 
 
+def write_quoted_tsv(df: DataFrame, path: str, compression: str = "gzip", order: list | None = None) -> None:
+    """TSV with a header whose cells are quoted where they hold a separator, a quote or a line end; quotes are doubled."""
+    df = df.orderBy(*order) if order else df
+    df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns)).write.mode("overwrite").options(sep="\t", header=True, quote='"', escape='"', emptyValue="", nullValue="", compression=compression, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+
+
 def write_gzip_tsv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     write_tsv(df, path, partition_by, "gzip")
 

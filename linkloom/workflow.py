@@ -13,13 +13,21 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.plans import bridge, disease, lexical, semantic
-from linkloom.settings import DEFAULT, STRICT_ROUTE, UNSCORED_ROUTE, Settings
+from linkloom.functions import text as X
+from linkloom.operators.keys import first_wins, last_wins, numbered
+from linkloom.plans import bridge, catalog, contract, disease, lexical, reports, semantic
+from linkloom.settings import DEFAULT, ORTHOLOG_SOURCE, STRICT_ROUTE, UNSCORED_ROUTE, Settings
 from linkloom.sources import readers, writers
 
 #: Source ids that a run needs.
 SOURCES = ("variants", "annotations", "mappings", "unscored_mappings", "genotypes", "orthologs", "associations", "alleles", "vocabulary", "disease_models", "nomenclature")
+#: Source ids that a run may have: without one, the steps that read it do nothing.
+OPTIONAL = ("positive_controls", "negative_controls", "case_narratives", "exchange")
 UNSCORED = UNSCORED_ROUTE.sources[0]
+CATEGORIES = ("category1-1", "category1-2", "category2-1", "category2-2")
+# The control that must be there, what its mouse side must match, and names that results had before.
+PRIMARY, PRIMARY_ALLELE, PRIMARY_BACKGROUND = "TLR4_LPS_001", "Lps-d", "C3H/HeJ"
+FORMER_NAMES = {"tier1_monarch_phenotype": "links_category1-1", "monarch_upheno_phenotype": "links_category1-2", "tier2_ortholog_phenotype": "links_category2-1", "tier3_disease_model": "links_category2-2"}
 
 
 @dataclass
@@ -45,6 +53,7 @@ def prepare_bridge(run: Run) -> None:
     both = first.unionByName(second)
     order = F.row_number().over(bridge_order())
     merged = run.keep("mappings", bridge.merge_mappings(both.withColumn("_ord", order)))
+    writers.write_tsv(merged, f"{run.out}/mappings", order=["hpo_id", "mp_id", "predicate"])
     pairs = run.keep("orthologs", readers.orthologs(spark, p["orthologs"]))
     run.keep("human_bridge", bridge.variant_phenotypes(readers.vcf(spark, p["variants"]), readers.annotations(spark, p["annotations"]), pairs, merged, run.settings))
     run.keep("mouse_bridge", bridge.allele_phenotypes(readers.genotype_report(spark, p["genotypes"]), pairs, merged, run.settings))
@@ -71,7 +80,7 @@ def prepare_evidence(run: Run) -> None:
     found = lexical.association_evidence(readers.associations(lines), pairs, run.settings)
     place = lambda df, n: df.withColumn("_ord", F.struct(F.lit(n).alias("file"), F.col("_ord").cast("struct<at:struct<file:string,line:bigint>,part:int,rs:int>").alias("at")))
     run.keep("human_evidence", place(conditions, 1).unionByName(place(found, 2)))
-    run.keep("mouse_evidence", lexical.mouse_evidence(readers.genotype_report(spark, p["genotypes"]), pairs, readers.allele_metadata(spark, p["alleles"]), readers.vocabulary(spark, p["vocabulary"])))
+    run.keep("mouse_evidence", lexical.mouse_evidence(readers.genotype_report(spark, p["genotypes"]), pairs, readers.allele_metadata(spark, p["alleles"]), readers.vocabulary(spark, p["vocabulary"]), ordered=True))
 
 
 def map_lexical(run: Run) -> None:
@@ -85,23 +94,134 @@ def map_disease(run: Run) -> None:
     run.keep("links_category2-2", disease.disease_links(t["human_evidence"], models))
 
 
-def map_semantic(run: Run, embedder=None) -> None:
+def annotated(rows: DataFrame, prefix: str) -> DataFrame:
+    """Evidence with source_row, its place in the order of the sources, and an evidence id made of it."""
+    out = numbered(rows, "_ord", "source_row").withColumn("evidence_id", X.ordinal_id(prefix, "source_row"))
+    return out.withColumn("source_row", F.col("source_row").cast("int"))
+
+
+def map_semantic(run: Run, embedder=None, model: str = "hashed-trigrams", max_length: int = 128) -> None:
+    """Annotations, texts and their vectors, and the matches of texts within a gene.
+
+    Vectors are kept by the signature of texts and model, and read where they are there. A text of more than
+    ``max_length`` words counts as truncated.
+    """
     t, s = run.tables, run.settings
-    pairs = semantic.collapse_orthologs(t["orthologs"].drop("_ord"))
-    genes = pairs.select("human_gene", "mouse_gene")
-    human = semantic.usable_annotations(t["human_evidence"], "phenotype_label", s).join(genes.select("human_gene"), "human_gene", "left_semi").withColumnRenamed("human_gene", "gene")
-    mouse = semantic.usable_annotations(t["mouse_evidence"], "phenotype_label", s).join(genes, "mouse_gene").withColumnRenamed("human_gene", "gene")
-    texts = run.keep("texts", semantic.embed_texts(semantic.text_catalog(human=human, mouse=mouse), embedder))
-    vectors = texts.select("text_id", "embedding")
+    pairs = semantic.collapse_orthologs(t["orthologs_enriched"].drop("_ord"))
+    genes = run.keep("ortholog", pairs.select(*(F.lit(ORTHOLOG_SOURCE).alias(c) if c == "source" else F.col(c) for c in catalog.columns("ortholog"))))
+    human = semantic.usable_annotations(annotated(t["human_evidence"], "HE:"), "phenotype_label", s).join(genes.select("human_gene"), "human_gene", "left_semi")
+    human = human.withColumn("curated_input", (F.col("evidence_class") == "literature_curated").cast("int"))
+    mouse = semantic.usable_annotations(annotated(t["mouse_evidence"], "ME:"), "phenotype_label", s).join(genes.select("mouse_gene"), "mouse_gene", "left_semi")
+    human, mouse = run.keep("human_texts", human), run.keep("mouse_texts", mouse)
+    run.keep("human_annotation", human.select(*catalog.columns("human_annotation")))
+    run.keep("mouse_annotation", mouse.select(*catalog.columns("mouse_annotation")))
+    texts = run.keep("texts", semantic.text_catalog(human=human, mouse=mouse))
+    vectors = semantic.kept_vectors(texts, f"{run.out}/vectors", model, max_length, embedder)
+    run.tables["vectors"] = vectors
+    long = F.size(F.split("label", " ")) > max_length
+    run.keep("phenotype_text", texts.select("text_id", "label", long.cast("int").alias("embedding_truncated")))
     side = lambda df: df.select("gene", "text_id").distinct().join(vectors, "text_id").select("gene", F.col("text_id").alias("id"), "embedding")
-    found = semantic.matches(semantic.scored_pairs(side(human), side(mouse)), s)
-    flagged = semantic.flagged_matches(found, texts.select("text_id", "label", F.lit(False).alias("truncated")), s)
-    out = run.keep("links_semantic", semantic.published_matches(flagged, genes, "hashed-trigrams" if embedder is None else "given", s.revision))
+    left = side(human.withColumnRenamed("human_gene", "gene"))
+    right = side(mouse.join(genes.select("human_gene", "mouse_gene"), "mouse_gene").withColumnRenamed("human_gene", "gene"))
+    found = semantic.matches(semantic.scored_pairs(left, right), s)
+    flagged = semantic.flagged_matches(found, texts.select("text_id", "label", long.alias("truncated")), s)
+    out = run.keep("links_semantic", semantic.published_matches(flagged, genes, model, s.revision))
     writers.write_gzip_tsv(out, f"{run.out}/links_semantic_by_class", ["cosine_class"])
+    catalog.register(run.spark, {"phenotype_match": out.select(*semantic.STORED), **{n: t[n] for n in ("human_annotation", "mouse_annotation", "phenotype_text", "ortholog")}})
+
+
+def controls_of(run: Run, name: str = "positive_controls") -> DataFrame | None:
+    return readers.tsv(run.spark, run.paths[name]).drop("_ord") if name in run.paths else None
+
+
+def validate(run: Run) -> None:
+    """Controls against the categories: what was expected must be found, what must not occur must not. Raises where it is not so."""
+    controls = controls_of(run)
+    if controls is None:
+        return
+    spark, t, p = run.spark, run.tables, run.paths
+    matrix = None
+    for c in CATEGORIES:
+        links = t[f"links_{c}"]
+        part = reports.inspect_category(links, controls, c, "within_tier_support" if "within_tier_support" in links.columns else None)
+        matrix = part if matrix is None else matrix.unionByName(part)
+    matrix = run.keep("tier_validation", reports.expectation_matrix(controls, matrix))
+    writers.write_tsv(matrix, f"{run.out}/category_validation_results", order=["control_id", "category_id"])
+    primary = controls.where(F.col("control_id") == PRIMARY)
+    if primary.isEmpty():
+        raise ValueError(f"the control {PRIMARY} is required")
+    variants = readers.vcf(spark, p["variants"]).select(X.gene_list(F.coalesce(X.info_value("info", "GENEINFO"), F.lit(""))).alias("genes"), X.rs_numbers(F.coalesce(X.info_value("info", "RS"), F.lit(""))).alias("rs"))
+    human = variants.select(F.explode("genes").alias("gene"), "rs").select(F.col("gene.symbol").alias("human_gene"), F.explode("rs").alias("rs_id"))
+    human = human.join(primary.select("human_gene", F.col("human_variant").alias("rs_id")), ["human_gene", "rs_id"], "left_semi")
+    pairs = t["orthologs"]
+    mouse = readers.genotype_report(spark, p["genotypes"]).where(X.single_marker("marker_ids")).withColumn("mgi_marker_id", F.element_at(X.pipe_list("marker_ids"), 1))
+    mouse = mouse.join(last_wins(pairs, ["mgi_marker_id"], ["_ord"]).select("mgi_marker_id", "mouse_gene"), "mgi_marker_id").join(primary.select("mouse_gene"), "mouse_gene", "left_semi")
+    positive = run.keep("positive_control", reports.positive_control(primary, human, mouse, pairs, PRIMARY_ALLELE, PRIMARY_BACKGROUND))
+    negative = controls_of(run, "negative_controls")
+    if negative is not None:
+        both = primary.select("human_gene", "human_protein_change", "mouse_protein_change").first()
+        strangers = [r["mouse_gene"] for r in negative.where("expected_rejection_reason = 'non_orthologous_gene'").select("mouse_gene").distinct().collect()]  # controls are a short list
+        invalid = sum(reports.forbidden_pairs(t[f"links_{c}"], both["human_gene"], g).first()["invalid_rows"] for c in CATEGORIES for g in strangers)
+        refused = run.keep("negative_controls", reports.negative_controls(negative, invalid, both["human_protein_change"], both["mouse_protein_change"]))
+        reports.require(refused, "control_id", F.col("status") == "PASS")
+    reports.require(positive, "control_id", F.col("status") == "PASS")
+    reports.require(matrix, "control_id", F.col("status") == "PASS")
+
+
+def verify_semantic(run: Run) -> None:
+    """The semantic result against its rules, its export, its vectors and the controls; a broken one raises."""
+    spark, t, s = run.spark, run.tables, run.settings
+    found = t["links_semantic"]
+    by_ids = found.select(F.col("human_gene").alias("gene"), F.col("human_text_id").alias("left_id"), F.col("mouse_text_id").alias("right_id"), F.col("cosine_similarity").alias("score"), "match_id", "cosine_class", "retrieval_rank", "direction_conflict", "review_status", "eligible_for_default_use")
+    human = t["human_annotation"].withColumnRenamed("human_gene", "gene")
+    genes = t["ortholog"].select("human_gene", "mouse_gene")
+    mouse = t["mouse_annotation"].join(genes, "mouse_gene").withColumnRenamed("human_gene", "gene")
+    checks = run.keep("semantic_audits", reports.semantic_audits(by_ids, human, mouse, t["phenotype_text"], genes, s).unionByName(catalog.constraint_audits(spark)))
+    reports.require(checks, "audit", F.col("violations") == 0)
+    exported = spark.read.csv(f"{run.out}/links_semantic_by_class", sep="\t", header=True, quote="")
+    reports.require(reports.export_counts(found, exported, "cosine_class"), "cosine_class", F.col("agrees"))
+    reports.require(semantic.norm_audit(t["vectors"]), "vectors", (F.col("vectors") == 0) | (F.col("largest_error") < 1e-5))
+    reports.require(semantic.rescored(by_ids, t["vectors"]), "match_id", F.col("difference") < 1e-5)
+    side = lambda df: df.select("gene", "text_id").distinct().join(t["vectors"], "text_id").select("gene", F.col("text_id").alias("id"), "embedding")
+    k = ["gene", "left_id", "right_id"]
+    above = semantic.scored_pairs(side(human), side(mouse)).where(F.col("score") >= s.band_b).select(*k)
+    kept = by_ids.where(F.col("cosine_class").isin("A", "B")).select(*k)
+    reports.require(reports.symmetric_difference(above, kept), "missing", (F.col("missing") == 0) & (F.col("extra") == 0))
+    controls = controls_of(run)
+    if controls is not None:
+        recovery = run.keep("controls_summary", reports.semantic_recovery(controls, spark.table("variant_correspondence")))
+        writers.write_tsv(recovery, f"{run.out}/controls_summary", order=["control_id"])
+        reports.require(recovery, "control_id", F.col("semantic_expectation_status") == "PASS")
+
+
+def report_cases(run: Run) -> None:
+    """A line for each control over all routes, with the link that stands for it."""
+    controls, narratives = controls_of(run), controls_of(run, "case_narratives")
+    if controls is None or narratives is None or "controls_summary" not in run.tables:
+        return
+    t = run.tables
+    shown = {c: reports.first_links(t[f"links_{c}"], controls, sorted(t[f"links_{c}"].columns)) for c in CATEGORIES}
+    labels = run.spark.table("phenotype_text")
+    label = lambda side: labels.select(F.col("text_id").alias(f"{side}_text_id"), F.col("label").alias(f"{side}_phenotype_label"))
+    pairs = run.spark.table("variant_correspondence").join(label("human"), "human_text_id").join(label("mouse"), "mouse_text_id")
+    for b in "ABC":
+        shown[f"semantic_{b}"] = first_wins(reports.control_hits(pairs.where(F.col("cosine_class") == b), controls), ["control_id"], [F.desc("cosine_similarity"), "match_id", "human_evidence_id", "mouse_evidence_id"])
+    cases = run.keep("case_studies", reports.case_studies(controls, t["tier_validation"], t["controls_summary"], narratives, shown))
+    writers.write_tsv(cases, f"{run.out}/case_study_summary", order=["control_id"])
+
+
+def check_exchange(run: Run) -> None:
+    """The exchange file against its contract, if there is one; its faults are written, then raise."""
+    if "exchange" not in run.paths:
+        return
+    faults = run.keep("exchange_faults", contract.file_issues(readers.lines(run.spark, run.paths["exchange"]), contract.COLUMNS, run.tables["orthologs"]))
+    reports.require(faults, "row", F.lit(False))
 
 
 def report(run: Run) -> None:
-    """Each link table as compressed TSV, and the row counts of all."""
+    """Each link table as compressed TSV, the row counts of all, and views of the names that results had before."""
+    for former, name in FORMER_NAMES.items():
+        run.tables[name].createOrReplaceTempView(former)
     counts = {}
     for name, df in run.tables.items():
         if name.startswith("links_"):
@@ -111,18 +231,31 @@ def report(run: Run) -> None:
     writers.write_tsv(rows.coalesce(1), f"{run.out}/category_catalog")
 
 
-STEPS: list[tuple[str, Callable[[Run], None]]] = [("prepare_bridge", prepare_bridge), ("map_bridge", map_bridge), ("prepare_evidence", prepare_evidence), ("map_lexical", map_lexical), ("map_disease", map_disease), ("map_semantic", map_semantic), ("report", report)]
+STEPS: list[tuple[str, Callable[[Run], None]]] = [
+    ("prepare_bridge", prepare_bridge),
+    ("map_bridge", map_bridge),
+    ("prepare_evidence", prepare_evidence),
+    ("map_lexical", map_lexical),
+    ("map_disease", map_disease),
+    ("report", report),
+    ("validate", validate),
+    ("map_semantic", map_semantic),
+    ("verify_semantic", verify_semantic),
+    ("report_cases", report_cases),
+    ("check_exchange", check_exchange),
+]
+SEMANTIC = ("map_semantic", "verify_semantic", "report_cases")
 
 
 def steps(skip_semantic: bool = False) -> list[tuple[str, Callable[[Run], None]]]:
-    return [s for s in STEPS if not (skip_semantic and s[0] == "map_semantic")]
+    return [s for s in STEPS if not (skip_semantic and s[0] in SEMANTIC)]
 
 
 def execute(spark: SparkSession, paths: dict[str, str], out: str, settings: Settings = DEFAULT, skip_semantic: bool = False) -> Run:
     """Runs all steps. Sources that are not declared, or not there, raise before the first one."""
     if missing := [s for s in SOURCES if s not in paths]:
         raise ValueError(f"sources not declared: {missing}")
-    if absent := readers.missing_inputs(spark, [paths[s] for s in SOURCES]):
+    if absent := readers.missing_inputs(spark, [paths[s] for s in (*SOURCES, *OPTIONAL) if s in paths]):
         raise FileNotFoundError(f"sources not found: {absent}")
     run = Run(spark, paths, out, settings)
     for _, step in steps(skip_semantic):

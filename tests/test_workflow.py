@@ -1,13 +1,15 @@
 """The whole run over small source files, against known answers."""
 
 import zipfile
+from dataclasses import replace
 
 import numpy as np
 import pytest
 
 from linkloom import workflow
 from linkloom.functions import text as X
-from linkloom.plans import semantic
+from linkloom.plans import contract, semantic
+from linkloom.settings import DEFAULT
 from linkloom.sources import readers
 
 
@@ -36,13 +38,64 @@ def sources(tmp_path_factory):
     return paths
 
 
-def test_run(spark, sources, tmp_path):
-    run = workflow.execute(spark, sources, str(tmp_path / "out"))
+CONTROLS = ["control_id", "human_gene", "human_variant", "human_protein_change", "mouse_gene", "mouse_allele_id", "mouse_allele", "mouse_protein_change", "expected_categories", "expected_semantic_class"]
+
+
+CONTROL = ["TLR4_LPS_001", "TLR4", "rs4986790", "p.Asp299Gly", "Tlr4", "MGI:9", "Tlr4<Lps-d>", "p.Pro712His"]
+
+
+def table(folder, name, *rows):
+    (folder / name).write_text("".join("\t".join(r) + "\n" for r in rows))
+    return str(folder / name)
+
+
+@pytest.fixture(scope="module")
+def run(spark, sources, tmp_path_factory):
+    """A run with controls that are met and an exchange file without rows."""
+    d = tmp_path_factory.mktemp("run")
+    tsv = lambda *x: table(d, *x)
+    paths = sources | {
+        "positive_controls": tsv("positive.tsv", CONTROLS, [*CONTROL, "category1-1|category2-1|category2-2", "C"]),
+        "negative_controls": tsv("negative.tsv", ["control_id", "human_gene", "mouse_gene", "expected_rejection_reason"], ["n1", "TLR4", "Trp53", "non_orthologous_gene"], ["n2", "TLR4", "Tlr4", "different_residue_and_substitution"]),
+        "case_narratives": tsv("cases.tsv", ["control_id", "representative_route", "interpretation", "limitation"], ["TLR4_LPS_001", "category2-1", "i", "l"]),
+        "exchange": tsv("exchange.tsv", contract.COLUMNS),
+    }
+    return workflow.execute(spark, paths, str(d / "out"), DEFAULT.with_values(band_a=0.999, band_b=0.99, band_c=-1.0))
+
+
+def test_links(spark, run):
     n = {k: df.count() for k, df in run.tables.items()}
     assert (n["links_category1-1"], n["links_category1-2"], n["links_category2-1"], n["links_category2-2"], n["human_evidence"], n["mouse_evidence"]) == (1, 1, 1, 1, 2, 3)
     assert run.tables["links_category2-1"].first()["within_tier_support"] == "B"
     assert run.tables["links_semantic"].columns == semantic.PAIRS and n["links_semantic"] == 6
-    assert readers.tsv(spark, str(tmp_path / "out" / "links_category1-1")).first()["mgi_allele_id"] == "MGI:9"
+    assert readers.tsv(spark, f"{run.out}/links_category1-1").first()["mgi_allele_id"] == "MGI:9"
+
+
+def test_controls(spark, run):
+    t = run.tables
+    assert {r["category_id"]: (r["found_rows"], r["status"]) for r in t["tier_validation"].collect()} == {"category1-1": (1, "PASS"), "category1-2": (1, "PASS"), "category2-1": (1, "PASS"), "category2-2": (1, "PASS")}
+    assert [r["status"] for r in t["negative_controls"].collect()] == ["PASS", "PASS"] and t["positive_control"].first()["status"] == "PASS"
+    case = t["case_studies"].first().asDict()
+    assert case["case_study_status"] == "FOUND" and case["primary_connection_routes"] == "category1-1|category2-1|category2-2|semantic_C"
+    assert case["representative_human_phenotype"] == "Reduced LPS response" and case["representative_evidence_detail"] == "exact_normalized_label / B"
+    assert t["controls_summary"].first()["class_C_rows"] == case["semantic_class_C_evidence_rows"] > 0
+    assert [r["evidence_id"] for r in t["human_annotation"].orderBy("source_row").collect()] == ["HE:0000000001", "HE:0000000002"]
+    assert spark.table("tier2_ortholog_phenotype").count() == 1 and t["exchange_faults"].isEmpty()
+    # Vectors of the same texts and model are read the next time, others are made.
+    calls = []
+    again = semantic.kept_vectors(t["texts"], f"{run.out}/vectors", "hashed-trigrams", 128, lambda c: calls.append(c))
+    assert again.count() == t["texts"].count() and not calls
+
+
+def test_controls_that_fail(run, tmp_path):
+    other = lambda **paths: replace(run, paths=run.paths | paths, out=str(tmp_path), tables=dict(run.tables))
+    lost = table(tmp_path, "lost.tsv", CONTROLS, [*CONTROL, "", ""], ["other", "TLR4", "rs9", "a", "Tlr4", "MGI:9", "x", "b", "category1-1", ""])
+    with pytest.raises(ValueError, match="other"):
+        workflow.validate(other(positive_controls=lost))
+    with pytest.raises(ValueError, match="required"):
+        workflow.validate(other(positive_controls=table(tmp_path, "none.tsv", CONTROLS, ["x", *CONTROL[1:], "", ""])))
+    with pytest.raises(ValueError, match="failed: \\['1'\\]"):
+        workflow.check_exchange(other(exchange=table(tmp_path, "bad.tsv", ["tier"])))
 
 
 def test_refused(spark, sources):
@@ -54,7 +107,7 @@ def test_refused(spark, sources):
 
 def test_command_line(capsys):
     workflow.main(["--sources", "s", "--out", "o", "--dry-run", "--skip-semantic"])
-    assert capsys.readouterr().out.split() == ["prepare_bridge", "map_bridge", "prepare_evidence", "map_lexical", "map_disease", "report"]
+    assert capsys.readouterr().out.split() == ["prepare_bridge", "map_bridge", "prepare_evidence", "map_lexical", "map_disease", "report", "validate", "check_exchange"]
     with pytest.raises(SystemExit):
         workflow.main(["--no-such-flag"])
 
