@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
-from linkloom.plans import bridge, catalog, contract, disease, lexical, reports, semantic
+from linkloom.operators.keys import numbered
+from linkloom.plans import bridge, catalog, contract, disease, lexical, lookups, reports, semantic
 from linkloom.plans.driver_queries import BANDS, CONTROL_SQL, FLAG_SQL, SELECTIVE_SQL, _control_links, _found, _matrix, _sides, query, selective, sql_lexical
 from linkloom.session import scratch
 from linkloom.settings import DEFAULT
@@ -537,3 +538,123 @@ def snk_file_manifest(t):
     for (name,) in t.nation.select("n_name").collect():
         writers.write_bytes(t.spark, f"{path}/{name}.txt", name.encode())
     return writers.file_manifest(t.spark, path, "*.txt").select(F.replace(F.element_at(F.split("path", "/"), -1), F.lit("%20"), F.lit(" ")).alias("file"), "bytes", "sha256")
+
+
+# --- the semantic result in use ---------------------------------------------------------------
+
+
+def _correspondence(t) -> DataFrame:
+    """Matches spread over annotations: vector v is variant rs(v % 40) on one side and alleles A(v % 6)|A9 on the other."""
+    f = _found(t).select("gene", "left_id", "right_id", F.col("score").alias("cosine_similarity"), "cosine_class", "match_id", "review_status", "direction_conflict", "eligible_for_default_use")
+    k = lambda c: F.substring(c, 2, 6).cast("int")
+    return f.select(
+        F.concat(_l("G"), "gene").alias("human_gene"), F.concat(_l("m"), "gene").alias("mouse_gene"), F.col("left_id").alias("human_text_id"), F.col("right_id").alias("mouse_text_id"), _text(_l("rs"), k("left_id") % 40).alias("rs_id"), _text(_l("A"), k("right_id") % 6, _l("|A9")).alias("mgi_allele_id"),
+        (k("left_id") % 7 == 0).cast("int").alias("curated_input"), "cosine_similarity", "cosine_class", "match_id", "review_status", "direction_conflict", "eligible_for_default_use",
+    )
+
+
+_CORRESPONDENCE_SQL = f"""{FLAG_SQL},
+v AS (SELECT 'G' || gene AS human_gene, left_id, right_id, 'rs' || left_id[2:]::INT % 40 AS rs_id, 'A' || right_id[2:]::INT % 6 AS allele, (left_id[2:]::INT % 7 = 0)::INT AS curated, s, band, match_id, status, conflict, eligible FROM m)"""
+
+
+def _semantic_controls(t) -> DataFrame:
+    """A control for each nation; those of 20 and up expect band A of a variant that no vector has."""
+    k = F.col("n_nationkey")
+    return t.nation.select(
+        _text(_l("c"), k).alias("control_id"), _text(_l("G"), k % 5).alias("human_gene"), _text(_l("rs"), F.when(k < 20, k * 2).otherwise(99)).alias("human_variant"), _text(_l("m"), k % 5).alias("mouse_gene"), F.when(k % 2 == 0, "A9").otherwise(_text(_l("A"), k % 6)).alias("mouse_allele_id"),
+        F.when(k % 3 == 0, "D").when(k >= 20, "A").when(k % 3 == 1, "C").otherwise("").alias("expected_semantic_class"), F.when(k % 4 == 0, "category1-1").otherwise("").alias("expected_categories"), _l("p").alias("human_protein_change"), _l("a").alias("mouse_allele"), _l("q").alias("mouse_protein_change"),
+    )
+
+
+_SEMANTIC_CONTROL_SQL = f"""{_CORRESPONDENCE_SQL},
+ctl AS (SELECT n_nationkey AS k, 'c' || n_nationkey AS control_id, 'G' || n_nationkey % 5 AS g, 'rs' || CASE WHEN n_nationkey < 20 THEN n_nationkey * 2 ELSE 99 END AS rs, CASE WHEN n_nationkey % 2 = 0 THEN 'A9' ELSE 'A' || n_nationkey % 6 END AS al, CASE WHEN n_nationkey % 3 = 0 THEN 'D' WHEN n_nationkey >= 20 THEN 'A' WHEN n_nationkey % 3 = 1 THEN 'C' ELSE '' END AS want FROM nation),
+hit AS (SELECT ctl.*, v.* FROM ctl LEFT JOIN v ON v.human_gene = g AND v.rs_id = rs AND (al = 'A9' OR al = v.allele)),
+recovery AS (SELECT control_id, k, want, count(*) FILTER (band = 'A') AS a, count(*) FILTER (band = 'B') AS b, count(*) FILTER (band = 'C') AS c, count(*) FILTER (band = 'D') AS d, round(max(CASE WHEN eligible = 1 THEN s END), 6) AS best,
+  count(*) FILTER (eligible = 1 AND curated = 1) AS hand, count(*) FILTER (eligible = 1 AND conflict = 1) AS conflicts, count(*) FILTER (eligible = 1 AND curated = 0 AND band = want) AS expected_rows FROM hit GROUP BY ALL)"""
+
+
+@query(f"""WITH {_SEMANTIC_CONTROL_SQL} SELECT control_id, a AS "class_A_rows", b AS "class_B_rows", c AS "class_C_rows", d AS "class_D_archive_rows", best AS best_active_cosine, hand AS active_curated_input_rows, conflicts AS active_direction_conflict_rows, want AS expected_semantic_class, expected_rows AS expected_class_noncurated_rows,
+CASE WHEN want <> '' AND expected_rows = 0 THEN 'FAIL' ELSE 'PASS' END AS semantic_expectation_status FROM recovery""")
+def va_semantic_recovery(t):
+    """Controls over the correspondences: rows of each band, the best, and whether the expected band was met."""
+    out = reports.semantic_recovery(_semantic_controls(t), _correspondence(t))
+    return out.drop("human_gene", "rs_id", "mgi_allele_id").withColumn("best_active_cosine", F.round("best_active_cosine", 6))
+
+
+@query(f"""WITH {_SEMANTIC_CONTROL_SQL} SELECT control_id, CASE WHEN (k % 4 <> 0 OR k % 8 = 0) AND (want = '' OR (want = 'A' AND a > 0) OR (want = 'B' AND b > 0) OR (want = 'C' AND c > 0)) THEN 'FOUND' ELSE 'NOT_FOUND' END AS case_study_status,
+array_to_string(list_filter([CASE WHEN k % 4 = 0 THEN 'category1-1' END, CASE WHEN want <> '' THEN 'semantic_' || want END], lambda x: x IS NOT NULL), '|') AS primary_connection_routes, CASE WHEN k % 8 = 0 THEN 3 ELSE 0 END::BIGINT AS category1_1_evidence_rows, c AS "semantic_class_C_evidence_rows", d AS "semantic_class_D_archive_rows",
+CASE WHEN k < 10 THEN 'category1-1' ELSE 'category2-2' END AS representative_route, CASE WHEN k < 10 THEN 'h' || k ELSE '' END AS representative_human_phenotype, CASE WHEN k < 10 THEN 'HP:' || k || ' / p' ELSE '' END AS representative_evidence_detail FROM recovery""")
+def pl_case_studies(t):
+    """A line for each control; every eighth has rows of category1-1, the first ten a link that stands for it."""
+    k, controls = F.col("n_nationkey"), _semantic_controls(t)
+    matrix = t.nation.select(_text(_l("c"), k).alias("control_id"), _l("category1-1").alias("category_id"), F.when(k % 8 == 0, 3).otherwise(0).cast("long").alias("found_rows"))
+    narratives = t.nation.select(_text(_l("c"), k).alias("control_id"), F.when(k < 10, "category1-1").otherwise("category2-2").alias("representative_route"), _l("i").alias("interpretation"), _l("l").alias("limitation"))
+    links = t.nation.where("n_nationkey < 12").select(_text(_l("c"), k).alias("control_id"), _text(_l("h"), k).alias("hpo_label"), _l("").alias("mp_label"), _text(_l("HP:"), k).alias("hpo_id"), _l("p").alias("predicate"), _l("").alias("mp_id"))
+    out = reports.case_studies(controls, matrix, reports.semantic_recovery(controls, _correspondence(t)), narratives, {"category1-1": links})
+    return out.select("control_id", "case_study_status", "primary_connection_routes", "category1_1_evidence_rows", "semantic_class_C_evidence_rows", "semantic_class_D_archive_rows", "representative_route", "representative_human_phenotype", "representative_evidence_detail")
+
+
+@query(f"""WITH {_CORRESPONDENCE_SQL} SELECT match_id, left_id AS human_phenotype, right_id AS mouse_phenotype, round(s, 6) AS score FROM v WHERE human_gene = 'G1' AND rs_id = 'rs2' AND eligible = 1""")
+def flt_of_variant(t):
+    """Correspondences of one variant of one gene, with the labels of their texts."""
+    texts = t.embeddings.select(F.format_string("T%06d", "vec_id").alias("text_id"), F.format_string("T%06d", "vec_id").alias("label"))
+    out = lookups.of_variant(semantic.active(_correspondence(t)), texts, "G1", "rs2")
+    return out.select("match_id", "human_phenotype", "mouse_phenotype", F.round("cosine_similarity", 6).alias("score"))
+
+
+@query(f"""WITH {_CORRESPONDENCE_SQL},
+best AS (SELECT 'best' AS list, match_id, row_number() OVER (ORDER BY s DESC, match_id) AS r FROM v WHERE band = 'A' AND status = 'unreviewed'),
+odd AS (SELECT 'conflicts', match_id, row_number() OVER (ORDER BY match_id) AS r FROM v WHERE conflict = 1),
+old AS (SELECT 'archive', match_id, row_number() OVER (ORDER BY match_id) AS r FROM v WHERE band = 'D')
+SELECT list, match_id FROM best WHERE r <= 100 UNION ALL SELECT 'conflicts', match_id FROM odd WHERE r <= 100 UNION ALL SELECT 'archive', match_id FROM old WHERE r <= 100""")
+def so_top_lists(t):
+    """The hundred best unreviewed pairs of band A, the first hundred of opposite directions, and of the archive."""
+    v = _correspondence(t)
+    lists = {"best": lookups.of_status(v, "A", "unreviewed"), "conflicts": lookups.conflicting(v), "archive": lookups.archived(v)}
+    out = None
+    for name, df in lists.items():
+        part = df.select(_l(name).alias("list"), "match_id")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(f"WITH {_CORRESPONDENCE_SQL} SELECT curated = 1 AS curated, count(*) AS n, count(DISTINCT rs_id) AS variants FROM v GROUP BY 1")
+def flt_by_curation(t):
+    """Correspondences whose human side was put in by hand, and the others."""
+    v = _correspondence(t)
+    one = lambda hand: lookups.by_curation(v, hand).groupBy(F.lit(hand).alias("curated")).agg(F.count("*").alias("n"), F.count_distinct("rs_id").alias("variants"))
+    return one(True).unionByName(one(False))
+
+
+@query("SELECT (row_number() OVER (ORDER BY s_nationkey, s_name))::BIGINT AS place, s_name FROM supplier")
+def so_sorted_table(t):
+    """A table written in one order over all of its files; read back, lines are in that order."""
+    path = scratch(t.spark, "sorted")
+    writers.write_tsv(t.supplier.select("s_nationkey", "s_name"), path, order=["s_nationkey", "s_name"])
+    return numbered(readers.tsv(t.spark, path), "_ord", "place").select("place", "s_name")
+
+
+@query("SELECT c_custkey::VARCHAR AS k, 'a \"q\"' || chr(9) || chr(10) || c_name AS cell, CASE WHEN c_custkey % 2 = 0 THEN '' ELSE c_mktsegment END AS plain FROM customer")
+def snk_quoted_tsv(t):
+    """Cells with tabs, line ends and quotes, written with quoting and read back."""
+    path = scratch(t.spark, "quoted-sink")
+    writers.write_quoted_tsv(t.customer.select(F.col("c_custkey").alias("k"), F.concat(_l('a "q"\t\n'), "c_name").alias("cell"), F.when(F.col("c_custkey") % 2 == 0, None).otherwise(F.col("c_mktsegment")).alias("plain")), path)
+    return readers.quoted_tsv(t.spark, path)
+
+
+@query("SELECT DISTINCT p_type AS label, 64 AS dimensions, true AS unit FROM part")
+def pl_kept_vectors(t):
+    """Vectors of distinct texts, made once under the signature of texts and model and read the second time."""
+    texts = semantic.text_catalog(human=semantic.usable_annotations(t.part, "p_type")).select("text_id", "label")
+    path = scratch(t.spark, "vectors")
+    semantic.kept_vectors(texts, path, "hashed-trigrams", 128)
+    out = semantic.kept_vectors(texts, path, "hashed-trigrams", 128)
+    return out.select("label", F.size("embedding").alias("dimensions"), (F.abs(X.dot("embedding", "embedding") - 1) < 1e-5).alias("unit"))
+
+
+@query(sql_lexical("first_lines", "gene", "doc_id", "label", "true", "true", "[]::VARCHAR[]", {"htm": "html"}).replace("WITH l AS", "WITH first_lines AS (SELECT lang || source AS gene, split_part(text, '.', 1) AS label, min(doc_id) AS doc_id FROM documents GROUP BY 1, 2), l AS") + " SELECT gene, support, token_jaccard, count(*) AS n, min(left_id) AS first_left, max(right_id) AS last_right FROM m WHERE left_id < right_id GROUP BY ALL")
+def jn_token_index_docs(t):
+    """Different first sentences of the documents of one language and source, as labels, each against all later ones."""
+    d = t.documents.groupBy(F.concat("lang", "source").alias("gene"), F.split_part("text", F.lit("."), F.lit(1)).alias("label")).agg(F.min("doc_id").alias("id"))
+    m = lexical.label_matches(d, d, DEFAULT.with_values(uninformative=()), {"htm": "html"}).where("left_id < right_id")
+    return m.groupBy("gene", "support", "token_jaccard").agg(F.count("*").alias("n"), F.min("left_id").alias("first_left"), F.max("right_id").alias("last_right"))

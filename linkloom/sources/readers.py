@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import io
 import json
+import re
+import urllib.parse
 import zipfile
 from collections.abc import Iterator
 
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.text import ontology_curie, skos_predicate
 
+#: Rows of a matrix that a task reads at a time.
+NPY_ROWS = 4096
 BOM = "﻿"
 VCF = ["chrom", "pos", "id", "ref", "alt", "qual", "filter", "info"]
 ANNOTATION = ["database_id", "disease_name", "qualifier", "hpo_id", "reference", "evidence", "onset", "frequency", "sex", "modifier", "aspect", "biocuration"]
@@ -30,6 +34,21 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(place.alias("_ord"), F.regexp_replace("value", "\r$", "").alias("value"))
 
 
+def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """path and length of the files at or below a path; their content is not read."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path).select("path", "length")
+
+
+def opened(path: str):
+    """A file for reading and seeking, in an executor: local files, and what Arrow's file systems know by its scheme."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        return open(urllib.parse.unquote("/" + path.removeprefix("file:").lstrip("/")), "rb")
+    store, place = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
+    return store.open_input_file(place)
+
+
 def _cells(df: DataFrame, columns: list[str]) -> DataFrame:
     """Tab cells by position; missing ones are ''. _n is how many there were."""
     cells = F.split("value", "\t")
@@ -146,25 +165,36 @@ def sssom(spark: SparkSession, path: str, source: str) -> DataFrame:
 def _unzipped(suffix: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content in batch["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for name in sorted(n for n in z.namelist() if n.endswith(suffix)):
-                        rows: list[str] = []
-                        with z.open(name) as f:
-                            for raw in io.TextIOWrapper(f, "utf-8"):
-                                rows.append(raw.rstrip("\r\n"))
-                                if len(rows) >= 10_000:
-                                    yield pd.DataFrame({"value": rows})
-                                    rows = []
-                        yield pd.DataFrame({"value": rows})
+            for path, member in zip(batch["path"], batch["member"]):
+                with opened(path) as raw, zipfile.ZipFile(raw) as z, z.open(member) as f:
+                    rows: list[str] = []
+                    for line in io.TextIOWrapper(f, "utf-8", newline="\n"):
+                        rows.append(line.rstrip("\r\n"))
+                        if len(rows) >= 10_000:
+                            yield pd.DataFrame({"path": path, "member": member, "value": rows})
+                            rows = []
+                    yield pd.DataFrame({"path": path, "member": member, "value": rows})
+
+    return run
+
+
+def _members(suffix: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                with opened(path) as raw, zipfile.ZipFile(raw) as z:
+                    names = [n for n in z.namelist() if n.endswith(suffix)]
+                yield pd.DataFrame({"path": path, "member": names})
 
     return run
 
 
 def zip_lines(spark: SparkSession, path: str, suffix: str = ".tsv") -> DataFrame:
-    """Lines of the members of a ZIP file, decompressed in pieces in one task for each file."""
-    content = spark.read.format("binaryFile").load(path).select("content")
-    return content.mapInPandas(_unzipped(suffix), "value string").select(F.struct(F.lit("").alias("file"), F.monotonically_increasing_id().alias("line")).alias("_ord"), "value")
+    """Lines of the members of ZIP files, in the order of files, members and lines. A member is decompressed in pieces, in
+    a task of its own; an archive is never held whole, so that its size is not bounded."""
+    some = files(spark, path).select("path").mapInPandas(_members(suffix), "path string, member string")
+    lines = some.repartition(F.col("path"), F.col("member")).mapInPandas(_unzipped(suffix), "path string, member string, value string")
+    return lines.select(F.struct(F.concat_ws("!", "path", "member").alias("file"), F.monotonically_increasing_id().alias("line")).alias("_ord"), "value")
 
 
 def associations(df: DataFrame) -> DataFrame:
@@ -210,20 +240,44 @@ def can_reuse(source: dict, previous: dict | None, remote: dict | None, force: b
     return bool(remote.get("last_modified")) and all(remote.get(k) == previous.get(k) for k in ("last_modified", "content_length"))
 
 
+def npy_header(f) -> tuple[tuple[int, ...], str, int]:
+    """Shape and number type of an open .npy file in C order, and where its numbers begin."""
+    import numpy as np
+
+    version = np.lib.format.read_magic(f)
+    read = np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0
+    shape, fortran, kind = read(f)
+    if fortran or kind.hasobject or len(shape) != 2:
+        raise ValueError("only matrices of numbers in C order")
+    return shape, kind.str, f.tell()
+
+
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for path in batch["path"]:
+            with opened(path) as f:
+                (rows, width), kind, start = npy_header(f)
+            at = range(0, rows, NPY_ROWS)
+            yield pd.DataFrame({"path": path, "first": at, "rows": [min(NPY_ROWS, rows - x) for x in at], "width": width, "kind": kind, "start": start})
+
+
 def _npy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import numpy as np
 
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            matrix = np.load(io.BytesIO(content), allow_pickle=False)
-            for lo in range(0, len(matrix), 4096):
-                part = matrix[lo : lo + 4096]
-                yield pd.DataFrame({"path": path, "row": range(lo, lo + len(part)), "embedding": [v.astype("float32").tolist() for v in part]})
+        for path, first, rows, width, kind, start in batch.itertuples(index=False):
+            size = np.dtype(kind).itemsize * width
+            with opened(path) as f:
+                f.seek(start + first * size)
+                part = np.frombuffer(f.read(rows * size), kind).reshape(rows, width)
+            yield pd.DataFrame({"path": path, "row": range(first, first + rows), "embedding": [v.astype("float32").tolist() for v in part]})
 
 
 def npy_vectors(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of .npy matrices: path, row, embedding; one task for each file."""
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(_npy, "path string, row long, embedding array<float>")
+    """Rows of .npy matrices: path, row, embedding. Blocks of rows are read where they stand, by tasks of their own; a
+    matrix is never held whole."""
+    some = files(spark, path).select("path").mapInPandas(_blocks, "path string, first long, rows long, width long, kind string, start long")
+    return some.repartition(F.col("path"), F.col("first")).mapInPandas(_npy, "path string, row long, embedding array<float>")
 
 
 def manifest_changes(current: DataFrame, previous: DataFrame) -> DataFrame:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.sources.readers import files, opened
+
 
 def clean_cell(x: Column) -> Column:
     """Runs of tabs and line ends as one space, trimmed; null is ''."""
@@ -48,10 +53,22 @@ def write_both(df: DataFrame, main: str, side: str, is_side: Column) -> None:
         df.unpersist()
 
 
+def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        sums = []
+        for path in batch["path"]:
+            h = hashlib.sha256()
+            with opened(path) as f:
+                while piece := f.read(1 << 20):
+                    h.update(piece)
+            sums.append(h.hexdigest())
+        yield batch.assign(sha256=sums)
+
+
 def file_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """path, bytes and SHA-256 of each file below a folder."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """path, bytes and SHA-256 of each file below a folder; files of any size, read piece by piece."""
+    found = files(spark, path, pattern).select("path", F.col("length").alias("bytes"))
+    return found.repartition(F.col("path")).mapInPandas(_digests, "path string, bytes long, sha256 string")
 
 
 def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
