@@ -1,11 +1,11 @@
-"""The queries op1 to op10, and SQL where SQL can express them."""
+"""The queries op1 to op13, and SQL where SQL can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embed_dedup, langid, minhash, secret_scan, sentencepiece_codec, suffix_dedup, tokenbin, toxicity, warc
+from . import decontaminate, embed_dedup, langid, minhash, secret_scan, sentencepiece_codec, suffix_dedup, tokenbin, toxicity, turns, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,7 +77,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs, secret_scan.fit(docs)).drop("token")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_suffix_array_dedup, op3_minhash_near_dedup, op4_sentencepiece, op5_warc, op6_decontamination, op7_language_id, op8_token_files, op9_toxicity, op10_secret_scan)}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged by rule, then repaired at least cost. A null conv_id is a conversation; one without rows left has zeros and the empty digest."""
+    given = _table(spark, sf_dir, "conversations")
+    return turns.repair_table(given, turns.damaged(given))
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_suffix_array_dedup, op3_minhash_near_dedup, op4_sentencepiece, op5_warc, op6_decontamination, op7_language_id, op8_token_files, op9_toxicity, op10_secret_scan, op11_conversation_repair)}
 
 _COMPONENTS = """
 reach(id, r) AS (
@@ -143,5 +149,64 @@ covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(ra
 named AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coalesce(m.n, 0)::BIGINT AS n_items, sha256(coalesce(m.ids, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN named m USING (doc_id)
+""",
+    "op11_conversation_repair": r"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_reduce([4294967295::BIGINT] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT),
+      lambda c, b: list_reduce([xor(c, b)] || list_value(0::BIGINT, 0, 0, 0, 0, 0, 0, 0), lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS register
+  FROM conversations
+),
+dealt AS (SELECT *, xor(register, 4294967295) % 20 AS kind FROM given),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM dealt WHERE kind <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS told FROM damaged
+),
+flagged AS (
+  SELECT *, told = '' AS blank, told <> '' AND seen > 1 AS duplicate, told <> '' AND seen = 1 AND right(told, 1) NOT IN ('.', '!', '?') AS truncated,
+    substr(role, 1, 1) AS c, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS p FROM placed
+),
+paths AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 'e' AS state, 0::BIGINT AS cost, '' AS audit, '' AS said FROM flagged
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit, said FROM (
+    SELECT x.conv_id, x.i, x.state, x.cost, x.audit, x.said, row_number() OVER (PARTITION BY x.conv_id, x.state ORDER BY x.cost, x.audit) AS best FROM (
+      SELECT f.conv_id, f.i, m.state, m.cost + w.cost AS cost, m.audit || w.letter AS audit, m.said || CASE WHEN w.letter = 'D' THEN '' ELSE chr(30) || w.role || ':' || f.text END AS said, w.state AS wanted
+      FROM (
+        SELECT conv_id, i, state, cost, audit, said FROM paths
+        UNION ALL SELECT conv_id, i, 'u', cost + 2, audit || 'I', said || chr(30) || 'user:' FROM paths WHERE state <> 'u'
+        UNION ALL SELECT conv_id, i, 'a', cost + 2, audit || 'I', said || chr(30) || 'assistant:' FROM paths WHERE state = 'u'
+        UNION ALL SELECT conv_id, i, 'a', cost + 4, audit || 'II', said || chr(30) || 'user:' || chr(30) || 'assistant:' FROM paths WHERE state <> 'u'
+      ) m
+      JOIN flagged f ON f.conv_id IS NOT DISTINCT FROM m.conv_id AND f.i = m.i + 1,
+      LATERAL (
+        SELECT 'D' AS letter, 3 AS cost, m.state AS state, '' AS role
+        UNION ALL SELECT 'K', CASE WHEN f.truncated THEN 1 ELSE 0 END, f.c, f.role WHERE NOT f.blank AND NOT f.duplicate AND ((f.c = 's' AND m.state = 'e') OR (f.c = 'u' AND m.state <> 'u') OR (f.c = 'a' AND m.state = 'u'))
+        UNION ALL SELECT 'R', CASE WHEN f.truncated THEN 3 ELSE 2 END, CASE WHEN m.state = 'u' THEN 'a' ELSE 'u' END, CASE WHEN m.state = 'u' THEN 'assistant' ELSE 'user' END WHERE NOT f.blank AND NOT f.duplicate
+      ) w
+    ) y(conv_id, i, before, cost, audit, said, state), LATERAL (SELECT y.conv_id, y.i, y.state, y.cost, y.audit, y.said) x
+  ) WHERE best = 1
+),
+ends AS (
+  SELECT conv_id, cost, audit, said FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) AS best FROM (
+      SELECT p.conv_id, p.cost, p.audit, p.said FROM paths p JOIN (SELECT conv_id, max(i) AS n FROM flagged GROUP BY conv_id) q ON p.conv_id IS NOT DISTINCT FROM q.conv_id AND p.i = q.n WHERE p.state IN ('e', 'a')
+      UNION ALL SELECT p.conv_id, p.cost + 2, p.audit || 'I', p.said || chr(30) || 'assistant:' FROM paths p JOIN (SELECT conv_id, max(i) AS n FROM flagged GROUP BY conv_id) q ON p.conv_id IS NOT DISTINCT FROM q.conv_id AND p.i = q.n WHERE p.state = 'u'
+      UNION ALL SELECT p.conv_id, p.cost + 4, p.audit || 'II', p.said || chr(30) || 'user:' || chr(30) || 'assistant:' FROM paths p JOIN (SELECT conv_id, max(i) AS n FROM flagged GROUP BY conv_id) q ON p.conv_id IS NOT DISTINCT FROM q.conv_id AND p.i = q.n WHERE p.state <> 'u'
+    )
+  ) WHERE best = 1
+),
+sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (p IS NOT NULL AND p || c NOT IN ('su', 'ua', 'au')) AS illegal FROM flagged GROUP BY conv_id
+)
+SELECT h.conv_id, coalesce(s.gaps, 0)::BIGINT AS gaps, coalesce(s.blank, 0)::BIGINT AS blank, coalesce(s.duplicate, 0)::BIGINT AS duplicate, coalesce(s.truncated, 0)::BIGINT AS truncated,
+  coalesce(s.illegal, 0)::BIGINT AS illegal, coalesce(e.cost, 0)::BIGINT AS cost, coalesce(e.audit, '') AS audit, sha256(replace(substr(coalesce(e.said, ''), 2), chr(30), chr(10))) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) h LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM h.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM h.conv_id
 """,
 }
