@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embed_dedup, langid, minhash, secret_scan, sentencepiece_codec, suffix_dedup, tokenbin, toxicity, turns, warc
+from . import decontaminate, embed_dedup, langid, minhash, search, secret_scan, sentencepiece_codec, suffix_dedup, tokenbin, toxicity, turns, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,7 +83,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair_table(given, turns.damaged(given))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_suffix_array_dedup, op3_minhash_near_dedup, op4_sentencepiece, op5_warc, op6_decontamination, op7_language_id, op8_token_files, op9_toxicity, op10_secret_scan, op11_conversation_repair)}
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for each item, of all documents. Null texts have no terms; an item without a hit has no row."""
+    return search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 50)
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_suffix_array_dedup, op3_minhash_near_dedup, op4_sentencepiece, op5_warc, op6_decontamination, op7_language_id, op8_token_files, op9_toxicity, op10_secret_scan, op11_conversation_repair, op13_ranked_search)}
 
 _COMPONENTS = """
 reach(id, r) AS (
@@ -208,5 +213,19 @@ sums AS (
 SELECT h.conv_id, coalesce(s.gaps, 0)::BIGINT AS gaps, coalesce(s.blank, 0)::BIGINT AS blank, coalesce(s.duplicate, 0)::BIGINT AS duplicate, coalesce(s.truncated, 0)::BIGINT AS truncated,
   coalesce(s.illegal, 0)::BIGINT AS illegal, coalesce(e.cost, 0)::BIGINT AS cost, coalesce(e.audit, '') AS audit, sha256(replace(substr(coalesce(e.said, ''), 2), chr(30), chr(10))) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) h LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM h.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM h.conv_id
+""",
+    "op13_ranked_search": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+total AS (SELECT count(*) FILTER (len(w) > 0) AS docs, sum(len(w))::BIGINT AS terms FROM d),
+sizes AS (SELECT r, doc_id, 50 + (50 * len(w)::BIGINT * docs) // greatest(terms, 1) AS m FROM d, total),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+q AS (SELECT DISTINCT item_id, unnest(list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term FROM benchmark),
+scored AS (
+  SELECT q.item_id, s.doc_id, sum(weights.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 20 * s.m)))::BIGINT AS score
+  FROM q JOIN weights USING (term) JOIN tf USING (term) JOIN sizes s USING (r) GROUP BY q.item_id, tf.r, s.doc_id
+),
+placed AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 50
 """,
 }
