@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embed_dedup, langid, minhash, search, secret_scan, sentencepiece_codec, suffix_dedup, tokenbin, toxicity, turns, warc
+from . import decontaminate, embed_dedup, langid, minhash, mixture, search, secret_scan, sentencepiece_codec, suffix_dedup, tokenbin, toxicity, turns, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,12 +83,17 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair_table(given, turns.damaged(given))
 
 
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of 150 % of all words takes of each document. A null text has size 0; a null source is the last one."""
+    return mixture.mix_table(_table(spark, sf_dir, "documents"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents for each item, of all documents. Null texts have no terms; an item without a hit has no row."""
     return search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 50)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_suffix_array_dedup, op3_minhash_near_dedup, op4_sentencepiece, op5_warc, op6_decontamination, op7_language_id, op8_token_files, op9_toxicity, op10_secret_scan, op11_conversation_repair, op13_ranked_search)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_suffix_array_dedup, op3_minhash_near_dedup, op4_sentencepiece, op5_warc, op6_decontamination, op7_language_id, op8_token_files, op9_toxicity, op10_secret_scan, op11_conversation_repair, op12_source_mixing, op13_ranked_search)}
 
 _COMPONENTS = """
 reach(id, r) AS (

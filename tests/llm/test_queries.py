@@ -11,14 +11,14 @@ from linkloom.llm import queries
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(queries.SQL) <= set(queries.QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     cur = con.execute(queries.SQL[name])
     columns = [d[0] for d in cur.description]
