@@ -74,7 +74,7 @@ def targets(ws: Workspace, sizes: DataFrame, seed: int) -> DataFrame:
     bits = F.greatest(F.lit(0), F.least(F.lit(40), F.ceil(F.log2(F.col("source_size") / BUCKET_WORDS)))).cast("int")
     step = F.coalesce(*(F.when(F.col("quota") % p != 0, F.lit(p)) for p in PRIMES), F.lit(1)).cast("long")
     shift = F.when(F.col("quota") > 0, F.pmod(F.xxhash64(F.lit(seed), F.col("rank")), F.col("quota")))
-    return ws.table(out.select("rank", "source", "source_size", "target", "quota", (F.col("target") / F.col("quota")).alias("block"), F.coalesce(bits, F.lit(0)).alias("bits"), step.alias("step"), shift.alias("shift")), "targets")
+    return ws.table(out.select("rank", "source", "source_size", "target", "quota", F.try_divide("target", "quota").alias("block"), F.coalesce(bits, F.lit(0)).alias("bits"), step.alias("step"), shift.alias("shift")), "targets")
 
 
 def on_axis(sizes: DataFrame, sources: DataFrame) -> DataFrame:
