@@ -94,11 +94,12 @@ def _times(limit: Column) -> Column:
     return F.when(F.col("size") > 0, F.greatest(F.lit(0), F.least(F.col("n"), F.ceil((limit - F.col("start")) / F.col("size") - 0.5)))).otherwise(F.lit(0))
 
 
-def fitted(axis: DataFrame) -> DataFrame:
+def fitted(ws: Workspace, axis: DataFrame) -> DataFrame:
     """``axis`` with more: 1 or -1 for one document of a source that is taken once more, or less, as that brings the source nearest to its target."""
     times = _times(F.col("target")) + _times(F.col("target") - F.col("source_size"))
     rows = axis.withColumn("times", F.when(F.col("quota") > 0, times).otherwise(F.lit(0)))
-    gaps = rows.groupBy("rank").agg((F.max("target") - F.sum(F.col("times") * F.col("size"))).alias("gap"))
+    # Written, so that its size is known before the join: rows of a source are not sent to one task for it.
+    gaps = ws.table(rows.groupBy("rank").agg((F.max("target") - F.sum(F.col("times") * F.col("size"))).alias("gap")), "gaps")
     rows = rows.join(gaps, "rank")
     free = F.when(F.col("gap") > 0, F.col("times") < MOST).otherwise(F.col("times") > 0) & (F.col("n") == 1) & (F.col("quota") > 0)
     off = F.abs(F.abs("gap") - F.col("size"))
@@ -215,7 +216,7 @@ def mix(docs: DataFrame, shard_blocks: int = SHARD_BLOCKS, seed: int = 0) -> tup
     ws = Workspace(docs.sparkSession, "mixture")
     sizes = sized(ws, docs)
     sources = targets(ws, sizes, seed)
-    axis = ws.table(fitted(ws.table(on_axis(sizes, sources), "places")), "axis")
+    axis = ws.table(fitted(ws, ws.table(on_axis(sizes, sources), "places")), "axis")
     return axis, sources, mixed(ws, sizes, sources, axis, shard_blocks, seed)
 
 
