@@ -21,6 +21,10 @@ def first_text(*xs) -> Column:
     return F.coalesce(*(F.nullif(_c(x), F.lit("")) for x in xs[:-1]), _c(xs[-1]))
 
 
+#: Blanks that are cut off the ends of identifiers.
+BLANKS = " \t\n\x0b\x0c\r\xa0\ufeff"
+
+
 def percent_decode(x) -> Column:
     """Percent escapes decoded and + kept; malformed input comes back unchanged."""
     x = _c(x)
@@ -34,6 +38,11 @@ def info_value(info, key: str) -> Column:
     return F.when(last == key, F.lit("true")).otherwise(F.substr(last, F.lit(len(key) + 2)))
 
 
+def decoded_info(info, key: str) -> Column:
+    """The value of ``key`` with its percent escapes decoded, '' where it is absent."""
+    return percent_decode(text_or_empty(info_value(info, key)))
+
+
 def info_map(info) -> Column:
     """The whole bag as a map; the last of repeated keys wins."""
     parts = F.filter(F.split(_c(info), ";"), lambda p: p != "")
@@ -54,7 +63,7 @@ ID_PREFIXES = (("MONDO:MONDO:", "MONDO:"), ("OMIM:OMIM:", "OMIM:"), ("MIM:", "OM
 
 def canonical_disease_id(x) -> Column:
     """Trimmed, one quote off each edge, known prefixes in canonical form."""
-    clean = F.regexp_replace(F.trim(_c(x)), '^"|"$', "")
+    clean = F.regexp_replace(F.trim(_c(x), F.lit(BLANKS)), '^"|"$', "")
     out = clean
     for written, canonical in reversed(ID_PREFIXES):
         out = F.when(clean.rlike(f"(?i)^{written}"), F.concat(F.lit(canonical), F.substr(clean, F.lit(len(written) + 1)))).otherwise(out)
@@ -68,16 +77,16 @@ def disease_ids(x) -> Column:
 
 
 def ontology_curie(x) -> Column:
-    """…/obo/HP_123 or …/obo/MP_123 as HP:123; other text as it is."""
-    x = _c(x)
+    """Trimmed; …/obo/HP_123 or …/obo/MP_123 as HP:123, other text as it is."""
+    x = F.trim(_c(x), F.lit(BLANKS))
     kind, number = F.regexp_extract(x, "/obo/(HP|MP)_([0-9]+)$", 1), F.regexp_extract(x, "/obo/(HP|MP)_([0-9]+)$", 2)
     return F.when(kind == "", x).otherwise(F.concat_ws(":", kind, number))
 
 
 def skos_predicate(x) -> Column:
-    """…skos/core#someMatch as skos:someMatch; other text as it is."""
-    x = _c(x)
-    name = F.regexp_extract(x, "skos/core#([A-Za-z]+Match)$", 1)
+    """Trimmed; …skos/core#someMatch or …skos/core/someMatch as skos:someMatch, other text as it is."""
+    x = F.trim(_c(x), F.lit(BLANKS))
+    name = F.regexp_extract(x, "skos/core[#/]([A-Za-z]+Match)$", 1)
     return F.when(name == "", x).otherwise(F.concat(F.lit("skos:"), name))
 
 
@@ -115,10 +124,9 @@ def extracted(x, pattern: str, lower: bool = False) -> Column:
 
 
 def gene_list(x) -> Column:
-    """symbol:id elements of a | list as structs, cut at the last colon; '.', empty and incomplete ones are left out."""
-    parts = F.filter(pipe_list(x), lambda v: v != ".")
-    pairs = F.transform(parts, lambda v: F.struct(F.regexp_extract(v, "^(.*):([^:]*)$", 1).alias("symbol"), F.regexp_extract(v, "^(.*):([^:]*)$", 2).alias("id")))
-    return F.filter(pairs, lambda p: (p["symbol"] != "") & (p["id"] != ""))
+    """symbol:id elements of a | list as structs, cut at the last colon; without one the id is empty. Those whose symbol is empty or '.' are left out."""
+    pairs = F.transform(pipe_list(x), lambda v: F.struct(F.regexp_replace(v, ":[^:]*$", "").alias("symbol"), F.regexp_extract(v, ":([^:]*)$", 1).alias("id")))
+    return F.filter(pairs, lambda p: ~p["symbol"].isin("", "."))
 
 
 def normal_tokens(x, aliases: dict[str, str] = ALIASES) -> Column:

@@ -314,13 +314,14 @@ def jn_shared_id(t):
     return out.groupBy("human_gene", "shared_disease_id").agg(F.count("*").alias("links"), F.count_distinct("rs_id").alias("variants"), F.count_distinct("mgi_genotype_id").alias("models"))
 
 
-@query("""WITH l AS (SELECT l_orderkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey) AS pos FROM lineitem),
-f AS (SELECT o_orderkey, s_suppkey, s_name, row_number() OVER (PARTITION BY o_orderkey ORDER BY s_nationkey <> c_nationkey, pos) AS r FROM orders JOIN customer ON o_custkey = c_custkey JOIN l ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey WHERE s_suppkey % 3 <> 0)
+@query("""WITH l AS (SELECT l_orderkey, CASE WHEN l_linenumber % 3 = 0 THEN '-' ELSE '' END || l_suppkey AS allele, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey) AS pos FROM lineitem),
+f AS (SELECT o_orderkey, s_suppkey, s_name, row_number() OVER (PARTITION BY o_orderkey ORDER BY s_nationkey <> c_nationkey, pos) AS r FROM orders JOIN customer ON o_custkey = c_custkey JOIN l ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey::VARCHAR = allele)
 SELECT o_orderkey, s_suppkey::VARCHAR AS allele_id, s_name AS allele_name FROM orders LEFT JOIN (SELECT * FROM f WHERE r = 1) USING (o_orderkey)""")
 def jn_primary_allele(t):
-    l = t.lineitem.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_partkey"))), lambda x: x["l_suppkey"].cast("string")), "|").alias("mgi_allele_id"))
+    """Suppliers as alleles of orders; the lines whose number is a multiple of 3 list one that no supplier is."""
+    l = t.lineitem.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_partkey"))), lambda x: F.concat(F.when(x["l_linenumber"] % 3 == 0, "-").otherwise(""), x["l_suppkey"].cast("string"))), "|").alias("mgi_allele_id"))
     g = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(l, F.col("l_orderkey") == F.col("o_orderkey"), "left").select(F.col("o_orderkey").alias("_ord"), F.col("c_nationkey").cast("string").alias("mgi_marker_id"), "mgi_allele_id")
-    a = t.supplier.where("s_suppkey % 3 <> 0").select(F.col("s_suppkey").cast("string").alias("allele_id"), F.col("s_nationkey").cast("string").alias("marker_id"), F.col("s_name").alias("allele_name"), F.lit("").alias("allele_type"))
+    a = t.supplier.select(F.col("s_suppkey").cast("string").alias("allele_id"), F.col("s_nationkey").cast("string").alias("marker_id"), F.col("s_name").alias("allele_name"), F.lit("").alias("allele_type"))
     return lexical.primary_allele(g, a).select(F.col("_ord").alias("o_orderkey"), "primary.allele_id", "primary.allele_name")
 
 

@@ -13,6 +13,11 @@ from linkloom.settings import ALIASES, DEFAULT, ORTHOLOG_SOURCE, SAYS_B, SAYS_C,
 HUMAN = ["human_gene", "human_ncbi_gene_id", "rs_id", "chromosome", "position", "reference_allele", "alternate_allele", "variant_source", "source_record_id", "phenotype_id", "phenotype_label", "evidence_class", "evidence_detail", "p_value", "publication_id", "clinical_significance", "condition_identifiers", "reported_genes", "mapped_genes"]
 MOUSE = ["mouse_gene", "mouse_ncbi_gene_id", "mgi_marker_id", "mouse_allele", "mgi_allele_id", "allele_name", "allele_type", "allelic_composition", "genetic_background", "phenotype_id", "phenotype_label", "phenotype_definition", "phenotype_source", "evidence_detail", "pubmed_ids", "mgi_genotype_id"]
 
+# What evidence rows say of where they come from.
+REVIEW, NOT_REPORTED = "ClinVar aggregate classification; review status: ", "not reported"
+BY_TERM, TERM_DETAIL = "MGI_MP", "Specific MP annotation from MGI_GenePheno"
+BY_NAME, NAME_DETAIL = "MGI_allele_name", "MGI phenotypic allele name; original reference "
+
 #: Columns of a link (fixed values: a published table), and what the mouse side's columns are called there.
 LINKS = ["category_id", "subcategory_id", "connection_basis", "human_gene", "human_ncbi_gene_id", "rs_id", "human_variant_source", "human_source_record_id", "human_chromosome", "human_position", "human_phenotype_id", "human_phenotype_label", "human_evidence_class", "human_evidence_detail", "human_p_value", "human_publication_id", "human_clinical_significance", "mouse_gene", "mouse_ncbi_gene_id", "mgi_marker_id", "mouse_allele", "mgi_allele_id", "allele_name", "allele_type", "allelic_composition", "genetic_background", "mouse_phenotype_id", "mouse_phenotype_label", "mouse_phenotype_definition", "mouse_phenotype_source", "mouse_evidence_detail", "mouse_pubmed_ids", "mgi_genotype_id", "ortholog_source", "within_tier_support", "match_method", "matched_concept", "shared_informative_tokens", "token_jaccard", "interpretation"]
 RENAMED = {c: f"mouse_{c}" for c in ("phenotype_id", "phenotype_label", "phenotype_definition", "phenotype_source", "evidence_detail", "pubmed_ids")}
@@ -30,7 +35,7 @@ def _named(df: DataFrame, **columns: Column) -> DataFrame:
 
 def variant_conditions(vcf: DataFrame, orthologs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Variants x genes x rs ids x (condition label, ids by position); the first of equal rows stays."""
-    info = {k: F.coalesce(X.info_value("info", k), F.lit("")) for k in ("RS", "GENEINFO", "CLNDISDB", "CLNDN", "CLNSIG")}
+    info = {k: X.decoded_info("info", k) for k in ("RS", "GENEINFO", "CLNDISDB", "CLNDN", "CLNSIG", "CLNREVSTAT")}
     rows = vcf.select("_ord", "chrom", "pos", "id", "ref", "alt", *(v.alias(k) for k, v in info.items()))
     rows = rows.where(X.accepted_significance("CLNSIG", settings.significance)).withColumn("rs", X.rs_numbers("RS")).where(F.size("rs") > 0)
     pairs = last_wins(orthologs, ["human_gene"], ["_ord"]).select("human_gene", F.col("human_ncbi_gene_id").alias("ncbi"))
@@ -41,7 +46,7 @@ def variant_conditions(vcf: DataFrame, orthologs: DataFrame, settings: Settings
     out = _named(
         rows.withColumn("_ord", F.struct("_ord", "at", "rs_at")),
         human_gene=F.col("human_gene"), human_ncbi_gene_id=F.col("ncbi"), rs_id=F.col("rs_id"), chromosome=F.col("chrom"), position=F.col("pos"), reference_allele=F.col("ref"), alternate_allele=F.col("alt"), variant_source=F.lit("ClinVar"), source_record_id=F.col("id"),
-        phenotype_id=F.col("condition.id"), phenotype_label=F.col("condition.label"), evidence_class=F.lit("clinvar_supported"), evidence_detail=F.col("CLNSIG"), clinical_significance=F.col("CLNSIG"), condition_identifiers=F.col("condition.id"),
+        phenotype_id=F.col("condition.id"), phenotype_label=F.col("condition.label"), evidence_class=F.lit("clinvar_supported"), evidence_detail=F.concat(F.lit(REVIEW), X.first_text(X.display_value("CLNREVSTAT"), F.lit(NOT_REPORTED))), clinical_significance=X.display_value("CLNSIG"), condition_identifiers=F.col("condition.id"),
     )
     return first_wins(out, ["human_gene", "rs_id", "source_record_id", "phenotype_id", "phenotype_label"], ["_ord"])
 
@@ -56,8 +61,8 @@ def association_evidence(associations: DataFrame, orthologs: DataFrame, settings
     rows = rows.select("*", F.posexplode(rs).alias("r_at", "rs_id")).withColumn("label", X.first_text("MAPPED_TRAIT", "DISEASE/TRAIT")).where("label <> ''")
     out = _named(
         rows.withColumn("key_p", F.col("p")).withColumn("_ord", F.struct("_ord", "g_at", "r_at")),
-        human_gene=F.col("human_gene"), human_ncbi_gene_id=F.col("human_ncbi_gene_id"), rs_id=F.col("rs_id"), chromosome=F.col("CHR_ID"), position=F.col("CHR_POS"), variant_source=F.lit("GWAS Catalog"), source_record_id=F.col("STUDY ACCESSION"),
-        phenotype_id=F.col("MAPPED_TRAIT_URI"), phenotype_label=F.col("label"), evidence_class=F.lit("gwas_significant"), p_value=F.col("P-VALUE"), publication_id=F.col("PUBMEDID"), reported_genes=F.col("REPORTED GENE(S)"), mapped_genes=F.col("MAPPED_GENE"),
+        human_gene=F.col("human_gene"), human_ncbi_gene_id=F.col("human_ncbi_gene_id"), rs_id=F.col("rs_id"), chromosome=F.col("CHR_ID"), position=F.col("CHR_POS"), variant_source=F.lit("GWAS_Catalog"), source_record_id=F.col("STUDY ACCESSION"),
+        phenotype_id=F.col("MAPPED_TRAIT_URI"), phenotype_label=F.col("label"), evidence_class=F.lit("gwas_significant"), evidence_detail=F.col("DISEASE/TRAIT"), p_value=F.col("P-VALUE"), publication_id=F.when(F.col("PUBMEDID") != "", F.concat(F.lit("PMID:"), "PUBMEDID")).otherwise(""), condition_identifiers=F.col("MAPPED_TRAIT_URI"), reported_genes=F.col("REPORTED GENE(S)"), mapped_genes=F.col("MAPPED_GENE"),
     ).withColumn("key_p", X.number_or("p_value", 0.0))
     return first_wins(out, ["source_record_id", "human_gene", "rs_id", "phenotype_label", "key_p"], ["_ord"]).drop("key_p")
 
@@ -70,27 +75,41 @@ def human_evidence(*parts: DataFrame) -> DataFrame:
     return out
 
 
+ALLELE = ["allele_id", "symbol", "allele_name", "allele_type", "reference", "marker_id"]
+
+
+def known_alleles(genotypes: DataFrame, alleles: DataFrame) -> DataFrame:
+    """Each genotype (unique _ord) with known: its listed alleles that ``alleles`` has, in the order of the list."""
+    listed = genotypes.select("_ord", F.posexplode(X.pipe_list("mgi_allele_id")).alias("at", "allele_id"))
+    found = listed.join(alleles.select(*(F.col(c) if c in alleles.columns else F.lit("").alias(c) for c in ALLELE)), "allele_id")
+    lists = found.groupBy("_ord").agg(F.array_sort(F.collect_list(F.struct("at", *ALLELE))).alias("known"))
+    return genotypes.join(lists, "_ord", "left")
+
+
 def primary_allele(genotypes: DataFrame, alleles: DataFrame) -> DataFrame:
     """Each genotype (unique _ord) with its primary allele: the first listed whose marker fits, else the first known, else none."""
-    listed = genotypes.select("_ord", "mgi_marker_id", F.posexplode(X.pipe_list("mgi_allele_id")).alias("at", "allele_id"))
-    found = listed.join(alleles.select("allele_id", "marker_id", "allele_name", "allele_type"), "allele_id")
-    best = found.groupBy("_ord").agg(F.min_by(F.struct("allele_id", "allele_name", "allele_type"), F.struct((F.col("marker_id") != F.col("mgi_marker_id")).alias("off"), "at")).alias("primary"))
-    return genotypes.join(best, "_ord", "left")
+    rows = known_alleles(genotypes, alleles)
+    fits = F.filter("known", lambda a: a["marker_id"] == F.col("mgi_marker_id"))
+    return rows.withColumn("primary", F.coalesce(F.get(fits, F.lit(0)), F.get("known", F.lit(0))))
 
 
 def mouse_evidence(genotypes: DataFrame, orthologs: DataFrame, alleles: DataFrame, terms: DataFrame, ordered: bool = False) -> DataFrame:
-    """Evidence by phenotype term and by allele name, from one scan of the genotypes; with its place as _ord if ``ordered``."""
+    """Evidence by phenotype term, and by the name of each known allele, from one scan of the genotypes; with its place as _ord if ``ordered``."""
     rows = genotypes.where(X.single_marker("marker_ids")).withColumn("mgi_marker_id", F.element_at(X.pipe_list("marker_ids"), 1))
     rows = rows.join(last_wins(orthologs, ["mgi_marker_id"], ["_ord"]).select("mgi_marker_id", "mouse_gene", "mouse_ncbi_gene_id"), "mgi_marker_id")
     rows = primary_allele(rows, alleles)
-    rows = rows.withColumn("allele_name", F.coalesce("primary.allele_name", F.lit(""))).withColumn("allele_type", F.coalesce("primary.allele_type", F.lit("")))
+    place = lambda at: [F.struct("_ord", at.cast("int").alias("kind")).alias("_ord")] if ordered else []
+    shape = lambda df, at, **c: df.select(*place(at), *(c.get(n, F.col(n) if n in df.columns else F.lit("")).cast("string").alias(n) for n in MOUSE))
     by_term = rows.join(terms.where("mp_label <> ''").select("mp_id", "mp_label", "mp_definition"), "mp_id")
     by_term = first_wins(by_term, ["mouse_gene", "mgi_allele_id", "genetic_background", "mp_id", "mgi_genotype_id"], ["_ord"])
-    place = lambda k: [F.struct("_ord", F.lit(k).alias("kind")).alias("_ord")] if ordered else []
-    shape = lambda df, k, **c: df.select(*place(k), *(c.get(n, F.col(n) if n in df.columns else F.lit("")).cast("string").alias(n) for n in MOUSE))
-    one = shape(by_term, 0, phenotype_id=F.col("mp_id"), phenotype_label=F.col("mp_label"), phenotype_definition=F.coalesce("mp_definition", F.lit("")), phenotype_source=F.lit("mp_annotation"))
-    by_name = first_wins(rows.where("allele_name <> ''").withColumn("mgi_allele_id", F.col("primary.allele_id")), ["mouse_gene", "mgi_allele_id", "genetic_background", "mgi_genotype_id"], ["_ord"])
-    return one.unionByName(shape(by_name, 1, phenotype_label=F.col("allele_name"), phenotype_source=F.lit("allele_name")))
+    own = lambda c: F.coalesce(f"primary.{c}", F.lit(""))
+    one = shape(by_term, F.lit(0), allele_name=own("allele_name"), allele_type=own("allele_type"), phenotype_id=F.col("mp_id"), phenotype_label=F.col("mp_label"), phenotype_definition=F.coalesce("mp_definition", F.lit("")), phenotype_source=F.lit(BY_TERM), evidence_detail=F.lit(TERM_DETAIL))
+    named = rows.select("*", F.explode("known").alias("a")).where("a.allele_name <> ''")
+    named = named.withColumn("mgi_allele_id", F.col("a.allele_id")).withColumn("mouse_allele", X.first_text("a.symbol", "mouse_allele"))
+    by_name = first_wins(named, ["mouse_gene", "mgi_allele_id", "genetic_background", "mgi_genotype_id"], ["_ord", "a.at"])
+    detail = F.concat(F.lit(NAME_DETAIL), X.first_text("a.reference", F.lit(NOT_REPORTED)))
+    two = shape(by_name, F.col("a.at") + 1, allele_name=F.col("a.allele_name"), allele_type=F.col("a.allele_type"), phenotype_label=F.col("a.allele_name"), phenotype_source=F.lit(BY_NAME), evidence_detail=detail)
+    return one.unionByName(two)
 
 
 def label_matches(left: DataFrame, right: DataFrame, settings: Settings = DEFAULT, aliases: dict[str, str] = ALIASES) -> DataFrame:

@@ -58,25 +58,25 @@ label AS (SELECT hpo_id, max(CASE WHEN named THEN 'label of ' || mp_id END) AS h
 def _annotations(t) -> DataFrame:
     k = F.col("p_partkey")
     return t.part.select(
-        k.cast("long").alias("_ord"), _text(_l("MIM:"), k % 7).alias("database_id"), F.col("p_type").alias("disease_name"), F.when(k % 11 == 0, "NOT").otherwise("").alias("qualifier"), _text(_l("HP:"), F.col("p_size") % 10).alias("hpo_id"),
+        k.cast("long").alias("_ord"), _text(_l("MIM:"), k % 7).alias("database_id"), F.when(k % 4 == 0, "").otherwise(F.col("p_type")).alias("disease_name"), F.when(k % 11 == 0, "NOT").otherwise("").alias("qualifier"), _text(F.when(k % 2 == 0, " http://x.org/obo/HP_").otherwise("HP:"), F.col("p_size") % 10).alias("hpo_id"),
         k.cast("string").alias("reference"), F.col("p_brand").alias("evidence"), _l("").alias("frequency"), F.when(k % 5 == 0, "I").otherwise("P").alias("aspect"), _l("b").alias("biocuration"),
     )
 
 
 _NOTED_SQL = f"""{_MAPPED_SQL},
-noted AS (SELECT * FROM (SELECT 'OMIM:' || p_partkey % 7 AS disease_id, 'HP:' || p_size % 10 AS hpo_id, p_type AS disease_name, p_brand AS evidence, p_partkey AS reference,
+noted AS (SELECT * FROM (SELECT 'OMIM:' || p_partkey % 7 AS disease_id, 'HP:' || p_size % 10 AS hpo_id, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE p_type END AS disease_name, p_brand AS evidence, p_partkey AS reference,
   row_number() OVER (PARTITION BY p_partkey % 7, p_size % 10 ORDER BY p_partkey) AS r FROM part WHERE p_partkey % 11 <> 0 AND p_partkey % 5 <> 0) WHERE r = 1 AND hpo_id IN (SELECT hpo_id FROM mapped))"""
 
 
 def _vcf(t) -> DataFrame:
-    """A variant for each order: two rs ids, a gene with an ortholog and one without, a disease, two condition labels."""
+    """A variant for each order: two rs ids, a gene with an ortholog under two ids and one without, three diseases in two groups, two condition labels."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    significance = F.when(F.col("o_orderpriority") == "1-URGENT", "Pathogenic").when(F.col("o_orderpriority") == "2-HIGH", "protective").otherwise("Benign")
-    info = F.concat(_l("RS="), _text(c % 50), _l(",x,"), _text(k), _l(";GENEINFO=C"), _text(c % 25), _l(":"), _text(c % 25), _l("|X:Y:1|.;CLNDISDB=MIM:"), _text(c % 7), _l(";CLNDN=cond_"), _text(c % 4), _l("|not_provided;CLNSIG="), significance, _l(";CLNREVSTAT=one_star"))
+    significance = F.when(F.col("o_orderpriority") == "1-URGENT", "Pathogenic|risk_factor").when(F.col("o_orderpriority") == "2-HIGH", "protective").otherwise("Benign")
+    info = F.concat(_l("RS="), _text(c % 50), _l(",x,"), _text(k), _l(";GENEINFO=C"), _text(c % 25), _l(":"), _text(c % 25), _l("|X:Y:1|.|C"), _text(c % 25), _l(":77;CLNDISDB=MIM:"), _text(c % 7), _l("|MedGen:M1,Orphanet:9;CLNDN=cond_"), _text(c % 4), _l("%2C_x|not_provided;CLNSIG="), significance, F.when(c % 2 == 0, ";CLNREVSTAT=one_star").otherwise(""))
     return t.orders.select(k.cast("long").alias("_ord"), F.col("o_orderstatus").alias("chrom"), _text(c).alias("pos"), _text(k).alias("id"), _l("A").alias("ref"), _l("G").alias("alt"), _l(".").alias("qual"), _l(".").alias("filter"), info.alias("info"))
 
 
-_VARIANT_SQL = """variant AS (SELECT o_orderkey, o_custkey, o_orderstatus, unnest([(o_custkey % 50)::VARCHAR, o_orderkey::VARCHAR]) AS rs FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')),
+_VARIANT_SQL = """variant AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, unnest([(o_custkey % 50)::VARCHAR, o_orderkey::VARCHAR]) AS rs FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')),
 one_variant AS (SELECT DISTINCT * FROM variant)"""
 
 
@@ -91,7 +91,7 @@ def _genotypes(t) -> DataFrame:
 
 def _alleles(t) -> DataFrame:
     r = F.col("r_regionkey")
-    return t.region.select(r.cast("long").alias("_ord"), _text(_l("A"), r).alias("allele_id"), F.col("r_name").alias("allele_name"), _l("t").alias("allele_type"), _text(_l("x|"), r % 2).alias("allele_attribute"), _text(_l("MGI:"), r).alias("marker_id"))
+    return t.region.select(r.cast("long").alias("_ord"), _text(_l("A"), r).alias("allele_id"), F.when(r == 4, "").otherwise(_text(_l("sym"), r)).alias("symbol"), F.when(r == 2, "").otherwise(F.col("r_name")).alias("allele_name"), _text(_l("t"), r).alias("allele_type"), F.when(r == 3, "").otherwise(_text(_l("J:"), r)).alias("reference"), _text(_l("x|"), r % 2).alias("allele_attribute"), _text(_l("MGI:"), r).alias("marker_id"))
 
 
 # --- bridge -----------------------------------------------------------------------------------
@@ -102,12 +102,16 @@ def pl_disease_annotations(t):
     return bridge.disease_annotations(_annotations(t), _mappings(t)).select("disease_id", "hpo_id", "disease_name", "evidence", "reference")
 
 
+_SHOWN_SQL = "CASE o_orderpriority WHEN '1-URGENT' THEN 'Pathogenic; risk factor' ELSE 'protective' END"
+
+
 @query(f"""WITH {_NOTED_SQL}, {_VARIANT_SQL}
-SELECT 'C' || o_custkey % 25 AS human_gene, (o_custkey % 25)::VARCHAR AS human_ncbi_gene_id, 'rs' || rs AS rs_id, o_orderkey::VARCHAR AS clinvar_variation_id, o_custkey::VARCHAR AS position, n.disease_id, n.hpo_id, coalesce(hpo_label, '') AS hpo_label, reference::VARCHAR AS hpo_annotation_reference
+SELECT 'C' || o_custkey % 25 AS human_gene, (o_custkey % 25)::VARCHAR AS human_ncbi_gene_id, 'rs' || rs AS rs_id, o_orderkey::VARCHAR AS clinvar_variation_id, o_orderstatus AS chromosome, o_custkey::VARCHAR AS position, 'A' AS reference_allele, 'G' AS alternate_allele,
+  {_SHOWN_SQL} AS clinical_significance, CASE WHEN o_custkey % 2 = 0 THEN 'one star' ELSE '' END AS review_status, n.disease_id, CASE WHEN disease_name = '' THEN 'cond ' || o_custkey % 4 || ', x; not provided' ELSE disease_name END AS disease_name,
+  n.hpo_id, coalesce(hpo_label, '') AS hpo_label, evidence AS hpo_annotation_evidence, reference::VARCHAR AS hpo_annotation_reference, '' AS hpo_frequency, 'b' AS hpo_biocuration
 FROM one_variant JOIN noted n ON n.disease_id = 'OMIM:' || o_custkey % 7 LEFT JOIN label USING (hpo_id)""")
 def pl_variant_phenotypes(t):
-    out = bridge.variant_phenotypes(_vcf(t), _annotations(t), _orthologs(t), _mappings(t))
-    return out.select("human_gene", "human_ncbi_gene_id", "rs_id", "clinvar_variation_id", "position", "disease_id", "hpo_id", "hpo_label", "hpo_annotation_reference")
+    return bridge.variant_phenotypes(_vcf(t), _annotations(t), _orthologs(t), _mappings(t))
 
 
 @query(f"""SELECT {_MOUSE_SQL.format(k='c_nationkey')} AS mouse_gene, CASE WHEN c_nationkey < 5 THEN '2' ELSE '1' END || c_nationkey AS mouse_ncbi_gene_id, 'MGI:' || c_nationkey AS mgi_marker_id, c_name AS allelic_composition, 'MP:' || c_custkey % 9 AS mp_id, c_custkey::VARCHAR AS pubmed_ids
@@ -141,27 +145,32 @@ def pl_enriched_orthologs(t):
     return lexical.enrich_orthologs(_orthologs(t), _nomenclature(t)).select("human_gene", "mouse_gene", "human_ensembl_gene_id")
 
 
-@query(f"""WITH {_VARIANT_SQL} SELECT 'C' || o_custkey % 25 AS human_gene, (o_custkey % 25)::VARCHAR AS human_ncbi_gene_id, 'rs' || rs AS rs_id, o_orderkey::VARCHAR AS source_record_id, 'OMIM:' || o_custkey % 7 AS phenotype_id, 'cond ' || o_custkey % 4 AS phenotype_label, 'clinvar_supported' AS evidence_class FROM one_variant""")
+@query(f"""WITH {_VARIANT_SQL} SELECT 'C' || o_custkey % 25 AS human_gene, (o_custkey % 25)::VARCHAR AS human_ncbi_gene_id, 'rs' || rs AS rs_id, o_orderstatus AS chromosome, o_custkey::VARCHAR AS position, 'A' AS reference_allele, 'G' AS alternate_allele, 'ClinVar' AS variant_source, o_orderkey::VARCHAR AS source_record_id,
+  'OMIM:' || o_custkey % 7 || '|MEDGEN:M1' AS phenotype_id, 'cond ' || o_custkey % 4 || ', x' AS phenotype_label, 'clinvar_supported' AS evidence_class, 'ClinVar aggregate classification; review status: ' || CASE WHEN o_custkey % 2 = 0 THEN 'one star' ELSE 'not reported' END AS evidence_detail,
+  '' AS p_value, '' AS publication_id, {_SHOWN_SQL} AS clinical_significance, 'OMIM:' || o_custkey % 7 || '|MEDGEN:M1' AS condition_identifiers, '' AS reported_genes, '' AS mapped_genes FROM one_variant""")
 def pl_variant_conditions(t):
-    return lexical.variant_conditions(_vcf(t), _orthologs(t)).select("human_gene", "human_ncbi_gene_id", "rs_id", "source_record_id", "phenotype_id", "phenotype_label", "evidence_class")
+    return lexical.variant_conditions(_vcf(t), _orthologs(t)).drop("_ord")
 
 
 def _associations(t) -> DataFrame:
     k = F.col("p_partkey")
     p = F.element_at(F.array(_l("1E-9"), _l(" "), _l("0.5"), _l("bad")), (k % 4 + 1).cast("int"))
-    columns = {"P-VALUE": p, "SNPS": _text(_l("RS"), k % 30), "STRONGEST SNP-RISK ALLELE": _text(_l("rs"), k % 30, _l("-A; rs7-C")), "SNP_GENE_IDS": _text(_l("ENSG"), k % 25 + 1000, _l(", ENSG9")), "STUDY ACCESSION": _text(_l("S"), k % 100), "MAPPED_TRAIT": F.when(k % 3 == 0, "").otherwise(F.col("p_type")), "DISEASE/TRAIT": F.col("p_brand"), "CHR_ID": _l("1"), "CHR_POS": _l("2"), "MAPPED_TRAIT_URI": _l("u"), "PUBMEDID": _text(k), "REPORTED GENE(S)": _l("g"), "MAPPED_GENE": _l("g")}
+    columns = {"P-VALUE": p, "SNPS": _text(_l("RS"), k % 30), "STRONGEST SNP-RISK ALLELE": _text(_l("rs"), k % 30, _l("-A; rs7-C")), "SNP_GENE_IDS": _text(_l("ENSG"), k % 25 + 1000, _l(", ENSG9")), "STUDY ACCESSION": _text(_l("S"), k % 100), "MAPPED_TRAIT": F.when(k % 3 == 0, "").otherwise(F.col("p_type")), "DISEASE/TRAIT": F.col("p_brand"), "CHR_ID": _l("1"), "CHR_POS": _l("2"), "MAPPED_TRAIT_URI": _l("u"), "PUBMEDID": F.when(k % 5 == 0, "").otherwise(_text(k)), "REPORTED GENE(S)": _text(_l("g"), k), "MAPPED_GENE": _text(_l("h"), k)}
     return t.part.select(k.cast("long").alias("_ord"), *(c.alias(n) for n, c in columns.items()))
 
 
-@query("""WITH a AS (SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN '1E-9' ELSE ' ' END AS p_value, unnest(list_distinct(['rs' || p_partkey % 30, 'rs7'])) AS rs_id, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE p_type END AS phenotype_label FROM part WHERE p_partkey % 4 < 2 AND p_partkey % 25 < 15)
-SELECT 'S' || k % 100 AS source_record_id, 'C' || k % 25 AS human_gene, rs_id, phenotype_label, p_value, min(k)::VARCHAR AS publication_id FROM a GROUP BY ALL""")
+@query("""WITH a AS (SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN '1E-9' ELSE ' ' END AS p_value, unnest(list_distinct(['rs' || p_partkey % 30, 'rs7'])) AS rs_id, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE p_type END AS phenotype_label, p_brand AS detail FROM part WHERE p_partkey % 4 < 2 AND p_partkey % 25 < 15)
+SELECT 'C' || min(k) % 25 AS human_gene, (min(k) % 25)::VARCHAR AS human_ncbi_gene_id, rs_id, '1' AS chromosome, '2' AS position, '' AS reference_allele, '' AS alternate_allele, 'GWAS_Catalog' AS variant_source, 'S' || min(k) % 100 AS source_record_id, 'u' AS phenotype_id, phenotype_label, 'gwas_significant' AS evidence_class, arg_min(detail, k) AS evidence_detail,
+  p_value, CASE WHEN min(k) % 5 = 0 THEN '' ELSE 'PMID:' || min(k) END AS publication_id, '' AS clinical_significance, 'u' AS condition_identifiers, 'g' || min(k) AS reported_genes, 'h' || min(k) AS mapped_genes FROM a GROUP BY k % 100, k % 25, rs_id, phenotype_label, p_value""")
 def pl_association_evidence(t):
     genes = _orthologs(t).where("human_gene like 'C%'").withColumn("human_ensembl_gene_id", F.when(F.substring("human_gene", 2, 9).cast("int") < 15, F.concat(_l("ENSG"), (F.substring("human_gene", 2, 9).cast("int") + 1000).cast("string"))).otherwise(""))
-    return lexical.association_evidence(_associations(t), genes).select("source_record_id", "human_gene", "rs_id", "phenotype_label", "p_value", "publication_id")
+    return lexical.association_evidence(_associations(t), genes).drop("_ord")
 
 
-_MICE_SQL = f"""geno AS (SELECT c_custkey AS k, {_MOUSE_SQL.format(k='c_nationkey')} AS mouse_gene, c_nationkey AS n, 'A' || c_custkey % 10 || '|A' || c_custkey % 3 AS ids, c_mktsegment AS background, 'MP:' || c_custkey % 9 AS mp_id, 'G' || c_custkey % 40 AS genotype,
-  CASE WHEN c_custkey % 3 = c_nationkey AND NOT (c_custkey % 10 = c_nationkey) THEN c_custkey % 3 WHEN c_custkey % 10 < 5 THEN c_custkey % 10 ELSE c_custkey % 3 END AS allele FROM customer WHERE c_custkey % 5 <> 0)"""
+_MICE_SQL = f"""geno AS (SELECT c_custkey AS k, {_MOUSE_SQL.format(k='c_nationkey')} AS mouse_gene, CASE WHEN c_nationkey < 5 THEN '2' ELSE '1' END || c_nationkey AS mouse_ncbi, c_nationkey AS n, c_name AS composition, 'al' || c_custkey % 4 AS listed, 'A' || c_custkey % 10 || '|A' || c_custkey % 3 AS ids,
+  c_mktsegment AS background, 'MP:' || c_custkey % 9 AS mp_id, 'G' || c_custkey % 40 AS genotype, unnest([1, 2]) AS place, [c_custkey % 10, c_custkey % 3] AS pair FROM customer WHERE c_custkey % 5 <> 0),
+allele AS (SELECT r_regionkey AS a, CASE r_regionkey WHEN 4 THEN '' ELSE 'sym' || r_regionkey END AS symbol, CASE r_regionkey WHEN 2 THEN '' ELSE r_name END AS name, 't' || r_regionkey AS kind, CASE r_regionkey WHEN 3 THEN 'not reported' ELSE 'J:' || r_regionkey END AS reference FROM region),
+known AS (SELECT g.*, allele.* FROM geno g LEFT JOIN allele ON a = pair[place])"""
 
 
 def _mouse(t) -> DataFrame:
@@ -170,16 +179,18 @@ def _mouse(t) -> DataFrame:
 
 
 @query(f"""WITH {_MICE_SQL},
-term AS (SELECT *, row_number() OVER (PARTITION BY mouse_gene, ids, background, mp_id, genotype ORDER BY k) AS r FROM geno JOIN nation ON 'MP:' || n_nationkey = mp_id WHERE n_nationkey < 8 AND n_nationkey <> 3),
-name AS (SELECT *, row_number() OVER (PARTITION BY mouse_gene, allele, background, genotype ORDER BY k) AS r FROM geno JOIN region ON r_regionkey = allele)
-SELECT 'mp_annotation' AS phenotype_source, mouse_gene, ids AS mgi_allele_id, background AS genetic_background, mp_id AS phenotype_id, n_name AS phenotype_label, genotype AS mgi_genotype_id, k::VARCHAR AS pubmed_ids, r_name AS allele_name FROM term JOIN region ON r_regionkey = allele WHERE r = 1
-UNION ALL SELECT 'allele_name', mouse_gene, 'A' || allele, background, '', r_name, genotype, k::VARCHAR, r_name FROM name WHERE r = 1""")
+best AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY a IS NULL, a IS DISTINCT FROM n, place) AS choice FROM known),
+term AS (SELECT *, row_number() OVER (PARTITION BY mouse_gene, ids, background, mp_id, genotype ORDER BY k) AS r FROM best JOIN nation ON 'MP:' || n_nationkey = mp_id WHERE choice = 1 AND n_nationkey < 8 AND n_nationkey <> 3),
+named AS (SELECT *, row_number() OVER (PARTITION BY mouse_gene, a, background, genotype ORDER BY k, place) AS r FROM known WHERE name <> '')
+SELECT mouse_gene, mouse_ncbi AS mouse_ncbi_gene_id, 'MGI:' || n AS mgi_marker_id, listed AS mouse_allele, ids AS mgi_allele_id, coalesce(name, '') AS allele_name, coalesce(kind, '') AS allele_type, composition AS allelic_composition, background AS genetic_background, mp_id AS phenotype_id, n_name AS phenotype_label, '' AS phenotype_definition,
+  'MGI_MP' AS phenotype_source, 'Specific MP annotation from MGI_GenePheno' AS evidence_detail, k::VARCHAR AS pubmed_ids, genotype AS mgi_genotype_id FROM term WHERE r = 1
+UNION ALL SELECT mouse_gene, mouse_ncbi, 'MGI:' || n, CASE symbol WHEN '' THEN listed ELSE symbol END, 'A' || a, name, kind, composition, background, '', name, '', 'MGI_allele_name', 'MGI phenotypic allele name; original reference ' || reference, k::VARCHAR, genotype FROM named WHERE r = 1""")
 def pl_mouse_evidence(t):
-    return _mouse(t).select("phenotype_source", "mouse_gene", "mgi_allele_id", "genetic_background", "phenotype_id", "phenotype_label", "mgi_genotype_id", "pubmed_ids", "allele_name")
+    return _mouse(t)
 
 
 @query(f"""WITH {_VARIANT_SQL} SELECT 'ClinVar' AS variant_source, evidence_class, count(*) AS n, count(DISTINCT rs_id) AS rs_ids FROM (SELECT 'clinvar_supported' AS evidence_class, 'rs' || rs AS rs_id FROM one_variant) GROUP BY ALL
-UNION ALL SELECT 'GWAS Catalog', 'gwas_significant', count(*), count(DISTINCT rs_id) FROM (SELECT DISTINCT p_partkey % 100, p_partkey % 25, rs_id, label, p FROM (SELECT p_partkey, unnest(list_distinct(['rs' || p_partkey % 30, 'rs7'])) AS rs_id, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE p_type END AS label, p_partkey % 4 AS p FROM part WHERE p_partkey % 4 < 2 AND p_partkey % 25 < 15))""")
+UNION ALL SELECT 'GWAS_Catalog', 'gwas_significant', count(*), count(DISTINCT rs_id) FROM (SELECT DISTINCT p_partkey % 100, p_partkey % 25, rs_id, label, p FROM (SELECT p_partkey, unnest(list_distinct(['rs' || p_partkey % 30, 'rs7'])) AS rs_id, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE p_type END AS label, p_partkey % 4 AS p FROM part WHERE p_partkey % 4 < 2 AND p_partkey % 25 < 15))""")
 def st_human_evidence(t):
     """Both kinds of evidence as one table, counted."""
     genes = _orthologs(t).where("human_gene like 'C%'").withColumn("human_ensembl_gene_id", F.when(F.substring("human_gene", 2, 9).cast("int") < 15, F.concat(_l("ENSG"), (F.substring("human_gene", 2, 9).cast("int") + 1000).cast("string"))).otherwise(""))
@@ -204,7 +215,7 @@ def pl_lexical_links(t):
 @query("""WITH g AS (SELECT c_custkey AS k, c_nationkey AS n, CASE WHEN c_nationkey < 5 THEN 'R' ELSE 'C' END || c_nationkey AS human_gene, 'A' || c_custkey % 10 || '|A' || c_custkey % 3 AS ids, c_mktsegment AS background, 'G' || c_custkey % 40 AS genotype, 'D' || c_custkey % 2 AS doid, 'OMIM:' || c_custkey % 4 AS omim, 'MP:' || c_custkey % 9 AS mp, c_name FROM customer WHERE c_custkey % 5 <> 0),
 m AS (SELECT human_gene, ids, background, genotype, doid, omim, string_agg(DISTINCT mp, '|' ORDER BY mp) AS mps, arg_min(c_name, k) AS composition, list_sort(list_distinct(list(k::VARCHAR))) AS pubs FROM g GROUP BY ALL),
 a AS (SELECT human_gene, ids, background, genotype, doid, omim, unnest(list_sort(list_distinct(string_split(ids, '|')))) AS allele FROM m),
-l AS (SELECT a.human_gene, a.ids, a.background, a.genotype, a.doid, a.omim, string_agg(r_name, '|' ORDER BY allele) AS names FROM a JOIN region ON 'A' || r_regionkey = allele GROUP BY ALL)
+l AS (SELECT a.human_gene, a.ids, a.background, a.genotype, a.doid, a.omim, coalesce(string_agg(CASE WHEN r_regionkey <> 2 THEN r_name END, '|' ORDER BY allele), '') AS names FROM a JOIN region ON 'A' || r_regionkey = allele GROUP BY ALL)
 SELECT m.human_gene, m.ids AS mgi_allele_id, m.background AS genetic_background, m.genotype AS mgi_genotype_id, m.doid AS mouse_doid, m.omim AS mouse_omim_ids, mps AS mouse_mp_ids, array_to_string(pubs, '|') AS mouse_pubmed_ids, composition AS allelic_composition, coalesce(names, '') AS mouse_allele_name FROM m LEFT JOIN l USING (human_gene, ids, background, genotype, doid, omim)""")
 def pl_disease_models(t):
     k = F.col("_ord")
@@ -390,7 +401,7 @@ def fn_first_escape_group(t):
     return t.customer.select("c_custkey", X.first_text(F.when(k % 3 == 0, "").otherwise(F.col("c_mktsegment")), "c_name").alias("first"), X.escaped(F.concat(_l('a<b>&"'), "c_name", _l("'"))).alias("safe"), X.grouped_number(k * 1000).alias("grouped"))
 
 
-@query("SELECT s_suppkey, 'A:B' || s_suppkey AS symbol, (s_suppkey % 9)::VARCHAR AS id FROM supplier UNION ALL SELECT s_suppkey, 'X', '7' FROM supplier WHERE s_suppkey % 2 = 0")
+@query("SELECT s_suppkey, 'A:B' || s_suppkey AS symbol, (s_suppkey % 9)::VARCHAR AS id FROM supplier UNION ALL SELECT s_suppkey, 'X', '7' FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT s_suppkey, unnest(['plain', 'Q']), '' FROM supplier")
 def fn_gene_list(t):
     s = t.supplier.select("s_suppkey", F.concat(_text(_l("A:B"), "s_suppkey", _l(":"), F.col("s_suppkey") % 9, _l("|.||plain|:3|Q:")), F.when(F.col("s_suppkey") % 2 == 0, "|X:7").otherwise("")).alias("g"))
     return s.select("s_suppkey", F.explode(X.gene_list("g")).alias("x")).select("s_suppkey", "x.symbol", "x.id")

@@ -124,11 +124,16 @@ def vocabulary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def annotations(spark: SparkSession, path: str) -> DataFrame:
-    """Disease annotations: the header may be commented out or missing; other comment lines are skipped."""
+    """Disease annotations. The header is the first line that names database_id and hpo_id, wherever they stand, commented out
+    or not, if no row comes before it; else the usual columns hold. Other comment lines are skipped."""
     df = lines(spark, path).where(F.trim("value") != "")
-    names = header_of(df, "^#?database_id\t") or ANNOTATION
-    body = df.where(~F.startswith("value", F.lit("#")) & ~F.startswith("value", F.lit("database_id\t")))
-    return _cells(body, names).drop("_n")
+    cells = F.split(F.regexp_replace("value", "^#", ""), "\t", -1)
+    is_header = F.array_contains(cells, "database_id") & F.array_contains(cells, "hpo_id")
+    first = df.where(is_header | ~F.startswith("value", F.lit("#"))).orderBy("_ord").select("value", is_header.alias("is_header")).head()
+    found = first is not None and first["is_header"]
+    names = [c.strip().lower() for c in first["value"].removeprefix("#").split("\t")] if found else ANNOTATION
+    body = df.where(~F.startswith("value", F.lit("#")))
+    return _cells(body.where(F.col("value") != first["value"]) if found else body, names).drop("_n")
 
 
 def sssom(spark: SparkSession, path: str, source: str) -> DataFrame:

@@ -48,8 +48,9 @@ class Run:
 
 def prepare_bridge(run: Run) -> None:
     spark, p = run.spark, run.paths
-    first = readers.sssom(spark, p["mappings"], "mhmi_mgi").withColumn("_ord", F.struct(F.lit(1).alias("file"), "_ord"))
-    second = readers.sssom(spark, p["unscored_mappings"], UNSCORED).withColumn("_ord", F.struct(F.lit(2).alias("file"), "_ord"))
+    # The unscored source comes first: its labels, dates and justifications are the ones that stay.
+    first = readers.sssom(spark, p["unscored_mappings"], UNSCORED).withColumn("_ord", F.struct(F.lit(1).alias("file"), "_ord"))
+    second = readers.sssom(spark, p["mappings"], "mhmi_mgi").withColumn("_ord", F.struct(F.lit(2).alias("file"), "_ord"))
     both = first.unionByName(second)
     order = F.row_number().over(bridge_order())
     merged = run.keep("mappings", bridge.merge_mappings(both.withColumn("_ord", order)))

@@ -75,12 +75,35 @@ def test_lexical(spark, orthologs):
     terms = table(spark, "mp_id mp_label mp_definition", ("MP:1", "reduced lipopolysaccharide response", "def"))
     m = lexical.mouse_evidence(geno, orthologs, alleles, terms)
     got = {(r["phenotype_source"], r["phenotype_label"], r["mgi_allele_id"], r["pubmed_ids"]) for r in m.collect()}
-    assert got == {("mp_annotation", "reduced lipopolysaccharide response", "MGI:8|MGI:9", "p1"), ("allele_name", "lipopolysaccharide response defective", "MGI:9", "p1")}
+    # Each known allele with a name gives a row, not only the primary one.
+    assert got == {("MGI_MP", "reduced lipopolysaccharide response", "MGI:8|MGI:9", "p1"), ("MGI_allele_name", "lipopolysaccharide response defective", "MGI:9", "p1"), ("MGI_allele_name", "other", "MGI:8", "p1")}
     links = lexical.lexical_links(lexical.human_evidence(h, gwas), m, orthologs)
     assert [(r["within_tier_support"], r["mouse_phenotype_label"]) for r in links.collect()] == [("B", "reduced lipopolysaccharide response")]
     assert links.columns == lexical.LINKS and len(lexical.LINKS) == 40
 
 
+def test_evidence_values(spark, orthologs):
+    """Values that are shown, fall-backs of empty ones, and the first gene id of a symbol that has two."""
+    info = "RS=1;GENEINFO=TLR4:9|TLR4:10|OTHER;CLNDISDB=OMIM:5|MedGen:C2,.;CLNDN=Reduced_LPS%2C_x|not_provided;CLNSIG=Likely_pathogenic|risk_factor"
+    vcf = table(spark, "_ord chrom pos id ref alt qual filter info", (1, "9", "100", "77", "A", "G", ".", ".", info + ";CLNREVSTAT=no_assertion"), (2, "9", "100", "78", "A", "G", ".", ".", info))
+    h = {r["source_record_id"]: r for r in lexical.variant_conditions(vcf, orthologs).collect()}
+    assert (h["77"]["clinical_significance"], h["77"]["evidence_detail"]) == ("Likely pathogenic; risk factor", "ClinVar aggregate classification; review status: no assertion")
+    assert (h["78"]["evidence_detail"], h["78"]["phenotype_id"], h["78"]["phenotype_label"]) == ("ClinVar aggregate classification; review status: not reported", "OMIM:5|MEDGEN:C2", "Reduced LPS, x")
+    merged = table(spark, "hpo_id mp_id predicate hpo_label", ("HP:1", "MP:1", "skos:exactMatch", "h"))
+    notes = table(spark, "_ord database_id disease_name qualifier hpo_id reference evidence frequency aspect biocuration", (1, "MIM:5", "", "", " http://x/obo/HP_1", "r", "e", "f", "P", "b"), (2, "", "d", "", "HP:1", "r", "e", "f", "P", "b"))
+    got = bridge.variant_phenotypes(vcf.where("id = '77'"), notes, orthologs, merged).collect()
+    assert [(r["human_ncbi_gene_id"], r["disease_name"], r["clinical_significance"], r["review_status"], r["hpo_id"]) for r in got] == [("9", "Reduced LPS, x; not provided", "Likely pathogenic; risk factor", "no assertion", "HP:1")]
+    geno = table(spark, "_ord allelic_composition mouse_allele mgi_allele_id genetic_background mp_id pubmed_ids marker_ids mgi_genotype_id", (1, "c", "a", "MGI:8|MGI:7|MGI:9", "b", "MP:1", "p1", "MGI:1", "g"))
+    alleles = table(spark, "allele_id symbol marker_id allele_name allele_type reference", ("MGI:8", "s8", "MGI:7", "n8", "t8", ""), ("MGI:9", "", "MGI:1", "n9", "t9", "J:1"))
+    rows = {r["mgi_allele_id"]: r for r in lexical.mouse_evidence(geno, orthologs, alleles, table(spark, "mp_id mp_label mp_definition", ("MP:1", "l", "d"))).collect()}
+    shown = {k: (r["mouse_allele"], r["allele_name"], r["allele_type"], r["phenotype_source"], r["evidence_detail"]) for k, r in rows.items()}
+    assert shown == {
+        "MGI:8|MGI:7|MGI:9": ("a", "n9", "t9", "MGI_MP", "Specific MP annotation from MGI_GenePheno"),
+        "MGI:8": ("s8", "n8", "t8", "MGI_allele_name", "MGI phenotypic allele name; original reference not reported"),
+        "MGI:9": ("a", "n9", "t9", "MGI_allele_name", "MGI phenotypic allele name; original reference J:1"),
+    }
+
+
 @pytest.mark.parametrize("a, b, want", [("decreased response to LPS", "some long allele name with lps tested", None), ("abnormal immune response", "abnormal tactile response", None), ("a b c d", "a b c e", ("C", "0.600")), ("!!!", "...", None), ("x y", "Y x", ("C", "1.000")), ("Hearing Loss", "hearing  loss", ("B", "1.000"))])
 def test_label_match(spark, a, b, want):
     side = lambda s: spark.createDataFrame([("g", 1, s)], "gene string, id int, label string")
