@@ -206,7 +206,8 @@ def mixed(ws: Workspace, sizes: DataFrame, sources: DataFrame, axis: DataFrame,
     dealt = ws.table(tree(ws, sources, shard_blocks, seed), "shards")
     first = F.coalesce(F.sum("blocks").over(Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     places = dealt.withColumn("first", first).select("shard", "rank", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1)).alias("place"))
-    rows = copies(axis).join(places, ["rank", "place"])
+    # A row for each block, whatever size is guessed from the shards: never broadcast.
+    rows = copies(axis).join(places.hint("merge"), ["rank", "place"])
     shuffled = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "shard", "h", "turn", "round"), "h", "row", "turn", "round")
     return rows.withColumn("position", F.row_number().over(shuffled)).select("row", "turn", "round", "size", "rank", "shard", "position")
 
