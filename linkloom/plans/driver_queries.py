@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
-from linkloom.operators.keys import first_wins, joined_set, last_wins, repeats, top_k_or_threshold
+from linkloom.operators.keys import first_wins, joined_set, last_wins, repeats
+from linkloom.operators.tiles import best_pairs
 from linkloom.plans import bridge, contract, disease, lexical, reports, semantic
 from linkloom.session import scratch
 from linkloom.settings import DEFAULT, BridgeRoute
@@ -325,16 +326,17 @@ def jn_primary_allele(t):
     return lexical.primary_allele(g, a).select(F.col("_ord").alias("o_orderkey"), "primary.allele_id", "primary.allele_name")
 
 
-@query(f"WITH {PAIRS_SQL} SELECT gene, left_id, right_id, round(s, 6) AS score FROM pairs")
+@query(f"WITH {PAIRS_SQL} SELECT gene, left_id, right_id, round(s, 6) AS score FROM pairs WHERE s >= 0.1")
 def jn_gene_block_cosine(t):
-    return semantic.scored_pairs(*_sides(t)).withColumn("score", F.round("score", 6))
+    """Every pair of a gene is scored; those below the last band's limit stay in their task."""
+    return semantic.pairs_from(*_sides(t), 0.1).withColumn("score", F.round("score", 6))
 
 
 # --- aggregates -------------------------------------------------------------------------------
 
 
 def _found(t) -> DataFrame:
-    found = semantic.matches(semantic.scored_pairs(*_sides(t)), BANDS)
+    found = semantic.gene_matches(*_sides(t), BANDS)
     texts = t.embeddings.select(F.format_string("T%06d", "vec_id").alias("text_id"), F.concat(F.when(F.col("vec_id") % 5 == 0, "increased ").when(F.col("vec_id") % 5 == 1, "reduced ").when(F.col("vec_id") % 5 == 2, "no ").otherwise(""), F.lit("item "), F.col("vec_id").cast("string")).alias("label"), (F.col("vec_id") % 17 == 0).alias("truncated"))
     return semantic.flagged_matches(found, texts, BANDS)
 
@@ -396,8 +398,7 @@ def dd_duplicate_flag(t):
 
 @query(f"WITH {MATCH_SQL} SELECT gene, left_id, right_id, rk::INT AS retrieval_rank, n AS group_size, round(s, 6) AS score FROM found")
 def wn_topk_or_threshold(t):
-    kept = top_k_or_threshold(semantic.scored_pairs(*_sides(t)), ["gene", "left_id"], [F.desc("score"), "right_id"], "score", 5, 0.2)
-    return kept.withColumn("score", F.round("score", 6))
+    return best_pairs(*_sides(t), 5, 0.2).withColumn("score", F.round("score", 6))
 
 
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events WHERE value > 10) WHERE r = 1")
@@ -416,9 +417,8 @@ SELECT 'kept' AS name, (SELECT count(*) FROM (SELECT * FROM full_set EXCEPT ALL
 UNION ALL SELECT 'capped', (SELECT count(*) FROM (SELECT * FROM full_set EXCEPT ALL SELECT * FROM capped)), (SELECT count(*) FROM (SELECT * FROM capped EXCEPT ALL SELECT * FROM full_set))""")
 def st_symmetric_diff(t):
     k = ["gene", "left_id", "right_id"]
-    pairs = semantic.scored_pairs(*_sides(t))
-    found = semantic.matches(pairs, BANDS).where("score >= 0.2")
-    full = pairs.where("score >= 0.2").select(*k)
+    found = semantic.gene_matches(*_sides(t), BANDS).where("score >= 0.2")
+    full = semantic.pairs_from(*_sides(t), 0.2, 100).select(*k)
     one = reports.symmetric_difference(full, found.select(*k)).select(F.lit("kept").alias("name"), "missing", "extra")
     return one.unionByName(reports.symmetric_difference(full, found.where("retrieval_rank <= 1").select(*k)).select(F.lit("capped").alias("name"), "missing", "extra"))
 
