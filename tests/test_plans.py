@@ -82,6 +82,31 @@ def test_lexical(spark, orthologs):
     assert links.columns == lexical.LINKS and len(lexical.LINKS) == 40
 
 
+@pytest.mark.parametrize("rows", [4096, 3])
+def test_bridge_against_all_rows(spark, rows):
+    """Rings with a hot (mouse gene, phenotype), equal rows on every side, and keys without a partner; squares of three rows."""
+    import itertools
+    import random
+
+    draw = random.Random(4)
+    human = [("G1", "HP:1", f"rs{i % 30}") for i in range(60)] + [(f"G{draw.randrange(5)}", f"HP:{draw.randrange(6)}", f"rs{i}") for i in range(40)]
+    mice = [("m1", "MP:1", f"a{i % 9}") for i in range(25)] + [(f"m{draw.randrange(5)}", f"MP:{draw.randrange(6)}", f"a{i}") for i in range(30)]
+    pairs = [("G1", "m1"), ("G1", "m1"), ("G2", "m2"), ("G3", "m1"), ("G4", "m9")]
+    near = sorted({("HP:1", "MP:1")} | {(f"HP:{draw.randrange(7)}", f"MP:{draw.randrange(7)}") for _ in range(14)})
+    full = lambda names, row: [row.get(c, "") for c in names]
+    h = spark.createDataFrame([full(bridge.HUMAN, {"human_gene": g, "hpo_id": p, "rs_id": r}) for g, p, r in human], bridge.HUMAN)
+    names = [*bridge.ALLELE, "mp_id", "pubmed_ids", "mgi_genotype_id"]
+    m = spark.createDataFrame([full(names, {"mouse_gene": g, "mp_id": p, "mgi_allele_id": a}) for g, p, a in mice], names)
+    columns = ["hpo_id", "mp_id", "predicate", "confidence", "hpo_label", "mp_label", "mapping_justification", "mapping_date", "mapping_source"]
+    b = spark.createDataFrame([(p, q, "skos:exactMatch", "1", "", "", "", "", "s") for p, q in near], columns)
+    o = spark.createDataFrame(pairs, ["human_gene", "mouse_gene"])
+    got = bridge.bridge_links(h, b, o, m, STRICT_ROUTE, rows=rows).select("human_gene", "hpo_id", "rs_id", "mouse_gene", "mp_id", "mgi_allele_id").collect()
+    want = [(g, p, r, k, q, a) for (g, p, r), (g2, k), (p2, q), (k2, q2, a) in itertools.product(human, pairs, near, mice) if g == g2 and p == p2 and k == k2 and q == q2]
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 3000
+    keys = bridge.bridge_keys(h, o, b, m).collect()
+    assert {tuple(r)[:4] for r in keys} == {(g, p, k, q) for g, p, _, k, q, _ in want} and sum(r["h"] * r["p"] * r["m"] for r in keys) == len(want)
+
+
 def test_evidence_values(spark, orthologs):
     """Values that are shown, fall-backs of empty ones, and the first gene id of a symbol that has two."""
     info = "RS=1;GENEINFO=TLR4:9|TLR4:10|OTHER;CLNDISDB=OMIM:5|MedGen:C2,.;CLNDN=Reduced_LPS%2C_x|not_provided;CLNSIG=Likely_pathogenic|risk_factor"
