@@ -30,6 +30,10 @@ PADDING = f"(?:={{1,2}}{END})?"
 TOKEN = f"(?<!{KEY})(?:{KEY}{{16,}}{PADDING}|{KEY}{{15}}={{1,2}}{END}|{KEY}{{14}}=={END})"
 #: Long runs that are candidates without a digit: access key ids.
 KNOWN = "^A[KSB]IA[A-Z2-7]{16}$"
+#: A maximal run of six or more key characters, with its padding: what a secret can be.
+RUN = f"(?<!{KEY}){KEY}{{6,}}{PADDING}"
+#: Different secrets of a text that are replaced one after the other.
+FEW = 16
 #: Names that stand in paths, addresses and examples.
 NAMES = "path|file|name|user|data|test|http|www|com|org|html|index|image|page|config|module|class|value|example|sample|dummy|changeme|placeholder|string|number|list"
 #: Words that teach the forest where the corpus has none.
@@ -63,10 +67,10 @@ def candidates(docs: DataFrame) -> DataFrame:
     some = some.select("doc_id", F.regexp_extract_all(text, F.lit(f"({TOKEN})"), 1).alias("tokens"), F.split(text, TOKEN).alias("gaps"), guard.alias("guard"))
 
     def beside(t: Column, i: Column) -> Column:
-        """A long name of a key is a run itself; then the gap behind it has no guard word."""
+        """A long name of a key is a run itself; then the gap behind it has no guard word, and the name's end is taken."""
         gap = F.right(F.get("gaps", i), F.lit(BEFORE))
-        named = F.get(F.filter("guard", lambda g: g["token"] == t), F.lit(0))["before"]
-        return F.when(gap.rlike("^[\\s\"'=:>]{1,6}$"), F.coalesce(named, gap)).otherwise(gap)
+        named = F.regexp_extract(F.concat(F.right(F.get("tokens", i - 1), F.lit(BEFORE)), gap), f"(?i:{GUARDED})[A-Za-z0-9_.\\-]{{0,12}}[\\s\"'=:>]{{1,6}}$", 0)
+        return F.when(gap.rlike("^[\\s\"'=:>]{1,6}$") & (i > 0), F.coalesce(F.nullif(named, F.lit("")), gap)).otherwise(gap)
 
     rows = F.transform(
         "tokens",
@@ -129,9 +133,10 @@ def features(found: DataFrame, words: DataFrame, likely: list[float]) -> DataFra
 
     # Mean over neighbours that are both letters; a token without any has none that is likely.
     logs = F.array(*(F.lit(x) for x in likely))
-    letter = lambda i: F.ascii(F.substring(low, i, F.lit(1))) - 97
+    codes = F.transform(F.split(low, ""), lambda c: F.ascii(c) - 97)
     inside = lambda c: (c >= 0) & (c < 26)
-    steps = F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 1, F.lit(1))), lambda i: F.struct(letter(i).alias("a"), letter(i + 1).alias("b")))
+    n = F.greatest(F.size(codes) - 1, F.lit(0))
+    steps = F.zip_with(F.slice(codes, F.lit(1), n), F.slice(codes, F.lit(2), n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     steps = F.filter(steps, lambda s: inside(s["a"]) & inside(s["b"]))
     total = F.aggregate(steps, F.lit(0.0), lambda s, x: s + F.element_at(logs, x["a"] * 26 + x["b"] + 1))
     return _coverage(found, words).select(
@@ -214,6 +219,15 @@ def labelled_findings(spark: SparkSession, words: list[str], held_out: bool = Fa
     return out
 
 
+def _stitched(mask: str) -> Column:
+    """A text from its runs and the gaps around them, where the runs numbered in ``at`` (sorted) are ``mask``."""
+    # Stretches between masked runs are joined whole, so that the work grows with the runs, not with runs times secrets.
+    ends = F.concat(F.array(F.lit(-1)), F.col("at"), F.array(F.size("runs")))
+    stretch = lambda a, b: F.array_join(F.concat(F.array(F.get("gaps", a + 1)), F.flatten(F.zip_with(F.slice("runs", a + 2, b - a - 1), F.slice("gaps", a + 3, b - a - 1), lambda r, g: F.array(r, g)))), "")
+    n = F.size(ends) - 1
+    return F.array_join(F.zip_with(F.slice(ends, F.lit(1), n), F.slice(ends, F.lit(2), n), stretch), mask)
+
+
 @dataclass
 class Detector:
     """A forest and what its features need: the dictionary as a written table, and the 676 letter transitions."""
@@ -270,7 +284,8 @@ def scan(docs: DataFrame, detector: Detector, threshold: float = 0.5) -> DataFra
 def redact(docs: DataFrame, detector: Detector, threshold: float = 0.5, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with each secret found in a text replaced by ``mask``; all rows and columns stay.
 
-    Rows of null or repeated doc_id are masked each by its own findings.
+    Rows of null or repeated doc_id are masked each by its own findings. In a text with more than ``FEW`` different
+    secrets each run of key characters is looked up, instead of each secret in the text.
     """
     row = fresh(docs, "_number")
     ws = Workspace(docs.sparkSession, "redact")
@@ -284,5 +299,17 @@ def redact(docs: DataFrame, detector: Detector, threshold: float = 0.5, mask: st
     alone = lambda t: F.concat(F.lit(f"(?<!{KEY})\\Q"), t, F.lit(f"\\E(?!{KEY})"))
     quoted = mask.replace("\\", "\\\\").replace("$", "\\$")
     masked = F.aggregate(ordered, F.col("text").cast("string"), lambda s, t: F.when(_is_long(t), F.replace(s, t, F.lit(mask))).otherwise(F.regexp_replace(s, alone(t), F.lit(quoted))))
-    joined = numbered.join(found, row, "left").withColumn("text", F.when(F.col(hidden).isNull(), F.col("text")).otherwise(masked))
-    return joined.select(*docs.columns)
+    few = found.where(F.size(hidden) <= FEW)
+    joined = numbered.join(few, row, "left").withColumn("text", F.when(F.col(hidden).isNull(), F.col("text")).otherwise(masked))
+    many = found.where(F.size(hidden) > FEW)
+    if many.isEmpty():
+        return joined.select(*docs.columns)
+    # Runs are numbered in their text, joined with its secrets, and their marks come back to it in order.
+    texts = numbered.join(many.select(row), row, "left_semi").select(F.col(row).alias("row"), F.col("text").cast("string").alias("text"))
+    texts = texts.select("row", F.regexp_extract_all("text", F.lit(f"({RUN})"), 1).alias("runs"), F.split("text", RUN, -1).alias("gaps"))
+    runs = texts.select("row", F.posexplode("runs").alias("at", "run"))
+    marks = runs.join(many.select(F.col(row).alias("row"), F.explode(hidden).alias("run")).distinct(), ["row", "run"], "left_semi")
+    marks = marks.groupBy("row").agg(F.array_sort(F.collect_list("at")).alias("at"))
+    cut = ws.table(texts.join(marks, "row").select("row", _stitched(mask).alias("masked")), "masked")
+    out = joined.join(cut.withColumnsRenamed({"row": row, "masked": hidden + "_"}), row, "left").withColumn("text", F.coalesce(hidden + "_", "text"))
+    return out.select(*docs.columns)

@@ -9,6 +9,8 @@ is calibrated on labelled documents that the lexicon did not see.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 from collections import Counter, defaultdict
@@ -94,7 +96,11 @@ class Lexicon:
                 found.append((begin, end, weight, word))
             else:
                 shields.append((begin, end))
-        return [(w, x) for b, e, w, x in found if not any(s <= b and e <= t for s, t in shields)]
+        # Of the phrases that begin at or before a word, the one that reaches farthest decides.
+        shields.sort()
+        starts, reach = [s for s, _ in shields], list(itertools.accumulate((t for _, t in shields), max))
+        at = [bisect.bisect_right(starts, b) - 1 for b, _, _, _ in found]
+        return [(w, x) for i, (b, e, w, x) in zip(at, found) if i < 0 or reach[i] < e]
 
     def features(self, total: float, hits: int, words: int) -> tuple[float, float, float]:
         """Any hit; the total weight; the weight for each hundred words."""

@@ -398,3 +398,31 @@ def test_redaction_of_null_and_repeated_ids(spark, forest):
     texts = sorted((str(r["doc_id"]), r["text"] and r["text"][-40:]) for r in out.collect())
     assert texts == sorted([("None", f"secret=[SECRET] and {other}"[-40:]), ("None", f"x {H[:9]} y"), ("4", "secret=[SECRET]"), ("4", "secret=[SECRET]"), ("5", ("river garden " * 5 + "secret=[SECRET]")[-40:]), ("6", None)])
     assert secret_scan.scan(df, forest).where("is_secret and doc_id is null").count() == 1
+
+
+def test_long_texts_with_many_secrets(spark):
+    """Linear work: a token of a million characters, a text of 20 million, and one with ten thousand different secrets."""
+    import hashlib
+    import time
+
+    keys = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(10_000)]
+    dense = "".join(f'AWS_SECRET_ACCESS_KEY="{k}"\nsome words here\n' for k in keys)
+    rows = [(1, "A1b2" * 250_000, "x"), (2, "plain words of prose. " * 900_000 + f'token = "{keys[0]}"', "y"), (3, dense, "z"), (4, f'token = "{keys[1]}" and the same {keys[1]}.', "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, at string")
+    detector = secret_scan.fit(docs)
+    began = time.time()
+    out = {r["doc_id"]: r for r in secret_scan.redact(docs, detector).collect()}
+    assert time.time() - began < 120
+    assert len(out[1]["text"]) in (1_000_000, 8) and out[2]["text"].endswith('token = "[SECRET]"')
+    assert out[3]["text"] == "".join('AWS_SECRET_ACCESS_KEY="[SECRET]"\nsome words here\n' for _ in keys) and out[3]["at"] == "z"
+    assert keys[1] not in out[4]["text"]
+
+
+def test_long_toxic_text_with_many_phrases():
+    """Hits and exception phrases are walked together."""
+    import time
+
+    lexicon = toxicity.Lexicon({"idiot": 2.0, "trash": 1.0}, ("trash can", "village idiot"))
+    began = time.time()
+    found = lexicon.matches("trash can idiot village idiot trash " * 60_000)
+    assert found == [(2.0, "idiot"), (1.0, "trash")] * 60_000 and time.time() - began < 20
