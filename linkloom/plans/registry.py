@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import source_queries  # noqa: F401  its queries register themselves
+from . import count_queries, source_queries  # noqa: F401  their queries register themselves
 from .driver_queries import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL", "entry"]

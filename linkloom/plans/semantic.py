@@ -196,9 +196,10 @@ def kept_vectors(texts: DataFrame, folder: str, model: str, max_length: int, emb
 
 def phrase_audits(spark, embedder=None, settings: Settings = DEFAULT) -> DataFrame:
     """Fixed phrase pairs scored by the embedder, with band and flags: what a reader should know of the model."""
-    p = spark.createDataFrame(PHRASE_AUDITS, "audit_id string, phrase_1 string, phrase_2 string, relation string")
+    p = spark.createDataFrame(PHRASE_AUDITS, "audit_id string, human_text string, mouse_text string, expected_relation string")
     f = embedder or hashed_embedding()
-    p = p.withColumn("_1", f("phrase_1")).withColumn("_2", f("phrase_2")).withColumn("cosine_similarity", X.dot("_1", "_2")).drop("_1", "_2")
+    p = p.withColumn("_1", f("human_text")).withColumn("_2", f("mouse_text")).withColumn("cosine_similarity", X.dot("_1", "_2")).drop("_1", "_2")
     p = p.withColumn("cosine_class", X.cosine_band("cosine_similarity", settings.band_a, settings.band_b, settings.band_c))
-    one, two = X.direction("phrase_1"), X.direction("phrase_2")
-    return p.withColumn("review_status", X.review_status(X.directions_conflict(one, two), X.has_negation("phrase_1", "phrase_2"), F.lit(False)))
+    conflict, negation = X.directions_conflict(X.direction("human_text"), X.direction("mouse_text")), X.has_negation("human_text", "mouse_text")
+    p = p.withColumn("direction_conflict", conflict.cast("int")).withColumn("negation_flag", negation.cast("int"))
+    return p.withColumn("review_status", X.review_status(conflict, negation, F.lit(False)))

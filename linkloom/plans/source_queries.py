@@ -525,9 +525,8 @@ def src_manifest_changes(t):
 @query("SELECT 'main' AS part, count(*) AS n FROM orders UNION ALL SELECT 'side', count(*) FROM orders WHERE o_orderstatus = 'F'")
 def snk_both(t):
     """One scan to two tables, read back and counted."""
-    path = scratch(t.spark, "both")
-    writers.write_both(t.orders, f"{path}/main", f"{path}/side", F.col("o_orderstatus") == "F")
-    one = lambda p: t.spark.read.parquet(f"{path}/{p}").agg(F.count("*").alias("n")).select(F.lit(p).alias("part"), "n")
+    parts = writers.fan_out(t.orders, scratch(t.spark, "both"), main=F.lit(True), side=F.col("o_orderstatus") == "F")
+    one = lambda p: parts[p].agg(F.count("*").alias("n")).select(F.lit(p).alias("part"), "n")
     return one("main").unionByName(one("side"))
 
 

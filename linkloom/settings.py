@@ -77,6 +77,18 @@ class Settings:
             raise ValueError(f"unknown settings: {sorted(unknown)}")
         return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in values.items()})
 
+    @classmethod
+    def from_configuration(cls, config: dict) -> "Settings":
+        """The thresholds and lists of a run's configuration; its sections are those of ``validate_configuration``."""
+        strict, first, vectors = config["strict_mapping"], config["ortholog_first_mapping"], config["semantic_mapping"]
+        named = {
+            "predicates": strict.get("accepted_predicates"), "min_confidence": strict.get("minimum_mapping_confidence"), "exclude_negated": strict.get("exclude_negated_hpo_annotations"), "aspect": strict.get("hpo_aspect"),
+            "require_rsid": strict.get("require_rsid"), "significance": strict.get("accepted_clinvar_significance"), "require_single_marker": strict.get("require_single_gene_mouse_genotype"),
+            "max_p_value": first.get("maximum_gwas_p_value"), "min_shared_tokens": first.get("minimum_informative_token_overlap"), "min_jaccard": first.get("minimum_token_jaccard"), "evidence_classes": first.get("included_human_evidence_classes"), "uninformative": first.get("uninformative_tokens"),
+            "band_a": vectors.get("class_a_min"), "band_b": vectors.get("class_b_min"), "band_c": vectors.get("class_c_min"), "default_bands": vectors.get("default_use_classes"), "top_k": vectors.get("low_similarity_top_k_per_human_text_per_ortholog"), "placeholders": vectors.get("excluded_placeholder_labels"),
+        }
+        return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in named.items() if v is not None})
+
 
 DEFAULT = Settings()
 # Labels of the routes and what their rows say.
@@ -128,3 +140,12 @@ def validate_sources(entries: list[dict]) -> dict[str, SourceSpec]:
             raise ValueError(f"source id used twice: {entry['id']}")
         out[entry["id"]] = SourceSpec(**{f.name: entry.get(f.name, "") for f in fields(SourceSpec)})
     return out
+
+
+# Source ids of a published configuration, and what a run calls them.
+CONFIGURED = {"clinvar_grch38": "variants", "hpo_annotations": "annotations", "mhmi_mgi": "mappings", "monarch_upheno": "unscored_mappings", "mgi_gene_pheno": "genotypes", "mgi_orthologs": "orthologs", "gwas_catalog_associations": "associations", "mgi_phenotypic_alleles": "alleles", "mgi_mp_vocabulary": "vocabulary", "mgi_genotype_disease_models": "disease_models", "hgnc_complete_set": "nomenclature"}
+
+
+def configured_paths(sources: dict[str, SourceSpec], base: str) -> dict[str, str]:
+    """Paths of the declared sources below ``base``, by the names that a run has for them."""
+    return {CONFIGURED.get(i, i): s.path if "://" in s.path or s.path.startswith("/") else f"{base}/{s.path}" for i, s in sources.items()}

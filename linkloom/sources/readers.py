@@ -82,17 +82,18 @@ def quoted_tsv(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     return df.na.fill("")
 
 
-def report(spark: SparkSession, path: str, columns: list[str], least: int, header_cell: str | None = None, comment: str | None = None) -> DataFrame:
-    """A headerless positional table: rows of at least ``least`` cells whose first cell is not ``header_cell``."""
+def report(spark: SparkSession, path: str, columns: list[str], least: int, header_cell: str | None = None, comment: str | None = None, watch=lambda df: df) -> DataFrame:
+    """A headerless positional table: rows of at least ``least`` cells whose first cell is not ``header_cell``. ``watch`` sees all its lines."""
     df = lines(spark, path).where(F.trim("value") != "")
     if comment:
         df = df.where(~F.startswith("value", F.lit(comment)))
+    df = watch(df)
     out = _cells(df, columns).where(F.col("_n") >= least)
     return (out.where(F.col(columns[0]) != header_cell) if header_cell else out).drop("_n")
 
 
-def vcf(spark: SparkSession, path: str) -> DataFrame:
-    return report(spark, path, VCF, 8, comment="#")
+def vcf(spark: SparkSession, path: str, watch=lambda df: df) -> DataFrame:
+    return report(spark, path, VCF, 8, comment="#", watch=watch)
 
 
 def orthologs(spark: SparkSession, path: str) -> DataFrame:
@@ -234,15 +235,21 @@ def missing_inputs(spark: SparkSession, paths: list[str]) -> list[str]:
 
 
 def can_reuse(source: dict, previous: dict | None, remote: dict | None, force: bool = False) -> bool:
-    """Whether a downloaded file is still current: by file name, else by ETag, else by date and length."""
+    """Whether a downloaded file is still the server's release: by its file name, else by ETag, else by date, and by length where that
+    is told. What neither side can tell is no release."""
     if force or not previous or previous.get("url") != source.get("url"):
         return False
-    if not remote:
-        return True
-    for key in ("content_disposition", "etag"):
-        if remote.get(key):
-            return remote[key] == previous.get(key)
-    return bool(remote.get("last_modified")) and all(remote.get(k) == previous.get(k) for k in ("last_modified", "content_length"))
+    remote = remote or {}
+    told = lambda k: remote.get(k) and previous.get(k)
+    as_long = not remote.get("content_length") or remote["content_length"] == previous.get("bytes")
+    if told("content_disposition"):
+        if remote["content_disposition"] != previous["content_disposition"]:
+            return False
+        if as_long:
+            return True
+    if told("etag"):
+        return remote["etag"] == previous["etag"]
+    return bool(told("last_modified")) and remote["last_modified"] == previous["last_modified"] and as_long
 
 
 def npy_header(f) -> tuple[tuple[int, ...], str, int]:

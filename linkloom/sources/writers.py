@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.functions.text import byte_size
 from linkloom.sources.readers import files, opened
 
 
@@ -43,14 +44,13 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
-def write_both(df: DataFrame, main: str, side: str, is_side: Column) -> None:
-    """One input to two tables: rows for which ``is_side`` holds go to ``side`` too."""
-    df = df.persist()
-    try:
-        write_table(df, main)
-        write_table(df.where(is_side), side)
-    finally:
-        df.unpersist()
+def fan_out(df: DataFrame, path: str, **sinks: Column) -> dict[str, DataFrame]:
+    """One scan to several tables of its columns: a row goes to every sink whose condition holds, by one job. Returns them, read again."""
+    named = F.array_compact(F.array(*(F.when(condition, F.lit(name)) for name, condition in sinks.items())))
+    df.withColumn("_sink", F.explode(named)).write.mode("overwrite").partitionBy("_sink").parquet(path)
+    schema = df.withColumn("_sink", F.lit("")).schema
+    written = df.sparkSession.read.schema(schema).parquet(path)
+    return {name: written.where(F.col("_sink") == name).drop("_sink") for name in sinks}
 
 
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -89,7 +89,9 @@ def statistics(df: DataFrame, **counts: Column) -> str:
     return json.dumps(row.asDict(), sort_keys=True, default=str)
 
 
-def version_table(manifest: DataFrame, name: str = "path") -> str:
-    """A Markdown table of a (small) manifest."""
-    rows = manifest.select(name, "bytes", "sha256").orderBy(name).collect()
-    return "\n".join(["| file | bytes | sha256 |", "| --- | --- | --- |", *(f"| {r[0]} | {r[1]} | {r[2]} |" for r in rows)])
+def version_table(manifest: DataFrame, most: int = 1000) -> str:
+    """The files of a manifest (name, path, bytes, sha256 and change) as a Markdown table of at most ``most`` lines, and how many more there are."""
+    rows = manifest.select("name", F.coalesce("change", F.lit("not reported")).alias("change"), byte_size(F.col("bytes")).alias("size"), "sha256").orderBy("name").limit(most).collect()
+    more = manifest.count() - len(rows)
+    lines = ["Dataset | Against the run before | Size | SHA-256", "--- | --- | --- | ---", *(f"{r['name']} | {r['change']} | {r['size']} | `{r['sha256']}`" for r in rows)]
+    return "\n".join([*lines, *([f"and {more} more files"] if more else []), ""])

@@ -1,22 +1,24 @@
 """The whole linkage run over source files: steps in a fixed order, each writing its table below one folder.
 
-``python -m linkloom.workflow --sources sources.json --out DIR [--settings FILE] [--skip-semantic] [--dry-run]``
+``python -m linkloom.workflow (--sources sources.json [--settings FILE] | --config workflow.json) --out DIR [--skip-semantic] [--dry-run]``
 """
 
 from __future__ import annotations
 
 import argparse
 import json
+import os
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
 from linkloom.operators.keys import first_wins, last_wins, numbered
-from linkloom.plans import bridge, catalog, contract, disease, lexical, reports, semantic
-from linkloom.settings import DEFAULT, ORTHOLOG_SOURCE, STRICT_ROUTE, UNSCORED_ROUTE, Settings
+from linkloom.plans import bridge, catalog, contract, counts, disease, lexical, reports, semantic
+from linkloom.settings import DEFAULT, ORTHOLOG_SOURCE, STRICT_ROUTE, UNSCORED_ROUTE, Settings, configured_paths, validate_configuration
 from linkloom.sources import readers, writers
 
 #: Source ids that a run needs.
@@ -27,9 +29,32 @@ UNSCORED = UNSCORED_ROUTE.sources[0]
 CATEGORIES = ("category1-1", "category1-2", "category2-1", "category2-2")
 # The control that must be there, what its mouse side must match, and names that results had before.
 PRIMARY, PRIMARY_ALLELE, PRIMARY_BACKGROUND = "TLR4_LPS_001", "Lps-d", "C3H/HeJ"
+PRIMARY_GENES, PRIMARY_RS = ("TLR4", "Tlr4"), "rs4986790"
+PHRASE_AUDIT = ["audit_id", "human_text", "mouse_text", "expected_relation", "cosine_similarity", "cosine_class", "direction_conflict", "negation_flag", "review_status"]
 FORMER_NAMES = {"tier1_monarch_phenotype": "links_category1-1", "monarch_upheno_phenotype": "links_category1-2", "tier2_ortholog_phenotype": "links_category2-1", "tier3_disease_model": "links_category2-2"}
 
 
+def _associations(spark: SparkSession, path: str) -> DataFrame:
+    return readers.associations(readers.zip_lines(spark, path) if path.endswith(".zip") else readers.lines(spark, path))
+
+
+PARSERS: dict[str, Callable[..., DataFrame]] = {
+    "variants": readers.vcf,
+    "annotations": readers.annotations,
+    "mappings": lambda spark, path: readers.sssom(spark, path, "mhmi_mgi"),
+    "unscored_mappings": lambda spark, path: readers.sssom(spark, path, UNSCORED),
+    "genotypes": readers.genotype_report,
+    "orthologs": readers.orthologs,
+    "associations": _associations,
+    "alleles": readers.allele_metadata,
+    "vocabulary": readers.vocabulary,
+    "disease_models": readers.disease_models,
+    "nomenclature": lambda spark, path: readers.tsv(spark, path).select("_ord", "hgnc_id", "ensembl_gene_id"),
+}
+#: Sources whose counted lines are more than their rows.
+WATCHED = ("variants",)
+
+
 @dataclass
 class Run:
     spark: SparkSession
@@ -37,6 +62,27 @@ class Run:
     out: str
     settings: Settings = DEFAULT
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    parsed: dict[str, DataFrame] = field(default_factory=dict)
+    scanned: dict[str, int] = field(default_factory=dict)
+    statistics: dict[str, dict] = field(default_factory=dict)
+
+    def source(self, name: str) -> DataFrame:
+        """A source's rows. It is parsed once, written as Parquet, and its rows are counted on the way, in the tasks that write them."""
+        if name not in self.parsed:
+            seen, inside = Observation(f"{name} {uuid.uuid4().hex}"), name in WATCHED
+            watch = lambda df: df.observe(seen, F.count(F.lit(1)).alias("rows"))
+            df = PARSERS[name](self.spark, self.paths[name], watch) if inside else watch(PARSERS[name](self.spark, self.paths[name]))
+            path = f"{self.out}/sources/{name}"
+            writers.write_table(df, path)
+            self.scanned[name] = seen.get["rows"]
+            self.parsed[name] = self.spark.read.schema(df.schema).parquet(path)
+        return self.parsed[name]
+
+    def count(self, step: str, rows: DataFrame, **seen: int) -> None:
+        """Writes what a step counted, with the settings that it ran with."""
+        self.statistics[step] = counts.nested(rows, **seen)
+        text = json.dumps({"counts": self.statistics[step], "settings": json.loads(self.settings.to_json())}, indent=2, sort_keys=True)
+        writers.write_bytes(self.spark, f"{self.out}/statistics/{step}.json", text.encode())
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         """Writes a table as Parquet and goes on from the written one."""
@@ -47,17 +93,24 @@ class Run:
 
 
 def prepare_bridge(run: Run) -> None:
-    spark, p = run.spark, run.paths
     # The unscored source comes first: its labels, dates and justifications are the ones that stay.
-    first = readers.sssom(spark, p["unscored_mappings"], UNSCORED).withColumn("_ord", F.struct(F.lit(1).alias("file"), "_ord"))
-    second = readers.sssom(spark, p["mappings"], "mhmi_mgi").withColumn("_ord", F.struct(F.lit(2).alias("file"), "_ord"))
+    first = run.source("unscored_mappings").withColumn("_ord", F.struct(F.lit(1).alias("file"), "_ord"))
+    second = run.source("mappings").withColumn("_ord", F.struct(F.lit(2).alias("file"), "_ord"))
     both = first.unionByName(second)
     order = F.row_number().over(bridge_order())
     merged = run.keep("mappings", bridge.merge_mappings(both.withColumn("_ord", order)))
     writers.write_tsv(merged, f"{run.out}/mappings", order=["hpo_id", "mp_id", "predicate"])
-    pairs = run.keep("orthologs", readers.orthologs(spark, p["orthologs"]))
-    run.keep("human_bridge", bridge.variant_phenotypes(readers.vcf(spark, p["variants"]), readers.annotations(spark, p["annotations"]), pairs, merged, run.settings))
-    run.keep("mouse_bridge", bridge.allele_phenotypes(readers.genotype_report(spark, p["genotypes"]), pairs, merged, run.settings))
+    pairs = run.keep("orthologs", run.source("orthologs"))
+    noted = run.keep("disease_annotations", bridge.disease_annotations(run.source("annotations"), merged, run.settings))
+    variants, genotypes = run.source("variants"), run.source("genotypes")
+    human = run.keep("human_bridge", bridge.variant_phenotypes(variants, None, pairs, merged, run.settings, noted, ordered=True))
+    parts = bridge.allele_sinks(bridge.allele_rows(genotypes, pairs, run.settings), merged, f"{run.out}/tables/mouse_alleles", PRIMARY_GENES[1], PRIMARY_ALLELE, PRIMARY_BACKGROUND)
+    run.tables["mouse_bridge"], control_mice = parts["main"], parts["control"]
+    controls = run.keep("control_human_variants", bridge.control_variants(variants, pairs, PRIMARY_GENES[0], PRIMARY_RS))
+    writers.write_tsv(controls, f"{run.out}/control_human_variants")
+    writers.write_tsv(control_mice, f"{run.out}/control_mouse_variants")
+    seen = {"hpoMp__uphenoRows": run.scanned["unscored_mappings"], "hpoMp__mhmiRows": run.scanned["mappings"], "hpoAnnotations__totalRows": run.scanned["annotations"], "humanVariants__totalVariants": run.scanned["variants"], "humanVariants__tlr4ControlRows": controls.count(), "mousePhenotypes__tlr4ControlRows": control_mice.count()}
+    run.count("preparation", counts.bridge_preparation(merged, noted, pairs, genotypes, parts["main"], variants, human, run.settings), **seen)
 
 
 def bridge_order():
@@ -70,29 +123,35 @@ def bridge_order():
 def map_bridge(run: Run) -> None:
     t = run.tables
     for route in (STRICT_ROUTE, UNSCORED_ROUTE):
-        run.keep(f"links_{route.subcategory}", bridge.bridge_links(t["human_bridge"], t["mappings"], t["orthologs"], t["mouse_bridge"], route))
+        links = run.keep(f"links_{route.subcategory}", bridge.bridge_links(t["human_bridge"], t["mappings"], t["orthologs"], t["mouse_bridge"], route))
+        run.count(f"mapping_{route.subcategory}", counts.bridge_mapping(t["human_bridge"], t["mappings"], t["orthologs"], t["mouse_bridge"], links, route))
 
 
 def prepare_evidence(run: Run) -> None:
-    spark, p = run.spark, run.paths
-    pairs = run.keep("orthologs_enriched", lexical.enrich_orthologs(run.tables["orthologs"], readers.tsv(spark, p["nomenclature"]).select("_ord", "hgnc_id", "ensembl_gene_id")))
-    conditions = lexical.variant_conditions(readers.vcf(spark, p["variants"]), pairs, run.settings)
-    lines = readers.zip_lines(spark, p["associations"]) if p["associations"].endswith(".zip") else readers.lines(spark, p["associations"])
-    found = lexical.association_evidence(readers.associations(lines), pairs, run.settings)
+    pairs = run.keep("orthologs_enriched", lexical.enrich_orthologs(run.tables["orthologs"], run.source("nomenclature")))
+    variants, genotypes, alleles, terms = (run.source(s) for s in ("variants", "genotypes", "alleles", "vocabulary"))
+    conditions = lexical.variant_conditions(variants, pairs, run.settings)
+    found = lexical.association_evidence(run.source("associations"), pairs, run.settings)
     place = lambda df, n: df.withColumn("_ord", F.struct(F.lit(n).alias("file"), F.col("_ord").cast("struct<at:struct<file:string,line:bigint>,part:int,rs:int>").alias("at")))
-    run.keep("human_evidence", place(conditions, 1).unionByName(place(found, 2)))
-    run.keep("mouse_evidence", lexical.mouse_evidence(readers.genotype_report(spark, p["genotypes"]), pairs, readers.allele_metadata(spark, p["alleles"]), readers.vocabulary(spark, p["vocabulary"]), ordered=True))
+    human = run.keep("human_evidence", place(conditions, 1).unionByName(place(found, 2)))
+    mouse = run.keep("mouse_evidence", lexical.mouse_evidence(genotypes, pairs, alleles, terms, ordered=True))
+    seen = {"clinvar__scanned": run.scanned["variants"], "gwas__scanned": run.scanned["associations"], "mouse__scanned": run.scanned["genotypes"]}
+    run.count("evidence", counts.evidence_preparation(human, mouse, pairs, alleles, terms, variants), **seen)
 
 
 def map_lexical(run: Run) -> None:
     t = run.tables
-    run.keep("links_category2-1", lexical.lexical_links(t["human_evidence"], t["mouse_evidence"], t["orthologs_enriched"], run.settings))
+    links = run.keep("links_category2-1", lexical.lexical_links(t["human_evidence"], t["mouse_evidence"], t["orthologs_enriched"], run.settings))
+    run.count("mapping_category2-1", counts.lexical_mapping(t["human_evidence"], t["mouse_evidence"], t["orthologs_enriched"], links, run.settings))
 
 
 def map_disease(run: Run) -> None:
-    spark, p, t = run.spark, run.paths, run.tables
-    models = run.keep("disease_models", disease.disease_models(readers.disease_models(spark, p["disease_models"]), t["orthologs_enriched"], readers.allele_metadata(spark, p["alleles"])))
-    run.keep("links_category2-2", disease.disease_links(t["human_evidence"], models))
+    t = run.tables
+    rows = run.source("disease_models")
+    models = run.keep("disease_models", disease.disease_models(rows, t["orthologs_enriched"], run.source("alleles")))
+    links = run.keep("links_category2-2", disease.disease_links(t["human_evidence"], models))
+    used = t["human_evidence"].where("variant_source = 'ClinVar' and evidence_class = 'clinvar_supported'")
+    run.count("mapping_category2-2", counts.disease_mapping(rows, models, t["human_evidence"], links, disease.with_shared_disease(used, models)))
 
 
 def annotated(rows: DataFrame, prefix: str) -> DataFrame:
@@ -128,6 +187,11 @@ def map_semantic(run: Run, embedder=None, model: str = "hashed-trigrams", max_le
     flagged = semantic.flagged_matches(found, texts.select("text_id", "label", long.alias("truncated")), s)
     out = run.keep("links_semantic", semantic.published_matches(flagged, genes, model, s.revision))
     writers.write_gzip_tsv(out, f"{run.out}/links_semantic_by_class", ["cosine_class"])
+    audits = run.keep("phrase_audit", semantic.phrase_audits(run.spark, embedder, s).select(*PHRASE_AUDIT))
+    writers.write_tsv(audits, f"{run.out}/phrase_audit", order=["audit_id"])
+    own = lambda df, gene: df.select(F.col(gene).alias("gene"), "text_id")
+    both = semantic.gene_texts(own(human, "human_gene"), own(mouse.join(genes.select("human_gene", "mouse_gene"), "mouse_gene"), "human_gene"))
+    run.count("mapping_semantic", counts.semantic_mapping(out, both, s))
     catalog.register(run.spark, {"phenotype_match": out.select(*semantic.STORED), **{n: t[n] for n in ("human_annotation", "mouse_annotation", "phenotype_text", "ortholog")}})
 
 
@@ -140,7 +204,7 @@ def validate(run: Run) -> None:
     controls = controls_of(run)
     if controls is None:
         return
-    spark, t, p = run.spark, run.tables, run.paths
+    t = run.tables
     matrix = None
     for c in CATEGORIES:
         links = t[f"links_{c}"]
@@ -151,11 +215,11 @@ def validate(run: Run) -> None:
     primary = controls.where(F.col("control_id") == PRIMARY)
     if primary.isEmpty():
         raise ValueError(f"the control {PRIMARY} is required")
-    variants = readers.vcf(spark, p["variants"]).select(X.gene_list(F.coalesce(X.info_value("info", "GENEINFO"), F.lit(""))).alias("genes"), X.rs_numbers(F.coalesce(X.info_value("info", "RS"), F.lit(""))).alias("rs"))
+    variants = run.source("variants").select(X.gene_list(F.coalesce(X.info_value("info", "GENEINFO"), F.lit(""))).alias("genes"), X.rs_numbers(F.coalesce(X.info_value("info", "RS"), F.lit(""))).alias("rs"))
     human = variants.select(F.explode("genes").alias("gene"), "rs").select(F.col("gene.symbol").alias("human_gene"), F.explode("rs").alias("rs_id"))
     human = human.join(primary.select("human_gene", F.col("human_variant").alias("rs_id")), ["human_gene", "rs_id"], "left_semi")
     pairs = t["orthologs"]
-    mouse = readers.genotype_report(spark, p["genotypes"]).where(X.single_marker("marker_ids")).withColumn("mgi_marker_id", F.element_at(X.pipe_list("marker_ids"), 1))
+    mouse = run.source("genotypes").where(X.single_marker("marker_ids")).withColumn("mgi_marker_id", F.element_at(X.pipe_list("marker_ids"), 1))
     mouse = mouse.join(last_wins(pairs, ["mgi_marker_id"], ["_ord"]).select("mgi_marker_id", "mouse_gene"), "mgi_marker_id").join(primary.select("mouse_gene"), "mouse_gene", "left_semi")
     positive = run.keep("positive_control", reports.positive_control(primary, human, mouse, pairs, PRIMARY_ALLELE, PRIMARY_BACKGROUND))
     negative = controls_of(run, "negative_controls")
@@ -233,18 +297,55 @@ def report(run: Run) -> None:
     writers.write_tsv(rows.coalesce(1), f"{run.out}/category_catalog")
 
 
+def record_sources(run: Run) -> None:
+    """Path, size and digest of every source file, and whether it changed since the run before into the same folder."""
+    kept = f"{run.out}/source_manifest"
+    earlier = run.spark.read.parquet(kept) if not readers.missing_inputs(run.spark, [f"{kept}/_SUCCESS"]) else None
+    every = None
+    for name in sorted(run.paths):
+        part = writers.file_manifest(run.spark, run.paths[name]).select(F.lit(name).alias("name"), "path", "bytes", "sha256")
+        every = part if every is None else every.unionByName(part)
+    every = every.withColumn("id", F.concat_ws(" ", "name", "path"))
+    old = run.spark.createDataFrame([], "id string, sha256 string") if earlier is None else earlier.select("id", "sha256")
+    rows = every.join(readers.manifest_changes(every.select("id", "sha256"), old).select("id", "change"), "id", "left")
+    # Written beside the earlier one first, which is read until then.
+    writers.write_table(rows, f"{kept}.new")
+    rows = run.spark.read.parquet(f"{kept}.new")
+    writers.write_table(rows, kept)
+    run.tables["source_manifest"] = rows
+    writers.write_tsv(rows.drop("id"), f"{run.out}/sources_manifest", order=["name", "path"])
+    writers.write_bytes(run.spark, f"{run.out}/DATA_VERSIONS.md", writers.version_table(rows).encode())
+
+
+def store_pairs(run: Run) -> None:
+    """The integrated model: every pair of a variant and an allele once with its routes, and a row for each piece of evidence."""
+    keys = ["human_gene", "rs_id", "mouse_gene", "mgi_allele_id"]
+    pairs, evidence = reports.pair_evidence(keys, **{c: run.tables[f"links_{c}"] for c in CATEGORIES})
+    run.keep("variant_pairs", pairs)
+    run.keep("pair_evidence", evidence)
+
+
+def record_outputs(run: Run) -> None:
+    """Path, size and digest of every file that the run has written."""
+    found = writers.file_manifest(run.spark, run.out).where(~F.contains("path", F.lit("/output_manifest/")))
+    writers.write_tsv(found, f"{run.out}/output_manifest", order=["path"])
+
+
 STEPS: list[tuple[str, Callable[[Run], None]]] = [
+    ("record_sources", record_sources),
     ("prepare_bridge", prepare_bridge),
     ("map_bridge", map_bridge),
     ("prepare_evidence", prepare_evidence),
     ("map_lexical", map_lexical),
     ("map_disease", map_disease),
+    ("store_pairs", store_pairs),
     ("report", report),
     ("validate", validate),
     ("map_semantic", map_semantic),
     ("verify_semantic", verify_semantic),
     ("report_cases", report_cases),
     ("check_exchange", check_exchange),
+    ("record_outputs", record_outputs),
 ]
 SEMANTIC = ("map_semantic", "verify_semantic", "report_cases")
 
@@ -267,7 +368,9 @@ def execute(spark: SparkSession, paths: dict[str, str], out: str, settings: Sett
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="linkloom", description="Link two catalogues by several kinds of evidence.")
-    parser.add_argument("--sources", required=True, help="JSON object of source id and path")
+    given = parser.add_mutually_exclusive_group(required=True)
+    given.add_argument("--sources", help="JSON object of source id and path")
+    given.add_argument("--config", help="a run's configuration: sources, thresholds, and whether the semantic steps run")
     parser.add_argument("--out", required=True)
     parser.add_argument("--settings")
     parser.add_argument("--skip-semantic", action="store_true")
@@ -276,15 +379,24 @@ def main(arguments: list[str] | None = None) -> None:
     if a.dry_run:
         print("\n".join(name for name, _ in steps(a.skip_semantic)))
         return
-    settings = DEFAULT
+    settings, skip = DEFAULT, a.skip_semantic
+    found = readers.read_json(a.config or a.sources)
+    if found is None:
+        raise FileNotFoundError(a.config or a.sources)
+    if a.config:
+        paths = configured_paths(validate_configuration(found), os.path.dirname(os.path.dirname(os.path.abspath(a.config))))
+        settings = Settings.from_configuration(found)
+        execution = found["execution"]
+        skip = skip or not execution.get("run_semantic", True)
+        if execution.get("tier0_input"):
+            paths["exchange"] = execution["tier0_input"]
+    else:
+        paths = found
     if a.settings:
         with open(a.settings) as f:
             settings = Settings.from_json(f.read())
-    paths = readers.read_json(a.sources)
-    if paths is None:
-        raise FileNotFoundError(a.sources)
     spark = SparkSession.builder.appName("linkloom").getOrCreate()
-    run = execute(spark, paths, a.out, settings, a.skip_semantic)
+    run = execute(spark, paths, a.out, settings, skip)
     print(json.dumps({n: df.count() for n, df in run.tables.items() if n.startswith("links_")}))
 
 

@@ -69,10 +69,13 @@ def test_writers(spark, tmp_path):
     assert rows(readers.tsv(spark, out).orderBy("k"), "k", "v", "n") == [("A", "x y", ""), ("B", "", "2")]
     writers.write_tsv(df, str(tmp_path / "p"), ["k"])
     assert sorted(x.name for x in (tmp_path / "p").glob("k=*")) == ["k=A", "k=B"]
-    writers.write_both(df, str(tmp_path / "m"), str(tmp_path / "s"), F.col("k") == "B")
-    assert spark.read.parquet(str(tmp_path / "m")).count() == 2 and spark.read.parquet(str(tmp_path / "s")).count() == 1
+    parts = writers.fan_out(df, str(tmp_path / "m"), all=F.lit(True), some=F.col("k") == "B", none=F.lit(None).cast("boolean"))
+    assert {k: sorted(r["k"] for r in p.collect()) for k, p in parts.items()} == {"all": ["A", "B"], "some": ["B"], "none": []}
+    assert all(p.columns == df.columns for p in parts.values())
     man = writers.file_manifest(spark, out, "*.gz")
-    assert man.first()["bytes"] > 0 and "sha256" in writers.version_table(man)
+    named = man.withColumn("name", F.concat(F.lit("n"), F.monotonically_increasing_id())).withColumn("change", F.lit(None).cast("string"))
+    assert man.first()["bytes"] > 0 and "n0 | not reported | " in writers.version_table(named)
+    assert writers.version_table(named.unionByName(named), 1).endswith(f"and {2 * man.count() - 1} more files\n")
     assert writers.statistics(df, rows=F.count("*")) == '{"rows": 2}'
     assert readers.missing_inputs(spark, [out, "/nowhere/x"]) == ["/nowhere/x"]
 
@@ -80,4 +83,7 @@ def test_writers(spark, tmp_path):
 def test_reuse():
     s = {"url": "u"}
     assert readers.can_reuse(s, {"url": "u", "etag": "1"}, {"etag": "1"}) and not readers.can_reuse(s, {"url": "u", "etag": "1"}, {"etag": "2"})
+    old = {"url": "u", "content_disposition": "f1", "bytes": 5, "last_modified": "m"}
+    assert readers.can_reuse(s, old, {"content_disposition": "f1", "content_length": 5}) and not readers.can_reuse(s, old, {"content_disposition": "f2", "last_modified": "m"})
+    assert readers.can_reuse(s, old, {"last_modified": "m"}) and not readers.can_reuse(s, old, {"last_modified": "m", "content_length": 6}) and not readers.can_reuse(s, old, {})
     assert not readers.can_reuse(s, None, None) and not readers.can_reuse(s, {"url": "u"}, None, True)

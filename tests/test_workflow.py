@@ -9,7 +9,7 @@ import pytest
 from linkloom import workflow
 from linkloom.functions import text as X
 from linkloom.plans import contract, semantic
-from linkloom.settings import DEFAULT
+from linkloom.settings import DEFAULT, PHRASE_AUDITS, Settings, configured_paths, validate_configuration
 from linkloom.sources import readers
 
 
@@ -87,6 +87,47 @@ def test_controls(spark, run):
     assert again.count() == t["texts"].count() and not calls
 
 
+def test_statistics_and_manifests(spark, run, sources):
+    """Every step's counts, from one parse of each source; digests of what went in and came out; the integrated pairs."""
+    s = run.statistics
+    assert sorted(s) == ["evidence", "mapping_category1-1", "mapping_category1-2", "mapping_category2-1", "mapping_category2-2", "mapping_semantic", "preparation"]
+    assert s["preparation"]["humanVariants"] == {"totalVariants": 1, "variantsWithRsid": 1, "variantsWithOrtholog": 1, "variantsWithAcceptedSignificance": 1, "variantsWithHpoBridge": 1, "retainedRows": 2, "tlr4ControlRows": 1}
+    assert s["preparation"]["mousePhenotypes"] == {"totalRows": 2, "singleGeneRows": 2, "retainedRows": 2, "tlr4ControlRows": 2}
+    assert s["preparation"]["hpoMp"]["uphenoRows"] == s["preparation"]["hpoMp"]["mhmiRows"] == 1 and s["preparation"]["hpoAnnotations"]["totalRows"] == 2
+    assert s["evidence"]["clinvar"] == {"scanned": 1, "rows": 1, "identities": 1} and s["evidence"]["gwas"] == {"scanned": 1, "rows": 1}
+    assert s["mapping_category1-1"]["finalRows"] == 1 and s["mapping_category1-1"]["unique"]["humanVariants"] == 1
+    assert s["mapping_category2-1"]["supportGrades"] == {"A": 0, "B": 1, "C": 0} and s["mapping_category2-1"]["candidateComparisons"] >= 1
+    assert sum(s["mapping_semantic"]["classes"].values()) == 6 and s["mapping_semantic"]["omitted_low_similarity_text_pairs"] == 0
+    kept = readers.read_json(f"{run.out}/statistics/evidence.json", spark=spark)
+    assert kept["counts"] == s["evidence"] and kept["settings"]["top_k"] == 20
+    first = {r["name"]: (r["change"], len(r["sha256"])) for r in run.tables["source_manifest"].collect()}
+    assert set(first) >= set(sources) and set(first.values()) == {("new", 64)}
+    workflow.record_sources(replace(run, tables={}))
+    assert {r["change"] for r in spark.read.parquet(f"{run.out}/source_manifest").collect()} == {"same"}
+    assert "orthologs | same | " in spark.read.text(f"{run.out}/DATA_VERSIONS.md", wholetext=True).head()[0]
+    outputs = [r["path"] for r in readers.tsv(spark, f"{run.out}/output_manifest").collect()]
+    assert any("links_category1-1" in p for p in outputs) and any(p.endswith("statistics/evidence.json") for p in outputs)
+    control = readers.tsv(spark, f"{run.out}/control_human_variants").drop("_ord").collect()
+    assert [tuple(r)[:4] + (r["condition_names"], r["condition_identifiers"]) for r in control] == [("TLR4", "7099", "rs4986790", "77", "Reduced LPS response", "MEDGEN:C1|OMIM:5")] and len(control[0]) == 13
+    assert readers.tsv(spark, f"{run.out}/control_mouse_variants").count() == 2
+    assert [r["audit_id"] for r in readers.tsv(spark, f"{run.out}/phrase_audit").collect()] == sorted(a[0] for a in PHRASE_AUDITS)
+    pairs = run.tables["variant_pairs"].collect()
+    assert sorted((r["rs_id"], r["mgi_allele_id"]) for r in pairs) == [("rs4986790", "MGI:9")] and run.tables["pair_evidence"].count() == sum(r["evidence_rows"] for r in pairs)
+
+
+def test_configuration():
+    """Another layout of a run's settings: sections with thresholds, and declared sources."""
+    config = {"schema_version": 1, "data_sources": [{"id": "mgi_orthologs", "name": "o", "url": "u", "path": "data/o.rpt"}, {"id": "other", "name": "x", "url": "u", "path": "/abs"}], "monarch_mapping": {}, "category_definitions": [], "execution": {}}
+    config |= {"strict_mapping": {"minimum_mapping_confidence": 0.9, "accepted_predicates": ["p"]}, "ortholog_first_mapping": {"minimum_token_jaccard": 0.7}, "semantic_mapping": {"class_a_min": 0.95, "low_similarity_top_k_per_human_text_per_ortholog": 3}}
+    assert configured_paths(validate_configuration(config), "/base") == {"orthologs": "/base/data/o.rpt", "other": "/abs"}
+    s = Settings.from_configuration(config)
+    assert (s.min_confidence, s.predicates, s.min_jaccard, s.band_a, s.top_k, s.aspect) == (0.9, ("p",), 0.7, 0.95, 3, "P")
+    for bad in ({"schema_version": 2}, {"data_sources": []}, {"execution": None}, {"data_sources": config["data_sources"] * 2}):
+        broken = {k: v for k, v in (config | bad).items() if v is not None}
+        with pytest.raises(ValueError):
+            validate_configuration(broken)
+
+
 def test_controls_that_fail(run, tmp_path):
     other = lambda **paths: replace(run, paths=run.paths | paths, out=str(tmp_path), tables=dict(run.tables))
     lost = table(tmp_path, "lost.tsv", CONTROLS, [*CONTROL, "", ""], ["other", "TLR4", "rs9", "a", "Tlr4", "MGI:9", "x", "b", "category1-1", ""])
@@ -107,7 +148,7 @@ def test_refused(spark, sources):
 
 def test_command_line(capsys):
     workflow.main(["--sources", "s", "--out", "o", "--dry-run", "--skip-semantic"])
-    assert capsys.readouterr().out.split() == ["prepare_bridge", "map_bridge", "prepare_evidence", "map_lexical", "map_disease", "report", "validate", "check_exchange"]
+    assert capsys.readouterr().out.split() == ["record_sources", "prepare_bridge", "map_bridge", "prepare_evidence", "map_lexical", "map_disease", "store_pairs", "report", "validate", "check_exchange", "record_outputs"]
     with pytest.raises(SystemExit):
         workflow.main(["--no-such-flag"])
 
