@@ -9,6 +9,7 @@ import io
 import json
 import zipfile
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ from linkloom.plans.driver_queries import BANDS, CONTROL_SQL, FLAG_SQL, SELECTIV
 from linkloom.session import scratch
 from linkloom.settings import DEFAULT
 from linkloom.sources import readers, writers
+from linkloom.sources.files import created
+from linkloom.sources.split import gzip_lines, write_block_gzip
 
 
 def _text(*parts) -> F.Column:
@@ -261,7 +264,7 @@ def va_contract_file(t):
     head = t.spark.createDataFrame([(-1, "\t".join([*names[1:], names[0]]))], "_ord long, value string")
     line = F.concat(F.concat_ws("\t", *names), F.when(F.col("_ord") % 13 == 0, "\textra").otherwise(""))
     path = scratch(t.spark, "exchange")
-    head.unionByName(_exchange(t).select(F.col("_ord").cast("long").alias("_ord"), line.alias("value"))).coalesce(1).sortWithinPartitions("_ord").select("value").write.text(path)
+    head.unionByName(_exchange(t).select(F.col("_ord").cast("long").alias("_ord"), line.alias("value"))).orderBy("_ord").select("value").write.text(path)
     return contract.file_issues(readers.lines(t.spark, path), names, _orthologs(t)).select("row", F.array_join("errors", "; ").alias("errors"))
 
 
@@ -411,11 +414,31 @@ def fn_gene_list(t):
 
 
 def _lines(t, name: str, rows: DataFrame, *head: str) -> str:
-    """A written text file of ``rows`` (_ord, value) after the lines ``head``; one part, so that its order is that of the lines."""
+    """A folder of text files of ``rows`` (_ord, value) after the lines ``head``: ranges of _ord, a file each, in their order."""
     path = scratch(t.spark, name)
     ahead = t.spark.createDataFrame([(i - len(head), h) for i, h in enumerate(head)], "_ord long, value string") if head else None
     rows = rows.select(F.col("_ord").cast("long").alias("_ord"), "value")
-    (rows if ahead is None else ahead.unionByName(rows)).coalesce(1).sortWithinPartitions("_ord").select("value").write.text(path)
+    (rows if ahead is None else ahead.unionByName(rows)).orderBy("_ord").select("value").write.text(path)
+    return path
+
+
+def _written(rows: DataFrame, write, path: str) -> str:
+    """Files below ``path``, written by the tasks that have their rows: ``write`` makes (name, bytes) pairs of the rows of a partition."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        part = list(batches)
+        if not part:
+            return
+        made = []
+        for name, content in write(TaskContext.get().partitionId(), pd.concat(part)):
+            with created(f"{path}/{name}") as f:
+                f.write(content)
+            made.append(name)
+        yield pd.DataFrame({"name": made})
+
+    assert rows.mapInPandas(run, "name string").count() >= 0
     return path
 
 
@@ -482,37 +505,53 @@ def src_disease_models(t):
 
 @query("SELECT c_custkey::VARCHAR AS k, 'a \"quoted\"' || chr(9) || 'cell' || chr(10) || c_name AS cell, c_mktsegment AS plain FROM customer")
 def src_quoted_tsv(t):
-    """Quoted cells with separators, line ends and doubled quotes."""
+    """Quoted cells with separators, line ends and doubled quotes; files by ranges of the key, each with its header."""
+    cells = t.customer.select(F.col("c_custkey").alias("k"), F.concat(_l('a "quoted"\tcell\n'), "c_name").alias("cell"), F.col("c_mktsegment").alias("plain"))
     path = scratch(t.spark, "quoted")
-    cell = F.concat(_l('"a ""quoted""\tcell\n'), "c_name", _l('"'))
-    t.customer.select(F.concat_ws("\t", "c_custkey", cell, "c_mktsegment").alias("value")).unionByName(t.spark.createDataFrame([("k\tcell\tplain",)], "value string").limit(0)).coalesce(1).write.text(path + "/body")
-    t.spark.createDataFrame([("k\tcell\tplain",)], "value string").unionByName(t.spark.read.text(path + "/body", wholetext=True)).coalesce(1).write.text(path + "/whole")
-    return readers.quoted_tsv(t.spark, path + "/whole")
+    writers.write_quoted_tsv(cells, path, "none", order=["k"])
+    return readers.quoted_tsv(t.spark, path)
+
+
+@query("SELECT c_custkey::VARCHAR AS k, 'a quo' || chr(9) || 'ted cell \"' || chr(10) || c_name AS cell, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS plain FROM customer")
+def src_toggled_tsv(t):
+    """Quotes inside cells, around separators and line ends, doubled ones, short rows; files by ranges of the key."""
+    cell = F.concat(_l('a q"uo\t"ted cell """\n"'), "c_name")
+    line = F.concat_ws("\t", F.col("c_custkey").cast("string"), cell, F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment")))
+    path = scratch(t.spark, "toggled")
+    rows = t.customer.select("c_custkey", line.alias("value")).orderBy("c_custkey")
+    _written(rows, lambda n, part: [(f"part-{n:05d}.tsv", ("k\tcell\tplain\n" + "\r\n".join(part["value"]) + "\n").encode())], path)
+    return readers.toggled_tsv(t.spark, path).drop("_ord")
 
 
 @query("SELECT p_partkey::VARCHAR AS \"STUDY ACCESSION\", 'ENSG' || p_partkey % 25 AS SNP_GENE_IDS, p_brand AS trait FROM part")
 def src_zipped_associations(t):
-    """Two members of a ZIP file, each with its header; the file is made of the table's first lines by key."""
-    rows = [f"{r[0]}\tENSG{r[0] % 25}\t{r[1]}" for r in t.part.select("p_partkey", "p_brand").orderBy("p_partkey").collect()]
-    raw = io.BytesIO()
-    with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
-        for name, part in (("a.tsv", rows[: len(rows) // 2]), ("b.tsv", rows[len(rows) // 2 :]), ("c.txt", ["no row"])):
-            z.writestr(name, "\n".join(["STUDY ACCESSION\tSNP_GENE_IDS\ttrait", *part]) + "\n")
-    path = scratch(t.spark, "associations") + "/all.zip"
-    writers.write_bytes(t.spark, path, raw.getvalue())
+    """ZIP files of ranges of the table, each made by a task, with two members that have a header each, and one that is no table."""
+
+    def zipped(n, part):
+        raw, rows = io.BytesIO(), [f"{k}\tENSG{k % 25}\t{brand}" for k, brand in zip(part["p_partkey"], part["p_brand"])]
+        with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+            for name, some in (("a.tsv", rows[: len(rows) // 2]), ("b.tsv", rows[len(rows) // 2 :]), ("c.txt", ["no row"])):
+                z.writestr(name, "\n".join(["STUDY ACCESSION\tSNP_GENE_IDS\ttrait", *some]) + "\n")
+        yield f"{n:05d}.zip", raw.getvalue()
+
+    path = _written(t.part.select("p_partkey", "p_brand").repartitionByRange(4, "p_partkey"), zipped, scratch(t.spark, "associations"))
     return readers.associations(readers.zip_lines(t.spark, path)).drop("_ord")
 
 
-@query("SELECT (row_number() OVER (ORDER BY vec_id) - 1)::BIGINT AS row, round(list_sum(embedding::DOUBLE[]), 4) AS total FROM embeddings")
+@query("SELECT vec_id, round(list_sum(embedding::DOUBLE[]), 4) AS total FROM embeddings")
 def src_npy_vectors(t):
+    """Matrices of ranges of the table, each made by a task, with the key as first column."""
     import numpy as np
 
-    matrix = np.array([r[0] for r in t.embeddings.orderBy("vec_id").select("embedding").collect()], np.float32)
-    raw = io.BytesIO()
-    np.save(raw, matrix)
-    path = scratch(t.spark, "matrix") + "/vectors.npy"
-    writers.write_bytes(t.spark, path, raw.getvalue())
-    return readers.npy_vectors(t.spark, path).select("row", F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double")), 4).alias("total"))
+    def saved(n, part):
+        raw = io.BytesIO()
+        np.save(raw, np.column_stack([part["vec_id"].to_numpy(np.float64), np.array(part["embedding"].tolist(), np.float32).astype(np.float64)]))
+        yield f"{n:05d}.npy", raw.getvalue()
+
+    path = _written(t.embeddings.select("vec_id", "embedding").repartitionByRange(4, "vec_id"), saved, scratch(t.spark, "matrix"))
+    rows = readers.npy_vectors(t.spark, path)
+    total = F.aggregate(F.slice("embedding", F.lit(2), F.size("embedding") - 1), F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return rows.select(F.get("embedding", F.lit(0)).cast("long").alias("vec_id"), F.round(total, 4).alias("total"))
 
 
 @query("SELECT n_nationkey::VARCHAR AS id, CASE WHEN n_nationkey >= 20 THEN 'new' WHEN n_nationkey % 3 = 0 THEN 'changed' ELSE 'same' END AS change FROM nation")
@@ -543,13 +582,24 @@ def snk_statistics(t):
 
 @query("SELECT n_name || '.txt' AS file, length(n_name)::BIGINT AS bytes, sha256(n_name) AS sha256 FROM nation")
 def snk_file_manifest(t):
-    """A file for each nation; path, size and digest of each."""
-    path = scratch(t.spark, "files")
-    for (name,) in t.nation.select("n_name").collect():
-        writers.write_bytes(t.spark, f"{path}/{name}.txt", name.encode())
+    """A file for each nation, written by the tasks that have them; path, size and digest of each."""
+    path = _written(t.nation.select("n_name"), lambda n, part: [(f"{name}.txt", name.encode()) for name in part["n_name"]], scratch(t.spark, "files"))
     return writers.file_manifest(t.spark, path, "*.txt").select(F.replace(F.element_at(F.split("path", "/"), -1), F.lit("%20"), F.lit(" ")).alias("file"), "bytes", "sha256")
 
 
+@query("SELECT o_orderstatus AS chrom, o_custkey::VARCHAR AS pos, o_orderkey::VARCHAR AS id, row_number() OVER (ORDER BY o_orderkey) AS place FROM orders WHERE o_orderkey % 9 <> 0")
+def src_block_gzip(t):
+    """Variants in block-gzip files, written by ranges and read by ranges of 64 KB: the order of lines is that of the table."""
+    v = _vcf(t)
+    line = F.when(F.col("_ord") % 9 == 0, F.concat(_l("#"), "info")).otherwise(F.concat_ws("\t", *(F.col(c) for c in readers.VCF)))
+    path = scratch(t.spark, "blocks")
+    write_block_gzip(v.select("_ord", line.alias("value")).orderBy("_ord").select("value"), path)
+    lines = gzip_lines(t.spark, f"{path}/*.gz", 1 << 16).where(~F.startswith("value", _l("#")))
+    cells = F.split("value", "\t")
+    rows = numbered(lines.select(F.struct("file", "line").alias("_ord"), *(F.get(cells, F.lit(i)).alias(c) for i, c in enumerate(readers.VCF[:3]))), "_ord", "place")
+    return rows.select("chrom", "pos", "id", "place")
+
+
 # --- the semantic result in use ---------------------------------------------------------------
 
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import io
 import json
-import re
-import urllib.parse
 import zipfile
 from collections.abc import Iterator
 
@@ -14,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import ontology_curie, skos_predicate
+from linkloom.sources.files import files, opened
+from linkloom.sources.split import gzip_lines, quoted_rows
 
 #: Rows of a matrix that a task reads at a time.
 NPY_ROWS = 4096
@@ -28,27 +28,16 @@ VOCABULARY = ["mp_id", "mp_label", "mp_definition"]
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of plain or .gz files: _ord (order within the input: files by path, then lines), value. A trailing CR is cut."""
+    """Lines of plain or .gz files: _ord (order within the input: files by path, then lines), value. A trailing CR is cut.
+
+    A path that ends in .gz is read by many tasks where its files are block gzip."""
+    if path.endswith(".gz"):
+        return gzip_lines(spark, path).select(F.struct("file", "line").alias("_ord"), "value")
     # Spark packs files into partitions by size, so that the path comes before the number; inside a file the numbers go up.
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
     return spark.read.text(path).select(place.alias("_ord"), F.regexp_replace("value", "\r$", "").alias("value"))
 
 
-def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """path and length of the files at or below a path; their content is not read."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path).select("path", "length")
-
-
-def opened(path: str):
-    """A file for reading and seeking, in an executor: local files, and what Arrow's file systems know by its scheme."""
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        return open(urllib.parse.unquote("/" + path.removeprefix("file:").lstrip("/")), "rb")
-    store, place = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
-    return store.open_input_file(place)
-
-
 def _cells(df: DataFrame, columns: list[str]) -> DataFrame:
     """Tab cells by position; missing ones are ''. _n is how many there were."""
     cells = F.split("value", "\t")
@@ -77,11 +66,23 @@ def tsv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def quoted_tsv(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
-    """A table with a header and quoted cells, which may hold separators, line ends and doubled quotes."""
+    """A table, plain or gzip, with a header and quoted cells, which may hold separators, line ends and doubled quotes. A quote inside a cell is kept."""
     df = spark.read.csv(path, sep=sep, header=True, quote='"', escape='"', multiLine=True)
     return df.na.fill("")
 
 
+def toggled_tsv(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+    """A table with a header and quoted cells, as ``quoted_tsv``, but that a quote changes the state wherever it stands.
+
+    A quote inside a cell begins or ends a quoted stretch like one at its edge. The first record of each file is its header; the
+    first file's names hold. Missing cells are ''. Files are cut into ranges, so that one of any size is read by many tasks."""
+    rows = quoted_rows(spark, path, sep)
+    first = rows.where("line = 0").orderBy("file").select("cells").head()
+    names = [c.removeprefix(BOM) for c in first["cells"]] if first else []
+    body = rows.where("line > 0").select(F.struct("file", "line").alias("_ord"), "cells")
+    return body.select("_ord", *(F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(names)))
+
+
 def report(spark: SparkSession, path: str, columns: list[str], least: int, header_cell: str | None = None, comment: str | None = None, watch=lambda df: df) -> DataFrame:
     """A headerless positional table: rows of at least ``least`` cells whose first cell is not ``header_cell``. ``watch`` sees all its lines."""
     df = lines(spark, path).where(F.trim("value") != "")

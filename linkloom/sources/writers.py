@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import byte_size
-from linkloom.sources.readers import files, opened
+from linkloom.sources.files import files, opened
 
 
 def clean_cell(x: Column) -> Column:
