@@ -16,8 +16,8 @@ from .shared import Workspace, fresh, with_rows
 #: Words are runs of other characters than these, after A-Z are lower-cased.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Test windows up to this many are sent to every executor; more are shuffled.
-BROADCAST_ROWS = 200_000
+#: Test windows up to this many, of so many bytes, are sent to every executor; more are shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def words(text: Column) -> Column:
@@ -57,8 +57,8 @@ def runs_of(w: Column, n: Column, size: int) -> Column:
     return F.transform(_steps(n, size), lambda i: F.array_join(F.slice(w, i, F.lit(size)), " "))
 
 
-def _joined(small: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(small) if rows <= BROADCAST_ROWS else small
+def _joined(small: DataFrame, rows: int, size: int = 0) -> DataFrame:
+    return F.broadcast(small) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else small.hint("merge")
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, gram: int = 5) -> DataFrame:
@@ -107,8 +107,11 @@ def _hits(ws: Workspace, plain: DataFrame, items: DataFrame, window: int, gram:
     runs = short.select("item", F.array_join("w", " ").alias("run"), F.col("n").alias("size"))
     runs = runs.unionByName(long.select("item", F.explode(runs_of(F.col("w"), F.col("n"), window)).alias("run"), F.lit(window).alias("size")))
     runs = ws.table(runs.distinct(), "windows")
-    sizes = {r["size"]: r["n"] for r in runs.groupBy("size").agg(F.count("*").alias("n")).collect()}  # at most ``window`` lines
-    rows, brief = sum(sizes.values()), sorted(s for s in sizes if s < window)
+    # Equal windows of several items are one, so that what a passage has in common with many of them is one hit at each place.
+    kinds = ws.table(runs.select("size", "run").distinct().withColumn("window", F.monotonically_increasing_id()), "kinds")
+    owners = ws.table(runs.join(kinds, ["size", "run"]).select("window", "item"), "owners")
+    sizes = {r["size"]: (r["n"], r["bytes"]) for r in kinds.groupBy("size").agg(F.count("*").alias("n"), F.sum(F.octet_length("run")).alias("bytes")).collect()}  # at most ``window`` lines
+    rows, heavy, brief = sum(n for n, _ in sizes.values()), sum(b for _, b in sizes.values()), sorted(s for s in sizes if s < window)
 
     doc = plain.select("_row", words(F.col("text")).alias("w")).withColumn("n", F.size("w"))
     w, n = F.col("w"), F.col("n")
@@ -133,7 +136,7 @@ def _hits(ws: Workspace, plain: DataFrame, items: DataFrame, window: int, gram:
     # The texts are shuffled at any size of the table.
     near = ws.table(plain.join(starts.hint("merge"), "_row").select("_row", words(F.col("text")).alias("w"), "starts"), "candidates")
     each = F.explode(F.transform("starts", lambda s: F.struct(s["size"].alias("size"), s["at"].alias("at"), F.array_join(F.slice(w, s["at"], s["size"]), " ").alias("run")))).alias("s")
-    spots = near.select("_row", each).select("_row", "s.*").join(_joined(runs, rows), ["size", "run"]).select("_row", "at", "size", "item")
+    spots = near.select("_row", each).select("_row", "s.*").join(_joined(kinds, rows, heavy), ["size", "run"]).select("_row", "at", "size", "window")
     spots = ws.table(spots, "spots")
     reach = spots.groupBy("_row", "at").agg(F.max("size").alias("size"))
     spans = F.array_sort(F.collect_list(F.struct("at", (F.col("at") + F.col("size")).alias("end"))))
@@ -145,5 +148,5 @@ def _hits(ws: Workspace, plain: DataFrame, items: DataFrame, window: int, gram:
         lambda s: s["hit"],
     )
     covered = reach.groupBy("_row").agg(union.alias("n_hit"))
-    named = spots.select("_row", "item").distinct().groupBy("_row").agg(F.count("*").alias("n_items"), F.array_join(F.array_sort(F.collect_list("item")), ",").alias("ids"))
+    named = spots.select("_row", "window").distinct().join(owners, "window").select("_row", "item").distinct().groupBy("_row").agg(F.count("*").alias("n_items"), F.array_join(F.array_sort(F.collect_list("item")), ",").alias("ids"))
     return covered.join(named, "_row")

@@ -23,6 +23,8 @@ from .shared import Workspace, lean
 ORDER = 4
 #: Characters and texts of each language that ``fit`` gathers if not told otherwise, two thirds for the counts and the rest to calibrate.
 SAMPLE_CHARS, SAMPLE_ROWS = 1_500_000, 2_400
+#: Languages that are learned at most.
+LANGUAGES = 8192
 #: Languages that share one set of arrays, which grow with its n-grams times its languages.
 BLOCK = 16
 UNDETERMINED = "und"
@@ -243,13 +245,15 @@ def calibrate(model: Model, held: dict[str, list[str]], margin: float = 6.0, lea
     return model
 
 
-def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model:
+def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, most_languages: int = LANGUAGES) -> Model:
     """A model of ``labelled`` (lang, text): the bounded sample of each language is chosen by the text's hash.
 
     The sample of a language has about ``rows`` different texts and ``chars``
     characters at most, and one text at least; with more than 64 languages each has
     an equal share of 64 such samples, or about twelve texts. Every language that has a
-    usable row is learned. Exact copies count once, also for the sample's share. Rows
+    usable row is learned, up to ``most_languages``: of more, those with the most different
+    texts, the first by name among equals; texts of the others are rejected or taken for
+    the nearest. A text longer than its language's share teaches by its first characters. Exact copies count once, also for the sample's share. Rows
     of null language, and texts without a letter, teach nothing. Without any usable
     row the model has no language. No text is shuffled but those of the sample.
     """
@@ -259,6 +263,9 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS)
     known = ws.table(usable.select("lang", "h", F.length("text").alias("size")), "known")
     kinds = ws.table(known.groupBy("lang").agg(F.approx_count_distinct("h").alias("kinds")), "kinds")
     languages = kinds.count()
+    if languages > most_languages:
+        kinds = ws.table(kinds.orderBy(F.desc("kinds"), "lang").limit(most_languages), "most")
+        languages = most_languages
     if not languages:
         return Model([], [], [], [], [], np.zeros(0, np.float32))
     want, most = min(rows, max(12, 64 * rows // languages)), min(chars, 64 * chars // languages)
@@ -270,7 +277,7 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS)
     part = F.least(F.lit(1.0), F.lit(float(want)) / F.col("n"), F.lit(float(most)) / F.col("sum"))
     picks = some.join(F.broadcast(sums), "lang").where((F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < part * (1 << 20)) | (F.col("h") == F.col("first")))
     picks = ws.table(picks.select("lang", "h", ((F.pmod(F.xxhash64("h", F.lit(1)), F.lit(3)) == 0) & (F.col("h") != F.col("first"))).alias("held")), "picks")
-    texts = usable.join(F.broadcast(picks), ["lang", "h"]).groupBy("lang", "h", "held").agg(F.min("text").alias("text"))
+    texts = usable.withColumn("text", F.substring("text", 1, most)).join(F.broadcast(picks), ["lang", "h"]).groupBy("lang", "h", "held").agg(F.min("text").alias("text"))
     samples: dict[str, list[str]] = {}
     held: dict[str, list[str]] = {}
     for lang, text, apart in sorted(tuple(r) for r in texts.select("lang", "text", "held").collect()):

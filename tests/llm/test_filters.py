@@ -426,3 +426,26 @@ def test_long_toxic_text_with_many_phrases():
     began = time.time()
     found = lexicon.matches("trash can idiot village idiot trash " * 60_000)
     assert found == [(2.0, "idiot"), (1.0, "trash")] * 60_000 and time.time() - began < 20
+
+
+def test_languages_beyond_the_bound(spark):
+    """A column of more values than are learned: the most frequent ones are, and a text longer than its share teaches by its begin."""
+    rows = [("aa", f"{'kala mira tuno ' * 6}{i}a") for i in range(40)] + [("bb", f"{'xel quor zib ' * 6}{i}b") for i in range(40)] + [(f"odd{i}", "wum " * (5 + i)) for i in range(30)]
+    model = langid.fit(spark.createDataFrame([*rows, ("bb", "xel quor zib " * 50_000)], "lang string, text string"), chars=5000, most_languages=2)
+    assert model.languages == ["aa", "bb"]
+    docs = spark.createDataFrame([(1, "kala mira tuno kala"), (2, "zib quor xel")], "doc_id long, text string")
+    assert [r["lang_pred"] for r in langid.identify(docs, model).orderBy("doc_id").collect()] == ["aa", "bb"]
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_a_window_of_many_items(spark, monkeypatch, most):
+    """A passage that many items begin with, found many times in one document: a hit at each place, whatever the items; broadcast or shuffled."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", most)
+    head = " ".join(f"common{i}" for i in range(10))
+    items = spark.createDataFrame([(i, f"{head} own{i} tail{i}") for i in range(300)] + [(900, "short one")], "item_id long, text string")
+    docs = documents(spark, [f"{head}. " * 40, "nothing", f"x {head} own7 tail7 y short one"])
+    out = {r["doc_id"]: r for r in decontaminate.contamination(docs, items).collect()}
+    every = hashlib.sha256(",".join(sorted(map(str, range(300)))).encode()).hexdigest()
+    assert (out[0]["n_hit"], out[0]["n_items"], out[0]["items_sha256"]) == (400, 300, every)
+    assert (out[1]["n_hit"], out[1]["contaminated"]) == (0, False)
+    assert (out[2]["n_hit"], out[2]["n_items"]) == (14, 301)
