@@ -197,7 +197,7 @@ def tree(ws: Workspace, sources: DataFrame, shard_blocks: int, seed: int) -> Dat
         nodes = nodes.select(F.explode(_halves(blocks, shards, seed)).alias("node")).select("node.*")
         if level % LEVELS == LEVELS - 1:
             # The next levels of each subtree are work of their own.
-            nodes = ws.table(nodes.repartition("lo"), f"level{level + 1}")
+            nodes = ws.table(nodes.repartition(int(ws.spark.conf.get("spark.sql.shuffle.partitions")), "lo"), f"level{level + 1}")
     return nodes.select(F.col("lo").alias("shard"), F.explode("parts").alias("p")).select("shard", "p.rank", "p.blocks")
 
 
