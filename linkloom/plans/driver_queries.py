@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from linkloom.functions import text as X
 from linkloom.operators.keys import first_wins, joined_set, last_wins, repeats
 from linkloom.operators.tiles import best_pairs
-from linkloom.plans import bridge, contract, disease, lexical, reports, semantic
+from linkloom.plans import bridge, contract, disease, embedding, lexical, reports, semantic
 from linkloom.session import scratch
 from linkloom.settings import DEFAULT, BridgeRoute
 from linkloom.sources import readers, writers
@@ -560,8 +560,23 @@ def src_snk_partitioned(t):
     return t.spark.read.schema("o_orderkey long, o_custkey long, o_orderstatus string").parquet(path)
 
 
-@query()
+_TEXTS_SQL = "SELECT DISTINCT trim(regexp_replace({text}, '\\s+', ' ', 'g')) AS label FROM {table}"
+
+
+@query(f"WITH t AS ({_TEXTS_SQL.format(text='text', table='documents')}) SELECT 'PT:' || substr(sha256(label), 1, 24) AS text_id, 64 AS dimensions, 1.0::DOUBLE AS norm FROM t WHERE label <> '' AND lower(label) NOT IN {DEFAULT.placeholders}")
 def pl_embedding_udf(t):
-    """Distinct document texts embedded by the stand-in embedder: text_id and vector length."""
+    """Distinct document texts embedded by the embedder that nothing is fitted for: text_id and vector length."""
     texts = semantic.text_catalog(human=semantic.usable_annotations(t.documents, "text"))
     return semantic.embed_texts(texts).select("text_id", F.size("embedding").alias("dimensions"), F.round(X.dot("embedding", "embedding"), 4).alias("norm"))
+
+
+@query("SELECT p_partkey, 32 AS dimensions, true AS unit, true AS nearest_is_equal FROM part")
+def pl_embedding_fitted(t):
+    """A model fitted to the part labels: unit vectors, and the best match of each label among those of its type is an equal one."""
+    labels = t.part.select("p_partkey", F.col("p_type").alias("gene"), dense().alias("label"))
+    texts = labels.select("gene", "label", X.content_id("PT:", "label").alias("id")).distinct()
+    vectors = texts.withColumn("embedding", embedding.fit(texts, 32).udf()("label"))
+    best = best_pairs(vectors, vectors, 1, 2.0).select("gene", F.col("left_id").alias("id"), F.col("right_id").alias("near"), "score")
+    found = labels.withColumn("id", X.content_id("PT:", "label")).join(vectors.select("gene", "id", "embedding"), ["gene", "id"]).join(best, ["gene", "id"])
+    unit = F.abs(X.dot("embedding", "embedding") - 1) < 1e-5
+    return found.select("p_partkey", F.size("embedding").alias("dimensions"), unit.alias("unit"), ((F.col("near") == F.col("id")) | (F.col("score") > 1 - 1e-6)).alias("nearest_is_equal"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from linkloom.functions import text as X
 from linkloom.operators.keys import top_k_or_threshold
 from linkloom.operators.tiles import ROWS, best_pairs
+from linkloom.plans import embedding
 from linkloom.settings import DEFAULT, ORTHOLOG_SOURCE, PHRASE_AUDITS, Settings
 
 
@@ -38,23 +40,27 @@ def text_catalog(**annotations: DataFrame) -> DataFrame:
     return every.groupBy("text_id", "label").agg(F.array_join(F.array_sort(F.collect_set("use")), "|").alias("usage"))
 
 
+#: CRC-32 of a byte after another state (a fixed value: the polynomial).
+CRC = np.array([functools.reduce(lambda c, _: c >> 1 ^ (0xEDB88320 if c & 1 else 0), range(8), i) for i in range(256)], np.int64)
+
+
 def hashed_embedding(dimensions: int = 64):
-    """A deterministic embedder of character trigrams, for use where no model is at hand."""
+    """A deterministic embedder of character trigrams that nothing is fitted for: each adds 1 or -1 to a number chosen by its CRC-32."""
 
     @F.pandas_udf("array<float>")
     def embed(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import zlib
-
         for texts in parts:
             out = []
-            for t in texts.fillna(""):
-                v = np.zeros(dimensions)
-                raw = f"  {t.lower()} ".encode()
-                for i in range(len(raw) - 2):
-                    h = zlib.crc32(raw[i : i + 3])
-                    v[h % dimensions] += 1 if h >> 16 & 1 else -1
-                n = np.linalg.norm(v)
-                out.append((v / n if n else v).astype(np.float32).tolist())
+            for at in range(0, len(texts), embedding.TEXTS):
+                some = texts.iloc[at : at + embedding.TEXTS].fillna("").tolist()
+                row, codes = embedding.trigrams(some)
+                h = np.full(len(codes), 0xFFFFFFFF, np.int64)
+                for shift in (16, 8, 0):
+                    h = CRC[(h ^ codes >> shift) & 255] ^ h >> 8
+                h ^= 0xFFFFFFFF
+                v = np.bincount(row * dimensions + h % dimensions, np.where(h >> 16 & 1, 1.0, -1.0), len(some) * dimensions).reshape(len(some), dimensions)
+                n = np.linalg.norm(v, axis=1, keepdims=True)
+                out += np.divide(v, n, out=v, where=n > 0).astype(np.float32).tolist()
             yield pd.Series(out)
 
     return embed
@@ -174,24 +180,19 @@ def rescored(found: DataFrame, vectors: DataFrame, rows: int = 1000) -> DataFram
     return some.select("match_id", "score", F.abs(F.col("score") - X.dot("_l", "_r")).alias("difference"))
 
 
-def signature(texts: DataFrame, model: str, max_length: int) -> str:
-    """A hash of the distinct texts and the model: vectors under the same one can be used again. One line comes to the driver."""
-    rows = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("text_id", "label").cast("decimal(38,0)")), F.lit(0)).alias("s"))
-    return rows.select(F.sha2(F.concat_ws("|", F.col("n").cast("string"), F.col("s").cast("string"), F.lit(model), F.lit(str(max_length))), 256)).first()[0]
-
-
 def kept_vectors(texts: DataFrame, folder: str, model: str, max_length: int, embedder=None) -> DataFrame:
-    """``embed_texts``, written below ``folder`` under its signature; texts and a model that were embedded before are read.
+    """``texts`` (text_id, label) with their vectors, kept below ``folder`` by text and model: only texts that are not there are embedded."""
+    return embedding.VectorStore(texts.sparkSession, folder, model, max_length).vectors(texts, embedder or hashed_embedding())
 
-    A folder without its end mark is of a run that was lost, and is written again.
-    """
-    from linkloom.sources import readers, writers
 
-    spark = texts.sparkSession
-    path = f"{folder}/{signature(texts, model, max_length)}"
-    if readers.missing_inputs(spark, [f"{path}/_SUCCESS"]):
-        writers.write_table(embed_texts(texts, embedder), path)
-    return spark.read.parquet(path)
+def fitted_embedder(texts: DataFrame, folder: str) -> embedding.Embedder:
+    """The model below ``folder``; where there is none, one is fitted to ``texts`` and kept, so that later runs add to its vectors."""
+    from linkloom.sources import readers
+
+    path = f"{folder}/embedder.npz"
+    if readers.missing_inputs(texts.sparkSession, [path]):
+        embedding.fit(texts).save(texts.sparkSession, path)
+    return embedding.Embedder.load(path)
 
 
 def phrase_audits(spark, embedder=None, settings: Settings = DEFAULT) -> DataFrame:

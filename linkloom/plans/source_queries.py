@@ -702,19 +702,24 @@ def snk_quoted_tsv(t):
     return readers.quoted_tsv(t.spark, path)
 
 
-@query("SELECT DISTINCT p_type AS label, 64 AS dimensions, true AS unit FROM part")
+@query("SELECT batch, count(*) AS texts FROM (SELECT CASE WHEN min(p_size) <= 25 THEN 1 ELSE 2 END AS batch FROM part GROUP BY p_type, p_brand) GROUP BY batch")
 def pl_kept_vectors(t):
-    """Vectors of distinct texts, made once under the signature of texts and model and read the second time."""
-    texts = semantic.text_catalog(human=semantic.usable_annotations(t.part, "p_type")).select("text_id", "label")
-    path = scratch(t.spark, "vectors")
-    semantic.kept_vectors(texts, path, "hashed-trigrams", 128)
-    out = semantic.kept_vectors(texts, path, "hashed-trigrams", 128)
-    return out.select("label", F.size("embedding").alias("dimensions"), (F.abs(X.dot("embedding", "embedding") - 1) < 1e-5).alias("unit"))
-
-
-@query(sql_lexical("first_lines", "gene", "doc_id", "label", "true", "true", "[]::VARCHAR[]", {"htm": "html"}).replace("WITH l AS", "WITH first_lines AS (SELECT lang || source AS gene, split_part(text, '.', 1) AS label, min(doc_id) AS doc_id FROM documents GROUP BY 1, 2), l AS") + " SELECT gene, support, token_jaccard, count(*) AS n, min(left_id) AS first_left, max(right_id) AS last_right FROM m WHERE left_id < right_id GROUP BY ALL")
+    """Vectors of the labels of the smaller parts, then of all: each batch that the store has is of the texts that were new."""
+    labels = lambda df: semantic.text_catalog(human=semantic.usable_annotations(df.withColumn("label", F.concat_ws(" ", "p_type", "p_brand")), "label")).select("text_id", "label")
+    store = semantic.embedding.VectorStore(t.spark, scratch(t.spark, "vectors"), "hashed-trigrams", 128)
+    sizes = []
+    for some in (t.part.where("p_size <= 25"), t.part):
+        seen = set(store.batches())
+        assert store.vectors(labels(some), semantic.hashed_embedding()).count() > 0
+        sizes += [t.spark.read.parquet(p) for p in store.batches() if p not in seen]
+    parts = [df.agg(F.count("*").alias("texts")).select(F.lit(i + 1).alias("batch"), "texts") for i, df in enumerate(sizes)]
+    return parts[0].unionByName(parts[1])
+
+
+@query(sql_lexical("first_lines", "gene", "doc_id", "label", "true", "true", "[]::VARCHAR[]", {"htm": "html"}).replace("WITH l AS", "WITH sentences AS (SELECT lang || source AS s, doc_id, unnest(string_split(text, '.')) AS label FROM documents), first_lines AS (SELECT s || '/' || len(string_split(label, ' ')) AS gene, label, min(doc_id) AS doc_id FROM sentences GROUP BY 1, 2), l AS") + " SELECT gene, support, token_jaccard, count(*) AS n, min(left_id) AS first_left, max(right_id) AS last_right FROM m WHERE left_id < right_id GROUP BY ALL")
 def jn_token_index_docs(t):
-    """Different first sentences of the documents of one language and source, as labels, each against all later ones."""
-    d = t.documents.groupBy(F.concat("lang", "source").alias("gene"), F.split_part("text", F.lit("."), F.lit(1)).alias("label")).agg(F.min("doc_id").alias("id"))
+    """All different sentences of the documents, as labels: those of one language, source and number of words, each against those of later documents."""
+    s = t.documents.select("doc_id", F.concat("lang", "source").alias("s"), F.explode(F.split("text", "[.]")).alias("label"))
+    d = s.groupBy(F.concat("s", F.lit("/"), F.size(F.split("label", " ")).cast("string")).alias("gene"), "label").agg(F.min("doc_id").alias("id"))
     m = lexical.label_matches(d, d, DEFAULT.with_values(uninformative=()), {"htm": "html"}).where("left_id < right_id")
     return m.groupBy("gene", "support", "token_jaccard").agg(F.count("*").alias("n"), F.min("left_id").alias("first_left"), F.max("right_id").alias("last_right"))

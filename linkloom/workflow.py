@@ -160,11 +160,11 @@ def annotated(rows: DataFrame, prefix: str) -> DataFrame:
     return out.withColumn("source_row", F.col("source_row").cast("int"))
 
 
-def map_semantic(run: Run, embedder=None, model: str = "hashed-trigrams", max_length: int = 128) -> None:
+def map_semantic(run: Run, embedder=None, model: str = "", max_length: int = 128) -> None:
     """Annotations, texts and their vectors, and the matches of texts within a gene.
 
-    Vectors are kept by the signature of texts and model, and read where they are there. A text of more than
-    ``max_length`` words counts as truncated.
+    Without an ``embedder`` a model is fitted to the texts, the first time. Vectors are kept by text and model, so that
+    only new texts are embedded. A text of more than ``max_length`` subword pieces counts as truncated.
     """
     t, s = run.tables, run.settings
     pairs = semantic.collapse_orthologs(t["orthologs_enriched"].drop("_ord"))
@@ -176,9 +176,12 @@ def map_semantic(run: Run, embedder=None, model: str = "hashed-trigrams", max_le
     run.keep("human_annotation", human.select(*catalog.columns("human_annotation")))
     run.keep("mouse_annotation", mouse.select(*catalog.columns("mouse_annotation")))
     texts = run.keep("texts", semantic.text_catalog(human=human, mouse=mouse))
+    if embedder is None:
+        fitted = semantic.fitted_embedder(texts, f"{run.out}/vectors")
+        embedder, model = fitted.udf(), fitted.name
     vectors = semantic.kept_vectors(texts, f"{run.out}/vectors", model, max_length, embedder)
     run.tables["vectors"] = vectors
-    long = F.size(F.split("label", " ")) > max_length
+    long = semantic.embedding.piece_count(F.col("label")) > max_length
     run.keep("phenotype_text", texts.select("text_id", "label", long.cast("int").alias("embedding_truncated")))
     side = lambda df: df.select("gene", "text_id").distinct().join(vectors, "text_id").select("gene", F.col("text_id").alias("id"), "embedding")
     left = side(human.withColumnRenamed("human_gene", "gene"))

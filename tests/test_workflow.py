@@ -83,7 +83,8 @@ def test_controls(spark, run):
     assert spark.table("tier2_ortholog_phenotype").count() == 1 and t["exchange_faults"].isEmpty()
     # Vectors of the same texts and model are read the next time, others are made.
     calls = []
-    again = semantic.kept_vectors(t["texts"], f"{run.out}/vectors", "hashed-trigrams", 128, lambda c: calls.append(c))
+    model = semantic.fitted_embedder(t["texts"], f"{run.out}/vectors")
+    again = semantic.kept_vectors(t["texts"], f"{run.out}/vectors", model.name, 128, lambda c: calls.append(c))
     assert again.count() == t["texts"].count() and not calls
 
 
@@ -158,8 +159,6 @@ def test_vectors_and_audits(spark, tmp_path):
     assert [r["embedding"] for r in readers.npy_vectors(spark, str(tmp_path / "v.npy")).orderBy("row").collect()][1] == [0.0, 1.0, 0.0]
     got = {r["audit_id"]: r["review_status"] for r in semantic.phrase_audits(spark).collect()}
     assert got["negation"] == "negation_review" and got["opposite_glucose"] == "direction_conflict" and len(got) == 6
-    t = spark.createDataFrame([("a", "x")], "text_id string, label string")
-    assert semantic.signature(t, "m", 1) == semantic.signature(t, "m", 1) != semantic.signature(t, "m", 2)
     old, new = (spark.createDataFrame(r, "id string, sha256 string") for r in ([("a", "1"), ("b", "1")], [("a", "1"), ("b", "2"), ("c", "3")]))
     assert {r["id"]: r["change"] for r in readers.manifest_changes(new, old).collect()} == {"a": "same", "b": "changed", "c": "new"}
     row = spark.createDataFrame([("<a&b>", 1234567)], "t string, n long").select(X.escaped("t"), X.grouped_number("n")).first()
