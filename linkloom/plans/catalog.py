@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.plans import bridge, contract, disease, lexical, reports, semantic
+from linkloom.plans import audits, bridge, contract, disease, lexical, semantic
 
 # Columns of the published tables.
 HUMAN_ANNOTATION = ["evidence_id", "human_gene", "human_ncbi_gene_id", "rs_id", "variant_source", "source_record_id", "text_id", "phenotype_id", "evidence_class", "publication_id", "curated_input", "source_row", "chromosome", "position", "reference_allele", "alternate_allele", "evidence_detail", "p_value", "clinical_significance", "condition_identifiers", "reported_genes", "mapped_genes"]
@@ -69,13 +69,12 @@ def register(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
 
 
 def constraint_audits(spark: SparkSession) -> DataFrame:
-    """Violations of every key and reference of the registered tables: each count must be 0."""
-    out = None
+    """Violations of every key and reference of the registered tables, all in one shuffle: each count must be 0."""
+    tags: dict[str, list] = {}
     for table, keys in KEYS.items():
-        for key in keys:
-            part = reports.audit(f"unique {table} {','.join(key)}", spark.table(table).groupBy(*key).count().where("count > 1"))
-            out = part if out is None else out.unionByName(part)
+        tags.setdefault(table, []).extend(audits.once(f"unique {table} {','.join(k)}", *k) for k in keys)
     for table, column, other, target in REFERENCES:
-        rows = spark.table(table).where(F.col(column).isNotNull()).select(F.col(column).alias("k"))
-        out = out.unionByName(reports.audit(f"reference {table} {column}", rows.join(spark.table(other).select(F.col(target).alias("k")), "k", "left_anti")))
-    return out
+        rule = f"reference {table} {column}"
+        tags.setdefault(table, []).append(audits.refers(rule, column, nullable=True))
+        tags.setdefault(other, []).append(audits.known(rule, target))
+    return audits.violations(spark, *((spark.table(table), some) for table, some in tags.items()))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
 from linkloom.operators.keys import first_wins
+from linkloom.plans import audits
 
 
 def matches_control(df: DataFrame) -> Column:
@@ -188,34 +189,31 @@ def category_catalog(spark: SparkSession, **links: DataFrame) -> DataFrame:
     return out.crossJoin(F.broadcast(most)).select("category_id", "rows", F.when(F.col("most") == 0, 0.0).otherwise(F.log10(F.col("rows") + 1) / F.col("most")).alias("bar"))
 
 
-def audit(name: str, bad: DataFrame) -> DataFrame:
-    """(audit, violations): 0 where the rule holds."""
-    return bad.agg(F.count("*").alias("violations")).select(F.lit(name).alias("audit"), "violations")
-
-
 def semantic_audits(found: DataFrame, human: DataFrame, mouse: DataFrame, texts: DataFrame, orthologs: DataFrame, settings) -> DataFrame:
-    """Invariants of the semantic result: each count must be 0."""
+    """Invariants of the semantic result, all in one shuffle: each count must be 0."""
     s, band = F.col("score"), F.col("cosine_class")
     limits = {"A": s < settings.band_a, "B": (s < settings.band_b) | (s >= settings.band_a), "C": (s < settings.band_c) | (s >= settings.band_b), "D": s >= settings.band_c}
-    t = texts.select("text_id")
-    keys = found.select("gene", "left_id", "right_id")
-    audits = [audit(f"band_{b}", found.where((band == b) & bad)) for b, bad in limits.items()]
-    audits += [
-        audit("rank_beyond_k", found.where((F.col("retrieval_rank") > settings.top_k) & (s < settings.band_b))),
-        audit("flag_differs", found.where((F.col("direction_conflict") == 1) != (F.col("review_status") == "direction_conflict"))),
-        audit("eligibility_differs", found.where((F.col("eligible_for_default_use") == 1) != band.isin(*settings.default_bands))),
-        audit("unknown_gene", keys.join(orthologs.select(F.col("human_gene").alias("gene")), "gene", "left_anti")),
-        audit("unknown_left_text", keys.join(t.toDF("left_id"), "left_id", "left_anti")),
-        audit("unknown_right_text", keys.join(t.toDF("right_id"), "right_id", "left_anti")),
-        audit("no_human_annotation", keys.join(human.select("gene", F.col("text_id").alias("left_id")), ["gene", "left_id"], "left_anti")),
-        audit("no_mouse_annotation", keys.join(mouse.select("gene", F.col("text_id").alias("right_id")), ["gene", "right_id"], "left_anti")),
-        audit("repeated_match", found.groupBy("match_id").count().where("count > 1")),
-        audit("hand_curated_rows", human.where(F.lit(False) if "evidence_class" not in human.columns else F.col("evidence_class") == "literature_curated")),
+    rows = [audits.never(f"band_{b}", (band == b) & bad) for b, bad in limits.items()]
+    rows += [
+        audits.never("rank_beyond_k", (F.col("retrieval_rank") > settings.top_k) & (s < settings.band_b)),
+        audits.never("flag_differs", (F.col("direction_conflict") == 1) != (F.col("review_status") == "direction_conflict")),
+        audits.never("eligibility_differs", (F.col("eligible_for_default_use") == 1) != band.isin(*settings.default_bands)),
+        audits.refers("unknown_gene", "gene"),
+        audits.refers("unknown_left_text", "left_id"),
+        audits.refers("unknown_right_text", "right_id"),
+        audits.refers("no_human_annotation", "gene", "left_id"),
+        audits.refers("no_mouse_annotation", "gene", "right_id"),
+        audits.once("repeated_match", "match_id"),
     ]
-    out = audits[0]
-    for a in audits[1:]:
-        out = out.unionByName(a)
-    return out
+    curated = F.col("evidence_class") == "literature_curated" if "evidence_class" in human.columns else F.lit(False)
+    return audits.violations(
+        found.sparkSession,
+        (found, rows),
+        (orthologs, [audits.known("unknown_gene", "human_gene")]),
+        (texts, [audits.known("unknown_left_text", "text_id"), audits.known("unknown_right_text", "text_id")]),
+        (human, [audits.known("no_human_annotation", "gene", "text_id"), audits.never("hand_curated_rows", curated)]),
+        (mouse, [audits.known("no_mouse_annotation", "gene", "text_id")]),
+    )
 
 
 def symmetric_difference(left: DataFrame, right: DataFrame) -> DataFrame:
