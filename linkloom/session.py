@@ -14,13 +14,14 @@ LOCAL_FALLBACK = "file:///tmp/linkloom-shared"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one is set where it is unset."""
+    """The folder in spark.checkpoint.dir, or the context's checkpoint folder. Without either, a local one on one machine; a cluster must name one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = held.get() if held.isDefined() else None
     if not root:
-        spark.sparkContext.setCheckpointDir(LOCAL_FALLBACK)
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = LOCAL_FALLBACK
     return root.rstrip("/")
 

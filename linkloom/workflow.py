@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
 import os
 import uuid
@@ -65,6 +66,10 @@ class Run:
     parsed: dict[str, DataFrame] = field(default_factory=dict)
     scanned: dict[str, int] = field(default_factory=dict)
     statistics: dict[str, dict] = field(default_factory=dict)
+    manifest: dict = field(default_factory=dict)
+    place: str = ""
+    ran: list[str] = field(default_factory=list)
+    written: dict[str, str] = field(default_factory=dict)
 
     def source(self, name: str) -> DataFrame:
         """A source's rows. It is parsed once, written as Parquet, and its rows are counted on the way, in the tasks that write them."""
@@ -72,7 +77,7 @@ class Run:
             seen, inside = Observation(f"{name} {uuid.uuid4().hex}"), name in WATCHED
             watch = lambda df: df.observe(seen, F.count(F.lit(1)).alias("rows"))
             df = PARSERS[name](self.spark, self.paths[name], watch) if inside else watch(PARSERS[name](self.spark, self.paths[name]))
-            path = f"{self.out}/sources/{name}"
+            path = self.folder(f"sources/{name}")
             writers.write_table(df, path)
             self.scanned[name] = seen.get["rows"]
             self.parsed[name] = self.spark.read.schema(df.schema).parquet(path)
@@ -84,12 +89,20 @@ class Run:
         text = json.dumps({"counts": self.statistics[step], "settings": json.loads(self.settings.to_json())}, indent=2, sort_keys=True)
         writers.write_bytes(self.spark, f"{self.out}/statistics/{step}.json", text.encode())
 
+    def folder(self, name: str) -> str:
+        """Where a step's table goes: below a folder named after the step's key, so that no step writes over another run's tables."""
+        return f"{self.out}/store/{self.place}/{name}" if self.place else f"{self.out}/{name}"
+
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         """Writes a table as Parquet and goes on from the written one."""
-        path = f"{self.out}/tables/{name}"
+        path = self.folder(f"tables/{name}")
         writers.write_table(df, path)
-        self.tables[name] = self.spark.read.schema(df.schema).parquet(path)
-        return self.tables[name]
+        return self.known(name, self.spark.read.schema(df.schema).parquet(path), path)
+
+    def known(self, name: str, df: DataFrame, path: str) -> DataFrame:
+        self.tables[name] = df
+        self.written[name] = path
+        return df
 
 
 def prepare_bridge(run: Run) -> None:
@@ -104,8 +117,10 @@ def prepare_bridge(run: Run) -> None:
     noted = run.keep("disease_annotations", bridge.disease_annotations(run.source("annotations"), merged, run.settings))
     variants, genotypes = run.source("variants"), run.source("genotypes")
     human = run.keep("human_bridge", bridge.variant_phenotypes(variants, None, pairs, merged, run.settings, noted, ordered=True))
-    parts = bridge.allele_sinks(bridge.allele_rows(genotypes, pairs, run.settings), merged, f"{run.out}/tables/mouse_alleles", PRIMARY_GENES[1], PRIMARY_ALLELE, PRIMARY_BACKGROUND)
-    run.tables["mouse_bridge"], control_mice = parts["main"], parts["control"]
+    sinks = run.folder("tables/mouse_alleles")
+    parts = bridge.allele_sinks(bridge.allele_rows(genotypes, pairs, run.settings), merged, sinks, PRIMARY_GENES[1], PRIMARY_ALLELE, PRIMARY_BACKGROUND)
+    run.known("mouse_bridge", parts["main"], f"{sinks}/_sink=main")
+    control_mice = parts["control"]
     controls = run.keep("control_human_variants", bridge.control_variants(variants, pairs, PRIMARY_GENES[0], PRIMARY_RS))
     writers.write_tsv(controls, f"{run.out}/control_human_variants")
     writers.write_tsv(control_mice, f"{run.out}/control_mouse_variants")
@@ -353,6 +368,55 @@ STEPS: list[tuple[str, Callable[[Run], None]]] = [
 SEMANTIC = ("map_semantic", "verify_semantic", "report_cases")
 
 
+#: What a step reads: sources, and steps before it. A step that is not here runs every time: it checks, records or exports.
+NEEDS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "prepare_bridge": (("unscored_mappings", "mappings", "orthologs", "annotations", "variants", "genotypes"), ()),
+    "map_bridge": ((), ("prepare_bridge",)),
+    "prepare_evidence": (("nomenclature", "variants", "genotypes", "alleles", "vocabulary", "associations"), ("prepare_bridge",)),
+    "map_lexical": ((), ("prepare_evidence",)),
+    "map_disease": (("disease_models", "alleles"), ("prepare_evidence",)),
+    "store_pairs": ((), ("map_bridge", "map_lexical", "map_disease")),
+}
+
+
+def code_digest() -> str:
+    """A digest of the library's own files, without the training-data operators."""
+    root, found = os.path.dirname(os.path.abspath(__file__)), hashlib.sha256()
+    for folder, names, files in sorted(os.walk(root)):
+        names[:] = sorted(n for n in names if n not in ("llm", "__pycache__"))
+        for name in sorted(f for f in files if f.endswith(".py")):
+            with open(f"{folder}/{name}", "rb") as f:
+                found.update(f"{os.path.relpath(folder, root)}/{name}".encode() + f.read())
+    return found.hexdigest()
+
+
+def step_key(run: Run, name: str, digests: dict[str, str], keys: dict[str, str], code: str) -> str:
+    """A digest of what a step's tables depend on: its sources' digests, the keys of the steps before it, the settings and the code."""
+    sources, before = NEEDS[name]
+    given = [name, code, run.settings.to_json(), *(f"{s}={digests[s]}" for s in sources), *(f"{s}={keys[s]}" for s in before)]
+    return hashlib.sha256("\n".join(given).encode()).hexdigest()[:24]
+
+
+def source_digests(run: Run) -> dict[str, str]:
+    """A digest of all files of each source, from the manifest of sources."""
+    rows = run.tables["source_manifest"].groupBy("name").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "path", "sha256"))), "|"), 256).alias("digest"))
+    return {r["name"]: r["digest"] for r in rows.collect()}
+
+
+def resume(run: Run, name: str, key: str) -> bool:
+    """Takes over a step's tables and counts from the last finished run, if it made them under the same key and they are all there."""
+    made = run.manifest.get("steps", {}).get(name, {})
+    if made.get("key") != key or readers.missing_inputs(run.spark, [*made["tables"].values(), *made["sources"].values()]):
+        return False
+    for table, path in made["tables"].items():
+        run.known(table, run.spark.read.parquet(path), path)
+    for source, path in made["sources"].items():
+        run.parsed[source] = run.spark.read.parquet(path)
+        run.scanned[source] = made["scanned"][source]
+    run.statistics |= made["statistics"]
+    return True
+
+
 def steps(skip_semantic: bool = False) -> list[tuple[str, Callable[[Run], None]]]:
     return [s for s in STEPS if not (skip_semantic and s[0] in SEMANTIC)]
 
@@ -364,8 +428,36 @@ def execute(spark: SparkSession, paths: dict[str, str], out: str, settings: Sett
     if absent := readers.missing_inputs(spark, [paths[s] for s in (*SOURCES, *OPTIONAL) if s in paths]):
         raise FileNotFoundError(f"sources not found: {absent}")
     run = Run(spark, paths, out, settings)
-    for _, step in steps(skip_semantic):
-        step(run)
+    record = f"{out}/run_manifest.json"
+    run.manifest = readers.read_json(record, {}, spark)
+    keys: dict[str, str] = {}
+    made: dict[str, dict] = {}
+    for name, step in steps(skip_semantic):
+        if name not in NEEDS:
+            run.place = ""
+            step(run)
+            run.ran.append(name)
+            if name == "record_sources":
+                digests, code = source_digests(run), code_digest()
+            continue
+        keys[name] = step_key(run, name, digests, keys, code)
+        run.place = f"{name}-{keys[name]}"
+        before = (set(run.written), set(run.parsed), set(run.statistics))
+        if not resume(run, name, keys[name]):
+            step(run)
+            run.ran.append(name)
+            stored = {s: f"{out}/store/{run.place}/sources/{s}" for s in set(run.parsed) - before[1]}
+        else:
+            stored = run.manifest["steps"][name]["sources"]
+        made[name] = {
+            "key": keys[name],
+            "tables": {t: p for t, p in run.written.items() if t not in before[0] or f"/store/{run.place}/" in p},
+            "sources": stored,
+            "scanned": {s: run.scanned[s] for s in stored},
+            "statistics": {s: run.statistics[s] for s in set(run.statistics) - before[2]},
+        }
+    # One rename publishes the run: until then the last one's manifest and tables stand.
+    writers.write_bytes(spark, record, json.dumps({"steps": made, "ran": run.ran}, indent=2, sort_keys=True).encode())
     return run
 
 

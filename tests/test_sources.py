@@ -3,6 +3,7 @@
 import gzip
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from linkloom.sources import readers, writers
@@ -87,3 +88,24 @@ def test_reuse():
     assert readers.can_reuse(s, old, {"content_disposition": "f1", "content_length": 5}) and not readers.can_reuse(s, old, {"content_disposition": "f2", "last_modified": "m"})
     assert readers.can_reuse(s, old, {"last_modified": "m"}) and not readers.can_reuse(s, old, {"last_modified": "m", "content_length": 6}) and not readers.can_reuse(s, old, {})
     assert not readers.can_reuse(s, None, None) and not readers.can_reuse(s, {"url": "u"}, None, True)
+
+
+def test_shared_folder(spark, monkeypatch):
+    """A folder that the session names is used; on one machine there is one; a cluster without one is refused, and nothing is set."""
+    from linkloom import session
+
+    class Context:
+        def __init__(self, master):
+            self.master = master
+            self._jsc = type("J", (), {"sc": lambda s: type("S", (), {"getCheckpointDir": lambda s: type("O", (), {"isDefined": lambda s: False})()})()})()
+
+    class Session:
+        def __init__(self, master, folder=None):
+            self.sparkContext = Context(master)
+            self.conf = type("C", (), {"get": lambda s, k, d: folder})()
+
+    assert session.shared_root(Session("spark://host:7077", "s3://x/y/")) == "s3://x/y"
+    assert session.shared_root(Session("local[4]")) == session.LOCAL_FALLBACK
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            session.shared_root(Session(master))

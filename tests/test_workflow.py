@@ -116,6 +116,39 @@ def test_statistics_and_manifests(spark, run, sources):
     assert sorted((r["rs_id"], r["mgi_allele_id"]) for r in pairs) == [("rs4986790", "MGI:9")] and run.tables["pair_evidence"].count() == sum(r["evidence_rows"] for r in pairs)
 
 
+def test_steps_run_when_what_they_read_changes(spark, sources, tmp_path):
+    """The same sources: nothing is made again. One changed source: its dependants are. A run that is lost leaves the last one's manifest."""
+    import shutil
+
+    own = {}
+    for name, path in sources.items():
+        own[name] = str(tmp_path / path.rsplit("/", 1)[1])
+        shutil.copy(path, own[name])
+    out = str(tmp_path / "out")
+    go = lambda: workflow.execute(spark, own, out, DEFAULT, skip_semantic=True)
+    first = go()
+    assert set(workflow.NEEDS) <= set(first.ran)
+    again = go()
+    assert not set(workflow.NEEDS) & set(again.ran)
+    rows = lambda run: {n: sorted(map(str, run.tables[n].collect())) for n in first.tables if n.startswith("links_") or n == "variant_pairs"}
+    assert rows(again) == rows(first) and again.statistics == first.statistics
+    with open(own["vocabulary"], "a") as f:
+        f.write("MP:3\tnew term\td\n")
+    third = go()
+    assert set(workflow.NEEDS) & set(third.ran) == {"prepare_evidence", "map_lexical", "map_disease", "store_pairs"}
+    assert third.statistics["evidence"]["mpVocabulary"] == 3 and third.statistics["preparation"] == first.statistics["preparation"]
+    kept = readers.read_json(f"{out}/run_manifest.json")
+    with open(own["disease_models"], "a") as f:
+        f.write("c\tx\tMGI:9\tb\tMP:1\tp\tMGI:1\tDOID:1\tOMIM:5\tg2\n")
+    lost = [(n, step if n != "store_pairs" else lambda run: 1 / 0) for n, step in workflow.STEPS]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(workflow, "STEPS", lost)
+        with pytest.raises(ZeroDivisionError):
+            go()
+    assert readers.read_json(f"{out}/run_manifest.json") == kept and all(not readers.missing_inputs(spark, list(s["tables"].values())) for s in kept["steps"].values())
+    assert set(workflow.NEEDS) & set(go().ran) == {"map_disease", "store_pairs"}
+
+
 def test_configuration():
     """Another layout of a run's settings: sections with thresholds, and declared sources."""
     config = {"schema_version": 1, "data_sources": [{"id": "mgi_orthologs", "name": "o", "url": "u", "path": "data/o.rpt"}, {"id": "other", "name": "x", "url": "u", "path": "/abs"}], "monarch_mapping": {}, "category_definitions": [], "execution": {}}
