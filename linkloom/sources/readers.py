@@ -77,9 +77,14 @@ def toggled_tsv(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     A quote inside a cell begins or ends a quoted stretch like one at its edge. The first record of each file is its header; the
     first file's names hold. Missing cells are ''. Files are cut into ranges, so that one of any size is read by many tasks."""
     rows = quoted_rows(spark, path, sep)
-    first = rows.where("line = 0").orderBy("file").select("cells").head()
-    names = [c.removeprefix(BOM) for c in first["cells"]] if first else []
-    body = rows.where("line > 0").select(F.struct("file", "line").alias("_ord"), "cells")
+    return _headed(rows)
+
+
+def _headed(rows: DataFrame) -> DataFrame:
+    """Records of files that begin with a header; the first file's names hold, without blanks around them."""
+    first = rows.where("first").orderBy("file").select("cells").head()
+    names = [c.removeprefix(BOM).strip() for c in first["cells"]] if first else []
+    body = rows.where("not first").select(F.struct("file", "line").alias("_ord"), "cells")
     return body.select("_ord", *(F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(names)))
 
 
@@ -139,14 +144,12 @@ def annotations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sssom(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """Mappings oriented HP to MP. The preamble ends at the line that names subject_id or object_id; other pairs are dropped."""
-    df = lines(spark, path).where(F.trim("value") != "")
-    df = df.withColumn("value", F.regexp_replace("value", f"^{BOM}", ""))
-    names = [n.strip('"') for n in header_of(df, "^(subject_id|object_id)\t")]
-    head = df.where(F.col("value").rlike("^(subject_id|object_id)\t")).agg(F.min("_ord").alias("h"))
-    body = df.join(F.broadcast(head), df._ord > head.h).select("_ord", "value")
-    raw = _cells(body, names).drop("_n")
-    raw = raw.select("_ord", *(F.regexp_replace(n, '^"|"$', "").alias(n) for n in names))
+    """Mappings oriented HP to MP. The table begins at the line that names subject_id or object_id, and has quoted cells;
+    pairs of other kinds are dropped. A file without such a line raises."""
+    raw = _headed(quoted_rows(spark, path, marker="(subject_id|object_id)\t"))
+    names = raw.columns
+    if "subject_id" not in names or "object_id" not in names:
+        raise ValueError(f"no header of mappings in {path}")
     for name in ("subject_label", "object_label", "confidence", "mapping_justification", "mapping_date"):
         if name not in names:
             raw = raw.withColumn(name, F.lit(""))

@@ -243,9 +243,9 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Ranges with their true edges and whether they have an odd number of quotes."""
     for batch in batches:
         rows = []
-        for path, low, high, size in batch[["path", "low", "high", "size"]].itertuples(index=False):
+        for path, low, high, size, start in batch[["path", "low", "high", "size", "start"]].itertuples(index=False):
             with opened(path) as f:
-                begin, end = _edge(f, low, size) if low else 0, _edge(f, high, size)
+                begin, end = _edge(f, low, size) if low > start else start, _edge(f, high, size)
                 f.seek(begin)
                 left, quotes = end - begin, 0
                 while left > 0 and (data := f.read(min(left, 1 << 20))):
@@ -296,13 +296,13 @@ def records(data: bytes, sep: bytes, quoted: bool) -> Iterator[tuple[int, list[b
         yield len(data), [*cells, last], False
 
 
-def _read_range(f, sep: bytes, begin: int, end: int, size: int, quoted: bool) -> Iterator[tuple[int, list[bytes]]]:
-    """(place, cells) of the records that a range owns. It is held whole, with as much behind it as its last record needs."""
+def _read_range(f, sep: bytes, begin: int, end: int, size: int, quoted: bool, start: int = 0) -> Iterator[tuple[int, list[bytes]]]:
+    """(place, cells) of the records that a range owns; the table begins at ``start``. The range is held whole, with as much behind it as its last record needs."""
     f.seek(begin)
     data = f.read(end - begin)
     reach = end
     while True:
-        found, last_end, done = [], begin if begin == 0 else None, False
+        found, last_end, done = [], begin if begin == start else None, False
         for stop, cells, whole in records(data, sep, quoted):
             if not whole and reach < size:
                 break
@@ -326,27 +326,55 @@ def _read_range(f, sep: bytes, begin: int, end: int, size: int, quoted: bool) ->
 def _parsed(sep: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, begin, end, size, quoted in batch[["path", "begin", "end", "size", "quoted"]].itertuples(index=False):
+            for path, begin, end, size, quoted, start in batch[["path", "begin", "end", "size", "quoted", "start"]].itertuples(index=False):
                 if begin >= size:
                     continue
                 rows: list[tuple[int, list[str]]] = []
                 with opened(path) as f:
-                    for place, cells in _read_range(f, sep.encode(), begin, end, size, bool(quoted)):
+                    for place, cells in _read_range(f, sep.encode(), begin, end, size, bool(quoted), start):
                         if any(cells):
                             rows.append((place, [c.decode("utf-8", "replace") for c in cells]))
                 for at in range(0, len(rows), ROWS):
                     part = rows[at : at + ROWS]
-                    yield pd.DataFrame({"file": path, "line": [p for p, _ in part], "cells": [c for _, c in part]})
+                    yield pd.DataFrame({"file": path, "line": [p for p, _ in part], "first": [p == start for p, _ in part], "cells": [c for _, c in part]})
 
     return run
 
 
-def quoted_rows(spark: SparkSession, path: str, sep: str = "\t", size: int = RANGE) -> DataFrame:
-    """file, line (place of the record) and cells of quoted tables, read by ranges of ``size`` bytes; records of empty cells are left out."""
+def _begun(marker: str):
+    """Files with the place where the first line that ``marker`` matches begins; those without one have no table."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = re.compile(marker.encode())
+        for batch in batches:
+            starts = []
+            for path in batch["path"]:
+                with opened(path) as f:
+                    at, kept, found = 0, b"", None
+                    while found is None and (data := f.read(1 << 16)):
+                        *lines, kept = (kept + data).split(b"\n")
+                        for line in lines:
+                            if wanted.match(line.removeprefix(b"\xef\xbb\xbf")):
+                                found = at
+                                break
+                            at += len(line) + 1
+                    starts.append(at if found is None and wanted.match(kept) else found)
+            yield batch.assign(start=pd.array(starts, "Int64"))
+
+    return run
+
+
+def quoted_rows(spark: SparkSession, path: str, sep: str = "\t", size: int = RANGE, marker: str = "") -> DataFrame:
+    """file, line (place of the record), first (of its file) and cells of quoted tables, read by ranges of ``size`` bytes; records of
+    empty cells are left out. With ``marker``, a table begins at the first line that it matches; quotes before do not count."""
     some = files(spark, path).where("length > 0").select("path", F.col("length").alias("size"))
-    some = some.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(size).cast("long"))).alias("low")).withColumn("high", F.least(F.col("low") + size, F.col("size")))
+    if marker:
+        some = some.mapInPandas(_begun(marker), "path string, size long, start long").where("start is not null")
+    else:
+        some = some.withColumn("start", F.lit(0).cast("long"))
+    some = some.select("path", "size", "start", F.explode(F.sequence(F.col("start"), F.col("size") - 1, F.lit(size).cast("long"))).alias("low")).withColumn("high", F.least(F.col("low") + size, F.col("size")))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = some.repartition(n, "path", "low").mapInPandas(_counted, "path string, size long, low long, high long, begin long, end long, odd int")
+    counted = some.repartition(n, "path", "low").mapInPandas(_counted, "path string, size long, start long, low long, high long, begin long, end long, odd int")
     before = F.coalesce(F.sum("odd").over(Window.partitionBy("path").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     states = counted.withColumn("quoted", before % 2 == 1)
-    return states.repartition(n, "path", "low").mapInPandas(_parsed(sep), "file string, line long, cells array<string>")
+    return states.repartition(n, "path", "low").mapInPandas(_parsed(sep), "file string, line long, first boolean, cells array<string>")

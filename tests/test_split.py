@@ -58,7 +58,7 @@ def test_toggled_table(spark, tmp_path):
     (tmp_path / "b.tsv").write_bytes(b'k\tv\r\n"3\n"\t""""\r\n4\tx')
     rows = readers.toggled_tsv(spark, str(tmp_path)).orderBy("_ord").drop("_ord")
     assert [tuple(r) for r in rows.collect()] == [("1", "ab\tcd"), ("2", ""), ("3\n", '"'), ("4", "x")] and rows.columns == ["k", "v"]
-    body = readers.quoted_rows(spark, str(tmp_path), size=5).where("line > 0").orderBy("file", "line")
+    body = split.quoted_rows(spark, str(tmp_path), size=5).where("not first").orderBy("file", "line")
     assert [r["cells"] for r in body.collect()] == [["1", "ab\tcd"], ["2"], ["3\n", '"'], ["4", "x"]]
     (tmp_path / "empty").mkdir()
     (tmp_path / "empty" / "c.tsv").write_bytes(b"")
@@ -108,3 +108,17 @@ def test_a_cut_off_block():
     with pytest.raises(ValueError, match="cut off"):
         list(split.range_lines(io.BytesIO(file[:-9]), 0, len(file), len(file)))
     assert split.member_size(gzip.compress(b"x")) is None
+
+
+def test_mappings_with_a_preamble_and_quoted_cells(spark, tmp_path):
+    """Quotes before the table do not count; a cell over two lines is one."""
+    text = '#odd " quote\n# curie_map:\nsubject_id\tsubject_label\tpredicate_id\tobject_id\tobject_label\tconfidence\n' + 'HP:1\t"a\nlabel"\tskos:exactMatch\tMP:1\t"m ""q"""\t0.9\nMP:2\tm2\tskos:closeMatch\thttp://x/obo/HP_2\th2\t\nHP:3\tx\tp\tHP:4\ty\t1\n'
+    (tmp_path / "m.tsv").write_text(text)
+    rows = readers.sssom(spark, str(tmp_path / "m.tsv"), "s").orderBy("_ord").collect()
+    assert [(r["hpo_id"], r["hpo_label"], r["mp_id"], r["mp_label"], r["confidence"]) for r in rows] == [("HP:1", "a\nlabel", "MP:1", 'm "q"', "0.9"), ("HP:2", "h2", "MP:2", "m2", "")]
+    for size in (7, 50):
+        again = split.quoted_rows(spark, str(tmp_path / "m.tsv"), size=size, marker="(subject_id|object_id)\t").where("not first").orderBy("line").collect()
+        assert [r["cells"][0] for r in again] == ["HP:1", "MP:2", "HP:3"]
+    (tmp_path / "none.tsv").write_text("# only a preamble\n")
+    with pytest.raises(ValueError, match="header"):
+        readers.sssom(spark, str(tmp_path / "none.tsv"), "s")
