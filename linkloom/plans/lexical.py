@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
 from linkloom.operators.keys import first_wins, last_wins
+from linkloom.session import scratch
 from linkloom.settings import ALIASES, DEFAULT, ORTHOLOG_SOURCE, SAYS_B, SAYS_C, Settings
 
 # Columns of published tables.
@@ -112,7 +113,11 @@ def mouse_evidence(genotypes: DataFrame, orthologs: DataFrame, alleles: DataFram
     return one.unionByName(two)
 
 
-def label_matches(left: DataFrame, right: DataFrame, settings: Settings = DEFAULT, aliases: dict[str, str] = ALIASES) -> DataFrame:
+#: Labels of one side of an index entry that meet in one task.
+ROWS = 4096
+
+
+def label_matches(left: DataFrame, right: DataFrame, settings: Settings = DEFAULT, aliases: dict[str, str] = ALIASES, rows: int = ROWS) -> DataFrame:
     """Graded matches of labels within a gene. Both sides have gene, id, label.
 
     Support B: equal non-empty normal labels. Support C: enough shared informative
@@ -120,16 +125,25 @@ def label_matches(left: DataFrame, right: DataFrame, settings: Settings = DEFAUL
     index of (gene, label) and (gene, token); ids come back by a join. A label of n
     tokens is in the index by its rarest n - m + 1 ones only, m being how many it must
     share at least: two labels that share m tokens have one of those in common, and a
-    token that most labels of a gene have brings no candidates. Returns gene, left_id,
-    right_id, support, method, shared_tokens, token_jaccard.
+    token that most labels of a gene have brings no candidates. An entry of more than
+    ``rows`` labels is dealt to squares of so many a side, and labels of too different
+    sizes part before their sets meet. Returns gene, left_id, right_id, support, method,
+    shared_tokens, token_jaccard.
     """
+    spark = left.sparkSession
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = scratch(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
 
     def labels(df: DataFrame, side: str) -> DataFrame:
         out = df.select("gene", F.col("id").alias(f"{side}_id"), X.normal_label("label", aliases).alias(f"{side}_norm"), X.informative_tokens("label", settings.uninformative, aliases).alias(f"{side}_tokens"))
         return out.where(F.col(f"{side}_norm") != "")
 
     ls, rs = labels(left, "l"), labels(right, "r")
-    lt, rt = ls.select("gene", "l_norm", "l_tokens").distinct(), rs.select("gene", "r_norm", "r_tokens").distinct()
+    # Written once: the index, the equal labels and the result are made of them.
+    lt, rt = written(ls.select("gene", "l_norm", "l_tokens").distinct(), "left"), written(rs.select("gene", "r_norm", "r_tokens").distinct(), "right")
     # How many labels of the gene have a token; both sides rank tokens by the same counts.
     entry = lambda t, s: t.select("gene", F.col(f"{s}_norm").alias("norm"), F.size(f"{s}_tokens").alias("size"), F.explode(f"{s}_tokens").alias("token"))
     least = F.greatest(F.lit(settings.min_shared_tokens), F.ceil(F.col("size") * settings.min_jaccard - 1e-9).cast("int"))
@@ -138,11 +152,17 @@ def label_matches(left: DataFrame, right: DataFrame, settings: Settings = DEFAUL
 
     def inverted(t: DataFrame, s: str) -> DataFrame:
         ranked = entries(t, s).join(frequency, ["gene", "token"]).groupBy("gene", "norm", "size").agg(F.array_sort(F.collect_list(F.struct("labels", "token"))).alias("ranked"))
-        rarest = F.slice("ranked", 1, F.col("size") - least + 1)["token"]
+        rarest = F.slice("ranked", 1, F.col("size") - least + 1)
         tokens = F.array_sort(F.col("ranked")["token"]).alias(f"{s}_set")
-        return ranked.select("gene", F.col("norm").alias(f"{s}_norm"), F.col("size").alias(f"{s}_size"), tokens, F.explode(rarest).alias("token"), rarest.alias(f"{s}_rarest"))
-
-    met = inverted(lt, "l").join(inverted(rt, "r"), ["gene", "token"]).where(F.col("l_norm") != F.col("r_norm"))
+        out = ranked.select("gene", F.col("norm").alias(f"{s}_norm"), F.col("size").alias(f"{s}_size"), tokens, F.explode(rarest).alias("e"), rarest["token"].alias(f"{s}_rarest"))
+        # Both sides count the labels of an entry alike, so that they agree on its squares.
+        squares = F.ceil(F.col("e.labels") / rows).cast("int")
+        own, other = F.pmod(F.xxhash64(f"{s}_norm"), squares).cast("int"), F.explode(F.sequence(F.lit(0), squares - 1))
+        i, j = (own, other) if s == "l" else (other, own)
+        return out.select("*", F.col("e.token").alias("token"), i.alias("i"), j.alias("j")).drop("e")
+
+    met = inverted(lt, "l").join(inverted(rt, "r"), ["gene", "token", "i", "j"]).where(F.col("l_norm") != F.col("r_norm"))
+    met = met.where(F.least("l_size", "r_size") >= F.greatest("l_size", "r_size") * settings.min_jaccard - 1e-9)
     # A pair that meets under several tokens counts at the least of them, so that it needs no distinct.
     met = met.where(F.array_min(F.array_intersect("l_rarest", "r_rarest")) == F.col("token")).withColumn("shared", F.size(F.array_intersect("l_set", "r_set")))
     j = F.col("shared") / (F.col("l_size") + F.col("r_size") - F.col("shared"))

@@ -216,10 +216,30 @@ def semantic_audits(found: DataFrame, human: DataFrame, mouse: DataFrame, texts:
     )
 
 
+#: Buckets that two sides are compared by first.
+BUCKETS = 4096
+
+
+def differing(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The buckets (of a row's hash, at most ``BUCKETS``) in which two sides with equal columns have other rows, by their number and the sums of two hashes."""
+    hashes = [F.xxhash64(*left.columns), F.xxhash64(F.lit("again"), *left.columns)]
+    sums = lambda df, sign: df.select(*(h.alias(n) for h, n in zip(hashes, ("h", "g")))).groupBy(F.pmod("h", F.lit(BUCKETS)).cast("int").alias("bucket")).agg(*(F.sum(F.col(c).cast("decimal(38,0)") * sign).alias(c) for c in ("h", "g")), F.sum(F.lit(sign)).alias("n"))
+    both = sums(left, 1).unionByName(sums(right, -1)).groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("h", "g", "n")))
+    return both.where("h <> 0 or g <> 0 or n <> 0").select("bucket")
+
+
 def symmetric_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """How many rows are missing on the right, and extra there."""
-    m, e = left.exceptAll(right).agg(F.count("*").alias("missing")), right.exceptAll(left).agg(F.count("*").alias("extra"))
-    return m.crossJoin(F.broadcast(e))  # one line each
+    """How many rows of the left side are missing on the right, and extra there; repeated rows count.
+
+    Sums of hashes by bucket are compared first, and rows are exchanged for the buckets that differ only: two equal sides
+    exchange no row. Other rows with equal sums of two 64-bit hashes would not be seen.
+    """
+    right = right.select(*left.columns)
+    some = F.broadcast(differing(left, right))  # at most BUCKETS lines
+    in_them = lambda df: df.withColumn("bucket", F.pmod(F.xxhash64(*left.columns), F.lit(BUCKETS)).cast("int")).join(some, "bucket", "left_semi").drop("bucket")
+    count = in_them(left).withColumn("_n", F.lit(1)).unionByName(in_them(right).withColumn("_n", F.lit(-1))).groupBy(*left.columns).agg(F.sum("_n").alias("_n"))
+    zero = F.lit(0).cast("long")
+    return count.agg(F.coalesce(F.sum(F.greatest(F.col("_n"), zero)), zero).alias("missing"), F.coalesce(F.sum(F.greatest(-F.col("_n"), zero)), zero).alias("extra"))
 
 
 def pair_evidence(keys: list[str], **routes: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -136,6 +136,44 @@ def test_label_match(spark, a, b, want):
     assert [(r["support"], r["token_jaccard"]) for r in got] == ([want] if want else [])
 
 
+@pytest.mark.parametrize("rows", [4096, 5])
+def test_labels_of_one_gene_that_share_a_token(spark, rows):
+    """Nearly all labels have one token, and it is the rarest of many; entries in squares of five; against all pairs."""
+    import random
+
+    draw = random.Random(6)
+    words = [f"w{i}" for i in range(12)]
+    made = lambda n: [("g", i, " ".join(["common"] * (draw.random() < 0.9) + draw.sample(words, draw.randrange(1, 5)))) for i in range(n)]
+    left, right = made(90), made(70)
+    frame = lambda some: spark.createDataFrame(some, "gene string, id int, label string")
+    got = {(r["left_id"], r["right_id"], r["support"], r["token_jaccard"]) for r in lexical.label_matches(frame(left), frame(right), rows=rows).collect()}
+    want = set()
+    for _, i, a in left:
+        for _, j, b in right:
+            x, y = set(a.split()), set(b.split())
+            if a == b:
+                want.add((i, j, "B", "1.000"))
+            elif len(x & y) >= 2 and len(x & y) / len(x | y) >= 0.6:
+                want.add((i, j, "C", f"{len(x & y) / len(x | y):.3f}"))
+    assert got == want and len(want) > 100
+
+
+def test_sides_that_differ(spark):
+    """Against a multiset difference; equal sides exchange no row."""
+    import random
+    from collections import Counter
+
+    draw = random.Random(8)
+    a = [(draw.randrange(50), draw.choice(["x", None])) for _ in range(300)]
+    b = a[5:] + [(7, "x"), (99, "new"), (99, "new")]
+    draw.shuffle(b)
+    left, right = (spark.createDataFrame(r, "k int, v string") for r in (a, b))
+    row = reports.symmetric_difference(left, right.select("v", "k")).first()
+    assert (row["missing"], row["extra"]) == (sum((Counter(a) - Counter(b)).values()), sum((Counter(b) - Counter(a)).values())) and row["extra"] >= 2
+    assert reports.differing(left, left.repartition(3)).count() == 0 and reports.differing(left, right).count() <= 8
+    assert tuple(reports.symmetric_difference(left, left).first()) == (0, 0) == tuple(reports.symmetric_difference(left.limit(0), left.limit(0)).first())
+
+
 def test_retired_support(spark):
     with pytest.raises(Exception, match="retired"):
         spark.range(1).select(lexical.interpretation(F.lit("A"))).collect()
