@@ -229,3 +229,22 @@ def test_damaged_record():
     assert warc.parse(raw)[:2] == (1, 3)
     with pytest.raises(ValueError):
         warc.parse(raw.replace(b"abc\r\n", b"abd\r\n"))
+
+
+def test_columns_that_clash_and_a_long_payload(spark, tmp_path):
+    """Columns named as those that are made inside are ignored; an html of several million characters."""
+    names = "doc_id long, text string, n_tokens string, ids_sha256 long, start string, shard string, batch int, _row string"
+    docs = spark.createDataFrame([(2, "two words", "x", 1, "y", "z", 3, "r"), (1, None, "x", 1, "y", "z", 3, "r")], names)
+    plain = docs.select("doc_id", "text")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    key = lambda rows: sorted(map(tuple, rows.collect()))
+    assert key(spc.encode_decode(docs, path)) == key(spc.encode_decode(plain, path))
+    words = public_tokenizers.path("word_bpe_49k.json")
+    assert key(tokenbin.token_table(docs, words, 1)) == key(tokenbin.token_table(plain, words, 1))
+    long = "<p>é</p>" * 500_000
+    pages = spark.createDataFrame([(1, "u", long, "a", 5), (2, "u", long, "b", 6), (3, "u", "x", "c", 7)], "page_id long, url string, html string, record_type string, size int")
+    got = {r["page_id"]: r for r in warc.archive_table(pages, 0).collect()}
+    raw = long.encode()
+    digest = base64.b32encode(hashlib.sha1(raw).digest()).decode()
+    assert (got[2]["payload_bytes"], got[2]["payload_digest"], got[2]["record_type"]) == (len(raw), digest, "response")
+    assert (got[1]["record_type"], got[1]["refers_to"], got[3]["record_type"]) == ("revisit", 2, "response")
