@@ -32,3 +32,11 @@ def test_sizes_beyond_the_units_of_a_query(spark, check):
     rows = check("fn_byte_size", events=spark.createDataFrame([(n,) for n in (0, 1023, 1024, 1536, (1 << 20) - 1, 1 << 20, 5999999, 1 << 31)], "event_id long"))
     assert {r["event_id"]: r["size"] for r in rows}[1 << 20] == "1024.0 KB"
     assert spark.range(1).select(X.byte_size(F.lit(1 << 50))).first()[0] == "1024.0 TB"
+
+
+def test_negation_beside_letters_that_are_not_ascii(spark, check):
+    """A letter with an accent ends a word, as in the SQL; without a text or a role nothing is said of a negation."""
+    texts = ["noñ el", "ñno", "no", "nota not_a", "sin x", "of the no", None, "É without", "knot"]
+    rows = [(i, i % 4, "user", t) for i, t in enumerate(texts)] + [(20, None, "no", "x"), (21, 1, None, "no")]
+    found = {r["conv_id"]: r["negation"] for r in check("fn_direction_flags", conversations=spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))}
+    assert [found[i] for i in range(9)] == [True, True, True, False, False, True, None, True, False] and found[21] is None
