@@ -40,3 +40,11 @@ def test_negation_beside_letters_that_are_not_ascii(spark, check):
     rows = [(i, i % 4, "user", t) for i, t in enumerate(texts)] + [(20, None, "no", "x"), (21, 1, None, "no")]
     found = {r["conv_id"]: r["negation"] for r in check("fn_direction_flags", conversations=spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))}
     assert [found[i] for i in range(9)] == [True, True, True, False, False, True, None, True, False] and found[21] is None
+
+
+@pytest.mark.parametrize("sizes", [(1, 2), (30, 40), (1, 30), ()])
+def test_batches_without_a_new_text(spark, check, sizes):
+    """Where the smaller parts have all labels, there is no second batch; where there are none, no first one."""
+    rows = [(i, "small", f"Brand#{i}", "large", s) for i, s in enumerate(sizes)] + [(10, "x", "Brand#0", "large", 50)] * bool(sizes)
+    found = check("pl_kept_vectors", part=spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int"))
+    assert len(found) == len({s <= 25 for s in sizes})
