@@ -31,20 +31,43 @@ def disease_models(rows: DataFrame, orthologs: DataFrame, alleles: DataFrame) ->
     return out.select("_ord", *MODEL, "f.*", "mouse_allele_name", "mouse_allele_attribute", "mouse_mp_ids", "mouse_pubmed_ids")
 
 
-def disease_links(human: DataFrame, models: DataFrame, prefix: str = "OMIM:", source: str = "ClinVar", evidence: str = "clinvar_supported") -> DataFrame:
-    """Human conditions (with _ord) and models of one gene that share an identifier; the first of equal signatures stays."""
+def disease_sides(human: DataFrame, models: DataFrame, prefix: str = "OMIM:", source: str = "ClinVar", evidence: str = "clinvar_supported") -> tuple[DataFrame, DataFrame]:
+    """Human conditions (with _ord) and models by identifier, as shared_disease_id; the first of equal signatures stays."""
     h = human.where((F.col("variant_source") == source) & (F.col("evidence_class") == evidence))
     h = h.withColumn("_h", F.col("_ord")).drop("_ord").withColumn("shared_disease_id", F.explode(X.identifiers("condition_identifiers", prefix)))
     m = models.withColumn("_m", F.col("_ord")).drop("_ord").withColumn("shared_disease_id", F.explode(X.identifiers("mouse_omim_ids", prefix)))
     # Each side is made unique by its part of the signature, so that the fan-out of the join has no repeats to sort out.
-    h = first_wins(h, ["human_gene", "rs_id", "source_record_id", "shared_disease_id"], ["_h"])
-    m = first_wins(m, ["human_gene", "mgi_genotype_id", "shared_disease_id"], ["_m"])
+    return first_wins(h, ["human_gene", "rs_id", "source_record_id", "shared_disease_id"], ["_h"]), first_wins(m, ["human_gene", "mgi_genotype_id", "shared_disease_id"], ["_m"])
+
+
+def disease_links(human: DataFrame, models: DataFrame, prefix: str = "OMIM:", source: str = "ClinVar", evidence: str = "clinvar_supported") -> DataFrame:
+    """Human conditions (with _ord) and models of one gene that share an identifier; the first of equal signatures stays."""
+    h, m = disease_sides(human, models, prefix, source, evidence)
     out = h.join(m, ["human_gene", "shared_disease_id"])
     named = {"human_variant_source": "variant_source", "human_source_record_id": "source_record_id", "human_chromosome": "chromosome", "human_position": "position", "human_condition_label": "phenotype_label", "human_condition_identifiers": "condition_identifiers", "human_evidence_class": "evidence_class", "human_clinical_significance": "clinical_significance"}
     given = {"category_id": "category2", "subcategory_id": "category2-2", "connection_basis": "shared_disease_identifier_and_curated_mouse_model", "ortholog_source": ORTHOLOG_SOURCE, "interpretation": SAYS_DISEASE}
     return out.select(*(F.lit(given[c]).alias(c) if c in given else F.col(named.get(c, c)).alias(c) for c in LINKS if c in given or named.get(c, c) in out.columns))
 
 
+def disease_counts(human: DataFrame, models: DataFrame, prefix: str = "OMIM:", source: str = "ClinVar", evidence: str = "clinvar_supported") -> DataFrame:
+    """What ``disease_links`` has by (human_gene, shared_disease_id): links, different variants and models.
+
+    Each side is counted before the join: a link is a pair of one row of each, so that no fan-out is built.
+    """
+    h, m = disease_sides(human, models, prefix, source, evidence)
+    keys = ["human_gene", "shared_disease_id"]
+    one = h.groupBy(*keys).agg(F.count("*").alias("_h"), F.count_distinct("rs_id").alias("variants"))
+    two = m.groupBy(*keys).agg(F.count("*").alias("_m"), F.count_distinct("mgi_genotype_id").alias("models"))
+    return one.join(two, keys).select(*keys, (F.col("_h") * F.col("_m")).alias("links"), "variants", "models")
+
+
+def disease_linked(human: DataFrame, models: DataFrame, prefix: str = "OMIM:", source: str = "ClinVar", evidence: str = "clinvar_supported") -> tuple[DataFrame, DataFrame]:
+    """The rows of ``disease_sides`` that have links."""
+    h, m = disease_sides(human, models, prefix, source, evidence)
+    keys = ["human_gene", "shared_disease_id"]
+    return h.join(m.select(*keys).distinct(), keys, "left_semi"), m.join(h.select(*keys).distinct(), keys, "left_semi")
+
+
 def with_shared_disease(human: DataFrame, models: DataFrame, prefix: str = "OMIM:") -> DataFrame:
     """Number of (row, disease) pairs that some model shares, before any removal of repeats."""
     h = human.select("human_gene", F.explode(X.identifiers("condition_identifiers", prefix)).alias("d"))
