@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
 from linkloom.operators.keys import last_wins
+from linkloom.plans import disease
 from linkloom.plans.bridge import accepted_mappings
 from linkloom.settings import ALIASES, DEFAULT, BridgeRoute, Settings
 
@@ -153,13 +154,29 @@ def lexical_mapping(human: DataFrame, mouse: DataFrame, orthologs: DataFrame, li
 
 
 def disease_mapping(scanned: DataFrame, models: DataFrame, human: DataFrame, links: DataFrame, shared: DataFrame) -> DataFrame:
-    """Counts of the route by shared identifiers; ``shared`` is ``with_shared_disease``."""
+    """Counts of the route by shared identifiers from its links; ``shared`` is ``with_shared_disease``."""
+    made = counted(links, finalRows=F.count("*"), **different(humanVariants="rs_id", genes="human_gene", mouseGenotypes="mgi_genotype_id", diseases="shared_disease_id"))
+    return together(_disease_rows(scanned, models, human, shared), made)
+
+
+def disease_mapping_of(scanned: DataFrame, models: DataFrame, human: DataFrame, prefix: str = "OMIM:") -> DataFrame:
+    """What ``disease_mapping`` counts, where no links are there: from the rows of each side that have some."""
+    h, m = disease.disease_linked(human, models, prefix)
+    totals = disease.disease_counts(human, models, prefix)
+    return together(
+        _disease_rows(scanned, models, human, disease.with_shared_disease(human, models, prefix)),
+        counted(totals, finalRows=F.sum("links"), **different(genes="human_gene", diseases="shared_disease_id")),
+        counted(h, **different(humanVariants="rs_id")),
+        counted(m, **different(mouseGenotypes="mgi_genotype_id")),
+    )
+
+
+def _disease_rows(scanned: DataFrame, models: DataFrame, human: DataFrame, shared: DataFrame) -> DataFrame:
     return together(
         rows_of(scanned, "diseaseRowsScanned"),
         rows_of(models, "uniqueMouseDiseaseModels"),
         rows_of(human, "humanEvidenceRows"),
         counted(shared, humanRowsWithSharedDisease=F.max("rows_with_shared_disease")),
-        counted(links, finalRows=F.count("*"), **different(humanVariants="rs_id", genes="human_gene", mouseGenotypes="mgi_genotype_id", diseases="shared_disease_id")),
     )
 
 

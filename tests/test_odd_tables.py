@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
-from linkloom.plans import registry
+from linkloom.plans import counts, disease, registry
 
 
 @pytest.fixture
@@ -56,3 +56,20 @@ def test_every_pair_of_a_gene_whatever_its_score(spark, check):
     rows = [(i, [float(x) for x in v], 1) for i, v in enumerate(at)] + [(7, [1.0, 0.0], 2), (9, [0.0, 1.0], 2)]
     found = check("jn_gene_block_cosine", embeddings=spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
     assert len(found) == 9 and min(r["score"] for r in found) == -1.0
+
+
+def test_disease_counts_are_those_of_the_links(spark):
+    """Repeated and null ids, identifiers of one side only, and a fan-out of 10^10 links, which is counted from its sides."""
+    columns = "human_gene string, rs_id string, source_record_id string, condition_identifiers string, _ord long"
+    human = [("g", "r1", "a", "OMIM:1|OMIM:2", 1), ("g", "r1", "a", "OMIM:1", 2), ("g", "r1", "b", "OMIM:1", 3), ("g", None, "a", "OMIM:1", 4), ("h", "r2", "a", "OMIM:1|OMIM:9", 5), (None, "r", "a", "OMIM:1", 6), ("k", "r3", "a", None, 7)]
+    models = [("g", "m1", "OMIM:1|OMIM:3", 1), ("g", "m1", "OMIM:1", 2), ("g", None, "OMIM:1|OMIM:2", 3), ("h", "m2", "OMIM:8", 4), (None, "m", "OMIM:1", 5), ("h", "m1", "OMIM:9", 6)]
+    h = spark.createDataFrame(human, columns).withColumns({"variant_source": F.lit("ClinVar"), "evidence_class": F.lit("clinvar_supported")})
+    m = spark.createDataFrame(models, "human_gene string, mgi_genotype_id string, mouse_omim_ids string, _ord long")
+    links = disease.disease_links(h, m)
+    want = links.groupBy("human_gene", "shared_disease_id").agg(F.count("*"), F.count_distinct("rs_id"), F.count_distinct("mgi_genotype_id"))
+    assert sorted(map(tuple, disease.disease_counts(h, m).collect())) == sorted(map(tuple, want.collect())) == [("g", "OMIM:1", 6, 1, 1), ("g", "OMIM:2", 1, 1, 0), ("h", "OMIM:9", 1, 1, 1)]
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(counts.disease_mapping_of(m, m, h)) == rows(counts.disease_mapping(m, m, h, links, disease.with_shared_disease(h, m)))
+    many = spark.range(100_000).select(F.lit("g").alias("human_gene"), F.col("id").cast("string").alias("rs_id"), F.lit("a").alias("source_record_id"), F.lit("OMIM:1").alias("condition_identifiers"), F.col("id").alias("_ord"), F.lit("ClinVar").alias("variant_source"), F.lit("clinvar_supported").alias("evidence_class"))
+    both = many.withColumnsRenamed({"rs_id": "mgi_genotype_id", "condition_identifiers": "mouse_omim_ids"}).select("human_gene", "mgi_genotype_id", "mouse_omim_ids", "_ord")
+    assert disease.disease_counts(many, both).first()["links"] == 10**10
