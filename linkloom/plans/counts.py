@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from linkloom.functions import text as X
 from linkloom.operators.keys import last_wins
 from linkloom.plans import disease
-from linkloom.plans.bridge import accepted_mappings
+from linkloom.plans.bridge import accepted_mappings, bridge_keys
+from linkloom.session import written
 from linkloom.settings import ALIASES, DEFAULT, BridgeRoute, Settings
 
 
@@ -88,7 +89,26 @@ def bridge_preparation(merged: DataFrame, noted: DataFrame, orthologs: DataFrame
 
 
 def bridge_mapping(human: DataFrame, merged: DataFrame, orthologs: DataFrame, alleles: DataFrame, links: DataFrame, route: BridgeRoute) -> DataFrame:
-    """Counts of a bridge route: what each side offers to the human rows, and what came out."""
+    """Counts of a bridge route from its links: what each side offers to the human rows, and what came out."""
+    made = counted(links, mousePhenotypeCandidateRows=F.count("*"), finalRows=F.count("*"), **different(humanVariants="rs_id", humanGenes="human_gene", mouseGenes="mouse_gene", hpoTerms="hpo_id", mpTerms="mp_id"))
+    return together(_bridge_rows(human, merged, orthologs, alleles, route), made)
+
+
+def bridge_mapping_of(human: DataFrame, merged: DataFrame, orthologs: DataFrame, alleles: DataFrame, route: BridgeRoute) -> DataFrame:
+    """What ``bridge_mapping`` counts, where no links are there: a key has the product of its rows, mappings and ortholog rows as links."""
+    bridge = accepted_mappings(merged, route)
+    keys = written(bridge_keys(human, orthologs, bridge, alleles), "keys")
+    mapped = bridge.groupBy("hpo_id", "mp_id").agg(F.count("*").alias("b"))
+    links = F.sum(F.col("h") * F.col("p") * F.col("m") * F.col("b"))
+    variants = human.join(keys.select("human_gene", "hpo_id").distinct(), ["human_gene", "hpo_id"], "left_semi")
+    return together(
+        _bridge_rows(human, merged, orthologs, alleles, route),
+        counted(keys.join(mapped, ["hpo_id", "mp_id"]), mousePhenotypeCandidateRows=links, finalRows=links, **different(humanGenes="human_gene", mouseGenes="mouse_gene", hpoTerms="hpo_id", mpTerms="mp_id")),
+        counted(variants, **different(humanVariants="rs_id")),
+    )
+
+
+def _bridge_rows(human: DataFrame, merged: DataFrame, orthologs: DataFrame, alleles: DataFrame, route: BridgeRoute) -> DataFrame:
     bridge = accepted_mappings(merged, route)
     offers = lambda other, key: human.groupBy(key).agg(F.count("*").alias("h")).join(other.groupBy(key).agg(F.count("*").alias("o")), key)
     return together(
@@ -98,7 +118,6 @@ def bridge_mapping(human: DataFrame, merged: DataFrame, orthologs: DataFrame, al
         rows_of(human, "humanVariantHpoRows"),
         counted(offers(bridge, "hpo_id"), hpoMpCandidateRows=F.sum(F.col("h") * F.col("o"))),
         counted(offers(orthologs, "human_gene"), orthologGeneCandidateRows=F.sum(F.col("h") * F.col("o"))),
-        counted(links, mousePhenotypeCandidateRows=F.count("*"), finalRows=F.count("*"), **different(humanVariants="rs_id", humanGenes="human_gene", mouseGenes="mouse_gene", hpoTerms="hpo_id", mpTerms="mp_id")),
     )
 
 

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
-from linkloom.plans import counts, disease, registry
+from linkloom.plans import bridge, counts, disease, registry
+from linkloom.settings import BridgeRoute
 
 
 @pytest.fixture
@@ -73,3 +74,21 @@ def test_disease_counts_are_those_of_the_links(spark):
     many = spark.range(100_000).select(F.lit("g").alias("human_gene"), F.col("id").cast("string").alias("rs_id"), F.lit("a").alias("source_record_id"), F.lit("OMIM:1").alias("condition_identifiers"), F.col("id").alias("_ord"), F.lit("ClinVar").alias("variant_source"), F.lit("clinvar_supported").alias("evidence_class"))
     both = many.withColumnsRenamed({"rs_id": "mgi_genotype_id", "condition_identifiers": "mouse_omim_ids"}).select("human_gene", "mgi_genotype_id", "mouse_omim_ids", "_ord")
     assert disease.disease_counts(many, both).first()["links"] == 10**10
+
+
+def test_bridge_counts_are_those_of_the_links(spark):
+    """Repeated ortholog rows, a second predicate of a pair, keys of one side only, null ids; and 10^12 links, counted from their keys."""
+    human = spark.createDataFrame([("g", "hp1", "r1"), ("g", "hp1", "r1"), ("g", "hp2", None), ("g", "hp3", "r3"), ("x", "hp1", "r4"), ("k", "hp1", "r5")], "human_gene string, hpo_id string, rs_id string")
+    wide = human.select(*(F.col(c) if c in human.columns else F.lit("-").alias(c) for c in bridge.HUMAN))
+    merged = spark.createDataFrame([("hp1", "mp1", "p", "0.9"), ("hp1", "mp1", "q", ""), ("hp1", "mp2", "p", "0.1"), ("hp2", "mp1", "p", "0.8"), ("hp3", "mp3", "p", "1")], "hpo_id string, mp_id string, predicate string, confidence string")
+    merged = merged.select("*", *(F.lit(c).alias(c) for c in ("hpo_label", "mp_label", "mapping_justification", "mapping_date", "mapping_source")))
+    pairs = spark.createDataFrame([("g", "m"), ("g", "m"), ("x", "n"), ("k", "m")], "human_gene string, mouse_gene string")
+    mice = spark.createDataFrame([("m", "mp1"), ("m", "mp1"), ("m", "mp2"), ("o", "mp1")], "mouse_gene string, mp_id string")
+    alleles = mice.select(*(F.col(c) if c in mice.columns else F.lit("-").alias(c) for c in [*bridge.ALLELE, "mp_id", "pubmed_ids", "mgi_genotype_id"]))
+    route = BridgeRoute("s", "b", ("p", "q"), 0.5)
+    links = bridge.bridge_links(wide, merged, pairs, alleles, route)
+    want = dict(map(tuple, counts.bridge_mapping(wide, merged, pairs, alleles, links, route).collect()))
+    assert dict(map(tuple, counts.bridge_mapping_of(human, merged, pairs, mice, route).collect())) == want and want["finalRows"] == 2 * 2 * 2 * 2 + 2 * 2 + 2 * 2
+    many = lambda c, **v: spark.range(1_000_000).select(*(F.lit(x).alias(k) for k, x in v.items()), F.col("id").cast("string").alias(c))
+    found = counts.bridge_mapping_of(many("rs_id", human_gene="k", hpo_id="hp2"), merged, pairs, many("id", mouse_gene="m", mp_id="mp1"), route)
+    assert dict(map(tuple, found.collect()))["finalRows"] == 10**12
