@@ -92,3 +92,10 @@ def test_bridge_counts_are_those_of_the_links(spark):
     many = lambda c, **v: spark.range(1_000_000).select(*(F.lit(x).alias(k) for k, x in v.items()), F.col("id").cast("string").alias(c))
     found = counts.bridge_mapping_of(many("rs_id", human_gene="k", hpo_id="hp2"), merged, pairs, many("id", mouse_gene="m", mp_id="mp1"), route)
     assert dict(map(tuple, found.collect()))["finalRows"] == 10**12
+
+
+def test_shares_in_three_decimals(spark):
+    """Integers give what the formatted quotient gives."""
+    pairs = spark.range(1, 201).select(F.col("id").alias("whole")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole"))))
+    assert pairs.where(X.ratio3("part", "whole") != X.fixed3(F.col("part") / F.col("whole"))).count() == 0
+    assert spark.range(1).select(X.ratio3(F.lit(0), F.lit(0))).first()[0] == "0.000"
