@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
 from linkloom.operators.keys import last_wins
-from linkloom.plans import disease
+from linkloom.plans import disease, lexical
 from linkloom.plans.bridge import accepted_mappings, bridge_keys
 from linkloom.session import written
 from linkloom.settings import ALIASES, DEFAULT, BridgeRoute, Settings
@@ -145,7 +145,9 @@ def candidate_comparisons(left: DataFrame, right: DataFrame, settings: Settings
 
     def labels(df: DataFrame, side: str) -> DataFrame:
         norm, tokens = X.normal_label("label", aliases), X.informative_tokens("label", settings.uninformative, aliases)
-        return df.groupBy("gene", norm.alias(f"{side}_norm")).agg(F.count("*").alias(f"{side}_rows"), F.any_value(tokens).alias(f"{side}_tokens"))
+        # Equal texts are normalised once.
+        texts = df.groupBy("gene", "label").agg(F.count("*").alias("rows"))
+        return texts.groupBy("gene", norm.alias(f"{side}_norm")).agg(F.sum("rows").alias(f"{side}_rows"), F.any_value(tokens).alias(f"{side}_tokens"))
 
     l, r = labels(left, "l"), labels(right, "r")
     equal = l.join(r, (l.gene == r.gene) & (l.l_norm == r.r_norm)).select(F.col("l_rows") * F.col("r_rows"))
@@ -155,10 +157,46 @@ def candidate_comparisons(left: DataFrame, right: DataFrame, settings: Settings
 
 
 def lexical_mapping(human: DataFrame, mouse: DataFrame, orthologs: DataFrame, links: DataFrame, settings: Settings = DEFAULT, aliases: dict[str, str] = ALIASES) -> DataFrame:
-    """Counts of the label route."""
-    pairs = last_wins(orthologs, ["mouse_gene"], ["_ord"]).select("human_gene", "mouse_gene")
-    indexed = mouse.where("phenotype_label <> ''").join(pairs, "mouse_gene").select(F.col("human_gene").alias("gene"), F.col("phenotype_label").alias("label"))
-    used = human.where(F.col("evidence_class").isin(*settings.evidence_classes) & (F.col("phenotype_label") != "")).select(F.col("human_gene").alias("gene"), F.col("phenotype_label").alias("label"))
+    """Counts of the label route from its links."""
+    return together(
+        _lexical_rows(human, orthologs, *_lexical_sides(human, mouse, orthologs, settings), settings, aliases),
+        counted(links, finalRows=F.count("*"), **different(humanVariants="rs_id", humanGenes="human_gene", mouseAlleles="mgi_allele_id", mouseGenes="mouse_gene")),
+        by_value(links, "supportGrades", "within_tier_support", values=("A", "B", "C")),
+        by_value(links, "methods", "match_method"),
+    )
+
+
+def lexical_mapping_of(human: DataFrame, mouse: DataFrame, orthologs: DataFrame, settings: Settings = DEFAULT, aliases: dict[str, str] = ALIASES) -> DataFrame:
+    """What ``lexical_mapping`` counts, where no links are there: two labels that match have the product of their rows as links."""
+    used, indexed = (written(df, name) for df, name in zip(_lexical_sides(human, mouse, orthologs, settings), ("used", "indexed"), strict=True))
+    # Equal texts are normalised once, and weigh as many rows as have them.
+    texts = lambda df, norm: written(df.groupBy("gene", "label").agg(F.count("*").alias("n")).withColumn(norm, X.normal_label("label", aliases)), norm)
+    h, m = texts(used, "l_norm"), texts(indexed, "r_norm")
+    graded = written(lexical.graded_labels(h, m, settings, aliases), "graded")
+    per = lambda df, norm, n: df.groupBy("gene", norm).agg(F.sum("n").alias(n))
+    linked = lambda rows, df, norm: rows.join(df.join(graded, ["gene", norm], "left_semi"), ["gene", "label"], "left_semi")
+    totals = graded.join(per(h, "l_norm", "h"), ["gene", "l_norm"]).join(per(m, "r_norm", "m"), ["gene", "r_norm"]).groupBy("support", "method").agg(F.sum(F.col("h") * F.col("m")).alias("n"))
+    totals = written(totals, "totals")
+    none = totals.sparkSession.createDataFrame([(g, 0) for g in ("A", "B", "C")], "support string, n long")
+    of = lambda df, prefix, c: df.groupBy(F.concat(F.lit(prefix + "."), c).alias("name")).agg(F.sum("n").alias("n"))
+    return together(
+        _lexical_rows(human, orthologs, used, indexed, settings, aliases),
+        counted(totals, finalRows=F.sum("n")),
+        counted(linked(used, h, "l_norm"), **different(humanVariants="rs_id", humanGenes="gene")),
+        counted(linked(indexed, m, "r_norm"), **different(mouseAlleles="mgi_allele_id", mouseGenes="mouse_gene")),
+        of(totals.select("support", "n").unionByName(none), "supportGrades", "support"),
+        of(totals, "methods", "method"),
+    )
+
+
+def _lexical_sides(human: DataFrame, mouse: DataFrame, orthologs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """The rows of both sides that have a label, with what is counted of their links."""
+    h, m = lexical.link_sides(human, mouse, orthologs, settings)
+    gene, label = F.col("human_gene").alias("gene"), F.col("phenotype_label").alias("label")
+    return h.select(gene, label, "rs_id"), m.where("phenotype_label <> ''").select(gene, label, "mouse_gene", "mgi_allele_id")
+
+
+def _lexical_rows(human: DataFrame, orthologs: DataFrame, used: DataFrame, indexed: DataFrame, settings: Settings, aliases: dict[str, str]) -> DataFrame:
     used = used.join(indexed.select("gene").distinct(), "gene", "left_semi")
     return together(
         rows_of(orthologs, "orthologPairs"),
@@ -166,9 +204,6 @@ def lexical_mapping(human: DataFrame, mouse: DataFrame, orthologs: DataFrame, li
         rows_of(human, "humanEvidenceRows"),
         rows_of(used, "humanRowsWithOrtholog"),
         candidate_comparisons(used, indexed, settings, aliases),
-        counted(links, finalRows=F.count("*"), **different(humanVariants="rs_id", humanGenes="human_gene", mouseAlleles="mgi_allele_id", mouseGenes="mouse_gene")),
-        by_value(links, "supportGrades", "within_tier_support", values=("A", "B", "C")),
-        by_value(links, "methods", "match_method"),
     )
 
 

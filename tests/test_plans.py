@@ -158,6 +158,21 @@ def test_labels_of_one_gene_that_share_a_token(spark, rows):
     assert got == want and len(want) > 100
 
 
+def test_counts_of_labels_without_links(spark, sf_dir, monkeypatch):
+    """Equal rows, labels that differ before they are normalised, blank and unlinked ones; against the counts of the links."""
+    from linkloom.plans import counts, registry
+
+    words = ["x y", "X  y", "y x", "x y z", "q", "", "!!"]
+    human = spark.createDataFrame([{c: "" for c in lexical.HUMAN} | {"human_gene": g, "rs_id": f"rs{i % 3}", "phenotype_label": words[i % 7], "evidence_class": "other" if i % 5 == 4 else "gwas_significant"} for g in ("G", "H") for i in range(24)]).select(*lexical.HUMAN)
+    mouse = spark.createDataFrame([{c: "" for c in lexical.MOUSE} | {"mouse_gene": g, "mgi_allele_id": f"a{i % 4}", "phenotype_label": words[i % 7]} for g in ("g", "k") for i in range(30)]).select(*lexical.MOUSE)
+    genes = table(spark, "human_gene mouse_gene _ord", ("G", "g", 1), ("H", "h", 2))
+    want = {tuple(r) for r in counts.lexical_mapping(human, mouse, genes, lexical.lexical_links(human, mouse, genes)).collect()}
+    assert {tuple(r) for r in counts.lexical_mapping_of(human, mouse, genes).collect()} == want and dict(want)["finalRows"] > 100
+    # The query makes no links: they grow with the square of its table.
+    monkeypatch.setattr(lexical, "lexical_links", None)
+    assert registry.QUERIES["ag_lexical_counts"](spark, sf_dir).count() == 15
+
+
 def test_sides_that_differ(spark):
     """Against a multiset difference; equal sides exchange no row."""
     import random
