@@ -158,6 +158,41 @@ def test_labels_of_one_gene_that_share_a_token(spark, rows):
     assert got == want and len(want) > 100
 
 
+def shuffled(spark, run):
+    """What ``run`` returns, with the rows and bytes that its stages wrote for a shuffle; no join is a broadcast."""
+    sc = spark.sparkContext
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    stages = lambda: {x.stageId(): x for x in (seq.apply(i) for seq in [sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)] for i in range(seq.size()))}
+    seen = set(stages())
+    try:
+        out = run()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    new = [x for k, x in stages().items() if k not in seen]
+    return out, sum(x.shuffleWriteRecords() for x in new), sum(x.shuffleWriteBytes() for x in new)
+
+
+def test_index_of_long_labels_is_small(spark):
+    """An entry has no tokens of its label: what is shuffled grows with the labels' length, not with its square. In squares and
+    whole, against all pairs."""
+    import random
+
+    draw = random.Random(5)
+    base = [draw.sample([f"word{i}" for i in range(2000)], 300) for _ in range(20)]
+    texts = [" ".join(w[k:] + draw.sample([f"word{i}" for i in range(2000)], k)) for w in base for k in (0, 40, 90)]
+    df = spark.createDataFrame([("g", i, x) for i, x in enumerate(texts)], "gene string, id int, label string").repartition(3).cache()
+    df.count()
+    sets = [set(x.split()) for x in texts]
+    want = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i != j and len(a & b) / len(a | b) >= 0.6}
+    for rows in (4096, 7):
+        got, _, size = shuffled(spark, lambda: lexical.label_matches(df, df, rows=rows).where("support = 'C'").collect())  # noqa: B023
+        assert {(r["left_id"], r["right_id"]) for r in got} == want and len(got) == len(want) >= 40
+        if rows == 4096:
+            # 60 labels of 300 tokens have 7,260 entries: with their tokens 27.8 MB, without them 1.0 MB.
+            assert size < 1_500_000
+
+
 def test_counts_of_labels_without_links(spark, sf_dir, monkeypatch):
     """Equal rows, labels that differ before they are normalised, blank and unlinked ones; against the counts of the links."""
     from linkloom.plans import counts, registry
