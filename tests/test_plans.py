@@ -193,6 +193,18 @@ def test_index_of_long_labels_is_small(spark):
             assert size < 1_500_000
 
 
+def test_ids_come_back_as_lists(spark, monkeypatch):
+    """Rows that meet in the last joins are lists of ids, not pairs; more rows than a list holds, null ids and equal rows stay."""
+    monkeypatch.setattr(lexical, "IDS", 6, raising=False)
+    names = [f"a b c d {x}" for x in "efghijklmnop"]
+    side = lambda: spark.createDataFrame([("g", i if i else None, x) for x in names for i in [*range(19), 7]], "gene string, id int, label string")
+    got, rows, _ = shuffled(spark, lambda: lexical.label_matches(side(), side()).groupBy("left_id", "support").agg(F.count("*").alias("n")).collect())
+    ids = {None, *range(1, 19)}
+    assert {(r["left_id"], r["support"], r["n"]) for r in got} == {(i, g, 20 * (1 + (i == 7)) * n) for i in ids for g, n in (("B", 12), ("C", 132))}
+    # Twelve labels make 144 pairs of labels and 57,600 of rows: 4,150 rows shuffled with ids that come one by one, 1,536 with lists.
+    assert rows < 2500
+
+
 def test_counts_of_labels_without_links(spark, sf_dir, monkeypatch):
     """Equal rows, labels that differ before they are normalised, blank and unlinked ones; against the counts of the links."""
     from linkloom.plans import counts, registry
