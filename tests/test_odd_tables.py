@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
-from linkloom.plans import bridge, counts, disease, registry
+from linkloom.plans import bridge, counts, disease, lexical, registry
 from linkloom.settings import BridgeRoute
 
 
@@ -99,3 +99,15 @@ def test_shares_in_three_decimals(spark):
     pairs = spark.range(1, 201).select(F.col("id").alias("whole")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole"))))
     assert pairs.where(X.ratio3("part", "whole") != X.fixed3(F.col("part") / F.col("whole"))).count() == 0
     assert spark.range(1).select(X.ratio3(F.lit(0), F.lit(0))).first()[0] == "0.000"
+
+
+@pytest.mark.parametrize("rows,ids", [(128, 64), (3, 2)])
+def test_every_pair_of_a_brand(spark, check, monkeypatch, rows, ids):
+    """Sizes that differ, keys of equal parity, many copies of a label, keys that are there twice, nulls, and labels that share nothing but their brand."""
+    pairs = lexical.jaccard_pairs
+    monkeypatch.setattr(lexical, "jaccard_pairs", lambda labels: pairs(labels, rows, ids))
+    part = [(2 * i, "red pin", "Brand#1", "ECONOMY", i) for i in range(9)] + [(2 * i + 1, f"{w} pin", "Brand#1", "Budget", i) for i, w in enumerate(("blue", "red", "red red", "PIN"))]
+    part += [(30, "a b", "Brand#2", "x", 1), (30, "b a", "Brand#2", "x", 1), (30, "a", "Brand#2", "x", 1), (31, "c", "Brand#2", "y", 2), (33, None, "Brand#2", "y", 2), (35, None, "Brand#2", "y", 2), (None, "a", "Brand#2", "x", 1), (37, "a", None, "x", 1), (39, "a", None, "x", 1), (41, "é", "Brand#3", "-", None)]
+    found = check("fn_jaccard", part=spark.createDataFrame(part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int"))
+    assert len(found) == 13 * 12 // 2 + 3 * 3 + 3
+    assert {(r["left_id"], r["right_id"]): r["jaccard"] for r in found}[2, 4] == "1.000"
