@@ -111,3 +111,31 @@ def test_every_pair_of_a_brand(spark, check, monkeypatch, rows, ids):
     found = check("fn_jaccard", part=spark.createDataFrame(part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int"))
     assert len(found) == 13 * 12 // 2 + 3 * 3 + 3
     assert {(r["left_id"], r["right_id"]): r["jaccard"] for r in found}[2, 4] == "1.000"
+
+
+@pytest.mark.parametrize("rows", [4096, 3])
+def test_lines_of_links_are_those_of_the_rows(spark, monkeypatch, rows):
+    """Repeated ortholog rows, equal rows on both sides, two predicates, nulls and text that is not ASCII; no row of a link is made and no mapping is looked for twice."""
+    columns = lambda names, given: [F.col(c) if c in given.columns else F.lit("-").alias(c) for c in names]
+    human = spark.createDataFrame([("g", "hp1", f"r{i // 2}", f"Ä{i % 3}") for i in range(20)] + [("g", "hp2", None, None), ("h", "hp1", "r9", "x"), ("k", "hp9", "r1", "x")], "human_gene string, hpo_id string, rs_id string, disease_name string")
+    human = human.select(*columns(bridge.HUMAN, human))
+    merged = spark.createDataFrame([("hp1", "mp1", "p", "0.9"), ("hp1", "mp1", "q", ""), ("hp1", "mp2", "p", "0.1"), ("hp2", "mp1", "p", "0.8")], "hpo_id string, mp_id string, predicate string, confidence string")
+    merged = merged.select("*", *(F.lit(c).alias(c) for c in ("hpo_label", "mp_label", "mapping_justification", "mapping_date", "mapping_source")))
+    pairs = spark.createDataFrame([("g", "m"), ("g", "m"), ("g", "n"), ("h", "m")], "human_gene string, mouse_gene string")
+    mice = spark.createDataFrame([("m", "mp1", f"a{i % 5}") for i in range(11)] + [("m", "mp2", "a1"), ("n", "mp1", None), ("o", "mp1", "a2")], "mouse_gene string, mp_id string, mgi_allele_id string")
+    alleles = mice.select(*columns([*bridge.ALLELE, "mp_id", "pubmed_ids", "mgi_genotype_id"], mice))
+    route = BridgeRoute("s", "b", ("p", "q"), 0.5)
+    line = F.conv(F.substring(F.md5(F.concat_ws("|", *bridge.LINKS).cast("binary")), 1, 8), 16, 10).cast("long")
+    want = bridge.bridge_links(human, merged, pairs, alleles, route).groupBy("human_gene", "hpo_id", "mp_id").agg(F.count("*"), F.count_distinct("rs_id"), F.count_distinct("mgi_allele_id"), F.max("mapping_confidence"), F.sum(line))
+    want = sorted(map(tuple, want.collect()))
+    made, merges = [], spark.sparkContext.accumulator(0)
+    keep = bridge.written
+    monkeypatch.setattr(bridge, "written", lambda df, name: made.append(name) or keep(df, name))
+
+    def seen(batches):
+        merges.add(1)
+        yield from batches
+
+    once = merged.coalesce(1).mapInArrow(seen, merged.schema)
+    assert sorted(map(tuple, bridge.bridge_digest(human, once, pairs, alleles, route, rows=rows).collect())) == want
+    assert merges.value == 1 and len(want) == 3 and made == ["merged", "human", "alleles"]
